@@ -15,12 +15,24 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
 
 
-def hits(words: Column, wanted: Iterable[str]) -> Column:
-    """How many array elements belong to a fixed set (a hash set after optimisation)."""
-    wanted = sorted(set(wanted))
+def sql_list(words: Iterable[str]) -> str:
+    """Fixed strings as the right side of SQL ``IN`` (a hash set once there are more than ten)."""
+    quoted = ("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in sorted(set(words)))
+    return f"({', '.join(quoted)})"
+
+
+def hits_sql(words: str, wanted: Iterable[str]) -> str:
+    """SQL: how many elements of array column ``words`` belong to a fixed set."""
+    wanted = set(wanted)
+    return f"size(filter(`{words}`, w -> w IN {sql_list(wanted)}))" if wanted else "0"
+
+
+def keep_sql(words: str, wanted: Iterable[str]) -> str:
+    """SQL: the elements of array column ``words`` that belong to a fixed set."""
+    wanted = set(wanted)
     if not wanted:
-        return F.lit(0)
-    return F.size(F.filter(words, lambda w: w.isin(wanted)))
+        return "cast(array() AS array<string>)"
+    return f"filter(`{words}`, w -> w IN {sql_list(wanted)})"
 
 
 def matching_chars(text: Column, pattern: str) -> Column:
@@ -28,32 +40,44 @@ def matching_chars(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def n_grams(words: Column, sizes: Sequence[int], starts: Iterable[str] | None = None) -> Column:
-    """All word n-grams of the given sizes; ``starts`` keeps those with a listed first word.
+def phrases_sql(words: str, phrases: Iterable[str]) -> str:
+    """SQL: the listed phrases wherever their words stand next to each other in ``words``.
 
-    Pruning by first word happens before any n-gram is built, so a long text costs one hash
-    lookup per word and string building only at the few places that can match.
+    Only places whose word starts some phrase are looked at, so a long text costs one hash lookup
+    per word and string building at the few places that can match.
     """
-    if starts is None:
-        places = F.transform(words, lambda _, i: i + 1)
-    else:
-        first = sorted(set(starts))
-        places = F.filter(
-            F.transform(words, lambda w, i: F.when(w.isin(first), i + 1)), lambda i: i.isNotNull()
-        )
+    phrases = set(phrases)
+    if not phrases:
+        return "cast(array() AS array<string>)"
+    first = sql_list(p.split(" ")[0] for p in phrases)
+    sizes = ", ".join(str(n) for n in sorted({len(p.split(" ")) for p in phrases}))
+    return f"""
+      flatten(transform(
+        filter(transform(`{words}`, (w, i) -> IF(w IN {first}, i + 1, NULL)), p -> p IS NOT NULL),
+        p -> filter(
+          transform(
+            filter(array({sizes}), n -> p + n - 1 <= size(`{words}`)),
+            n -> array_join(slice(`{words}`, p, n), ' ')),
+          g -> g IN {sql_list(phrases)})))"""
+
+
+def n_grams(words: Column, sizes: Sequence[int]) -> Column:
+    """All word n-grams of the given sizes."""
     lengths = F.array(*[F.lit(int(n)) for n in sorted(set(sizes))])
     return F.flatten(
         F.transform(
-            places,
-            lambda p: F.transform(
-                F.filter(lengths, lambda n: p + n - 1 <= F.size(words)),
-                lambda n: F.array_join(F.slice(words, p, n), " "),
+            words,
+            lambda _, i: F.transform(
+                F.filter(lengths, lambda n: i + n <= F.size(words)),
+                lambda n: F.array_join(F.slice(words, i + 1, n), " "),
             ),
         )
     )
 
 
-def _pattern_hits(text: Column, kind: str, pattern: str, score: float) -> Column:
+def _pattern_hits(
+    text: Column, kind: str, pattern: str, score: float, needs: str | None = None
+) -> Column:
     # The text is cut at the matches; walking over (piece before, match) pairs keeps the offset.
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     cue = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
@@ -83,14 +107,18 @@ def _pattern_hits(text: Column, kind: str, pattern: str, score: float) -> Column
         )
 
     found = F.aggregate(steps, start, step, lambda acc: acc["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(PII_TYPE))
+    possible = text.rlike(pattern)
+    if needs:
+        possible = text.contains(needs) & possible
+    return F.when(possible, found).otherwise(F.array().cast(PII_TYPE))
 
 
-def pii(text: Column, patterns: Sequence[tuple[str, str, float]]) -> Column:
+def pii(text: Column, patterns: Sequence[tuple]) -> Column:
     """Personal data in a text as (type, begin, end, score), ordered by place.
 
     Offsets count characters from 0, the end is exclusive.  Group 1 of a pattern is a leading cue
-    outside the entity; the entity ends the match.
+    outside the entity; the entity ends the match.  An optional fourth item of a pattern is a
+    literal that every match contains, so that other texts are passed over cheaply.
     """
     if not patterns:
         return F.array().cast(PII_TYPE)

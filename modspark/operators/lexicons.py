@@ -19,12 +19,10 @@ from modspark.operators.joins import INLINE_LIMIT, column, lookup_join, rows_or_
 ANY = "*"
 
 
-def _per_language(lang: Column, langs: Iterable[str], build: Callable[[str], Column]) -> Column:
-    """``build(language)`` for listed languages, ``build('*')`` for all others."""
-    expr = None
-    for code in sorted(langs):
-        expr = (F if expr is None else expr).when(lang == code, build(code))
-    return build(ANY) if expr is None else expr.otherwise(build(ANY))
+def _per_language(langs: Iterable[str], build: Callable[[str], str]) -> Column:
+    """``build(language)`` for listed values of ``_code``, ``build('*')`` for all others."""
+    cases = " ".join(f"WHEN _code IN {T.sql_list([c])} THEN {build(c)}" for c in sorted(langs))
+    return F.expr(f"CASE {cases} ELSE {build(ANY)} END" if cases else build(ANY))
 
 
 def count_hits(
@@ -55,20 +53,20 @@ def count_hits(
     def wanted(cls: str, code: str) -> set[str]:
         return words[cls, code] | words[cls, ANY]
 
-    def keep(code: str) -> Column:
-        union = sorted(set().union(*(wanted(c, code) for c in classes)))
-        known = F.filter(F.col(tokens), lambda w: w.isin(union)) if union else None
-        return F.array().cast("array<string>") if known is None else known
+    def union(code: str) -> set[str]:
+        return set().union(*(wanted(c, code) for c in classes))
 
-    # One look at every word, then the classes only see words that are in the lexicon.
-    pruned = df.withColumn("_known", _per_language(lang, langs, keep))
+    # One look at every word; the classes then only see words that are in the lexicon.
+    pruned = df.withColumn("_code", lang).withColumn(
+        "_known", _per_language(langs, lambda code: T.keep_sql(tokens, union(code)))
+    )
     counts = {
         f"{prefix}{cls}": _per_language(
-            lang, langs, lambda code, cls=cls: T.hits(F.col("_known"), wanted(cls, code))
+            langs, lambda code, cls=cls: T.hits_sql("_known", wanted(cls, code))
         )
         for cls in classes
     }
-    return pruned.withColumns(counts).drop("_known")
+    return pruned.withColumns(counts).drop("_known", "_code")
 
 
 def _count_hits_by_join(df, lexicon, classes, tokens, lang, id_col, prefix) -> DataFrame:
@@ -136,40 +134,29 @@ def policy_hits(
     def wanted(number: int, code: str) -> set[str]:
         return phrases[number, code] | phrases[number, ANY]
 
-    def found(code: str) -> Column:
-        union = sorted(set().union(*(wanted(n, code) for n in names)))
-        if not union:
-            return F.array().cast("array<string>")
-        sizes = {len(p.split(" ")) for p in union}
-        grams = T.n_grams(F.col(tokens), sorted(sizes), {p.split(" ")[0] for p in union})
-        return F.filter(grams, lambda g: g.isin(union))
-
-    def counts(code: str) -> Column:
-        return F.filter(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(int(n)).alias("category_no"),
-                        F.lit(names[n]).alias("category"),
-                        T.hits(F.col("_found"), wanted(n, code)).alias("n"),
-                    )
-                    for n in sorted(names)
-                ]
-            ),
-            lambda c: c["n"] > 0,
+    def union(code: str) -> set[str]:
+        return set().union(*(wanted(n, code) for n in names))
+
+    def counts(code: str) -> str:
+        each = ", ".join(
+            f"named_struct('category_no', {int(n)}, 'category', {T.sql_list([names[n]])},"
+            f" 'n', {T.hits_sql('_found', wanted(n, code))})"
+            for n in sorted(names)
         )
+        return f"filter(array({each}), c -> c.n > 0)"
 
-    hit = df.withColumn("_found", _per_language(lang, langs, found))
-    some = F.size("_found") > 0
+    hit = df.withColumn("_code", lang).withColumn(
+        "_found", _per_language(langs, lambda code: T.phrases_sql(tokens, union(code)))
+    )
     return hit.withColumns(
         {
             # Most texts match nothing and skip the per-category work.
-            "policy_counts": F.when(some, _per_language(lang, langs, counts)).otherwise(
+            "policy_counts": F.when(F.size("_found") > 0, _per_language(langs, counts)).otherwise(
                 F.array().cast(POLICY_COUNTS)
             ),
             "policy_matched": F.array_sort(F.array_distinct("_found")),
         }
-    ).drop("_found")
+    ).drop("_found", "_code")
 
 
 def _policy_hits_by_join(df, policy, tokens, lang, id_col, max_words) -> DataFrame:

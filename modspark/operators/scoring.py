@@ -52,7 +52,10 @@ def detect_language(
     )
     evidence = {code: F.col(f"_lang_{code}") for code in codes}
     for code, chars, absent, present in scripts:
-        allowed = F.col(text).rlike(chars if present is None else present)
+        # Pure ASCII has as many bytes as characters and needs no look at the script.
+        allowed = (F.octet_length(text) > F.length(text)) & F.col(text).rlike(
+            chars if present is None else present
+        )
         if absent is not None:
             allowed = allowed & ~F.col(text).rlike(absent)
         evidence[code] = F.when(allowed, T.matching_chars(F.col(text), chars)).otherwise(0)
@@ -145,27 +148,30 @@ def sentiment(
 
 def with_pii(
     df: DataFrame,
-    patterns: DataFrame | Iterable[tuple[str, str, float]] = tuple(defaults.PII_PATTERNS),
+    patterns: DataFrame | Iterable[tuple] = tuple(defaults.PII_PATTERNS),
     text: str | Column = "text",
     name: str = "pii",
 ) -> DataFrame:
     """Add the array of personal-data entities (type, begin, end, score) of a text."""
     rows, frame = rows_or_frame(patterns, ["type", "pattern", "score"])
     if frame is not None:
-        raise ValueError(f"more than {INLINE_LIMIT} patterns: combine them by type first")
+        raise ValueError(f"more than {INLINE_LIMIT} patterns: join those of one type by |")
     return df.withColumn(name, T.pii(column(text), rows))
 
 
 def pii_entities(
     df: DataFrame,
-    patterns: DataFrame | Iterable[tuple[str, str, float]] = tuple(defaults.PII_PATTERNS),
+    patterns: DataFrame | Iterable[tuple] = tuple(defaults.PII_PATTERNS),
     text: str = "text",
     ids: Sequence[str] = ("doc_id",),
     offset_basis: str = "source",
 ) -> DataFrame:
     """One row per entity; ``offset_basis`` names the text the offsets count in."""
     found = with_pii(df.select(*ids, F.col(text).alias("_t")), patterns, "_t")
-    return found.select(*ids, F.explode("pii").alias("e")).select(
+    # An outer explode keeps the optimizer from testing the array in an extra filter, which would
+    # run the patterns twice.
+    rows = found.select(*ids, F.explode_outer("pii").alias("e")).filter(F.col("e").isNotNull())
+    return rows.select(
         *ids, "e.type", "e.begin", "e.end", "e.score", F.lit(offset_basis).alias("offset_basis")
     )
 

@@ -59,7 +59,7 @@ def first_pii(df: DataFrame, col: str = "pii") -> DataFrame:
 def line_pii(
     df: DataFrame,
     ids: Sequence[str] = ("file_uri",),
-    patterns: DataFrame | Iterable[tuple[str, str, float]] = tuple(defaults.PII_PATTERNS),
+    patterns: DataFrame | Iterable[tuple] = tuple(defaults.PII_PATTERNS),
     col: str = "TextDetections",
 ) -> DataFrame:
     """First entity of every line with one; lines are taken as they are, in any language."""
