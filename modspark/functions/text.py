@@ -1,4 +1,8 @@
-"""Column functions over text: tokens, hit counts, personal data, verdict parsing."""
+"""Column functions over text: tokens, hit counts, personal data, verdict parsing.
+
+Functions named ``*_sql`` return SQL text: an expression over a long list of words is built by one
+call instead of one call per word.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PII_TYPE = "array<struct<type:string,begin:int,end:int,score:double>>"
+_PLACED_TYPE = "array<struct<begin:int,end:int,type:string,score:double>>"
 
 
 def tokens(text: Column) -> Column:
@@ -15,10 +20,13 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
 
 
+def sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def sql_list(words: Iterable[str]) -> str:
     """Fixed strings as the right side of SQL ``IN`` (a hash set once there are more than ten)."""
-    quoted = ("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in sorted(set(words)))
-    return f"({', '.join(quoted)})"
+    return f"({', '.join(map(sql_string, sorted(set(words))))})"
 
 
 def hits_sql(words: str, wanted: Iterable[str]) -> str:
@@ -75,64 +83,43 @@ def n_grams(words: Column, sizes: Sequence[int]) -> Column:
     )
 
 
-def _pattern_hits(
-    text: Column, kind: str, pattern: str, score: float, needs: str | None = None
-) -> Column:
+def _pattern_sql(text: str, kind: str, pattern: str, score: float, needs: str | None = None) -> str:
     # The text is cut at the matches; walking over (piece before, match) pairs keeps the offset.
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    cue = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    pieces = F.split(text, pattern, -1)
-    steps = F.zip_with(
-        F.slice(pieces, 1, F.size(whole)),
-        F.zip_with(
-            whole, cue, lambda w, c: F.struct(F.length(w).alias("whole"), F.length(c).alias("cue"))
-        ),
-        lambda piece, m: F.struct(
-            F.length(piece).alias("before"), m["whole"].alias("whole"), m["cue"].alias("cue")
-        ),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(PII_TYPE).alias("found"))
-
-    def step(acc: Column, m: Column) -> Column:
-        begin = acc["at"] + m["before"]
-        end = begin + m["whole"]
-        entity = F.struct(
-            F.lit(kind).alias("type"),
-            (begin + m["cue"]).alias("begin"),
-            end.alias("end"),
-            F.lit(float(score)).alias("score"),
-        )
-        return F.struct(
-            end.alias("at"), F.concat(acc["found"], F.array(entity)).alias("found")
-        )
-
-    found = F.aggregate(steps, start, step, lambda acc: acc["found"])
-    possible = text.rlike(pattern)
+    p = sql_string(pattern)
+    whole = f"regexp_extract_all({text}, {p}, 0)"
+    possible = f"{text} RLIKE {p}"
     if needs:
-        possible = text.contains(needs) & possible
-    return F.when(possible, found).otherwise(F.array().cast(PII_TYPE))
-
-
-def pii(text: Column, patterns: Sequence[tuple]) -> Column:
-    """Personal data in a text as (type, begin, end, score), ordered by place.
+        possible = f"contains({text}, {sql_string(needs)}) AND {possible}"
+    return f"""
+      CASE WHEN {possible} THEN aggregate(
+        zip_with(
+          slice(split({text}, {p}, -1), 1, size({whole})),
+          zip_with({whole}, regexp_extract_all({text}, {p}, 1),
+                   (w, c) -> named_struct('whole', length(w), 'cue', length(c))),
+          (piece, m) -> named_struct('before', length(piece), 'whole', m.whole, 'cue', m.cue)),
+        named_struct('upto', 0, 'found', cast(array() AS {_PLACED_TYPE})),
+        (acc, m) -> named_struct(
+          'upto', acc.upto + m.before + m.whole,
+          'found', concat(acc.found, array(named_struct(
+            'begin', acc.upto + m.before + m.cue, 'end', acc.upto + m.before + m.whole,
+            'type', {sql_string(kind)}, 'score', {float(score)!r}D)))),
+        acc -> acc.found)
+      ELSE cast(array() AS {_PLACED_TYPE}) END"""
+
+
+def pii_sql(text: str, patterns: Sequence[tuple]) -> str:
+    """SQL: personal data in ``text`` as (type, begin, end, score), ordered by place.
 
     Offsets count characters from 0, the end is exclusive.  Group 1 of a pattern is a leading cue
     outside the entity; the entity ends the match.  An optional fourth item of a pattern is a
     literal that every match contains, so that other texts are passed over cheaply.
     """
     if not patterns:
-        return F.array().cast(PII_TYPE)
-    every = F.concat(*[_pattern_hits(text, *p) for p in patterns])
-    by_place = F.transform(
-        every,
-        lambda e: F.struct(e["begin"].alias("begin"), e["end"].alias("end"),
-                           e["type"].alias("type"), e["score"].alias("score")),
-    )
-    return F.transform(
-        F.array_sort(by_place),
-        lambda e: F.struct(e["type"].alias("type"), e["begin"].alias("begin"),
-                           e["end"].alias("end"), e["score"].alias("score")),
-    )
+        return f"cast(array() AS {PII_TYPE})"
+    every = ", ".join(_pattern_sql(text, *p) for p in patterns)
+    return f"""
+      transform(array_sort(concat({every})), e -> named_struct(
+        'type', e.`type`, 'begin', e.`begin`, 'end', e.`end`, 'score', e.`score`))"""
 
 
 def json_verdict(reply: Column) -> Column:

@@ -47,7 +47,7 @@ def detect_language(
     if set(codes) & {s[0] for s in scripts}:
         raise ValueError("a language has either a word profile or a script profile")
     counted = count_hits(
-        with_tokens(df, text), lexicon, codes, id_col=id_col, prefix="_lang_",
+        with_tokens(df, text), lexicon, codes, lang=F.lit(ANY), id_col=id_col, prefix="_lang_",
         inline_limit=inline_limit,
     )
     evidence = {code: F.col(f"_lang_{code}") for code in codes}
@@ -149,14 +149,14 @@ def sentiment(
 def with_pii(
     df: DataFrame,
     patterns: DataFrame | Iterable[tuple] = tuple(defaults.PII_PATTERNS),
-    text: str | Column = "text",
+    text: str = "text",
     name: str = "pii",
 ) -> DataFrame:
     """Add the array of personal-data entities (type, begin, end, score) of a text."""
     rows, frame = rows_or_frame(patterns, ["type", "pattern", "score"])
     if frame is not None:
         raise ValueError(f"more than {INLINE_LIMIT} patterns: join those of one type by |")
-    return df.withColumn(name, T.pii(column(text), rows))
+    return df.withColumn(name, F.expr(T.pii_sql(f"`{text}`", rows)))
 
 
 def pii_entities(

@@ -89,10 +89,8 @@ def image_record(
     # A missing label array stays missing, so that it goes to review.
     decided = review_decision(dets, "ModerationLabels", threshold)
     lines = line_list(image_age(decided), name="lines")
-    entities = F.filter(
-        F.transform("lines", lambda line: F.get(T.pii(line, list(patterns)), 0)),
-        lambda e: e.isNotNull(),
-    )
+    first_entity = f"get({T.pii_sql('line', list(patterns))}, 0)"
+    entities = F.expr(f"filter(transform(lines, line -> {first_entity}), e -> e IS NOT NULL)")
     summary = F.transform(
         entities, lambda e: F.struct(e["type"].alias("type"), T.exact(e["score"]).alias("score"))
     )
