@@ -62,7 +62,7 @@ def object_event_json(spark: SparkSession, sf: str) -> DataFrame:
 def event_times(spark: SparkSession, sf: str) -> DataFrame:
     """Events as timed detections: job, ms since the job's first event, name, confidence."""
     e = load(spark, sf, "events").select(
-        "event_id", "user_id", F.unix_millis("ts").alias("ms"), "event_type", "value"
+        "event_id", "user_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), "event_type", "value"
     )
     first = e.groupBy("user_id").agg(F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"))
     return salted_join(e, first, "user_id", ["event_id"], "inner").select(
