@@ -69,16 +69,15 @@ def prompt_safety(
         "word", *[F.log(F.coalesce(F.col(f"`{c}`"), F.lit(0)) + 1.0).alias(g) for c, g in gain.items()]
     )
     n_vocabulary = vocabulary.count()
-    in_text = (
-        df.select(id_col, F.explode(T.tokens(F.col(text))).alias("word"))
-        .groupBy(id_col, "word")
-        .agg(F.count("*").alias("_tf"))
-    )
+    # The words of a text sit in one task, so with a broadcast model the sums below are complete
+    # before the shuffle and one row per text crosses the network.
+    in_text = df.select(id_col, F.explode(T.tokens(F.col(text))).alias("word"))
     known = lookup_join(
-        in_text, vocabulary, "word", [id_col], "inner", small=n_vocabulary <= BROADCAST_LIMIT
+        in_text, vocabulary, "word", [id_col], "inner",
+        small=n_vocabulary * len(names) <= BROADCAST_LIMIT,
     )
     sums = known.groupBy(id_col).agg(
-        F.sum("_tf").alias("_n"), *[F.sum(F.col("_tf") * F.col(g)).alias(g) for g in gain.values()]
+        F.count("*").alias("_n"), *[F.sum(g).alias(g) for g in gain.values()]
     )
     scores = F.array(
         *[

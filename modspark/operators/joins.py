@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # A lookup of at most this many rows is written into the plan as literals or broadcast.
 INLINE_LIMIT = 4096
 BROADCAST_LIMIT = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def rows_or_frame(
@@ -29,9 +30,14 @@ def rows_or_frame(
     return None, SparkSession.active().createDataFrame(rows, list(columns)).distinct()
 
 
-def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """True when ``df`` has at most ``limit`` rows; stops counting beyond that."""
-    return df.limit(limit + 1).count() <= limit
+def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``limit`` rows that print to at most ``max_bytes``.
+
+    Reading stops after ``limit`` rows, so the check costs little on a large frame.
+    """
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    n, total = df.limit(limit + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).head()
+    return n <= limit and total <= max_bytes
 
 
 def lookup_join(
@@ -46,9 +52,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large frame with a lookup that has one row per key.
 
-    A lookup whose row count passes the check is broadcast.  A larger one is joined by shuffle:
-    a key may hold a third of ``many``, so every key is cut into ``salts`` parts by a hash of
-    ``spread_by`` and the lookup is repeated once per part.
+    A lookup that passes the size check is broadcast.  A larger one is joined by shuffle: a key may
+    hold a third of ``many``, so every key is cut into ``salts`` parts by a hash of ``spread_by``
+    and the lookup is repeated once per part.  Parts that are still too large are ordinary skewed
+    partitions, which adaptive execution splits further.
     """
     if small is None:
         small = is_small(one, limit)

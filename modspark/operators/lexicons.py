@@ -75,11 +75,7 @@ def _count_hits_by_join(df, lexicon, classes, tokens, lang, id_col, prefix) -> D
     entries = lexicon.groupBy("word").agg(
         F.collect_set(F.struct(F.col("class"), F.col("lang"))).alias("_entries")
     )
-    words = (
-        df.select(id_col, lang.alias("_lang"), F.explode(tokens).alias("word"))
-        .groupBy(id_col, "_lang", "word")
-        .agg(F.count("*").alias("_tf"))
-    )
+    words = df.select(id_col, lang.alias("_lang"), F.explode(tokens).alias("word"))
     found = lookup_join(words, entries, "word", [id_col], "inner")
 
     def in_class(cls: str) -> Column:
@@ -90,7 +86,7 @@ def _count_hits_by_join(df, lexicon, classes, tokens, lang, id_col, prefix) -> D
         )
 
     sums = [
-        F.sum(F.when(in_class(c), F.col("_tf")).otherwise(0)).cast("int").alias(f"{prefix}{c}")
+        F.count(F.when(in_class(c), 1)).cast("int").alias(f"{prefix}{c}")
         for c in classes
     ]
     per_text = found.groupBy(id_col).agg(*sums)
@@ -165,14 +161,10 @@ def _policy_hits_by_join(df, policy, tokens, lang, id_col, max_words) -> DataFra
     entries = policy.groupBy("phrase").agg(
         F.collect_set(F.struct("category_no", "category", "lang")).alias("_entries")
     )
-    grams = (
-        df.select(
-            id_col,
-            lang.alias("_lang"),
-            F.explode(T.n_grams(F.col(tokens), range(1, max_words + 1))).alias("phrase"),
-        )
-        .groupBy(id_col, "_lang", "phrase")
-        .agg(F.count("*").alias("_tf"))
+    grams = df.select(
+        id_col,
+        lang.alias("_lang"),
+        F.explode(T.n_grams(F.col(tokens), range(1, max_words + 1))).alias("phrase"),
     )
     found = lookup_join(grams, entries, "phrase", [id_col], "inner")
     applies = F.filter(
@@ -185,9 +177,9 @@ def _policy_hits_by_join(df, policy, tokens, lang, id_col, max_words) -> DataFra
                                                 e["category"].alias("category")))
     )
     per_category = (
-        found.select(id_col, "phrase", "_tf", F.explode(categories).alias("c"))
+        found.select(id_col, "phrase", F.explode(categories).alias("c"))
         .groupBy(id_col, "c.category_no", "c.category")
-        .agg(F.sum("_tf").cast("int").alias("n"), F.collect_set("phrase").alias("_phrases"))
+        .agg(F.count("*").cast("int").alias("n"), F.collect_set("phrase").alias("_phrases"))
     )
     per_text = per_category.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("category_no", "category", "n"))).alias("policy_counts"),

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from modspark.operators.joins import lookup_join
 from modspark.scratch import settle
 
-# Query faces are sent to every task as one matrix up to this many rows.
+# Query faces are sent to every task as one matrix up to this many rows and numbers (64 MB).
 QUERY_LIMIT = 20_000
+QUERY_NUMBERS = 8_000_000
 PIVOTS = 256
 BLOCK_ROWS = 20_000
 
@@ -57,18 +58,23 @@ def face_search(
     q_type = dict(q.dtypes)["query_id"]
     c_type = dict(c.dtypes)["face_id"]
     schema = f"query_id {q_type}, face_id {c_type}, similarity double"
-    head = q.limit(query_limit + 1).toPandas()
-    if len(head) <= query_limit:
+    width = q.select(F.size("v")).head()
+    rows = min(query_limit, QUERY_NUMBERS // max(1, width[0] if width else 1))
+    head = q.limit(rows + 1).toArrow().to_pandas()
+    if len(head) <= rows:
         found = _search_broadcast(head, c, schema, min_similarity, k, exclude_self)
     else:
         found = _search_cells(q, c, schema, min_similarity, k, exclude_self, pivots, block_rows)
-    # Lists of at most k per task come together here, so no query has an unbounded group.
-    best = F.slice(
-        F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("d"), "face_id"))), 1, k
-    )
+    # At most k faces per query and task come together here; in two steps, so that a query that
+    # matches in every task does not meet all its lists at once.
+    ranked = F.struct((-F.col("similarity")).alias("d"), "face_id")
+    best = F.slice(F.array_sort(F.collect_list(ranked)), 1, k)
+    part = F.pmod(F.xxhash64("face_id"), F.lit(64))
+    parts = found.groupBy("query_id", part.alias("part")).agg(best.alias("b"))
+    merged = F.slice(F.array_sort(F.flatten(F.collect_list("b"))), 1, k)
     return (
-        found.groupBy("query_id")
-        .agg(best.alias("b"))
+        parts.groupBy("query_id")
+        .agg(merged.alias("b"))
         .select("query_id", F.posexplode("b").alias("rank", "b"))
         .select(
             "query_id",
@@ -80,29 +86,30 @@ def face_search(
 
 
 def _pair_finder(min_similarity: float, k: int, exclude_self: bool):
-    """Function (query ids, unit rows, face ids, unit rows) -> frame of the best k per query."""
+    """Functions for inside tasks: the best k faces per query, of matrices or of earlier finds."""
+
+    def best(hits):
+        ordered = hits.sort_values(["query_id", "similarity", "face_id"], ascending=[True, False, True])
+        return ordered.groupby("query_id", sort=False).head(k)
 
     def find(q_ids, q_unit, c_ids, c_unit):
         import numpy as np
         import pandas as pd
 
-        out = []
+        out = [pd.DataFrame({"query_id": q_ids[:0], "face_id": c_ids[:0], "similarity": np.empty(0)})]
         step = max(1, 8_000_000 // max(1, len(c_ids)))
-        for lo in range(0, len(q_ids), step):
+        for lo in range(0, len(q_ids) if len(c_ids) else 0, step):
             # Rounded before the floor and the ranking, so that both agree with the result.
             sim = np.round(q_unit[lo : lo + step] @ c_unit.T, 6)
             keep = sim >= min_similarity
             if exclude_self:
                 keep &= q_ids[lo : lo + step, None] != c_ids[None, :]
             row, col = np.nonzero(keep)
-            hit = pd.DataFrame(
-                {"query_id": q_ids[lo + row], "face_id": c_ids[col], "similarity": sim[row, col]}
-            )
-            hit = hit.sort_values(["query_id", "similarity", "face_id"], ascending=[True, False, True])
-            out.append(hit.groupby("query_id", sort=False).head(k))
-        return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "face_id", "similarity"])
+            hits = {"query_id": q_ids[lo + row], "face_id": c_ids[col], "similarity": sim[row, col]}
+            out.append(best(pd.DataFrame(hits)))
+        return pd.concat(out)
 
-    return find
+    return find, best
 
 
 def _unit_rows():
@@ -119,15 +126,21 @@ def _unit_rows():
 
 
 def _search_broadcast(head, c, schema, min_similarity, k, exclude_self) -> DataFrame:
-    find, unit = _pair_finder(min_similarity, k, exclude_self), _unit_rows()
+    (find, best), unit = _pair_finder(min_similarity, k, exclude_self), _unit_rows()
     q_ids = head["query_id"].to_numpy()
     shared = c.sparkSession.sparkContext.broadcast((q_ids, unit(head["v"])))
 
     def scan(batches):
+        import pandas as pd
+
         ids, rows = shared.value
+        held = None
         for batch in batches:
             if len(batch) and len(ids):
-                yield find(ids, rows, batch["face_id"].to_numpy(), unit(batch["v"]))
+                hits = find(ids, rows, batch["face_id"].to_numpy(), unit(batch["v"]))
+                held = hits if held is None else best(pd.concat([held, hits]))
+        if held is not None:
+            yield held
 
     return c.mapInPandas(scan, schema)
 
@@ -142,7 +155,7 @@ def _search_cells(q, c, schema, min_similarity, k, exclude_self, pivots, block_r
     import numpy as np
 
     spark = c.sparkSession
-    find, unit = _pair_finder(min_similarity, k, exclude_self), _unit_rows()
+    (find, _), unit = _pair_finder(min_similarity, k, exclude_self), _unit_rows()
     # Slack of one rounding step: similarities are compared after rounding to 6 digits.
     reach = float(np.arccos(np.clip(min_similarity - 1e-6, -1.0, 1.0))) + 1e-6
     chosen = c.orderBy(F.xxhash64("face_id"), "face_id").limit(pivots).toPandas()
@@ -206,10 +219,6 @@ def _search_cells(q, c, schema, min_similarity, k, exclude_self, pivots, block_r
     )
 
     def pair(qs, cs):
-        if len(qs) == 0 or len(cs) == 0:
-            import pandas as pd
-
-            return pd.DataFrame({"query_id": [], "face_id": [], "similarity": []})
         return find(qs["query_id"].to_numpy(), unit(qs["v"]), cs["face_id"].to_numpy(), unit(cs["v"]))
 
     keys = ["cell", "block", "part"]

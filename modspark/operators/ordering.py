@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# A block of blocks, so that the last running sum sees one row per this many blocks.
+BLOCKS_PER_GROUP = 1024
+
+
 def running_position(
     df: DataFrame,
     keys: Sequence[str],
@@ -15,27 +19,33 @@ def running_position(
     order: Sequence[Column],
     name: str,
     weight: Column | None = None,
+    levels: int = 2,
 ) -> DataFrame:
     """Add how many rows (or how much ``weight``) precede each row within ``keys``.
 
-    ``block`` must not decrease along ``order``.  Rows are numbered inside (keys, block), so a key
-    that holds a third of all rows is still spread over its blocks; what precedes a block is a
-    running sum over one row per block.
+    ``block`` is a number that does not decrease along ``order``; keys must not be NULL.  Rows are
+    numbered inside (keys, block), so a key that holds a third of all rows is still spread over its
+    blocks.  What precedes a block is found the same way from one row per block, ``levels`` times;
+    only the last, tiny sum runs over a whole key.
     """
     weight = F.lit(1) if weight is None else weight
-    blocked = df.withColumn("_block", block).withColumn("_weight", weight.cast("bigint"))
+    blocked = df.withColumns({"_block": block.cast("bigint"), "_weight": weight.cast("bigint")})
     by_block = [*keys, "_block"]
+    counts = blocked.groupBy(*by_block).agg(F.sum("_weight").alias("_in_block"))
+    if levels > 1:
+        earlier = running_position(
+            counts.withColumnRenamed("_block", "_b").withColumnRenamed("_in_block", "_n"),
+            keys,
+            F.floor(F.col("_b") / BLOCKS_PER_GROUP),
+            [F.col("_b")],
+            "_earlier",
+            F.col("_n"),
+            levels - 1,
+        ).select(*keys, F.col("_b").alias("_block"), F.col("_earlier").alias("_before"))
+    else:
+        so_far = F.sum("_in_block").over(Window.partitionBy(*keys).orderBy("_block"))
+        earlier = counts.select(*by_block, (so_far - F.col("_in_block")).alias("_before"))
     inside = Window.partitionBy(*by_block).orderBy(*order)
-    earlier = (
-        blocked.groupBy(*by_block)
-        .agg(F.sum("_weight").alias("_in_block"))
-        .withColumn(
-            "_before",
-            F.sum("_in_block").over(Window.partitionBy(*keys).orderBy("_block"))
-            - F.col("_in_block"),
-        )
-        .drop("_in_block")
-    )
     numbered = blocked.withColumn(
         "_inside",
         F.sum("_weight").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_weight"),

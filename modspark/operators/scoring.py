@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from modspark import defaults
 from modspark import fixed_values as V
 from modspark.functions import text as T
-from modspark.operators.joins import INLINE_LIMIT, column, lookup_join, rows_or_frame
+from modspark.operators.joins import INLINE_LIMIT, column, is_small, rows_or_frame, salted_join
 from modspark.operators.lexicons import ANY, count_hits
 
 LANGUAGES_TYPE = "array<struct<lang:string,score:double>>"
@@ -103,11 +103,22 @@ def resolve_english(
         return df.withColumns(
             {"english": F.when(is_english, F.col(text)), "pending": ~is_english}
         )
+    lookup = translations.groupBy("text_hash").agg(F.max("english").alias("english"))
+    if is_small(translations):
+        # No shuffle: one pass, in which English rows have no hash and find nothing.
+        found = df.withColumn("text_hash", F.when(~is_english, F.sha2(text, 256))).join(
+            F.broadcast(lookup), "text_hash", "left"
+        )
+        english = F.when(is_english, F.col(text)).otherwise(F.col("english"))
+        return (
+            found.withColumn("english", english)
+            .withColumn("pending", F.col("english").isNull() & ~is_english)
+            .drop("text_hash")
+        )
     # English rows never meet the join, so they are not hashed or shuffled.
     native = df.filter(is_english).withColumns({"english": F.col(text), "pending": F.lit(False)})
     hashed = df.filter(~is_english).withColumn("text_hash", F.sha2(text, 256))
-    lookup = translations.groupBy("text_hash").agg(F.max("english").alias("english"))
-    foreign = lookup_join(
+    foreign = salted_join(
         hashed, lookup, "text_hash", list(spread_by) or list(df.columns), "left", salts
     ).withColumn("pending", F.col("english").isNull())
     return native.unionByName(foreign.drop("text_hash"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modspark import defaults
@@ -24,14 +24,16 @@ def gather_detections(
 ) -> DataFrame:
     """(uri, kind, payload) rows to one row per image with one JSON column per kind.
 
-    One shuffle for all four detectors instead of a join for each; the newest document per kind is
-    picked inside the tasks when ``order_by`` is given.
+    One shuffle for all four detectors instead of a join for each.  Of several documents of a kind
+    the newest by ``order_by`` counts, picked inside the tasks before the shuffle.
     """
-    order = F.col(order_by) if order_by else F.col(payload)
-    picks = [
-        F.max_by(payload, F.when(F.col(kind) == k, order)).alias(k) for k in IMAGE_KINDS
-    ]
-    return df.groupBy(uri).agg(*picks)
+
+    def pick(k: str) -> Column:
+        if order_by is None:
+            return F.max(F.when(F.col(kind) == k, F.col(payload)))
+        return F.max_by(payload, F.when(F.col(kind) == k, F.col(order_by)))
+
+    return df.groupBy(uri).agg(*[pick(k).alias(k) for k in IMAGE_KINDS])
 
 
 def parse_image_documents(df: DataFrame) -> DataFrame:

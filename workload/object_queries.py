@@ -129,7 +129,8 @@ LATEST = """SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_m
 
 @query("latest_per_key", LATEST)
 def latest_per_key(spark, sf):
-    newest = m.latest_per_key(load(spark, sf, "events"), "user_id", ["ts", "event_id"])
+    e = load(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "ts")
+    newest = m.latest_per_key(e, "user_id", ["ts", "event_id"])
     return newest.select("user_id", "event_id", "event_type", "value")
 
 
