@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modspark.functions import text as T
-from modspark.operators.joins import BROADCAST_LIMIT, lookup_join
+from modspark.operators.joins import BROADCAST_BYTES, lookup_join
 
 MAX_CLASSES = 1000
 
@@ -27,22 +27,27 @@ def fit_classifier(
 
     ``save_to`` writes the two tables and reads them back, so that scoring does not count again.
     """
-    cls = F.col(label).cast("string").alias("class")
-    docs = labelled.filter(F.col(label).isNotNull()).select(cls, T.tokens(F.col(text)).alias("_t"))
+    docs = labelled.filter(F.col(label).isNotNull()).select(
+        F.col(label).cast("string").alias("class"), F.col(text).alias("_text")
+    )
     words = (
-        docs.select("class", F.explode("_t").alias("word"))
+        docs.select("class", F.explode(T.tokens(F.col("_text"))).alias("word"))
         .groupBy("word", "class")
         .agg(F.count("*").alias("n"))
     )
-    classes = docs.groupBy("class").agg(
-        F.count("*").alias("n_docs"), F.sum(F.size("_t")).cast("bigint").alias("n_words")
+    if save_to is not None:
+        words.write.mode("overwrite").parquet(f"{save_to}/words")
+        words = labelled.sparkSession.read.schema(words.schema).parquet(f"{save_to}/words")
+    # Only labels and word counts are read again; the texts are split once.
+    n_docs = docs.groupBy("class").agg(F.count("*").alias("n_docs"))
+    n_words = words.groupBy("class").agg(F.sum("n").alias("n_words"))
+    classes = n_docs.join(n_words, "class", "left").select(
+        "class", "n_docs", F.coalesce("n_words", F.lit(0)).cast("bigint").alias("n_words")
     )
-    model = ClassifierModel(classes, words)
-    if save_to is None:
-        return model
-    classes.write.mode("overwrite").parquet(f"{save_to}/classes")
-    words.write.mode("overwrite").parquet(f"{save_to}/words")
-    return load_classifier(labelled.sparkSession, save_to)
+    if save_to is not None:
+        classes.write.mode("overwrite").parquet(f"{save_to}/classes")
+        return load_classifier(labelled.sparkSession, save_to)
+    return ClassifierModel(classes, words)
 
 
 def load_classifier(spark: SparkSession, path: str) -> ClassifierModel:
@@ -68,13 +73,16 @@ def prompt_safety(
     vocabulary = vocabulary.select(
         "word", *[F.log(F.coalesce(F.col(f"`{c}`"), F.lit(0)) + 1.0).alias(g) for c, g in gain.items()]
     )
-    n_vocabulary = vocabulary.count()
+    n_vocabulary, letters = vocabulary.agg(
+        F.count("*"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))
+    ).head()
+    model_bytes = letters + n_vocabulary * 8 * (len(names) + 2)
     # The words of a text sit in one task, so with a broadcast model the sums below are complete
     # before the shuffle and one row per text crosses the network.
     in_text = df.select(id_col, F.explode(T.tokens(F.col(text))).alias("word"))
     known = lookup_join(
         in_text, vocabulary, "word", [id_col], "inner",
-        small=n_vocabulary * len(names) <= BROADCAST_LIMIT,
+        small=model_bytes <= BROADCAST_BYTES,
     )
     sums = known.groupBy(id_col).agg(
         F.count("*").alias("_n"), *[F.sum(g).alias(g) for g in gain.values()]

@@ -420,7 +420,7 @@ prompt AS (
 
 def labelled(spark, sf):
     labels = load(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
-    return labels.join(load(spark, sf, DOCS).select("doc_id", "text"), "doc_id")
+    return labels.join(docs(spark, sf).drop("lang"), "doc_id")
 
 
 def model(spark, sf):
