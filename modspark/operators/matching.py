@@ -159,6 +159,8 @@ def _search_cells(q, c, schema, min_similarity, k, exclude_self, pivots, block_r
     # Slack of one rounding step: similarities are compared after rounding to 6 digits.
     reach = float(np.arccos(np.clip(min_similarity - 1e-6, -1.0, 1.0))) + 1e-6
     chosen = c.orderBy(F.xxhash64("face_id"), "face_id").limit(pivots).toPandas()
+    if chosen.empty:
+        return spark.createDataFrame([], schema)
     centers = spark.sparkContext.broadcast(unit(chosen["v"]))
     c_type = dict(c.dtypes)["face_id"]
     q_type = dict(q.dtypes)["query_id"]
