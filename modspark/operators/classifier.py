@@ -68,11 +68,13 @@ def prompt_safety(
         raise ValueError(f"more than {MAX_CLASSES} classes")
     n_docs = sum(r[1] for r in classes)
     names = [r[0] for r in classes]
-    vocabulary = model.words.groupBy("word").pivot("class", names).agg(F.max("n"))
     gain = {c: f"_g{i}" for i, c in enumerate(names)}
-    vocabulary = vocabulary.select(
-        "word", *[F.log(F.coalesce(F.col(f"`{c}`"), F.lit(0)) + 1.0).alias(g) for c, g in gain.items()]
-    )
+
+    def gained(c: str):
+        n = F.max(F.when(F.col("class") == c, F.col("n")))
+        return F.log(F.coalesce(n, F.lit(0)) + 1.0)
+
+    vocabulary = model.words.groupBy("word").agg(*[gained(c).alias(g) for c, g in gain.items()])
     n_vocabulary, letters = vocabulary.agg(
         F.count("*"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))
     ).head()

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modspark.operators.rows import explode_rows
 from modspark.schemas import FACE_FLAGS
 from modspark.sources.detections import assemble_pages
 
 
 def moderation_labels(df: DataFrame, uri: str = "file_uri", labels: str = "ModerationLabels") -> DataFrame:
-    return df.select(uri, F.explode(labels).alias("l")).select(
+    return explode_rows(df, [uri], labels, "l").select(
         uri,
         F.col("l.Name").alias("name"),
         F.col("l.ParentName").alias("parent"),
@@ -57,7 +58,7 @@ def face_columns(face: Column) -> list[Column]:
 
 def faces(df: DataFrame, uri: str = "file_uri", col: str = "FaceDetails") -> DataFrame:
     """One row per face, numbered in document order."""
-    return df.select(uri, F.posexplode(col).alias("face_no", "f")).select(
+    return explode_rows(df, [uri], col, "f", "face_no").select(
         uri, "face_no", *face_columns(F.col("f"))
     )
 
@@ -90,11 +91,11 @@ def celebrities(df: DataFrame, uri: str = "file_uri") -> DataFrame:
             f.alias("face"),
         ),
     )
-    return df.select(uri, F.explode(F.concat(known, unknown)).alias("c")).select(uri, "c.*")
+    return explode_rows(df, [uri], F.concat(known, unknown), "c").select(uri, "c.*")
 
 
 def image_text(df: DataFrame, uri: str = "file_uri", col: str = "TextDetections") -> DataFrame:
-    return df.select(uri, F.explode(col).alias("t")).select(
+    return explode_rows(df, [uri], col, "t").select(
         uri,
         F.col("t.Id").alias("id"),
         F.col("t.ParentId").alias("parent_id"),
@@ -107,7 +108,7 @@ def image_text(df: DataFrame, uri: str = "file_uri", col: str = "TextDetections"
 
 def pii_rows(df: DataFrame, ids: Sequence[str], col: str = "Entities") -> DataFrame:
     """Entities array (detector shape) to rows."""
-    return df.select(*ids, F.explode(col).alias("e")).select(
+    return explode_rows(df, ids, col, "e").select(
         *ids,
         F.col("e.Type").alias("type"),
         F.col("e.BeginOffset").alias("begin"),
@@ -118,10 +119,9 @@ def pii_rows(df: DataFrame, ids: Sequence[str], col: str = "Entities") -> DataFr
 
 def toxicity_segments(df: DataFrame, id_col: str = "job_name", col: str = "segments") -> DataFrame:
     """Transcript segments by category."""
-    return (
-        df.select(id_col, F.posexplode(col).alias("segment", "s"))
-        .select(id_col, "segment", "s.start", "s.end", "s.text", "s.toxicity",
-                F.explode("s.categories").alias("category", "score"))
+    return explode_rows(df, [id_col], col, "s", "segment").select(
+        id_col, "segment", "s.start", "s.end", "s.text", "s.toxicity",
+        F.explode("s.categories").alias("category", "score"),
     )
 
 

@@ -53,8 +53,9 @@ def face_search(
     angles leaves possible.  In both plans a task keeps at most k faces per query before the
     shuffle, and no pair below the floor is ever emitted.
     """
-    q = query.select(F.col(id_col).alias("query_id"), F.col(vector).cast("array<double>").alias("v"))
-    c = collection.select(F.col(id_col).alias("face_id"), F.col(vector).cast("array<double>").alias("v"))
+    known = F.col(vector).isNotNull()
+    q = query.filter(known).select(F.col(id_col).alias("query_id"), F.col(vector).alias("v"))
+    c = collection.filter(known).select(F.col(id_col).alias("face_id"), F.col(vector).alias("v"))
     q_type = dict(q.dtypes)["query_id"]
     c_type = dict(c.dtypes)["face_id"]
     schema = f"query_id {q_type}, face_id {c_type}, similarity double"
@@ -116,9 +117,9 @@ def _unit_rows():
     def unit(column):
         import numpy as np
 
-        m = np.array(column.tolist(), dtype="float64")
-        if m.size == 0:
-            return m.reshape(0, 0)
+        if len(column) == 0:
+            return np.empty((0, 0))
+        m = np.stack(column.to_numpy()).astype("float64")
         norm = np.linalg.norm(m, axis=1, keepdims=True)
         return m / np.where(norm == 0, 1.0, norm)
 
@@ -176,7 +177,7 @@ def _search_cells(q, c, schema, min_similarity, k, exclude_self, pivots, block_r
                 yield batch.assign(cell=cell.astype("int32"), angle=a[np.arange(len(a)), cell])
 
     # Written out, so that the statistics below hold for the very rows that are joined later.
-    placed = settle(c.mapInPandas(assign, f"face_id {c_type}, v array<double>, cell int, angle double"))
+    placed = settle(c.mapInPandas(assign, f"face_id {c_type}, v {dict(c.dtypes)['v']}, cell int, angle double"))
     # One row per cell reaches the driver, at most ``pivots``.
     cells = {
         r["cell"]: r
@@ -198,7 +199,7 @@ def _search_cells(q, c, schema, min_similarity, k, exclude_self, pivots, block_r
                 row, cell = np.nonzero(possible)
                 yield batch.iloc[row].assign(cell=cell.astype("int32"))
 
-    visits = settle(q.mapInPandas(visit, f"query_id {q_type}, v array<double>, cell int"))
+    visits = settle(q.mapInPandas(visit, f"query_id {q_type}, v {dict(q.dtypes)['v']}, cell int"))
     per_cell = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     parts = {cell: -(-n // block_rows) for cell, n in per_cell.items()}
 

@@ -15,6 +15,7 @@ from modspark import fixed_values as V
 from modspark.functions import text as T
 from modspark.operators.joins import INLINE_LIMIT, column, is_small, rows_or_frame, salted_join
 from modspark.operators.lexicons import ANY, count_hits
+from modspark.operators.rows import explode_rows
 
 LANGUAGES_TYPE = "array<struct<lang:string,score:double>>"
 
@@ -179,10 +180,7 @@ def pii_entities(
 ) -> DataFrame:
     """One row per entity; ``offset_basis`` names the text the offsets count in."""
     found = with_pii(df.select(*ids, F.col(text).alias("_t")), patterns, "_t")
-    # An outer explode keeps the optimizer from testing the array in an extra filter, which would
-    # run the patterns twice.
-    rows = found.select(*ids, F.explode_outer("pii").alias("e")).filter(F.col("e").isNotNull())
-    return rows.select(
+    return explode_rows(found, ids, "pii", "e").select(
         *ids, "e.type", "e.begin", "e.end", "e.score", F.lit(offset_basis).alias("offset_basis")
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from modspark import defaults
 from modspark import fixed_values as V
 from modspark.operators.ordering import running_position
+from modspark.operators.rows import explode_rows
 from modspark.operators.scoring import with_pii
 
 
@@ -63,11 +64,11 @@ def line_pii(
     col: str = "TextDetections",
 ) -> DataFrame:
     """First entity of every line with one; lines are taken as they are, in any language."""
-    lines = line_list(df.select(*ids, col), col, "_lines").select(
-        *ids, F.posexplode("_lines").alias("line_no", "line")
+    lines = explode_rows(line_list(df.select(*ids, col), col, "_lines"), ids, "_lines", "line", "line_no")
+    found = explode_rows(with_pii(lines, patterns, "line"), [*ids, "line_no", "line"], "pii", "_e", "_k")
+    return found.filter(F.col("_k") == 0).select(
+        *ids, "line_no", "line", F.col("_e.type").alias("pii_type"), F.col("_e.score").alias("pii_score")
     )
-    found = with_pii(lines, patterns, "line").filter(F.size("pii") > 0)
-    return first_pii(found).drop("pii")
 
 
 def image_age(df: DataFrame, col: str = "FaceDetails") -> DataFrame:

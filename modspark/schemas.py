@@ -39,7 +39,7 @@ DETECTIONS = {
     "classes": "Classes ARRAY<STRUCT<Name:STRING, Score:DOUBLE>>",
 }
 
-OBJECT_EVENTS = """Records ARRAY<STRUCT<eventVersion:STRING, eventSource:STRING, awsRegion:STRING,
+OBJECT_EVENTS = """Records ARRAY<STRUCT<eventVersion:STRING,
   eventTime:TIMESTAMP, eventName:STRING, s3:STRUCT<s3SchemaVersion:STRING, configurationId:STRING,
     bucket:STRUCT<name:STRING, arn:STRING>,
     object:STRUCT<key:STRING, size:BIGINT, eTag:STRING, sequencer:STRING>>>>"""

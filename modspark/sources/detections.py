@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from modspark import schemas
 from modspark.operators.ordering import running_position
+from modspark.operators.rows import explode_rows
 
 
 def parse_detections(df: DataFrame, col: str, kind: str) -> DataFrame:
@@ -68,13 +69,14 @@ def assemble_pages(
             F.floor(F.col(page_col) / pages_per_block),
             [F.col(page_col)],
             "_start",
-            F.coalesce(F.size(items_col), F.lit(0)).cast("bigint"),
+            F.greatest(F.size(items_col), F.lit(0)),
         )
     else:
         pages = df
     keep = [c for c in df.columns if c != items_col]
     extra = ["_start"] if numbered else []
-    rows = pages.select(*keep, *extra, F.posexplode(items_col).alias("item", "detection"))
+    rows = explode_rows(pages, [*keep, *extra], items_col, "detection", "item")
+    rows = rows.select(*keep, *extra, "item", "detection")
     if not numbered:
         return rows
     return rows.withColumn("position", F.col("_start") + F.col("item")).drop("_start")

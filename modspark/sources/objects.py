@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modspark import schemas
+from modspark.operators.rows import explode_rows
 
 
 def parse_object_events(df: DataFrame, decode_keys: bool = True) -> DataFrame:
     """One row per record of event documents that carry a ``Records`` array."""
-    records = df.select(F.explode("Records").alias("r"))
+    records = explode_rows(df, [], "Records", "r")
     key = F.col("r.s3.object.key")
     if decode_keys:
         key = F.coalesce(F.try_url_decode(key), key)

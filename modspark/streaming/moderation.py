@@ -19,7 +19,7 @@ def stream_moderation(
     ckpt: str,
     *,
     sides: Callable[[DataFrame], dict] | None = None,
-    watermark: str = "1 hour",
+    watermark: str | None = "1 day",
     available_now: bool = True,
     interval: str = "1 minute",
     **options,
@@ -27,13 +27,17 @@ def stream_moderation(
     """New object events → moderated objects → keyed store ``out``.
 
     Redelivered events (same bucket, key, sequencer) within the watermark are dropped; the state
-    holds only these keys.  ``sides(batch)`` returns the detector frames for ``moderate_objects``.
-    A batch is written under its batch id, so a replay after a failure replaces it.
+    holds only these keys.  Events that arrive later than the watermark are dropped too (counted in
+    the query's progress), so choose it beyond the longest delay, or pass None: then nothing is
+    dropped and a redelivered event merely puts the same record again.  ``sides(batch)`` returns
+    the detector frames for ``moderate_objects``.  A batch is written under its batch id, so a
+    replay after a failure replaces it.
     """
-    events = read_object_events(spark, in_dir, streaming=True)
-    fresh = events.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(
-        ["bucket", "key", "sequencer"]
-    )
+    fresh = read_object_events(spark, in_dir, streaming=True)
+    if watermark is not None:
+        fresh = fresh.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(
+            ["bucket", "key", "sequencer"]
+        )
 
     def put(batch: DataFrame, batch_id: int) -> None:
         frames = sides(batch) if sides else {}

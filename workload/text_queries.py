@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 import modspark as m
 from modspark import fixed_values as V
+from modspark.defaults import phrase_of
+from modspark.operators.lexicons import policy_hits
 from modspark.operators.policy import policy_prose
+from modspark.operators.rows import explode_rows
 from modspark.scratch import scratch_folder
 from workload import builders as B
 from workload import tables as X
@@ -326,24 +329,20 @@ def safety_record_of_replies(spark, sf):
 )
 def policy_rows(spark, sf):
     """The policy with the number of documents that mention each subcategory."""
-    policy = m.load_policy(spark)
-    phrases = m.policy_phrases(policy, "*").collect()
-    rows = [(i, str(i), r["phrase"], "*") for i, r in enumerate(phrases)]
-    from modspark.operators.lexicons import policy_hits
-
-    seen = policy_hits(tokens(spark, sf), rows, max_words=4)
-    counts = (
-        seen.select(F.explode("policy_counts.category_no").alias("i")).groupBy("i").agg(F.count("*").alias("documents"))
+    rows = [
+        (i, r["category_no"], r["category"], r["subcategory"])
+        for i, r in enumerate(m.load_policy(spark).collect())
+    ]
+    # Every subcategory is counted as a category of its own.
+    phrases = [(i, str(i), phrase_of(sub), "*") for i, _, _, sub in rows]
+    each = explode_rows(
+        policy_hits(tokens(spark, sf), phrases), [], F.col("policy_counts.category_no"), "i"
     )
-    numbered = spark.createDataFrame(
-        [(i, r["category_no"], r["category"]) for i, r in enumerate(phrases)], "i INT, category_no INT, category STRING"
-    )
-    named = numbered.join(
-        spark.createDataFrame(
-            [(i, s) for i, s in enumerate(s for _, subs in V.POLICY for s in subs)], "i INT, subcategory STRING"
-        ), "i")
-    return named.join(counts, "i", "left").select(
-        "category_no", "category", "subcategory", F.coalesce("documents", F.lit(0)).cast("bigint").alias("documents")
+    counts = each.groupBy("i").agg(F.count("*").alias("documents"))
+    policy = spark.createDataFrame(rows, "i INT, category_no INT, category STRING, subcategory STRING")
+    return policy.join(counts, "i", "left").select(
+        "category_no", "category", "subcategory",
+        F.coalesce("documents", F.lit(0)).cast("bigint").alias("documents"),
     )
 
 
