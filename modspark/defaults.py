@@ -64,20 +64,20 @@ TOXICITY_LEXICON = [
     for word in words.split()
 ]
 
-# (type, pattern, score, literal that every match contains or None).  Group 1 is a cue that does not
+# (type, pattern, score, literal or [class] that every match contains, or None).  Group 1 is a cue that does not
 # belong to the entity, group 2 the entity, which ends the match.  What must not stand before a match
 # is tested after its first character, so that the search is for that character.
 PII_PATTERNS = [
     ("EMAIL", r"()([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})", 1.0, "@"),
     ("PHONE", r"()([+1](?<![0-9+][+1])(?:(?<=\+)[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}"
-              r"|(?<=1)[0-9]{10})(?![0-9]))", 1.0, None),
+              r"|(?<=1)[0-9]{10})(?![0-9]))", 1.0, "[0-9]"),
     ("IP_ADDRESS", r"()([0-9](?<![0-9.][0-9])[0-9]{0,2}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]))",
-     1.0, None),
-    ("CREDIT_DEBIT_NUMBER", r"()([0-9](?<![0-9]{2})[0-9]{15}(?![0-9]))", 1.0, None),
+     1.0, "[0-9]"),
+    ("CREDIT_DEBIT_NUMBER", r"()([0-9](?<![0-9]{2})[0-9]{15}(?![0-9]))", 1.0, "[0-9]"),
     ("NAME", r"([Mm](?<!\p{L}[Mm])(?i:y name is) +)(\p{Lu}[\p{L}'-]*(?: \p{Lu}[\p{L}'-]*)*)", 1.0, None),
     ("NAME", r"(我叫)([\x{4e00}-\x{9fff}]{2,4})", 1.0, "我叫"),
     ("AGE", r"([IiAa](?<!\p{L}[IiAa])(?:(?<=[Ii])(?: am|'m)|(?<=[Aa])ged?) )"
-            r"([0-9]{1,3}(?![0-9])(?: years(?= old))?)", 1.0, None),
+            r"([0-9]{1,3}(?![0-9])(?: years(?= old))?)", 1.0, "[0-9]"),
     ("AGE", r"()([0-9](?<![0-9]{2})[0-9]{0,2}(?=岁))", 1.0, "岁"),
 ]
 

@@ -84,15 +84,12 @@ def n_grams(words: Column, sizes: Sequence[int]) -> Column:
     )
 
 
-def _pattern_sql(text: str, kind: str, pattern: str, score: float, needs: str | None = None) -> str:
+def _pattern_sql(text: str, kind: str, pattern: str, score: float) -> str:
     # The text is cut at the matches; walking over (piece before, match) pairs keeps the offset.
     p = sql_string(pattern)
     whole = f"regexp_extract_all({text}, {p}, 0)"
-    possible = f"{text} RLIKE {p}"
-    if needs:
-        possible = f"contains({text}, {sql_string(needs)}) AND {possible}"
     return f"""
-      CASE WHEN {possible} THEN aggregate(
+      CASE WHEN {text} RLIKE {p} THEN aggregate(
         zip_with(
           slice(split({text}, {p}, -1), 1, size({whole})),
           zip_with({whole}, regexp_extract_all({text}, {p}, 1),
@@ -113,11 +110,24 @@ def pii_sql(text: str, patterns: Sequence[tuple]) -> str:
 
     Offsets count characters from 0, the end is exclusive.  Group 1 of a pattern is a leading cue
     outside the entity; the entity ends the match.  An optional fourth item of a pattern is a
-    literal that every match contains, so that other texts are passed over cheaply.
+    literal, or a character class in brackets, that every match contains: texts without it are
+    passed over by one cheap test for all patterns that share it.
     """
     if not patterns:
         return f"cast(array() AS {PII_TYPE})"
-    every = ", ".join(_pattern_sql(text, *p) for p in patterns)
+    by_need: dict[str | None, list[str]] = {}
+    for kind, pattern, score, *needs in patterns:
+        need = needs[0] if needs else None
+        by_need.setdefault(need, []).append(_pattern_sql(text, kind, pattern, score))
+    groups = []
+    for need, found in by_need.items():
+        group = f"concat({', '.join(found)})"
+        if need:
+            test = f"{text} RLIKE {sql_string(need)}" if need.startswith("[") else (
+                f"contains({text}, {sql_string(need)})")
+            group = f"CASE WHEN {test} THEN {group} ELSE cast(array() AS {_PLACED_TYPE}) END"
+        groups.append(group)
+    every = ", ".join(groups)
     return f"""
       transform(array_sort(concat({every})), e -> named_struct(
         'type', e.`type`, 'begin', e.`begin`, 'end', e.`end`, 'score', e.`score`))"""
