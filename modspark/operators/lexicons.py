@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from modspark.functions import text as T
 from modspark.operators.joins import INLINE_LIMIT, column, lookup_join, rows_or_frame
+from modspark.operators.rows import compute_once
 
 ANY = "*"
 
@@ -57,8 +58,9 @@ def count_hits(
         return set().union(*(wanted(c, code) for c in classes))
 
     # One look at every word; the classes then only see words that are in the lexicon.
-    pruned = df.withColumn("_code", lang).withColumn(
-        "_known", _per_language(langs, lambda code: T.keep_sql(tokens, union(code)))
+    pruned = compute_once(
+        df.withColumn("_code", lang),
+        _known=_per_language(langs, lambda code: T.keep_sql(tokens, union(code))),
     )
     counts = {
         f"{prefix}{cls}": _per_language(
@@ -141,8 +143,9 @@ def policy_hits(
         )
         return f"filter(array({each}), c -> c.n > 0)"
 
-    hit = df.withColumn("_code", lang).withColumn(
-        "_found", _per_language(langs, lambda code: T.phrases_sql(tokens, union(code)))
+    hit = compute_once(
+        df.withColumn("_code", lang),
+        _found=_per_language(langs, lambda code: T.phrases_sql(tokens, union(code))),
     )
     return hit.withColumns(
         {

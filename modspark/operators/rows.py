@@ -1,4 +1,4 @@
-"""Arrays to rows."""
+"""Arrays to rows, and columns that are computed once."""
 
 from __future__ import annotations
 
@@ -20,3 +20,15 @@ def explode_rows(
     return df.select(*keep, F.posexplode_outer(array).alias(position, item)).filter(
         F.col(position).isNotNull()
     )
+
+
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that no later step computes again.
+
+    The optimizer moves a filter below the projection that computes its column by copying the
+    expression into it; through a chain of projections such copies multiply.  A generated column
+    cannot be copied, so a filter on a score costs one comparison.  Use it for what is costly and
+    always wanted: generated columns are also not pruned.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline_outer(F.array(row)))

@@ -15,13 +15,13 @@ from modspark import fixed_values as V
 from modspark.functions import text as T
 from modspark.operators.joins import INLINE_LIMIT, column, is_small, rows_or_frame, salted_join
 from modspark.operators.lexicons import ANY, count_hits
-from modspark.operators.rows import explode_rows
+from modspark.operators.rows import compute_once, explode_rows
 
 LANGUAGES_TYPE = "array<struct<lang:string,score:double>>"
 
 
 def with_tokens(df: DataFrame, text: str | Column = "text", name: str = "_tokens") -> DataFrame:
-    return df.withColumn(name, T.tokens(column(text)))
+    return compute_once(df, **{name: T.tokens(column(text))})
 
 
 def detect_language(
@@ -74,8 +74,7 @@ def detect_language(
     )
     undecided = F.array(F.struct(F.lit("und").alias("lang"), F.lit(0.0).alias("score")))
     return (
-        counted.withColumn("_ranked", ranked)
-        .withColumn("_total", total)
+        compute_once(compute_once(counted, _ranked=ranked), _total=total)
         .withColumn(
             "languages",
             F.when(F.size("_ranked") > 0, scored).otherwise(undecided).cast(LANGUAGES_TYPE),
@@ -116,9 +115,12 @@ def resolve_english(
             .withColumn("pending", F.col("english").isNull() & ~is_english)
             .drop("text_hash")
         )
-    # English rows never meet the join, so they are not hashed or shuffled.
-    native = df.filter(is_english).withColumns({"english": F.col(text), "pending": F.lit(False)})
-    hashed = df.filter(~is_english).withColumn("text_hash", F.sha2(text, 256))
+    # English rows and rows without text never meet the join, so they are not hashed or shuffled.
+    looked_up = ~is_english & F.col(text).isNotNull()
+    native = df.filter(~looked_up).withColumns(
+        {"english": F.when(is_english, F.col(text)), "pending": ~is_english}
+    )
+    hashed = df.filter(looked_up).withColumn("text_hash", F.sha2(text, 256))
     foreign = salted_join(
         hashed, lookup, "text_hash", list(spread_by) or list(df.columns), "left", salts
     ).withColumn("pending", F.col("english").isNull())
@@ -168,7 +170,7 @@ def with_pii(
     rows, frame = rows_or_frame(patterns, ["type", "pattern", "score"])
     if frame is not None:
         raise ValueError(f"more than {INLINE_LIMIT} patterns: join those of one type by |")
-    return df.withColumn(name, F.expr(T.pii_sql(f"`{text}`", rows)))
+    return compute_once(df, **{name: F.expr(T.pii_sql(f"`{text}`", rows))})
 
 
 def pii_entities(

@@ -37,17 +37,17 @@ def moderate_objects(
     """One row per routed object: file_uri, Image_moderation, Audio_moderation, Text_moderation.
 
     ``images`` is the output of ``moderate_image`` and ``recordings`` that of ``moderate_audio``
-    (with its key named file_uri), both keyed by object; ``texts`` has (file_uri, text).  A side
-    that is not given leaves its column out.  Each side is unique per object, so the joins share
-    one hash partitioning by file_uri and no key is hot.
+    (with its key named file_uri), both keyed by object; ``texts`` has (file_uri, text) and, with
+    ``lang=...``, a language column.  A side that is not given leaves its column out.  Each side is
+    unique per object, so the joins share one hash partitioning by file_uri and no key is hot.
+    Texts are scored after the join: only those of routed objects, in place.
     """
     result = routed_objects(events, scheme=scheme, ignore_case=ignore_case)
-    sides = {
-        "Image_moderation": ("image", images),
-        "Audio_moderation": ("audio", recordings),
-        "Text_moderation": ("text", None if texts is None else _text_side(texts, text_options)),
-    }
-    for name, (modality, side) in sides.items():
+    for name, modality, side in (
+        ("Image_moderation", "image", images),
+        ("Audio_moderation", "audio", recordings),
+        ("_text", "text", texts),
+    ):
         if side is None:
             continue
         nested = side.select(
@@ -58,9 +58,11 @@ def moderate_objects(
             .withColumn(name, F.when(F.array_contains("modalities", modality), F.col("_side")))
             .drop("_side")
         )
-    return result
+    return result if texts is None else _with_text_result(result, text_options)
 
 
-def _text_side(texts: DataFrame, options: dict) -> DataFrame:
-    scored = moderate_text(texts, "text", id_col="file_uri", **options)
-    return scored.select("file_uri", text_result("text").alias("_r")).select("file_uri", "_r.*")
+def _with_text_result(result: DataFrame, options: dict) -> DataFrame:
+    keep = [c for c in result.columns if c != "_text"]
+    flat = result.select("file_uri", F.struct(*keep).alias("_kept"), "_text.*")
+    scored = moderate_text(flat, "text", id_col="file_uri", **options)
+    return scored.select("_kept.*", text_result("text").alias("Text_moderation"))

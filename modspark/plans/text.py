@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modspark import defaults
-from modspark.functions import text as T
 from modspark.operators import policy as P
 from modspark.operators import scoring as S
 from modspark.operators.classifier import ClassifierModel, prompt_safety
@@ -57,8 +56,8 @@ def moderate_text(
                            .otherwise("english"))
         .withColumn("_scored", F.coalesce("english", text))
         .withColumn("_lang", F.when(F.col("pending"), F.col("lang")).otherwise(F.lit("en")))
-        .withColumn("_tokens", T.tokens(F.col("_scored")))
     )
+    scored = S.with_tokens(scored, "_scored")
     scored = P.policy_verdict(scored, policy, lang="_lang", id_col=id_col, inline_limit=inline_limit)
     scored = S.sentiment(scored, lexicon, lang="_lang", id_col=id_col, inline_limit=inline_limit)
     scored = S.with_pii(scored, patterns, "_scored")
@@ -95,8 +94,8 @@ def analyze_text(
     scored = (
         english.withColumn("_scored", F.coalesce("english", text))
         .withColumn("_lang", F.when(F.col("pending"), F.col("lang")).otherwise(F.lit("en")))
-        .withColumn("_tokens", T.tokens(F.col("_scored")))
     )
+    scored = S.with_tokens(scored, "_scored")
     scored = S.sentiment(scored, lexicon, lang="_lang", id_col=id_col)
     scored = S.toxicity(scored, toxic_lexicon, lang="_lang", id_col=id_col)
     scored = first_pii(S.with_pii(negative_flag(scored), patterns, "_scored"))

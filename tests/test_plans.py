@@ -241,3 +241,14 @@ def test_face_search_with_an_empty_side(spark):
     for q, c in ((none, one), (one, none)):
         for limit in (10, 0):
             assert m.face_search(q, c, 0.1, 2, query_limit=limit).count() == 0
+
+
+def test_filters_on_scores_do_not_copy_the_scoring(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    scored = m.moderate_text(d)
+    plain = scored._jdf.queryExecution().executedPlan().toString()
+    strong = scored.filter("flag OR sentiment = 'NEGATIVE' OR size(pii) > 0 OR pending OR lang = 'de'")
+    plan = strong._jdf.queryExecution().executedPlan().toString()
+    for piece in ("split(", "RLIKE", "regexp_extract_all("):
+        assert plan.count(piece) == plain.count(piece)
+    assert 0 < strong.count() < d.count() + 1

@@ -38,10 +38,12 @@ def test_language_ties_go_by_name_and_floor_applies(spark):
 
 def test_resolve_english_with_and_without_broadcast(spark, monkeypatch):
     df = spark.createDataFrame(
-        [(1, "hello", "en"), (2, "hallo", "de"), (3, "bonjour", "fr"), (4, "hallo", "de"), (5, "x", None)],
+        [(1, "hello", "en"), (2, "hallo", "de"), (3, "bonjour", "fr"), (4, "hallo", "de"), (5, "x", None),
+         (6, None, "de"), (7, None, "en")],
         "doc_id INT, text STRING, lang STRING")
     t = df.filter("text = 'hallo'").select(F.sha2("text", 256).alias("text_hash"), F.lit("hello").alias("english"))
-    want = {1: ("hello", False), 2: ("hello", False), 3: (None, True), 4: ("hello", False), 5: (None, True)}
+    want = {1: ("hello", False), 2: ("hello", False), 3: (None, True), 4: ("hello", False), 5: (None, True),
+            6: (None, True), 7: (None, False)}
 
     def got(frame):
         return {r["doc_id"]: (r["english"], r["pending"]) for r in frame.collect()}
@@ -49,7 +51,8 @@ def test_resolve_english_with_and_without_broadcast(spark, monkeypatch):
     assert got(m.resolve_english(df, t)) == want
     monkeypatch.setattr("modspark.operators.scoring.is_small", lambda *_: False)
     assert got(m.resolve_english(df, t, spread_by=["doc_id"])) == want
-    assert got(m.resolve_english(df)) == {1: ("hello", False), **{i: (None, True) for i in (2, 3, 4, 5)}}
+    assert got(m.resolve_english(df)) == {
+        1: ("hello", False), 7: (None, False), **{i: (None, True) for i in (2, 3, 4, 5, 6)}}
 
 
 def test_sentiment_formula(spark):
@@ -236,3 +239,10 @@ def test_classifier_saved_and_with_shuffle_join(spark, sf, monkeypatch, tmp_path
     large = m.prompt_safety(d, model).select("doc_id", "prompt_class", "prompt_log_score").orderBy("doc_id").collect()
     assert small == large and len(small) == d.count()
     assert model.classes.agg(F.sum("n_docs")).head()[0] == train.count()
+
+
+def test_missing_text_scores_as_empty(spark):
+    df = spark.createDataFrame([(1, None, "en")], "doc_id INT, text STRING, lang STRING")
+    r = m.moderate_text(df, lang="lang").head()
+    assert (r["flag"], r["category"], r["sentiment"], r["pii"]) == (False, "", "NEUTRAL", [])
+    assert m.top_language(m.detect_language(df.drop("lang"))).head()["lang"] == "und"
