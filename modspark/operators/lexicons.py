@@ -108,19 +108,18 @@ def policy_hits(
     tokens: str = "_tokens",
     lang: str | Column = "lang",
     id_col: str | None = None,
-    max_words: int = 4,
     inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """Add ``policy_counts`` (hits per category, in policy order) and ``policy_matched`` (phrases).
 
-    ``policy`` has (category_no, category, phrase, lang); a phrase of up to ``max_words`` words
-    matches wherever its words stand next to each other, overlaps included.
+    ``policy`` has (category_no, category, phrase, lang); a phrase matches wherever its words stand
+    next to each other, overlaps included.
     """
     columns = ["category_no", "category", "phrase", "lang"]
     rows, frame = rows_or_frame(policy, columns, inline_limit)
     lang = column(lang)
     if rows is None:
-        return _policy_hits_by_join(df, frame, tokens, lang, id_col, max_words)
+        return _policy_hits_by_join(df, frame, tokens, lang, id_col)
 
     phrases: dict[tuple[int, str], set[str]] = defaultdict(set)
     names: dict[int, str] = {}
@@ -158,16 +157,18 @@ def policy_hits(
     ).drop("_found", "_code")
 
 
-def _policy_hits_by_join(df, policy, tokens, lang, id_col, max_words) -> DataFrame:
+def _policy_hits_by_join(df, policy, tokens, lang, id_col) -> DataFrame:
     if id_col is None:
         raise ValueError("a policy beyond the inline limit needs id_col, a unique row id")
+    words = F.size(F.split("phrase", " "))
+    sizes = [r[0] for r in policy.select(words).distinct().collect()]
     entries = policy.groupBy("phrase").agg(
         F.collect_set(F.struct("category_no", "category", "lang")).alias("_entries")
     )
     grams = df.select(
         id_col,
         lang.alias("_lang"),
-        F.explode(T.n_grams(F.col(tokens), range(1, max_words + 1))).alias("phrase"),
+        F.explode(T.n_grams(F.col(tokens), sizes)).alias("phrase"),
     )
     found = lookup_join(grams, entries, "phrase", [id_col], "inner")
     applies = F.filter(

@@ -39,7 +39,9 @@ def detect_language(
     characters of its script for languages that ``scripts`` lists.
     """
     if isinstance(profiles, DataFrame):
-        codes = [r[0] for r in profiles.select("lang").distinct().limit(INLINE_LIMIT).collect()]
+        codes = [r[0] for r in profiles.select("lang").distinct().limit(INLINE_LIMIT + 1).collect()]
+        if len(codes) > INLINE_LIMIT:
+            raise ValueError(f"more than {INLINE_LIMIT} languages")
         lexicon = profiles.select(F.col("lang").alias("class"), "word", F.lit(ANY).alias("lang"))
     else:
         profiles = list(profiles)

@@ -54,7 +54,8 @@ def upsert_latest(
 
     A put writes only its own rows, as ``batch_id=N/``, and readers merge.  Writing the same
     ``batch_id`` again replaces that batch, so a replayed stream batch changes nothing.  A store
-    that does not exist yet is created.
+    that does not exist yet is created.  Without ``order_by`` a later put wins, and the records of
+    one put should have different keys.
     """
     if batch_id is None:
         batch_id = _next_batch(df.sparkSession, store)

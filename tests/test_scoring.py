@@ -130,7 +130,9 @@ def test_hits_agree_with_brute_force_in_both_plans(spark, sf, limit):
 @pytest.mark.parametrize("limit", [4096, 0])
 def test_policy_hits_agree_with_brute_force_in_both_plans(spark, sf, limit):
     df = m.with_tokens(documents(spark, sf))
-    policy = [*X.PHRASES, (4, "Visually Disturbing", "la", "*"), (4, "Visually Disturbing", "la", "fr")]
+    common = m.with_tokens(documents(spark, sf)).filter("size(_tokens) > 9").orderBy("doc_id").head()
+    policy = [*X.PHRASES, (4, "Visually Disturbing", "la", "*"), (4, "Visually Disturbing", "la", "fr"),
+              (2, "Suggestive", " ".join(common["_tokens"][2:8]), "*")]
     rows = policy_hits(df, policy, id_col="doc_id", inline_limit=limit).collect()
     assert any(r["policy_matched"] for r in rows)
     for r in rows:

@@ -39,8 +39,9 @@ def object_event_json(spark: SparkSession, sf: str) -> DataFrame:
     """Pages 2k and 2k+1 share one event document, whose ``Records`` is parsed again later."""
     m = media_manifest(spark, sf)
     record = F.struct(
-        F.date_format(
-            F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 60), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+        F.concat(
+            F.expr("timestampadd(MINUTE, page_id, TIMESTAMP_NTZ'2024-01-01 00:00:00')").cast("string"),
+            F.lit("Z"),
         ).alias("eventTime"),
         F.lit("ObjectCreated:Put").alias("eventName"),
         F.struct(
