@@ -191,7 +191,9 @@ def _policy_hits_by_join(df, policy, tokens, lang, id_col) -> DataFrame:
     )
     return df.join(per_text, id_col, "left").withColumns(
         {
-            "policy_counts": F.coalesce("policy_counts", F.array().cast(POLICY_COUNTS)),
+            "policy_counts": F.coalesce(
+                F.col("policy_counts").cast(POLICY_COUNTS), F.array().cast(POLICY_COUNTS)
+            ),
             "policy_matched": F.coalesce("policy_matched", F.array().cast("array<string>")),
         }
     )

@@ -252,3 +252,38 @@ def test_filters_on_scores_do_not_copy_the_scoring(spark, sf):
     for piece in ("split(", "RLIKE", "regexp_extract_all("):
         assert plan.count(piece) == plain.count(piece)
     assert 0 < strong.count() < d.count() + 1
+
+
+def test_stream_emits_notices_without_job_once_no_job_can_come(spark, tmp_path):
+    def deliver(name, jobs, notices):
+        schema = "job_id STRING, t STRING"
+        for kind, rows, column in (("jobs", jobs, "submitted_at"), ("notices", notices, "sent_at")):
+            df = spark.createDataFrame(rows, schema).select("job_id", F.to_timestamp("t").alias(column))
+            df.coalesce(1).write.mode("append").parquet(str(tmp_path / kind))
+
+    def run():
+        left = spark.readStream.schema("job_id STRING, submitted_at TIMESTAMP").parquet(str(tmp_path / "jobs"))
+        right = spark.readStream.schema("job_id STRING, sent_at TIMESTAMP").parquet(str(tmp_path / "notices"))
+        out = m.stream_match_jobs(left, right, watermark="1 hour", max_wait="6 hours", how="right_outer")
+        out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(
+            availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+        return {(r["job_id"], r["submitted_at"] is not None) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+
+    deliver("one", [("a", "2024-01-01 00:00:00")], [("a", "2024-01-01 01:00:00"), ("lost", "2024-01-01 01:00:00")])
+    assert run() == {("a", True)}
+    deliver("two", [("z", "2024-02-01 00:00:00")], [("z", "2024-02-01 01:00:00")])
+    assert run() == {("a", True), ("lost", False), ("z", True)}
+
+
+def test_large_lexicons_as_frames_give_the_same_types_and_rows(spark, sf):
+    from modspark import defaults
+
+    d = m.with_tokens(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang"))
+    policy = spark.createDataFrame(defaults.POLICY_PHRASES, "category_no INT, category STRING, phrase STRING, lang STRING")
+    lexicon = spark.createDataFrame(defaults.TOXICITY_LEXICON, "class STRING, word STRING, lang STRING")
+    for limit in (4096, 0):
+        out = m.toxicity(m.policy_verdict(d, policy, id_col="doc_id", inline_limit=limit), lexicon, id_col="doc_id", inline_limit=limit)
+        rows = out.select("doc_id", "flag", "category", "reason", "toxicity").orderBy("doc_id")
+        if limit:
+            want, types = rows.collect(), dict(out.dtypes)
+    assert rows.collect() == want and {k: v for k, v in out.dtypes} == types
