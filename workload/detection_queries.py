@@ -149,10 +149,11 @@ def image_texts(spark, sf):
 @query(
     "image_text",
     f"""WITH {DETECTIONS} SELECT 'img/' || page_id AS file_uri, id::int AS id,
-        CASE WHEN type = 'WORD' THEN i END::int AS parent_id, type, text, confidence FROM scored""",
+        CASE WHEN type = 'WORD' THEN i ELSE -1 END::int AS parent_id, type, text, confidence FROM scored""",
 )
 def image_text(spark, sf):
-    return m.image_text(image_texts(spark, sf)).drop("box")
+    t = m.image_text(image_texts(spark, sf)).drop("box")
+    return t.withColumn("parent_id", F.coalesce("parent_id", F.lit(-1)))
 
 
 @query(
@@ -230,19 +231,23 @@ fac AS (SELECT vec_id // 10 AS n, count(*) AS n_faces, arg_max(label * 5, vec_id
     conf AS (SELECT page_id, string_agg(text, '' ORDER BY id) FILTER (confidence >= 99) AS t FROM scored GROUP BY 1),
     hit AS (SELECT page_id, count(*) AS k FROM (SELECT page_id, unnest({TOKENS.replace('lower(text)', 'lower(t)')}) AS word FROM conf)
             WHERE word IN ('la', 'the') GROUP BY 1)
-    SELECT 'img/' || n AS file_uri, n_labels::int AS n_labels, n_faces::int AS n_faces,
-      CASE WHEN c_acctbal >= 0 THEN 1 WHEN c_acctbal < 0 THEN 0 END::int AS n_celebrities,
-      length(coalesce(t, ''))::int AS n_chars, CASE WHEN t <> '' THEN coalesce(k, 0) > 0 END AS flag
+    SELECT 'img/' || n AS file_uri, coalesce(n_labels, -1)::int AS n_labels, coalesce(n_faces, -1)::int AS n_faces,
+      CASE WHEN c_acctbal >= 0 THEN 1 WHEN c_acctbal < 0 THEN 0 ELSE -1 END::int AS n_celebrities,
+      length(coalesce(t, ''))::int AS n_chars, CASE WHEN t <> '' THEN coalesce(k, 0) > 0 END::varchar AS flag
     FROM images LEFT JOIN lab USING (n) LEFT JOIN fac USING (n) LEFT JOIN customer ON c_custkey = n
     LEFT JOIN conf ON conf.page_id = n LEFT JOIN hit ON hit.page_id = n""",
 )
 def moderate_image(spark, sf):
     policy = [(1, "One", "la", "*"), (2, "Two", "the", "*")]
     r = m.moderate_image(image_documents(spark, sf), policy=policy)
+
+    def count(array):
+        return F.coalesce(F.size(array), F.lit(-1))
+
     return r.select(
-        "file_uri", F.size("labels").alias("n_labels"), F.size("faces").alias("n_faces"),
-        F.size("celebrities.CelebrityFaces").alias("n_celebrities"), F.length("confident_text").alias("n_chars"),
-        F.col("text_checks.verdict.flag").alias("flag"),
+        "file_uri", count("labels").alias("n_labels"), count("faces").alias("n_faces"),
+        count("celebrities.CelebrityFaces").alias("n_celebrities"), F.length("confident_text").alias("n_chars"),
+        F.col("text_checks.verdict.flag").cast("string").alias("flag"),
     )
 
 
@@ -252,13 +257,14 @@ def moderate_image(spark, sf):
     pl AS (SELECT page_id, string_agg(type, ',' ORDER BY i) AS line_types FROM line_first GROUP BY 1),
     nl AS (SELECT page_id, count(*) AS n_lines FROM lines GROUP BY 1)
     SELECT 'img/' || n AS file_uri, CASE WHEN top < 60 THEN 'Pass' ELSE 'Human review' END AS decision,
-      n_strong::int AS n_strong, age, coalesce(n_lines, 0)::int AS n_lines, coalesce(line_types, '') AS line_types
+      coalesce(n_strong, -1)::int AS n_strong, coalesce(age, -1)::int AS age, coalesce(n_lines, 0)::int AS n_lines, coalesce(line_types, '') AS line_types
     FROM images LEFT JOIN lab USING (n) LEFT JOIN fac USING (n) LEFT JOIN pl ON pl.page_id = n LEFT JOIN nl ON nl.page_id = n""",
 )
 def image_record(spark, sf):
     r = m.image_record(image_documents(spark, sf))
     return r.select(
-        "file_uri", "decision", F.size("labels").alias("n_strong"), "age", F.size("lines").alias("n_lines"),
+        "file_uri", "decision", F.coalesce(F.size("labels"), F.lit(-1)).alias("n_strong"),
+        F.coalesce("age", F.lit(-1)).alias("age"), F.size("lines").alias("n_lines"),
         F.array_join(F.transform("line_entities", lambda e: e["type"]), ",").alias("line_types"),
     )
 

@@ -153,11 +153,11 @@ def upsert_latest(spark, sf):
     f"""WITH {ROUTES}, {POLICY}, {SENTIMENT}, {FIRST_PII},
     lab AS (SELECT event_id // 10 AS n, count(*) AS k FROM events GROUP BY 1)
     SELECT 's3://' || m.bucket || '/' || m.key AS file_uri,
-      CASE WHEN ext IN {sql_in(V.IMAGE_EXTENSIONS)} THEN lab.k::int END AS n_labels,
-      CASE WHEN ext IN {sql_in(V.AUDIO_EXTENSIONS)} THEN c.n END AS n_segments,
+      coalesce(CASE WHEN ext IN {sql_in(V.IMAGE_EXTENSIONS)} THEN lab.k END, -1)::int AS n_labels,
+      coalesce(CASE WHEN ext IN {sql_in(V.AUDIO_EXTENSIONS)} THEN c.n END, -1)::int AS n_segments,
       CASE WHEN ext IN {sql_in(V.TEXT_EXTENSIONS)} THEN sent.sentiment END AS sentiment,
-      CASE WHEN ext IN {sql_in(V.TEXT_EXTENSIONS)} THEN verdict.flag END AS flag,
-      CASE WHEN ext IN {sql_in(V.TEXT_EXTENSIONS)} THEN coalesce(first.n, 0) END::int AS n_pii
+      CASE WHEN ext IN {sql_in(V.TEXT_EXTENSIONS)} THEN verdict.flag END::varchar AS flag,
+      coalesce(CASE WHEN ext IN {sql_in(V.TEXT_EXTENSIONS)} AND sent.doc_id IS NOT NULL THEN coalesce(first.n, 0) END, -1)::int AS n_pii
     FROM manifest m LEFT JOIN lab ON lab.n = page_id
     LEFT JOIN (SELECT conv_id, count(*)::int AS n FROM conversations GROUP BY 1) c ON conv_id = page_id
     LEFT JOIN sent ON sent.doc_id = page_id LEFT JOIN verdict ON verdict.doc_id = page_id
@@ -183,9 +183,9 @@ def moderate_objects(spark, sf):
     text = F.col("Text_moderation")
     return result.select(
         "file_uri",
-        F.size("Image_moderation.ModerationLabels").alias("n_labels"),
-        F.size("Audio_moderation.segments").alias("n_segments"),
+        F.coalesce(F.size("Image_moderation.ModerationLabels"), F.lit(-1)).alias("n_labels"),
+        F.coalesce(F.size("Audio_moderation.segments"), F.lit(-1)).alias("n_segments"),
         text["analysis"]["sentiment"].alias("sentiment"),
-        text["verdict"]["flag"].alias("flag"),
-        F.size(text["analysis"]["pii"]).alias("n_pii"),
+        text["verdict"]["flag"].cast("string").alias("flag"),
+        F.coalesce(F.size(text["analysis"]["pii"]), F.lit(-1)).alias("n_pii"),
     )

@@ -369,14 +369,14 @@ def render_prompts(spark, sf):
 @query(
     "parse_json_verdict",
     """SELECT doc_id, quality <> 0 OR toxic <> 0 AS parse_ok,
-       CASE WHEN quality <> 0 OR toxic <> 0 THEN toxic = 1 END AS flag,
+       CASE WHEN quality <> 0 OR toxic <> 0 THEN toxic = 1 END::varchar AS flag,
        CASE WHEN toxic = 1 THEN 'Hate Symbols' WHEN quality <> 0 THEN '' END AS category,
        CASE WHEN quality <> 0 OR toxic <> 0 THEN 'the reason' || chr(10) || 'is ' || quality END AS reason
        FROM labels""",
 )
 def parse_json_verdict(spark, sf):
     v = m.parse_json_verdict(B.verdict_texts(spark, sf), "json_reply")
-    return v.select("doc_id", "parse_ok", "flag", "category", "reason")
+    return v.select("doc_id", "parse_ok", F.col("flag").cast("string").alias("flag"), "category", "reason")
 
 
 @query(

@@ -93,14 +93,15 @@ def video_metadata(spark, sf):
 
 @query(
     "moderate_video",
-    f"""WITH {TIMED} SELECT {PLACE}, 'labels' AS kind, name, NULL::bigint AS person FROM timed
+    f"""WITH {TIMED} SELECT {PLACE}, 'labels' AS kind, name, -1::bigint AS person FROM timed
     UNION ALL SELECT {PLACE}, 'persons', NULL, event_id % 7 FROM timed""",
 )
 def moderate_video(spark, sf):
     v = m.moderate_video(
         pages(spark, sf, Labels=B.label_item(), Persons=B.person_item()), ["labels", "persons"]
     )
-    return v.select("job_id", "page_no", "item", "ts", "kind", "name", "person")
+    person = F.coalesce("person", F.lit(-1)).cast("bigint").alias("person")
+    return v.select("job_id", "page_no", "item", "ts", "kind", "name", person)
 
 
 # --- jobs ---------------------------------------------------------------------------------------
