@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from modspark import schemas
 from modspark.operators.ordering import running_position
-from modspark.operators.rows import explode_rows
+from modspark.operators.rows import compute_once, explode_rows
 
 
 def parse_detections(df: DataFrame, col: str, kind: str) -> DataFrame:
@@ -28,7 +28,8 @@ def parse_job_notices(df: DataFrame, body: str = "Body") -> DataFrame:
     keep = [c for c in df.columns if c != body]
     message = F.from_json(F.col(body), schemas.NOTICE_BODY)["Message"]
     notice = F.from_json(message, schemas.NOTICE_MESSAGE)
-    return df.select(*keep, notice.alias("_n")).select(
+    # A join by job id adds a not-null filter, which must not parse every notice again.
+    return compute_once(df, _n=notice).select(
         *keep, F.col("_n.JobId").alias("job_id"), F.col("_n.Status").alias("status")
     )
 
