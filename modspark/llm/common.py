@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from modspark.operators.rows import compute_once
 from modspark.scratch import settle
 
-__all__ = ["BLANKS", "WORD_GAP", "compute_once", "freed_shuffles", "id_order", "ordered_rows", "settle",
+__all__ = ["BLANKS", "WORD_GAP", "compute_once", "freed_shuffles", "keyed", "ordered_rows", "settle",
            "table", "words"]
 
 BLANKS = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
-LEAST_LONG = -(2**63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,32 +44,28 @@ def freed_shuffles(spark: SparkSession):
             spark.conf.set(name, before)
 
 
-def id_order(id_col: str) -> Column:
-    """A document's place in the order of ids as a long; missing ids come first."""
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_LONG))
-
-
-def ordered_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(_row, _id, _text)``: every row with a long that is its own and keeps the order of ids.
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(_row, _id, _text, _all)``: every row with a long that is its own and keeps the order of ids.
 
     Ids that are unique and present are used as they are; the check moves ids only.  Otherwise rows
     are numbered in the order (id with missing first, text), each repeated row on its own, and kept
-    in a table so that the numbers stay.  Missing texts are empty.
+    in a table so that the numbers stay.  Missing texts are empty in ``_text``; ``_all`` is the row.
     """
     rows = docs.select(
-        F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
+        F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_all"),
     )
     counts = rows.groupBy("_id").agg(F.count("*").alias("n"))
     if not counts.filter((F.col("n") > 1) | F.col("_id").isNull()).limit(1).count():
-        return rows.select(F.col("_id").alias("_row"), "_id", "_text")
-    return settle(_numbered(rows))
+        return rows.select(F.col("_id").alias("_row"), "_id", "_text", "_all")
+    # Sorted ranges: the partition's number in the high bits, the place in it in the low ones.
+    order = [F.col("_id").asc_nulls_first(), F.col("_text").asc()]
+    return settle(rows.orderBy(*order).select(F.monotonically_increasing_id().alias("_row"), "_id", "_text", "_all"))
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Numbers over a range partitioning: the partition's number in the high bits, the place in it
-    in the low ones, which grow in the order of the rows."""
-    order = [F.col("_id").asc_nulls_first(), F.col("_text").asc()]
-    return rows.orderBy(*order).select(F.monotonically_increasing_id().alias("_row"), "_id", "_text")
+def ordered_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(_row, _id, _text)`` of ``keyed``."""
+    return keyed(docs.select(id_col, text_col), id_col, text_col).select("_row", "_id", "_text")
 
 
 def ranked(values: DataFrame, by: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modspark.llm import chat_format, mixing, quality_rules, url_filter
+from modspark.llm import chat_format, mixing, near_dedup, quality_rules, suffix_dedup, url_filter
 from modspark.llm.common import table
 from modspark.llm.registry import query
 
@@ -96,3 +96,38 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         url_filter.canonical_url(F.col("h"), F.col("p")).alias("canonical")
     )
     return url_filter.filter_urls(pages, listed, RULES)
+
+
+@query("op3_suffix_dedup")
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+# All pairs that share a shingle, then components by spreading the smallest id along links.
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), shingles AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END) AS s
+  FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other
+)
+SELECT d.doc_id, coalesce(max(n), 0)::bigint AS n_shingles, min(other) AS component_id, d.doc_id = min(other) AS kept
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+@query("op7_minhash_dedup", NEAR_SQL)
+def near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
