@@ -5,7 +5,7 @@ Memory is bounded by the size of a piece, not by the number or length of the tex
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -117,14 +117,18 @@ def pieces(column: pa.Array, overlap: int, limit: int = PIECE_BYTES) -> Iterator
 
 
 class Words(NamedTuple):
-    """Hashes of words in order, and for each text the range of its words."""
+    """Hashes of words in order, and for each text the range of its words.  ``heads``: for each asked
+    length the hashes of the words' first bytes, 0 for words that are not longer."""
 
     hashes: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    heads: list[np.ndarray]
 
 
-def word_groups(column: pa.Array, inside: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, Words]]:
+def word_groups(
+    column: pa.Array, inside: np.ndarray, limit: int = PIECE_BYTES, heads: Sequence[int] = ()
+) -> Iterator[tuple[int, Words]]:
     """For groups of texts: the number of the first text, and hashes of all words in lower case (A-Z).
 
     ``inside`` tells which bytes belong to words.  A longer text is hashed in parts that end between
@@ -135,18 +139,20 @@ def word_groups(column: pa.Array, inside: np.ndarray, limit: int = PIECE_BYTES)
     while first < n:
         last = max(int(np.searchsorted(at, at[first] + limit, side="right")) - 1, first + 1)
         begin, end = int(at[first]), int(at[last])
-        found, places = [], []
+        found, places, begun = [], [], []
         p = begin
         while p < end:
             stop = end if end - p <= limit else _between_words(data, p, p + limit, inside)
-            hashes, starts = _words(data[p:stop], at[first:last] - p, inside)
+            hashes, starts, own_heads = _words(data[p:stop], at[first:last] - p, inside, heads)
             found.append(hashes)
             places.append(starts + p)
+            begun.append(own_heads)
             p = stop
         hashes = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
         where = np.concatenate(places) if places else np.zeros(0, dtype=np.int64)
         yield first, Words(
-            hashes, np.searchsorted(where, at[first:last]), np.searchsorted(where, at[first + 1 : last + 1])
+            hashes, np.searchsorted(where, at[first:last]), np.searchsorted(where, at[first + 1 : last + 1]),
+            [np.concatenate(x) for x in zip(*begun, strict=True)],
         )
         first = last
 
@@ -156,7 +162,9 @@ def _between_words(data: np.ndarray, begin: int, end: int, inside: np.ndarray) -
     return begin + int(gaps[-1]) + 1 if len(gaps) else end
 
 
-def _words(data: np.ndarray, text_starts: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _words(
+    data: np.ndarray, text_starts: np.ndarray, inside: np.ndarray, heads: Sequence[int]
+) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     is_word = inside[data]
     before = np.empty_like(is_word)
     before[:1] = False
@@ -169,7 +177,9 @@ def _words(data: np.ndarray, text_starts: np.ndarray, inside: np.ndarray) -> tup
     ends_mask[:-1] = is_word[:-1] & (~is_word[1:] | starts_mask[1:])
     ends_mask[-1:] = is_word[-1:]
     end = np.flatnonzero(ends_mask) + 1
-    return Slices(data, LOWER_VALUES).hashes(begin, end), begin
+    slices = Slices(data, LOWER_VALUES)
+    first = [np.where(end - begin > k, slices.hashes(begin, np.minimum(begin + k, end)), np.uint64(0)) for k in heads]
+    return slices.hashes(begin, end), begin, first
 
 
 def longs(x: np.ndarray) -> pa.Array:

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modspark.llm import chat_format, mixing, near_dedup, quality_rules, suffix_dedup, url_filter
+from modspark.llm import (
+    chat_format,
+    decontaminate,
+    mixing,
+    near_dedup,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from modspark.llm.common import table
 from modspark.llm.registry import query
 
@@ -131,3 +140,15 @@ FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP
 @query("op7_minhash_dedup", NEAR_SQL)
 def near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_decontamination")
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_toxicity")
+def severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on about 20,000 labelled documents, scored on all."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity_scores(docs, toxicity.label_model(docs, table(spark, sf_dir, "labels")))
