@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modspark.llm import (
     chat_format,
     decontaminate,
+    html_extract,
     mixing,
     near_dedup,
     quality_rules,
     suffix_dedup,
+    token_counts,
     toxicity,
     url_filter,
 )
@@ -152,3 +155,13 @@ def severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on about 20,000 labelled documents, scored on all."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.severity_scores(docs, toxicity.label_model(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op5_token_counts")
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_html_extract")
+def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
