@@ -16,7 +16,7 @@ Bytes are compared by 64-bit hashes, in passes 2 and 3 within a digit that is eq
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -273,7 +273,7 @@ def _cut(length: int, with_text: bool):
 
 
 def _with_spans(rows: DataFrame, length: int) -> DataFrame:
-    return rows.join(_grouped(repeated_spans(rows, length)), "_row", "left")
+    return rows.join(_grouped(repeated_spans(rows.select("_row", "_text"), length)), "_row", "left")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
@@ -291,11 +291,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return done.withColumnRenamed("_id", id_col)
 
 
-def kept_texts(rows: DataFrame, length: int = 100) -> DataFrame:
-    """``(_row, _id, _kept)``: the texts of ``rows`` (see ``ordered_rows``) without repeats.
+def kept_texts(rows: DataFrame, length: int = 100, keep: Sequence[str] = ("_row", "_id")) -> DataFrame:
+    """``keep`` and ``_kept``: the texts of ``rows`` (see ``keyed``) without repeats.
 
     A character goes only if all its bytes do, so that what is left is text.
     """
-    return _with_spans(rows, length).select("_row", "_id", "_text", "_starts", "_counts").mapInArrow(
-        _cut(length, True), "_row long, _id long, _kept string"
-    )
+    cut = _with_spans(rows, length).select(*keep, "_text", "_starts", "_counts")
+    kinds = ", ".join(f"{c} {cut.schema[c].dataType.simpleString()}" for c in keep)
+    return cut.mapInArrow(_cut(length, True), f"{kinds}, _kept string")
