@@ -103,11 +103,9 @@ def format_chats(
     moves = F.create_map(*[F.lit(x) for (state, r), to in template.transitions.items() for x in (f"{state}\n{r}", to)])
 
     def step(at: Column, t: Column) -> Column:
-        to = F.try_element_at(moves, F.concat(at["state"], F.lit("\n"), t["role"]))
-        stuck = at["state"].isNull() | to.isNull()
-        return F.struct(
-            F.when(~stuck, to).alias("state"), (at["n"] + F.when(stuck, 0).otherwise(1)).alias("n")
-        )
+        # The empty state is the one that no role leaves.
+        to = F.coalesce(F.try_element_at(moves, F.concat(at["state"], F.lit("\n"), t["role"])), F.lit(""))
+        return F.struct(to.alias("state"), (at["n"] + F.when(to == "", 0).otherwise(1)).alias("n"))
 
     walk = F.aggregate(
         "_turns", F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("n")), step
@@ -115,7 +113,7 @@ def format_chats(
     built = compute_once(
         gathered, segments=F.flatten(F.transform("_turns", segments)), _walk=walk
     )
-    valid = F.coalesce(F.col("_walk")["state"].isin(*template.accepted), F.lit(False))
+    valid = F.col("_walk")["state"].isin(*template.accepted)
     return built.select(
         F.col("_conv").alias(conv), "segments",
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
