@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modspark.operators.rows import compute_once
-from modspark.scratch import settle
+from modspark.scratch import settle as _settle
 
 __all__ = ["BLANKS", "WORD_GAP", "compute_once", "freed_shuffles", "keyed", "ordered_rows", "settle",
            "table", "words"]
@@ -26,6 +26,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
 
 
+def settle(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Keep a frame as a table in the shared folder and read it back; ``parts`` bounds the number of
+    files of one that is known to be small."""
+    return _settle(df if parts is None else df.coalesce(parts))
+
+
 @contextmanager
 def freed_shuffles(spark: SparkSession):
     """Inside, the shuffle files of each query are removed when it ends.

@@ -17,22 +17,26 @@ def components(links: DataFrame) -> DataFrame:
     grouping that is combined inside tasks, so a node with very many links is no hot key.
     """
     edges = settle(links.filter("x <> y").select("x", "y").distinct())
+    n = edges.count()
     nodes = edges.select(F.col("x").alias("node")).union(edges.select("y")).distinct()
-    at = settle(nodes.withColumn("comp", F.col("node")))
-    turn = 0
-    while edges.limit(1).count():
+    moves = []
+    while n:
+        turn, parts = len(moves), 1 + n // 20_000
         both = edges.union(edges.select("y", "x"))
         near = both.groupBy("x").agg(F.min(F.struct(F.xxhash64("y", F.lit(turn)).alias("h"), "y")).alias("near"))
         own = F.xxhash64("x", F.lit(turn))
         moved = settle(near.select(
             F.col("x").alias("comp"), F.when(F.col("near.h") < own, F.col("near.y")).otherwise(F.col("x")).alias("to"),
-        ))
-        at = settle(at.join(moved, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+        ), parts)
+        moves.append(moved)
         first = moved.select(F.col("comp").alias("x"), F.col("to").alias("a"))
         second = moved.select(F.col("comp").alias("y"), F.col("to").alias("b"))
         edges = settle(
             edges.join(first, "x").join(second, "y").filter("a <> b")
-            .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+            .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct(), parts
         )
-        turn += 1
-    return at
+        n = edges.count()
+    at = nodes.withColumn("comp", F.col("node"))
+    for moved in moves:
+        at = at.join(moved, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    return settle(at)

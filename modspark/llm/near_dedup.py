@@ -23,6 +23,7 @@ from modspark.llm.kernels import IS_BLANK, longs, mix, word_groups
 from modspark.operators.joins import lookup_join
 
 BANDS, ROWS_PER_BAND = 32, 5
+CELL_SHINGLES = 2_000_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                      0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD95, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -106,19 +107,44 @@ def _sketch(width: int, bands: int, rows: int):
     return run
 
 
+class _Cell:
+    """The sets of the rows of one cell, and the test of a pair."""
+
+    def __init__(self, percent: int):
+        self.percent, self.key, self.sets = percent, None, {}
+
+    def linked(self, x: int, y: int) -> bool:
+        a, b = self.sets[x], self.sets[y]
+        if len(a) < len(b):
+            a, b = b, a
+        place = a.searchsorted(b)
+        place[place == len(a)] = 0
+        common = int(np.count_nonzero(a[place] == b))
+        return common > 0 and 100 * common >= self.percent * (len(a) + len(b) - common)
+
+
 def _linked(width: int, percent: int):
-    """Pairs whose sets have ``100 * common >= percent * union``; sets of a batch are made side by side."""
+    """From rows in order of (cell, text first): pairs with ``100 * common >= percent * union``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = _Cell(percent)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                left = [s for _, sets in shingle_sets(part.column("a"), width) for s in sets]
-                right = [s for _, sets in shingle_sets(part.column("b"), width) for s in sets]
-                common = np.array([len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(left, right, strict=True)])
-                sizes = np.array([len(a) + len(b) for a, b in zip(left, right, strict=True)])
-                linked = pa.array((common > 0) & (100 * common >= percent * (sizes - common)))
-                yield pa.RecordBatch.from_arrays([part.column("x"), part.column("y"), linked], names=["x", "y", "linked"])
+            keys, pair = batch.column("cell").to_pylist(), np.asarray(batch.column("pair"))
+            xs, ys = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            texts = np.flatnonzero(~pair)
+            made = iter([s for _, sets in shingle_sets(batch.column("t").take(pa.array(texts)), width) for s in sets])
+            found = []
+            for key, is_pair, x, y in zip(keys, pair.tolist(), xs, ys, strict=True):
+                if key != cell.key:
+                    cell.key, cell.sets = key, {}
+                if not is_pair:
+                    cell.sets[x] = next(made)
+                elif cell.linked(x, y):
+                    found.append((x, y))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], type=pa.int64()), pa.array([f[1] for f in found], type=pa.int64())],
+                names=["x", "y"],
+            )
 
     return run
 
@@ -147,10 +173,10 @@ def near_duplicate_rows(
     1 - 3e-6, higher ones with more.
 
     Equal sets are one class, found by grouping; only its first row goes on.  Within a band's bucket
-    no pairs of members that are connected already are looked at: first every member is compared
-    with the bucket's first row, then with its last, and at the end only members of buckets that
-    still hold several components, across those components and with fitting sizes.  That leaves no
-    candidate pair undecided and none is dropped.
+    every member is first compared with the bucket's first row.  Buckets that then still hold several
+    components are taken whole: an index of their shingles tells what each member outside the
+    largest component shares with all others.  So no pairs are written out, and none is left
+    undecided.
 
     Missing and empty texts have no shingles and are linked with nothing.  Missing ids come first,
     and rows that share an id are documents of their own (``ordered_rows``); repeated rows are copies.
@@ -170,17 +196,13 @@ def near_duplicate_rows(
         shared = entries.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
         buckets = settle(entries.join(shared, "band"))
         texts = settle(rows.select("_row", "_text").join(buckets.select("_row").distinct(), "_row", "left_semi"))
-        at = settle(buckets.select(F.col("_row").alias("node")).distinct().withColumn("comp", F.col("node")))
-        links = tried = None
-        for how in ("first", "last", "all"):
-            pairs = settle(_pairs(buckets, at, how, percent, tried))
-            found = settle(_checked(pairs, texts, width, percent).filter("linked").select("x", "y"))
-            tried = pairs if tried is None else tried.unionByName(pairs)
-            links = found if links is None else links.unionByName(found)
-            merged = components(links)
-            at = settle(
-                at.select("node").join(merged, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
-            )
+        nodes = settle(buckets.select(F.col("_row").alias("node")).distinct())
+        links = settle(_checked(settle(_first_pairs(buckets, percent)), texts, width, percent))
+        at = _placed(nodes, links)
+        placed = settle(_open(buckets.join(at.withColumnRenamed("node", "_row"), "_row")))
+        if placed.limit(1).count():
+            links = links.unionByName(settle(_cross_links(placed, texts, width, percent)))
+            at = _placed(nodes, links)
         low = settle(at.groupBy("comp").agg(F.min("node").alias("_low")))
         lows = at.join(low, "comp").filter("node <> _low").select(F.col("node").alias("_first"), "_low")
         home = settle(lookup_join(classes, lows, "_first", ["_row"], "left").select(
@@ -197,28 +219,116 @@ def near_duplicate_rows(
     )
 
 
-def _pairs(buckets: DataFrame, at: DataFrame, how: str, percent: int, tried: DataFrame | None) -> DataFrame:
-    """Pairs ``x < y`` of rows of one bucket in different components whose sizes allow a link."""
-    placed = buckets.join(at.withColumnRenamed("node", "_row"), "_row")
+def _placed(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, comp)`` for all nodes; one without links is its own component."""
+    merged = components(links)
+    return settle(nodes.join(merged, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")))
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """Entries of the buckets that hold several components."""
     several = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    placed = placed.join(several.select("band"), "band")
-    if how == "all":
-        other = placed
-    else:
-        pick = F.min if how == "first" else F.max
-        other = placed.groupBy("band").agg(pick(F.struct("_row", "n", "comp")).alias("p")).select("band", "p.*")
-    other = other.select("band", F.col("_row").alias("o"), F.col("n").alias("m"), F.col("comp").alias("c"))
-    different = F.col("comp") < F.col("c") if how == "all" else F.col("comp") != F.col("c")
+    return placed.join(several.select("band"), "band")
+
+
+def _first_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """Each entry of a bucket with the bucket's first row."""
+    first = placed.groupBy("band").agg(F.min(F.struct("_row", "n")).alias("p")).select(
+        "band", F.col("p._row").alias("x"), F.col("p.n").alias("m")
+    )
     fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    pairs = placed.join(other, "band").filter(different & fits).select(
-        F.least("_row", "o").alias("x"), F.greatest("_row", "o").alias("y")
-    ).distinct()
-    return pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti")
+    return _distinct_pairs(placed.join(first, "band").filter((F.col("_row") != F.col("x")) & fits).select(
+        "x", F.col("_row").alias("y"), "band", "n", "m"
+    ))
+
+
+def _distinct_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("x", "y").agg(F.min("band").alias("band"), F.first(F.col("n") + F.col("m")).alias("size"))
+
+
+def _links_across(rows: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between rows of different components of a cell, one for each row and component it reaches.
+
+    Every row outside the largest component counts what it shares with all rows of the cell through
+    an index of their shingles.
+    """
+    names, number, counts = np.unique(comps, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return []
+    sizes = np.array([len(s) for s in sets])
+    shingles, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owner = shingles[order], owner[order]
+    links = []
+    for i in np.flatnonzero(number != counts.argmax()):
+        lo = np.searchsorted(shingles, sets[i], side="left")
+        n = np.searchsorted(shingles, sets[i], side="right") - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(owner[at], minlength=len(sets))
+        linked = np.flatnonzero(
+            (number != number[i]) & (common > 0) & (100 * common >= percent * (sizes + sizes[i] - common))
+        )
+        _, first = np.unique(number[linked], return_index=True)
+        links += [(int(rows[i]), int(rows[j])) for j in linked[first]]
+    return links
+
+
+def _across(width: int, percent: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done() -> pa.RecordBatch:
+            links = _links_across(np.array(held[0]), np.array(held[1]), held[2], percent) if held[0] else []
+            x, y = zip(*links, strict=True) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()), pa.array(y, type=pa.int64())], names=["x", "y"])
+
+        key, held = None, ([], [], [])
+        for batch in batches:
+            sets = (s for _, group in shingle_sets(batch.column("_text"), width) for s in group)
+            columns = (batch.column(c).to_pylist() for c in ("cell", "_row", "comp"))
+            for cell, row, comp, own in zip(*columns, sets, strict=True):
+                if cell != key:
+                    yield done()
+                    key, held = cell, ([], [], [])
+                for values, value in zip(held, (row, comp, own), strict=True):
+                    values.append(value)
+        yield done()
+
+    return run
+
+
+def _cross_links(placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components inside buckets, found bucket by bucket without making pairs.
+
+    A bucket of more than ``CELL_SHINGLES`` is cut into parts by a hash of the rows, with a cell for
+    every two parts, so a task holds a bounded number of sets and still all rows meet.
+    """
+    large = placed.groupBy("band").agg(F.sum("n").alias("s")).filter(F.col("s") > CELL_SHINGLES).select(
+        "band", F.ceil(2 * F.col("s") / CELL_SHINGLES).cast("int").alias("parts")
+    )
+    part = F.pmod(F.xxhash64("_row"), F.col("parts")).cast("int")
+    members = placed.join(large, "band", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).select(
+        "band", "_row", "comp", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    ).select(F.xxhash64("band", F.least("part", "other"), F.greatest("part", "other")).alias("cell"), "_row", "comp")
+    return (
+        members.join(texts, "_row").select("cell", "_row", "comp", "_text").repartition("cell")
+        .sortWithinPartitions("cell", "_row").mapInArrow(_across(width, percent), "x long, y long")
+    )
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    with_texts = (
-        pairs.join(texts.select(F.col("_row").alias("x"), F.col("_text").alias("a")), "x")
-        .join(texts.select(F.col("_row").alias("y"), F.col("_text").alias("b")), "y").select("x", "y", "a", "b")
+    """The linked pairs.  Pairs of a bucket form a cell, to which each text goes once however many
+    pairs it is in; a bucket whose pairs hold more than ``CELL_SHINGLES`` is cut into a grid of cells
+    by hashes of both rows, which bounds what a task holds at a time."""
+    grid = pairs.groupBy("band").agg(F.sum("size").alias("s")).filter(F.col("s") > CELL_SHINGLES)
+    grid = grid.select("band", F.ceil(F.sqrt(F.col("s") / CELL_SHINGLES)).cast("int").alias("g"))
+    g = F.coalesce("g", F.lit(1))
+    celled = pairs.join(grid, "band", "left").select(
+        F.xxhash64("band", F.pmod(F.xxhash64("x"), g), F.pmod(F.xxhash64("y"), g)).alias("cell"), "x", "y"
+    )
+    members = celled.select("cell", "x").union(celled.select("cell", "y")).distinct()
+    with_texts = members.join(texts.select(F.col("_row").alias("x"), "_text"), "x").select(
+        "cell", F.lit(False).alias("pair"), "x", F.col("x").alias("y"), F.col("_text").alias("t")
+    )
+    tests = celled.select("cell", F.lit(True).alias("pair"), "x", "y", F.lit(None).cast("string").alias("t"))
+    return with_texts.unionByName(tests).repartition("cell").sortWithinPartitions("cell", "pair", "x").mapInArrow(
+        _linked(width, percent), "x long, y long"
     )
-    return with_texts.mapInArrow(_linked(width, percent), "x long, y long, linked boolean")
