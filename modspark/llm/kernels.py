@@ -11,7 +11,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 17
 _MASK = (1 << 64) - 1
 _BASE = 0xD6E8FEB86659FD93  # 3 modulo 8, so that its powers repeat late
 _MIX = np.uint64(0xFF51AFD7ED558CCD)

@@ -3,7 +3,7 @@
 Two suffixes need no further order than their first ``length`` bytes: those that are equal so far are
 the repeated windows.  The passes, most significant digit first:
 
-1. A window's first digit is the gram of ``gram`` bytes with the smallest hash inside it.  It
+1. A window's first digit is the gram of ``GRAM`` bytes with the smallest hash inside it.  It
    depends on the window alone, so equal windows share it, and neighbouring windows mostly share it
    too: such a run of windows is one row.  A digit that occurs once is finished.
 2. Runs with equal digit are ordered by all bytes that their windows span.  Equal runs are copies
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from modspark.llm.common import freed_shuffles, ordered_rows, settle
 from modspark.llm.kernels import Slices, longs, pieces
 
-GRAM = 24
-ROWS_HELD = 1 << 19
+GRAM = 40
+ROWS_HELD = 1 << 18
 POSITION_BITS = 21
 
 RUNS = "a long, h long, d long, s int, n int, known boolean"
