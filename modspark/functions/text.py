@@ -16,8 +16,8 @@ _PLACED_TYPE = "array<struct<begin:int,end:int,type:string,score:double>>"
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case runs of letters, in order; a missing text has none."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+    """Lower-case runs of letters and their marks, in order; a missing text has none."""
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}]+"), lambda w: w != "")
     return F.coalesce(words, F.array().cast("array<string>"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from modspark.functions import text as T
 from modspark.operators.joins import BROADCAST_BYTES, lookup_join
+from modspark.operators.rows import with_row_id
 
 MAX_CLASSES = 1000
 
@@ -55,68 +56,81 @@ def load_classifier(spark: SparkSession, path: str) -> ClassifierModel:
 
 
 def prompt_safety(
-    df: DataFrame, model: ClassifierModel, text: str = "text", id_col: str = "doc_id", digits: int = 4
+    df: DataFrame, model: ClassifierModel, text: str = "text", id_col: str | None = None, digits: int = 4
 ) -> DataFrame:
     """Add ``prompt_class``, ``prompt_score`` (its share of the probability) and ``prompt_log_score``.
 
     Laplace smoothing by 1; words the model has not seen are left out; at log scores equal to
-    ``digits`` decimals the larger class name wins.
+    ``digits`` decimals the larger class name wins.  Every row is scored on its own, also rows whose
+    ids repeat or are missing; ``id_col`` is accepted and not needed.
     """
-    classes = [tuple(r) for r in model.classes.select("class", "n_docs", "n_words")
-               .orderBy("class").limit(MAX_CLASSES + 1).collect()]
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    n_docs = sum(r[1] for r in classes)
-    names = [r[0] for r in classes]
-    gain = {c: f"_g{i}" for i, c in enumerate(names)}
-
-    def gained(c: str):
-        n = F.max(F.when(F.col("class") == c, F.col("n")))
-        return F.log(F.coalesce(n, F.lit(0)) + 1.0)
-
-    vocabulary = model.words.groupBy("word").agg(*[gained(c).alias(g) for c, g in gain.items()])
-    n_vocabulary, letters = vocabulary.agg(
-        F.count("*"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))
-    ).head()
-    model_bytes = letters + n_vocabulary * 8 * (len(names) + 2)
-    # The words of a text sit in one task, so with a broadcast model the sums below are complete
-    # before the shuffle and one row per text crosses the network.
-    in_text = df.select(id_col, F.explode(T.tokens(F.col(text))).alias("word"))
-    known = lookup_join(
-        in_text, vocabulary, "word", [id_col], "inner",
-        small=model_bytes <= BROADCAST_BYTES,
-    )
-    sums = known.groupBy(id_col).agg(
-        F.count("*").alias("_n"), *[F.sum(g).alias(g) for g in gain.values()]
-    )
-    scores = F.array(
-        *[
-            F.struct(
-                F.round(
-                    F.log(F.lit(docs / n_docs))
-                    + F.coalesce(F.col(gain[c]), F.lit(0.0))
-                    - F.coalesce(F.col("_n"), F.lit(0)) * F.log(F.lit(float(words + n_vocabulary))),
-                    digits,
-                ).alias("score"),
-                F.lit(c).alias("class"),
+    rows = with_row_id(df)
+    scorer = PromptScorer(model)
+    joined = rows.join(scorer.word_sums(rows.select("_rid", text), text), "_rid", "left")
+    return scorer.with_class(joined, digits).drop("_rid")
+
+
+class PromptScorer:
+    """A model made ready: sums of word scores per row, and the class they lead to."""
+
+    def __init__(self, model: ClassifierModel):
+        self.classes = [tuple(r) for r in model.classes.select("class", "n_docs", "n_words")
+                        .orderBy("class").limit(MAX_CLASSES + 1).collect()]
+        if len(self.classes) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes")
+        self.gain = {r[0]: f"_g{i}" for i, r in enumerate(self.classes)}
+
+        def gained(c: str):
+            n = F.max(F.when(F.col("class") == c, F.col("n")))
+            return F.log(F.coalesce(n, F.lit(0)) + 1.0)
+
+        self.vocabulary = model.words.groupBy("word").agg(*[gained(c).alias(g) for c, g in self.gain.items()])
+        self.n_vocabulary, letters = self.vocabulary.agg(
+            F.count("*"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))
+        ).head()
+        self.small = letters + self.n_vocabulary * 8 * (len(self.classes) + 2) <= BROADCAST_BYTES
+
+    def word_sums(self, rows: DataFrame, text: str) -> DataFrame:
+        """``_rid``, ``_n`` and a sum per class, for the rows that have known words.
+
+        The words of a text sit in one task, so with a broadcast model the sums are complete before
+        the shuffle and one row per text crosses the network.
+        """
+        in_text = rows.select("_rid", F.explode(T.tokens(F.col(text))).alias("word"))
+        known = lookup_join(in_text, self.vocabulary, "word", ["_rid"], "inner", small=self.small)
+        return known.groupBy("_rid").agg(
+            F.count("*").alias("_n"), *[F.sum(g).alias(g) for g in self.gain.values()]
+        )
+
+    def with_class(self, df: DataFrame, digits: int = 4) -> DataFrame:
+        n_docs = sum(r[1] for r in self.classes)
+        scores = F.array(
+            *[
+                F.struct(
+                    F.round(
+                        F.log(F.lit(docs / n_docs))
+                        + F.coalesce(F.col(self.gain[c]), F.lit(0.0))
+                        - F.coalesce(F.col("_n"), F.lit(0)) * F.log(F.lit(float(words + self.n_vocabulary))),
+                        digits,
+                    ).alias("score"),
+                    F.lit(c).alias("class"),
+                )
+                for c, docs, words in self.classes
+            ]
+        )
+        best = F.array_max("_scores")
+        share = 1.0 / F.aggregate(
+            "_scores", F.lit(0.0), lambda acc, s: acc + F.exp(s["score"] - F.col("_best")["score"])
+        )
+        return (
+            df.withColumn("_scores", scores)
+            .withColumn("_best", best)
+            .withColumns(
+                {
+                    "prompt_class": F.col("_best")["class"],
+                    "prompt_score": share,
+                    "prompt_log_score": F.col("_best")["score"],
+                }
             )
-            for c, docs, words in classes
-        ]
-    )
-    best = F.array_max("_scores")
-    share = 1.0 / F.aggregate(
-        "_scores", F.lit(0.0), lambda acc, s: acc + F.exp(s["score"] - F.col("_best")["score"])
-    )
-    return (
-        df.join(sums, id_col, "left")
-        .withColumn("_scores", scores)
-        .withColumn("_best", best)
-        .withColumns(
-            {
-                "prompt_class": F.col("_best")["class"],
-                "prompt_score": share,
-                "prompt_log_score": F.col("_best")["score"],
-            }
+            .drop("_scores", "_best", "_n", *self.gain.values())
         )
-        .drop("_scores", "_best", "_n", *gain.values())
-    )

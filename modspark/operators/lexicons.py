@@ -2,7 +2,7 @@
 
 Two plans with equal results.  A lexicon of at most ``INLINE_LIMIT`` rows becomes hash sets inside
 the plan: every text is scored in place and nothing is shuffled.  A larger lexicon is joined to the
-words of the text, which needs a row id.
+words of the text by a row id made here; ``id_col`` is accepted and not needed.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from modspark.functions import text as T
 from modspark.operators.joins import INLINE_LIMIT, column, lookup_join, rows_or_frame
-from modspark.operators.rows import compute_once
+from modspark.operators.rows import compute_once, with_row_id
 
 ANY = "*"
 
@@ -44,7 +44,7 @@ def count_hits(
     rows, frame = rows_or_frame(lexicon, ["class", "word", "lang"], inline_limit)
     lang = column(lang)
     if rows is None:
-        return _count_hits_by_join(df, frame, classes, tokens, lang, id_col, prefix)
+        return _count_hits_by_join(df, frame, classes, tokens, lang, prefix)
 
     words: dict[tuple[str, str], set[str]] = defaultdict(set)
     for cls, word, code in rows:
@@ -71,14 +71,13 @@ def count_hits(
     return pruned.withColumns(counts).drop("_known", "_code")
 
 
-def _count_hits_by_join(df, lexicon, classes, tokens, lang, id_col, prefix) -> DataFrame:
-    if id_col is None:
-        raise ValueError("a lexicon beyond the inline limit needs id_col, a unique row id")
+def _count_hits_by_join(df, lexicon, classes, tokens, lang, prefix) -> DataFrame:
+    df = with_row_id(df)
     entries = lexicon.groupBy("word").agg(
         F.collect_set(F.struct(F.col("class"), F.col("lang"))).alias("_entries")
     )
-    words = df.select(id_col, lang.alias("_lang"), F.explode(tokens).alias("word"))
-    found = lookup_join(words, entries, "word", [id_col], "inner")
+    words = df.select("_rid", lang.alias("_lang"), F.explode(tokens).alias("word"))
+    found = lookup_join(words, entries, "word", ["_rid"], "inner")
 
     def in_class(cls: str) -> Column:
         return F.exists(
@@ -91,8 +90,8 @@ def _count_hits_by_join(df, lexicon, classes, tokens, lang, id_col, prefix) -> D
         F.count(F.when(in_class(c), 1)).cast("int").alias(f"{prefix}{c}")
         for c in classes
     ]
-    per_text = found.groupBy(id_col).agg(*sums)
-    joined = df.join(per_text, id_col, "left")
+    per_text = found.groupBy("_rid").agg(*sums)
+    joined = df.join(per_text, "_rid", "left").drop("_rid")
     return joined.withColumns(
         {f"{prefix}{c}": F.coalesce(F.col(f"{prefix}{c}"), F.lit(0)) for c in classes}
     )
@@ -119,7 +118,7 @@ def policy_hits(
     rows, frame = rows_or_frame(policy, columns, inline_limit)
     lang = column(lang)
     if rows is None:
-        return _policy_hits_by_join(df, frame, tokens, lang, id_col)
+        return _policy_hits_by_join(df, frame, tokens, lang)
 
     phrases: dict[tuple[int, str], set[str]] = defaultdict(set)
     names: dict[int, str] = {}
@@ -157,20 +156,19 @@ def policy_hits(
     ).drop("_found", "_code")
 
 
-def _policy_hits_by_join(df, policy, tokens, lang, id_col) -> DataFrame:
-    if id_col is None:
-        raise ValueError("a policy beyond the inline limit needs id_col, a unique row id")
+def _policy_hits_by_join(df, policy, tokens, lang) -> DataFrame:
+    df = with_row_id(df)
     words = F.size(F.split("phrase", " "))
     sizes = [r[0] for r in policy.select(words).distinct().collect()]
     entries = policy.groupBy("phrase").agg(
         F.collect_set(F.struct("category_no", "category", "lang")).alias("_entries")
     )
     grams = df.select(
-        id_col,
+        "_rid",
         lang.alias("_lang"),
         F.explode(T.n_grams(F.col(tokens), sizes)).alias("phrase"),
     )
-    found = lookup_join(grams, entries, "phrase", [id_col], "inner")
+    found = lookup_join(grams, entries, "phrase", ["_rid"], "inner")
     applies = F.filter(
         "_entries",
         lambda e: (e["lang"] == ANY) | F.coalesce(e["lang"] == F.col("_lang"), F.lit(False)),
@@ -181,15 +179,15 @@ def _policy_hits_by_join(df, policy, tokens, lang, id_col) -> DataFrame:
                                                 e["category"].alias("category")))
     )
     per_category = (
-        found.select(id_col, "phrase", F.explode(categories).alias("c"))
-        .groupBy(id_col, "c.category_no", "c.category")
+        found.select("_rid", "phrase", F.explode(categories).alias("c"))
+        .groupBy("_rid", "c.category_no", "c.category")
         .agg(F.count("*").cast("int").alias("n"), F.collect_set("phrase").alias("_phrases"))
     )
-    per_text = per_category.groupBy(id_col).agg(
+    per_text = per_category.groupBy("_rid").agg(
         F.array_sort(F.collect_list(F.struct("category_no", "category", "n"))).alias("policy_counts"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_phrases")))).alias("policy_matched"),
     )
-    return df.join(per_text, id_col, "left").withColumns(
+    return df.join(per_text, "_rid", "left").drop("_rid").withColumns(
         {
             "policy_counts": F.coalesce(
                 F.col("policy_counts").cast(POLICY_COUNTS), F.array().cast(POLICY_COUNTS)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +25,8 @@ def running_position(
 ) -> DataFrame:
     """Add how many rows (or how much ``weight``) precede each row within ``keys``.
 
-    ``block`` is a number that does not decrease along ``order``; keys must not be NULL.  Rows are
+    ``block`` is a number that does not decrease along ``order``.  Rows without a key belong together,
+    and rows without a block come last in their key.  Rows are
     numbered inside (keys, block), so a key that holds a third of all rows is still spread over its
     blocks.  What precedes a block is found the same way from one row per block, ``levels`` times;
     only the last, tiny sum runs over a whole key.
@@ -37,21 +40,25 @@ def running_position(
             counts.withColumnRenamed("_block", "_b").withColumnRenamed("_in_block", "_n"),
             keys,
             F.floor(F.col("_b") / BLOCKS_PER_GROUP),
-            [F.col("_b")],
+            [F.col("_b").asc_nulls_last()],
             "_earlier",
             F.col("_n"),
             levels - 1,
         ).select(*keys, F.col("_b").alias("_block"), F.col("_earlier").alias("_before"))
     else:
-        so_far = F.sum("_in_block").over(Window.partitionBy(*keys).orderBy("_block"))
+        so_far = F.sum("_in_block").over(
+            Window.partitionBy(*keys).orderBy(F.col("_block").asc_nulls_last())
+        )
         earlier = counts.select(*by_block, (so_far - F.col("_in_block")).alias("_before"))
     inside = Window.partitionBy(*by_block).orderBy(*order)
     numbered = blocked.withColumn(
         "_inside",
         F.sum("_weight").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_weight"),
     )
+    other = earlier.select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(by_block)], "_before")
+    same = reduce(and_, [numbered[c].eqNullSafe(other[f"_of_{i}"]) for i, c in enumerate(by_block)])
     return (
-        numbered.join(earlier, by_block)
+        numbered.join(other, same)
         .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop("_block", "_weight", "_before", "_inside")
+        .drop("_block", "_weight", "_before", "_inside", *[f"_of_{i}" for i in range(len(by_block))])
     )

@@ -93,7 +93,8 @@ def with_transcript_key(df: DataFrame, key: str = "key") -> DataFrame:
 
 
 def needs_translation(df: DataFrame, lang: str = "lang") -> DataFrame:
-    return df.filter(F.col(lang) != "en")
+    """Texts that are not English, or of which the language is not known."""
+    return df.filter(~F.col(lang).eqNullSafe("en"))
 
 
 def min_confidence(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modspark.scratch import settle
+
 
 def explode_rows(
     df: DataFrame, keep: Sequence[str | Column], array: str | Column, item: str, position: str = "_pos"
@@ -32,3 +34,12 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     row = F.struct(*[c.alias(name) for name, c in columns.items()])
     return df.select("*", F.inline_outer(F.array(row)))
+
+
+def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
+    """Add a long that is each row's own, whatever ids the rows have, also repeated or missing ones.
+
+    The rows are kept as a table, so both sides of a later join see the same numbers, also after a
+    lost executor.
+    """
+    return settle(df.withColumn(name, F.monotonically_increasing_id()))

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from modspark import defaults
 from modspark.operators import policy as P
 from modspark.operators import scoring as S
-from modspark.operators.classifier import ClassifierModel, prompt_safety
+from modspark.operators.classifier import ClassifierModel, PromptScorer
 from modspark.operators.joins import INLINE_LIMIT
 from modspark.operators.routing import negative_flag
+from modspark.operators.rows import with_row_id
 from modspark.operators.select import first_pii, top_language
 
 
@@ -95,17 +96,20 @@ def analyze_text(
         english.withColumn("_scored", F.coalesce("english", text))
         .withColumn("_lang", F.when(F.col("pending"), F.col("lang")).otherwise(F.lit("en")))
     )
-    scored = S.with_tokens(scored, "_scored")
+    # The words for the model branch off before any score, so nothing is scored twice.
+    keyed = with_row_id(scored)
+    scorer = PromptScorer(model)
+    sums = scorer.word_sums(keyed.select("_rid", "_scored"), "_scored")
+    scored = S.with_tokens(keyed, "_scored")
     scored = S.sentiment(scored, lexicon, lang="_lang", id_col=id_col)
     scored = S.toxicity(scored, toxic_lexicon, lang="_lang", id_col=id_col)
     scored = first_pii(S.with_pii(negative_flag(scored), patterns, "_scored"))
-    # Only word counts travel to the model; the text is pruned before the join by id.
+    # Scores and word sums meet by row, without the text.
     summary = scored.select(
-        id_col, "lang", "pending", "sentiment", "sentiment_negative", "negative_score", "pii_type",
-        "pii_score", "toxicity", "toxicity_labels", "_scored",
+        "_rid", id_col, "lang", "pending", "sentiment", "sentiment_negative", "negative_score", "pii_type",
+        "pii_score", "toxicity", "toxicity_labels",
     )
-    return prompt_safety(summary, model, "_scored", id_col).drop("_scored")
-
+    return scorer.with_class(summary.join(sums, "_rid", "left")).drop("_rid")
 
 
 def safety_record(

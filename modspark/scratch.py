@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,16 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def scratch_folder(spark: SparkSession, name: str = "modspark") -> str:
-    """A new path under ``spark.checkpoint.dir``; only a session without it uses a local folder."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    """A new path under ``spark.checkpoint.dir`` or the context's checkpoint folder.
+
+    A session with neither uses a local folder if it is local itself; on a cluster executors would
+    each write to their own disk, so there it is an error.
+    """
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[[^]]*\])?$", master):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all machines of {master} share")
         root = tempfile.mkdtemp(prefix="modspark-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +14,9 @@ MODALITY_COLUMNS = {
     "Text_moderation": "text",
 }
 
+#: When a record was put, in microseconds; part of the store, not of what is read back.
+PUT_TIME = "_put_at"
+
 
 def result_documents(df: DataFrame, modalities: dict[str, str] = MODALITY_COLUMNS) -> DataFrame:
     """Objects with at least one modality result, plus ``modality`` (joined by ``+``)."""
@@ -47,46 +50,41 @@ def upsert_latest(
     df: DataFrame,
     store: str,
     key: str | Sequence[str],
-    order_by: Sequence[str] = (),
-    batch_id: int | None = None,
-) -> int:
-    """Put records into a keyed store; a new record replaces the old one whole.
-
-    A put writes only its own rows, as ``batch_id=N/``, and readers merge.  Writing the same
-    ``batch_id`` again replaces that batch, so a replayed stream batch changes nothing.  A store
-    that does not exist yet is created.  Without ``order_by`` a later put wins, and the records of
-    one put should have different keys.
+    order_by: Sequence[str],
+    *,
+    writer: str | None = None,
+    batch_id: int = 0,
+) -> str:
+    """Put records into a keyed store; a new record replaces the old one whole.  Returns the writer.
+
+    A put writes only its own rows, as ``writer=W/batch_id=N/``, and readers merge.  Without
+    ``writer`` every put is a writer of its own, so puts never touch each other's rows.  The same
+    writer writing the same batch again replaces that batch, so a replayed stream batch changes
+    nothing.  A store that does not exist yet is created.  ``order_by`` decides between records of
+    one key; at equal values the later put wins.
     """
-    if batch_id is None:
-        batch_id = _next_batch(df.sparkSession, store)
-    order = list(order_by)
-    rows = latest_per_key(df, key, order) if order else df.dropDuplicates(
-        [key] if isinstance(key, str) else list(key)
-    )
-    rows.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
-    return batch_id
+    writer = writer or uuid.uuid4().hex
+    rows = latest_per_key(df, key, list(order_by)).withColumn(PUT_TIME, F.unix_micros(F.current_timestamp()))
+    rows.write.mode("overwrite").parquet(f"{store}/writer={writer}/batch_id={batch_id}")
+    return writer
 
 
 def read_latest(
     spark: SparkSession, store: str, key: str | Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
     """The current record per key; at equal ``order_by`` the later put wins."""
-    puts = spark.read.option("mergeSchema", "true").parquet(store)
-    return latest_per_key(puts, key, [*order_by, "batch_id"]).drop("batch_id")
+    puts = spark.read.option("mergeSchema", "true").parquet(store).withColumn(
+        "writer", F.col("writer").cast("string")
+    )
+    order = [*order_by, PUT_TIME, "writer", "batch_id"]
+    return latest_per_key(puts, key, order).drop(PUT_TIME, "writer", "batch_id")
 
 
 def compact_store(
-    spark: SparkSession, store: str, target: str, key: str | Sequence[str], order_by: Sequence[str] = ()
+    spark: SparkSession, store: str, target: str, key: str | Sequence[str], order_by: Sequence[str]
 ) -> None:
-    """Write the merged store as the first batch of a new store; the old one is left alone."""
-    current = read_latest(spark, store, key, order_by)
-    current.write.mode("overwrite").parquet(f"{target}/batch_id=0")
-
-
-def _next_batch(spark: SparkSession, store: str) -> int:
-    try:
-        known = spark.read.parquet(store)
-    except AnalysisException:
-        return 0
-    last = known.agg(F.max("batch_id")).head()[0]
-    return 0 if last is None else int(last) + 1
+    """Write the merged store as the first put of a new store; the old one is left alone.
+
+    Puts into the new store come later and so win at equal ``order_by``.
+    """
+    upsert_latest(read_latest(spark, store, key, order_by), target, key, order_by, writer="compacted")

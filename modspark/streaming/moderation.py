@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,19 +20,19 @@ def stream_moderation(
     ckpt: str,
     *,
     sides: Callable[[DataFrame], dict] | None = None,
-    watermark: str | None = "1 day",
+    watermark: str | None = None,
     available_now: bool = True,
     interval: str = "1 minute",
     **options,
 ) -> StreamingQuery:
     """New object events → moderated objects → keyed store ``out``.
 
-    Redelivered events (same bucket, key, sequencer) within the watermark are dropped; the state
-    holds only these keys.  Events that arrive later than the watermark are dropped too (counted in
-    the query's progress), so choose it beyond the longest delay, or pass None: then nothing is
-    dropped and a redelivered event merely puts the same record again.  ``sides(batch)`` returns
-    the detector frames for ``moderate_objects``.  A batch is written under its batch id, so a
-    replay after a failure replaces it.
+    By default no event is dropped: a redelivered one merely puts the same record again.  With a
+    ``watermark``, redelivered events (same bucket, key, sequencer) within it are dropped and the
+    state holds only these keys; events that arrive later than it are dropped too (counted in the
+    query's progress), so choose it beyond the longest delay.  ``sides(batch)`` returns the detector
+    frames for ``moderate_objects``.  A batch is written under the query's id and its batch id: a
+    replay after a failure replaces it, and a query with a new checkpoint replaces nothing.
     """
     fresh = read_object_events(spark, in_dir, streaming=True)
     if watermark is not None:
@@ -42,10 +43,27 @@ def stream_moderation(
     def put(batch: DataFrame, batch_id: int) -> None:
         frames = sides(batch) if sides else {}
         upsert_latest(
-            moderate_objects(batch, **frames, **options), out, "file_uri", ["sequencer"], batch_id
+            moderate_objects(batch, **frames, **options), out, "file_uri", ["sequencer"],
+            writer=started.get(), batch_id=batch_id,
         )
 
+    # The query's id lives in its checkpoint.  The first batch may come before start() returns it.
+    started = _QueryId()
     writer = fresh.writeStream.foreachBatch(put).option("checkpointLocation", ckpt)
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    query = writer.trigger(**trigger).start()
+    started.set(query.id)
+    return query
+
+
+class _QueryId:
+    def __init__(self) -> None:
+        self._known, self._id = threading.Event(), ""
+
+    def set(self, value: str) -> None:
+        self._id = value
+        self._known.set()
+
+    def get(self) -> str:
+        self._known.wait()
+        return self._id

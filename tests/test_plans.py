@@ -120,11 +120,11 @@ def test_result_documents_skip_objects_without_result(spark, tmp_path):
 def test_store_keeps_the_latest_record_whole(spark, tmp_path):
     store, schema = str(tmp_path / "store"), "k STRING, v INT, note STRING"
     put = lambda rows, **o: m.upsert_latest(spark.createDataFrame(rows, schema), store, "k", ["v"], **o)
-    assert put([("a", 1, "old"), ("a", 2, "new"), ("b", 1, "x")]) == 0
-    assert put([("a", 3, None), ("b", 0, "late")]) == 1
+    put([("a", 1, "old"), ("a", 2, "new"), ("b", 1, "x")])
+    second = put([("a", 3, None), ("b", 0, "late")])
     want = {("a", 3, None), ("b", 1, "x")}
     assert {tuple(r) for r in m.read_latest(spark, store, "k", ["v"]).collect()} == want
-    assert put([("a", 3, None), ("b", 0, "late")], batch_id=1) == 1
+    assert put([("a", 3, None), ("b", 0, "late")], writer=second) == second
     assert spark.read.parquet(store).count() == 4
     assert {tuple(r) for r in m.read_latest(spark, store, "k").collect()} == {("a", 3, None), ("b", 0, "late")}
     m.compact_store(spark, store, str(tmp_path / "compact"), "k", ["v"])
@@ -166,8 +166,13 @@ def test_stream_equals_batch_and_survives_redelivery(spark, tmp_path):
     batch = {r["key"]: r for r in m.moderate_objects(m.read_object_events(spark, str(inbox)), **sides(spark)).collect()}
     assert {k: (r["Text_moderation"], r["Image_moderation"]) for k, r in got.items()} == {
         k: (r["Text_moderation"], r["Image_moderation"]) for k, r in batch.items()}
-    # The redelivered event of c.txt was dropped, so the second batch holds the new object only.
-    assert spark.read.parquet(str(tmp_path / "store")).count() == 3
+    # A query with a fresh checkpoint writes next to what is there and replaces nothing.
+    m.stream_moderation(
+        spark, str(inbox), str(tmp_path / "store"), str(tmp_path / "other"), sides=lambda _: sides(spark)
+    ).awaitTermination()
+    assert len({p.name for p in (tmp_path / "store").iterdir() if p.name.startswith("writer=")}) == 2
+    again = read_stream_result(spark, tmp_path)
+    assert {k: r["Text_moderation"] for k, r in again.items()} == {k: r["Text_moderation"] for k, r in got.items()}
 
 
 def test_notices_read_and_matched_in_batch_and_stream(spark, tmp_path):

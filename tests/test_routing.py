@@ -79,3 +79,22 @@ def test_exact_scores_keep_the_shortest_text(spark):
     from decimal import Decimal
 
     assert [r["score"] for r in df.collect()] == [Decimal(str(v)) for v in values]
+
+
+def test_unknown_language_needs_translation(spark):
+    df = spark.createDataFrame([("en",), ("de",), (None,)], "lang STRING")
+    assert sorted(str(r["lang"]) for r in m.needs_translation(df).collect()) == ["None", "de"]
+
+
+def test_positions_keep_rows_without_job_or_block(spark):
+    from pyspark.sql import functions as F
+
+    from modspark.operators.ordering import running_position
+
+    rows = [("a", 1), ("a", None), ("a", 3), (None, 1), (None, 5), (None, None)]
+    df = spark.createDataFrame(rows, "job STRING, page INT")
+    got = running_position(df, ["job"], F.col("page"), [F.col("page")], "at").collect()
+    assert sorted((str(r["job"]), str(r["page"]), r["at"]) for r in got) == [
+        ("None", "1", 0), ("None", "5", 1), ("None", "None", 2), ("a", "1", 0), ("a", "3", 1), ("a", "None", 2)]
+    pages = df.select("job", "page", F.array(F.lit("x"), F.lit("y")).alias("items"))
+    assert m.assemble_pages(pages, "job", "page", "items").count() == 12

@@ -149,12 +149,6 @@ def test_policy_hits_agree_with_brute_force_in_both_plans(spark, sf, limit):
         assert r["policy_matched"] == sorted(seen)
 
 
-def test_join_plan_without_id_is_refused(spark):
-    df = m.with_tokens(texts(spark, "x").withColumn("lang", F.lit("en")))
-    with pytest.raises(ValueError):
-        m.toxicity(df, inline_limit=0)
-
-
 def test_overlapping_and_repeated_phrases_all_count(spark):
     df = m.with_tokens(texts(spark, "graphic male nudity, pills pills a b a b a", "").withColumn("lang", F.lit("en")))
     policy = [*defaults.POLICY_PHRASES, (11, "Own", "a b a", "*")]
@@ -248,3 +242,23 @@ def test_missing_text_scores_as_empty(spark):
     r = m.moderate_text(df, lang="lang").head()
     assert (r["flag"], r["category"], r["sentiment"], r["pii"]) == (False, "", "NEUTRAL", [])
     assert m.top_language(m.detect_language(df.drop("lang"))).head()["lang"] == "und"
+
+
+def test_results_do_not_depend_on_ids_or_lexicon_size(spark):
+    df = spark.createDataFrame([(1, "smoking", "en"), (1, "hello", "en"), (None, "smoking", "en")], "doc_id INT, text STRING, lang STRING")
+    d = m.with_tokens(df)
+    for limit in (4096, 0):
+        rows = m.policy_verdict(d, [(7, "Tobacco", "smoking", "en")], inline_limit=limit).collect()
+        assert sorted((str(r["doc_id"]), r["text"], r["flag"]) for r in rows) == [
+            ("1", "hello", False), ("1", "smoking", True), ("None", "smoking", True)]
+        rows = m.toxicity(d, [("insult", "hello", "*")], inline_limit=limit).collect()
+        assert sorted((r["text"], r["toxicity"]) for r in rows) == [("hello", 0.5), ("smoking", 0.0), ("smoking", 0.0)]
+    train = spark.createDataFrame([("good day", "safe"), ("bad bad", "bad")], "text STRING, label STRING")
+    three = spark.createDataFrame([(1, "good"), (1, "bad bad"), (None, "bad bad")], "doc_id INT, text STRING")
+    got = m.prompt_safety(three, m.fit_classifier(train)).collect()
+    assert sorted((r["text"], r["prompt_class"]) for r in got) == [("bad bad", "bad"), ("bad bad", "bad"), ("good", "safe")]
+
+
+def test_marks_belong_to_words(spark):
+    r = m.with_tokens(spark.createDataFrame([("हिन्दी cafe\u0301 x",)], "text STRING")).head()
+    assert r["_tokens"] == ["हिन्दी", "cafe\u0301", "x"]

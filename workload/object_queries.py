@@ -141,7 +141,7 @@ def upsert_latest(spark, sf):
     store = scratch_folder(spark, "store")
     m.upsert_latest(e.filter("value >= 20"), store, "user_id", ["ts", "event_id"])
     second = m.upsert_latest(e.filter("value < 20"), store, "user_id", ["ts", "event_id"])
-    m.upsert_latest(e.filter("value < 20"), store, "user_id", ["ts", "event_id"], second)
+    m.upsert_latest(e.filter("value < 20"), store, "user_id", ["ts", "event_id"], writer=second)
     return m.read_latest(spark, store, "user_id", ["ts", "event_id"]).drop("ts")
 
 
@@ -171,10 +171,20 @@ def moderate_objects(spark, sf):
     images = labels.withColumn("page_id", F.regexp_extract("file_uri", "[0-9]+$", 0).cast("bigint"))
     image_side = located.join(images.drop("file_uri"), "page_id").select("file_uri", "ModerationLabels")
     talks = m.parse_transcripts(B.transcript_json(spark, sf), "payload")
-    first_part = talks.withColumn(
-        "page_id", F.regexp_extract("job_name", "^conv-([0-9]+)-0$", 1).try_cast("bigint")
-    ).filter("page_id IS NOT NULL")
-    audio_side = located.join(first_part, "page_id").select("file_uri", "segments")
+    # A long conversation is several recordings; all of them belong to its object, in order.
+    name = F.split("job_name", "-")
+    parts = talks.select(
+        F.get(name, F.lit(1)).try_cast("bigint").alias("page_id"),
+        F.struct(F.get(name, F.lit(2)).try_cast("bigint").alias("part"), "segments").alias("p"),
+    )
+
+    def by_part(x, y):
+        return F.when(x["part"] < y["part"], -1).when(x["part"] > y["part"], 1).otherwise(0)
+
+    whole = parts.groupBy("page_id").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list("p"), by_part), lambda x: x["segments"])).alias("segments")
+    )
+    audio_side = located.join(whole, "page_id").select("file_uri", "segments")
     texts = located.join(docs(spark, sf).withColumnRenamed("doc_id", "page_id"), "page_id").drop("page_id")
     result = m.moderate_objects(
         events(spark, sf), images=image_side, recordings=audio_side, texts=texts,

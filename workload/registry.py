@@ -34,4 +34,4 @@ def values(rows: Iterable[tuple], columns: str) -> str:
     return f"(VALUES {body}) AS t({columns})"
 
 
-TOKENS = r"list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda w: w <> '')"
+TOKENS = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{M}]+'), lambda w: w <> '')"

@@ -25,7 +25,7 @@ def stream_moderation(spark, sf):
     documents.write.mode("append").text(f"{folder}/in")
     documents.write.mode("append").text(f"{folder}/in")
     m.stream_moderation(
-        spark, f"{folder}/in", f"{folder}/store", f"{folder}/checkpoint", watermark="36500 days"
+        spark, f"{folder}/in", f"{folder}/store", f"{folder}/checkpoint"
     ).awaitTermination()
     stored = m.read_latest(spark, f"{folder}/store", "file_uri", ["sequencer"])
     return stored.select("file_uri", "sequencer", F.array_join(F.array_sort("modalities"), "+").alias("modalities"))

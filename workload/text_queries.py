@@ -73,7 +73,7 @@ def top_language(spark, sf):
     return m.top_language(ranked, min_score=0.5).select("doc_id", "lang")
 
 
-@query("needs_translation", "SELECT doc_id, lang FROM documents WHERE lang <> 'en'")
+@query("needs_translation", "SELECT doc_id, lang FROM documents WHERE lang IS DISTINCT FROM 'en'")
 def needs_translation(spark, sf):
     return m.needs_translation(load(spark, sf, DOCS)).select("doc_id", "lang")
 
@@ -441,6 +441,41 @@ def prompt_safety(spark, sf):
     return p.select("doc_id", "prompt_class", F.round("prompt_score", 4).alias("prompt_score"), "prompt_log_score")
 
 
+# --- rows whose ids repeat or are missing -------------------------------------------------------
+
+
+def thrice(df):
+    """Every row with its id, with its id again, and without id."""
+    return df.unionByName(df).unionByName(df.withColumn("doc_id", F.lit(None).cast("bigint")))
+
+
+def thrice_sql(columns: str, table: str) -> str:
+    return (f"SELECT doc_id, {columns} FROM {table} UNION ALL SELECT doc_id, {columns} FROM {table} "
+            f"UNION ALL SELECT -1, {columns} FROM {table}")
+
+
+def shown_id(df):
+    return df.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1)))
+
+
+@query("policy_verdict_by_join", f"WITH {POLICY} {thrice_sql('flag, category, reason', 'verdict')}")
+def policy_verdict_by_join(spark, sf):
+    v = m.policy_verdict(thrice(tokens(spark, sf)), X.PHRASES, inline_limit=0)
+    return shown_id(v).select("doc_id", "flag", "category", "reason")
+
+
+@query("toxicity_by_join", f"WITH {TOX} {thrice_sql('round(total / (total + 1), 6)::double AS toxicity', 'tox')}")
+def toxicity_by_join(spark, sf):
+    t = m.toxicity(thrice(tokens(spark, sf)), X.TOXIC, inline_limit=0)
+    return shown_id(t).select("doc_id", F.round("toxicity", 6).alias("toxicity"))
+
+
+@query("prompt_safety_repeated_ids", f"WITH {MODEL} {thrice_sql('prompt_class, prompt_log_score', 'prompt')}")
+def prompt_safety_repeated_ids(spark, sf):
+    p = m.prompt_safety(thrice(docs(spark, sf).select("doc_id", "text")), model(spark, sf))
+    return shown_id(p).select("doc_id", "prompt_class", "prompt_log_score")
+
+
 # --- composite ----------------------------------------------------------------------------------
 
 
