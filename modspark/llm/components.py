@@ -15,6 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     new hash each round, and links between what has moved together vanish.  The number of nodes
     left falls by a constant factor in expectation, also on long chains, and each round is a
     grouping that is combined inside tasks, so a node with very many links is no hot key.
+
+    The first round takes the node itself in place of a hash: callers mostly link many nodes to a
+    smallest one, and all of those move together at once.
     """
     edges = settle(links.filter("x <> y").select("x", "y").distinct())
     n = edges.count()
@@ -23,8 +26,9 @@ def components(links: DataFrame) -> DataFrame:
     while n:
         turn, parts = len(moves), 1 + n // 20_000
         both = edges.union(edges.select("y", "x"))
-        near = both.groupBy("x").agg(F.min(F.struct(F.xxhash64("y", F.lit(turn)).alias("h"), "y")).alias("near"))
-        own = F.xxhash64("x", F.lit(turn))
+        order = (lambda c: F.xxhash64(c, F.lit(turn))) if turn else F.col
+        near = both.groupBy("x").agg(F.min(F.struct(order("y").alias("h"), "y")).alias("near"))
+        own = order("x")
         moved = settle(near.select(
             F.col("x").alias("comp"), F.when(F.col("near.h") < own, F.col("near.y")).otherwise(F.col("x")).alias("to"),
         ), parts)

@@ -197,12 +197,14 @@ def near_duplicate_rows(
         buckets = settle(entries.join(shared, "band"))
         texts = settle(rows.select("_row", "_text").join(buckets.select("_row").distinct(), "_row", "left_semi"))
         nodes = settle(buckets.select(F.col("_row").alias("node")).distinct())
-        links = settle(_checked(settle(_first_pairs(buckets, percent)), texts, width, percent))
-        at = _placed(nodes, links)
+        at = _placed(nodes, settle(_checked(settle(_first_pairs(buckets, percent)), texts, width, percent)))
         placed = settle(_open(buckets.join(at.withColumnRenamed("node", "_row"), "_row")))
         if placed.limit(1).count():
-            links = links.unionByName(settle(_cross_links(placed, texts, width, percent)))
-            at = _placed(nodes, links)
+            merged = components(settle(_cross_links(placed, texts, width, percent)))
+            merged = merged.select(F.col("node").alias("comp"), F.col("comp").alias("_into"))
+            at = settle(lookup_join(at, merged, "comp", ["node"], "left").select(
+                "node", F.coalesce("_into", "comp").alias("comp")
+            ))
         low = settle(at.groupBy("comp").agg(F.min("node").alias("_low")))
         lows = at.join(low, "comp").filter("node <> _low").select(F.col("node").alias("_first"), "_low")
         home = settle(lookup_join(classes, lows, "_first", ["_row"], "left").select(
@@ -246,8 +248,8 @@ def _distinct_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("x", "y").agg(F.min("band").alias("band"), F.first(F.col("n") + F.col("m")).alias("size"))
 
 
-def _links_across(rows: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between rows of different components of a cell, one for each row and component it reaches.
+def _links_across(comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Components that are linked by rows of a cell, one pair for each row and component it reaches.
 
     Every row outside the largest component counts what it shares with all rows of the cell through
     an index of their shingles.
@@ -268,27 +270,26 @@ def _links_across(rows: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], p
         linked = np.flatnonzero(
             (number != number[i]) & (common > 0) & (100 * common >= percent * (sizes + sizes[i] - common))
         )
-        _, first = np.unique(number[linked], return_index=True)
-        links += [(int(rows[i]), int(rows[j])) for j in linked[first]]
+        links += [(int(comps[i]), int(names[k])) for k in np.unique(number[linked])]
     return links
 
 
 def _across(width: int, percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done() -> pa.RecordBatch:
-            links = _links_across(np.array(held[0]), np.array(held[1]), held[2], percent) if held[0] else []
+            links = _links_across(np.array(held[0]), held[1], percent) if held[0] else []
             x, y = zip(*links, strict=True) if links else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()), pa.array(y, type=pa.int64())], names=["x", "y"])
 
-        key, held = None, ([], [], [])
+        key, held = None, ([], [])
         for batch in batches:
             sets = (s for _, group in shingle_sets(batch.column("_text"), width) for s in group)
-            columns = (batch.column(c).to_pylist() for c in ("cell", "_row", "comp"))
-            for cell, row, comp, own in zip(*columns, sets, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("cell", "comp"))
+            for cell, comp, own in zip(*columns, sets, strict=True):
                 if cell != key:
                     yield done()
-                    key, held = cell, ([], [], [])
-                for values, value in zip(held, (row, comp, own), strict=True):
+                    key, held = cell, ([], [])
+                for values, value in zip(held, (comp, own), strict=True):
                     values.append(value)
         yield done()
 
@@ -296,7 +297,7 @@ def _across(width: int, percent: int):
 
 
 def _cross_links(placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between different components inside buckets, found bucket by bucket without making pairs.
+    """Pairs of components with links inside buckets, found bucket by bucket without making pairs of rows.
 
     A bucket of more than ``CELL_SHINGLES`` is cut into parts by a hash of the rows, with a cell for
     every two parts, so a task holds a bounded number of sets and still all rows meet.
