@@ -184,6 +184,11 @@ def _grouped(spans: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(runs: DataFrame) -> DataFrame:
+    """Rows of a digit in one partition; those known to repeat need no company and go anywhere."""
+    return runs.repartition(F.when(F.col("known"), F.xxhash64("d", "s")).otherwise(F.col("a")))
+
+
 def repeated_spans(rows: DataFrame, length: int = 100) -> DataFrame:
     """``(d, s, n)`` for ``rows`` (``_row, _text``): the windows of ``length`` bytes that start at
     ``s`` ... ``s + n - 1`` of row ``d`` also start earlier, in a smaller row or further left.
@@ -198,14 +203,14 @@ def repeated_spans(rows: DataFrame, length: int = 100) -> DataFrame:
     )
     with freed_shuffles(spark):
         found = settle(
-            runs.repartition("a").sortWithinPartitions("a", "h", "d", "s").mapInArrow(_equal_runs, SPANS)
+            _dealt(runs).sortWithinPartitions("a", "h", "d", "s").mapInArrow(_equal_runs, SPANS)
         )
         windows = (
             rows.join(_grouped(found.filter("open")), "_row").select("_row", "_text", "_starts", "_counts")
             .mapInArrow(_collect(_windows(length)), RUNS)
         )
         single = settle(
-            windows.repartition("a").sortWithinPartitions("a", "h", "d", "s")
+            _dealt(windows).sortWithinPartitions("a", "h", "d", "s")
             .mapInArrow(_equal_runs, SPANS).filter("NOT open")
         )
     return found.filter("NOT open").unionByName(single).select("d", "s", "n")
