@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modspark.llm import (
     chat_format,
+    collocations,
     decontaminate,
     html_extract,
+    license_scan,
     mixing,
     near_dedup,
     quality_rules,
+    spelling,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -159,9 +161,108 @@ def severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_token_counts")
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @query("op9_html_extract")
 def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+# CRC-32 byte by byte over a table made from its polynomial; near words as words that agree after one
+# letter is left out; roots by following forms.
+SPELLING_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(0, 8)::UBIGINT[], lambda c, k: CASE WHEN c % 2 = 1
+    THEN xor(c // 2, 3988292384) ELSE c // 2 END, i::UBIGINT) ORDER BY i) AS t FROM range(256) AS r(i)
+), lowered AS (
+  SELECT coalesce(doc_id::varchar, '') AS id,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents WHERE text IS NOT NULL
+), runs AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT id, unnest(regexp_extract_all(text, '[a-zÀ-ÿ]+')) AS run FROM lowered
+  ) WHERE length(run) >= 7 GROUP BY id, run
+), hexed AS (SELECT *, hex(encode(id || ':' || run)) AS h FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+    list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, (2 * i + 1)::int, 2))::UBIGINT),
+    lambda c, b: xor(c // 256, t[(xor(c % 256, b) + 1)::int]), 4294967295::UBIGINT), 4294967295) AS crc
+  FROM hexed, crc_table
+), written AS (
+  SELECT CASE WHEN crc % 31 = 0 THEN substr(run, 1, (crc % length(run))::int) || substr(run, (crc % length(run) + 2)::int)
+    ELSE run END AS word, n FROM hashed
+), words AS (
+  SELECT word, sum(n)::bigint AS n FROM written WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), without AS (
+  SELECT word, n, k, substr(word, 1, (k - 1)::int) || substr(word, (k + 1)::int) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM without a JOIN without b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM without a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM without a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS top, min(struct_pack(m := -n, w := other)).w AS first FROM near GROUP BY word
+), judged AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::bigint AS n_near, CASE WHEN top >= 10 * w.n THEN first END AS form,
+    CASE WHEN top >= 10 * w.n THEN top END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), ways(word, root) AS (
+  SELECT word, word FROM judged
+  UNION ALL SELECT ways.word, form FROM ways JOIN judged ON judged.word = ways.root WHERE form IS NOT NULL
+), ends AS (SELECT ways.word, root FROM ways JOIN judged j ON j.word = root WHERE j.form IS NULL)
+SELECT word, n, n_near, form, form_n, root FROM judged JOIN ends USING (word)
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_license_scan")
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece FROM documents
+), split AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda w: w <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM split, range(1, 5) AS sizes(m))
+), counts AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase),
+totals AS (SELECT lang, sum(f)::bigint AS n FROM counts WHERE m = 1 GROUP BY lang),
+found AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE m >= 2 AND f >= 30),
+known AS MATERIALIZED (SELECT lang, phrase, f FROM counts WHERE f >= 30),
+sides AS MATERIALIZED (
+  SELECT lang, phrase, f, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM found)
+), cuts AS MATERIALIZED (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, (2000000::hugeint * c.f // (l.f + r.f))::bigint AS score
+  FROM sides c JOIN known l ON l.lang = c.lang AND l.phrase = c.first JOIN known r ON r.lang = c.lang AND r.phrase = c.rest
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+  SELECT lang, f, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, m - size + 2)) AS i FROM found, range(2, 4) AS sizes(size) WHERE size < m)
+), held AS (
+  SELECT DISTINCT p.lang, p.phrase FROM found p JOIN inner_phrases q ON p.lang = q.lang AND p.phrase = q.phrase
+  WHERE 100 * q.f >= 80 * p.f
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM weakest ANTI JOIN held USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", PHRASE_SQL)
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
