@@ -206,7 +206,7 @@ hashed AS (
   SELECT word, count(*) AS n_near, max(n) AS top, min(struct_pack(m := -n, w := other)).w AS first FROM near GROUP BY word
 ), judged AS (
   SELECT w.word, w.n, coalesce(n_near, 0)::bigint AS n_near, CASE WHEN top >= 10 * w.n THEN first END AS form,
-    CASE WHEN top >= 10 * w.n THEN top END AS form_n
+    CASE WHEN top >= 10 * w.n THEN top END::double AS form_n
   FROM words w LEFT JOIN best USING (word)
 ), ways(word, root) AS (
   SELECT word, word FROM judged
