@@ -4,9 +4,9 @@ Every word opens one window: itself and the words after it in its piece as lead
 the piece ends.  Distinct windows are counted once; ROLLUP over the columns sums them to the
 counts of all their prefixes, so no n-grams of another length are ever made from the texts.
 
-Two words that together are rarer than the least count end a window, as no phrase that is kept holds
-them.  Which pairs may be frequent is known from counts of hashed pairs, kept as a bit set of bounded
-size: it may let rare pairs pass, never cut a frequent one.
+Neighbouring words that together are rarer than the least count end a window, as no phrase that is
+kept holds them.  Which pairs, and triples of such pairs, may be frequent is known from counts of their
+hashes, kept as bit sets of bounded size: those may let rare ones pass, never cut a frequent one.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from modspark.llm.common import freed_shuffles, settle
 from modspark.llm.kernels import LOWER_VALUES, Slices, longs, mix, text_bytes
 from modspark.operators.joins import lookup_join
 
-GROUP_BYTES = 1 << 22
-KEPT_PAIRS = 2_000_000
+GROUP_BYTES = 1 << 21
+KEPT_GRAMS = 400_000
 SIEVE_BITS = 1 << 29
 BITS_FOR_EACH = 16
 BLOCK_BITS = 1 << 16
@@ -123,9 +123,29 @@ class _Leads:
             same = pieces[k:k + self.own] == piece[:self.own]
             self.words[k] = np.where(same, padded[k:k + self.own], 0)
 
-    def pairs(self, k: int, lang_hashes: np.ndarray) -> np.ndarray:
-        """Hashes of the words k and k + 1 of each window, with its language."""
-        return mix(mix(self.words[k] + lang_hashes[self.lang]) * _MULTIPLIERS[0] + self.words[k + 1] * _MULTIPLIERS[1])
+    def grams(self, size: int, langs: np.ndarray, shift: int = 0, begin: int = 0) -> np.ndarray:
+        """Hashes of ``size`` words from word ``shift`` of each window on, with its language."""
+        out = self.words[shift][begin:] + langs[self.lang[begin:]]
+        for k in range(1, size):
+            out = mix(out) * _MULTIPLIERS[0] + self.words[shift + k][begin:] * _MULTIPLIERS[1]
+        return mix(out)
+
+    def kept(self, langs: np.ndarray, bitsets: list[np.ndarray]) -> np.ndarray:
+        """How many words of each window are left when it is cut before the first pair, triple, ... that
+        does not pass.  ``bitsets``: those of 2 words, of 3 words, ..."""
+        kept, open_ = np.ones(self.own, dtype=np.int64), np.ones(self.own, dtype=bool)
+        first = [may_pass(bits, self.grams(size, langs)) for size, bits in enumerate(bitsets, 2) if size <= len(self.words)]
+        for m in range(2, len(self.words) + 1):
+            open_ &= self.words[m - 1] != 0
+            for size in range(2, min(m, len(first) + 1) + 1):
+                shift = m - size
+                passes = first[size - 2]
+                if shift:  # behind the part's own words only the windows themselves can look
+                    near = max(0, self.own - shift)
+                    passes = np.concatenate([passes[shift:], may_pass(bitsets[size - 2], self.grams(size, langs, shift, near))])
+                open_ &= passes
+            kept[open_] = m
+        return kept
 
 
 def _lang_hashes(names: list[str]) -> np.ndarray:
@@ -153,28 +173,33 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _pair_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(pair, n)``: hashes of neighbouring words, summed in a task as far as ``KEPT_PAIRS`` allow."""
+def _gram_counts(size: int, bitsets: list):
+    """``(gram, n)``: hashes of ``size`` neighbouring words, summed in a task as far as ``KEPT_GRAMS`` allow."""
 
     def out(keys, counts):
         key, n = _summed(keys, counts)
         for p in range(0, len(key), 100_000):
-            yield pa.RecordBatch.from_arrays([longs(key[p:p + 100_000]), pa.array(n[p:p + 100_000])], names=["pair", "n"])
-
-    keys, counts, held = [], [], 0
-    for leads, _, hashes in _batches(batches, 2):
-        key, n = np.unique(leads.pairs(0, hashes)[leads.words[1] != 0], return_counts=True)
-        keys.append(key)
-        counts.append(n.astype(np.int64))
-        held += len(key)
-        if held > 2 * KEPT_PAIRS:
-            keys, counts = ([x] for x in _summed(keys, counts))
-            held = len(keys[0])
-            if held > KEPT_PAIRS:
-                yield from out(keys, counts)
-                keys, counts, held = [], [], 0
-    if held:
-        yield from out(keys, counts)
+            yield pa.RecordBatch.from_arrays([longs(key[p:p + 100_000]), pa.array(n[p:p + 100_000])], names=["gram", "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = [b.value for b in bitsets]
+        keys, counts, held = [], [], 0
+        for leads, _, langs in _batches(batches, size):
+            whole = leads.kept(langs, bits) == size
+            key, n = np.unique(leads.grams(size, langs)[whole], return_counts=True)
+            keys.append(key)
+            counts.append(n.astype(np.int64))
+            held += len(key)
+            if held > 2 * KEPT_GRAMS:
+                keys, counts = ([x] for x in _summed(keys, counts))
+                held = len(keys[0])
+                if held > KEPT_GRAMS:
+                    yield from out(keys, counts)
+                    keys, counts, held = [], [], 0
+        if held:
+            yield from out(keys, counts)
+
+    return run
 
 
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +233,7 @@ class Sieve:
         self.bits = BLOCK_BITS
         while self.bits < min(SIEVE_BITS, BITS_FOR_EACH * n):
             self.bits *= 2
-        bit = F.pmod(F.col("pair"), F.lit(self.bits))
+        bit = F.pmod(F.col("gram"), F.lit(self.bits))
         placed = hashes.select(F.floor(bit / F.lit(BLOCK_BITS)).cast("long").alias("block"), F.pmod(bit, F.lit(BLOCK_BITS)).alias("bit"))
         dealt = placed.repartition(max(1, min(self.bits // BLOCK_BITS, 200)), "block").sortWithinPartitions("block")
         whole = np.zeros(self.bits // 8, dtype=np.uint8)
@@ -231,28 +256,15 @@ def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes()))
 
 
-def _windows(longest: int, bitset):
-    """``(lang, w1, ..., n)``: windows cut at rare pairs and counted for a group of texts, '' for padding."""
+def _windows(longest: int, bitsets: list):
+    """``(lang, w1, ..., n)``: windows cut at rare pairs and triples, and counted for a group of texts, '' for padding."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitset.value
-        for leads, names, hashes in _batches(batches, longest):
-            open_ = np.ones(leads.own, dtype=bool)
-            for k in range(longest - 1):
-                open_ &= leads.words[k + 1] != 0
-                if k == 0:
-                    passes = may_pass(bits, leads.pairs(0, hashes))
-                    ahead = np.concatenate([passes, np.zeros(longest, dtype=bool)])
-                    # Behind the part's own words only its look-ahead is left: judged by itself.
-                    open_ &= passes
-                else:
-                    inside = ahead[k:k + leads.own]
-                    beyond = np.arange(leads.own) + k >= leads.own
-                    if beyond.any():
-                        inside = inside.copy()
-                        inside[beyond] = may_pass(bits, leads.pairs(k, hashes)[beyond])
-                    open_ &= inside
-                leads.words[k + 1][~open_] = 0
+        bits = [b.value for b in bitsets]
+        for leads, names, langs in _batches(batches, longest):
+            kept = leads.kept(langs, bits)
+            for k in range(1, longest):
+                leads.words[k][kept <= k] = 0
             key = leads.lang.astype(np.uint64)
             for k in range(longest):
                 key = mix(key + leads.words[k]) * _MULTIPLIERS[2]
@@ -283,14 +295,16 @@ def phrase_counts(
     rows = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("_lang"), F.coalesce(F.col(text), F.lit("")).alias("_text")
     )
-    frequent = settle(
-        rows.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= least).select("pair")
-    )
-    sieve = Sieve(frequent)
+    sieves: list[Sieve] = []
+    for size in range(2, longest):
+        frequent = settle(
+            rows.mapInArrow(_gram_counts(size, [s.shared for s in sieves]), "gram long, n long").groupBy("gram")
+            .agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("gram")
+        )
+        sieves.append(Sieve(frequent))
     names = [f"w{k + 1}" for k in range(longest)]
     counted = rows.mapInArrow(
-        _windows(longest, sieve.shared), f"lang string, {', '.join(f'{c} string' for c in names)}, n long"
+        _windows(longest, [s.shared for s in sieves]), f"lang string, {', '.join(f'{c} string' for c in names)}, n long"
     )
     distinct = counted.groupBy("lang", *names).agg(F.sum("n").alias("n"))
     sums = distinct.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping("lang").alias("_all"), *[

@@ -111,7 +111,7 @@ def test_windows_sum_to_all_prefixes(spark):
 def test_a_bit_set_of_bounded_size_lets_frequent_pairs_pass(spark, monkeypatch):
     monkeypatch.setattr(c, "SIEVE_BITS", c.BLOCK_BITS * 2)
     keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 20_000)
-    sieve = c.Sieve(spark.createDataFrame([(int(k),) for k in keys], "pair long"))
+    sieve = c.Sieve(spark.createDataFrame([(int(k),) for k in keys], "gram long"))
     assert sieve.bits == c.BLOCK_BITS * 2
     assert c.may_pass(sieve.shared.value, keys.view(np.uint64)).all()
     assert c.may_pass(sieve.shared.value, np.arange(1000, dtype=np.uint64) << np.uint64(3)).mean() < 0.5
