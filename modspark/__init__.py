@@ -16,7 +16,7 @@ from modspark.operators.flatten import (
     video_moderation,
     video_persons,
 )
-from modspark.operators.matching import face_search, match_jobs, unmatched_notices
+from modspark.operators.matching import face_search, face_search_cost, match_jobs, unmatched_notices
 from modspark.operators.policy import (
     child_safety,
     load_policy,

@@ -7,13 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modspark.operators import face_index as I
 from modspark.operators.joins import lookup_join
-from modspark.scratch import settle
 
 # Query faces are sent to every task as one matrix up to this many rows and numbers (64 MB).
 QUERY_LIMIT = 20_000
 QUERY_NUMBERS = 8_000_000
-PIVOTS = 256
 BLOCK_ROWS = 20_000
 
 
@@ -42,30 +41,68 @@ def face_search(
     vector: str = "embedding",
     exclude_self: bool = False,
     query_limit: int = QUERY_LIMIT,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block_rows: int = BLOCK_ROWS,
+    approximate: bool = False,
+    recall: float = 0.95,
+    hash_bits: int | None = None,
 ) -> DataFrame:
     """The ``k`` most similar faces at or above ``min_similarity`` (cosine) per query face.
 
     Result: (query_id, face_id, similarity, rank); equal similarities (6 digits) rank by face id.
-    Exact.  Up to ``query_limit`` query faces are sent to all tasks and the collection is read
-    once.  More of them meet only the parts of the collection that the triangle inequality of
-    angles leaves possible.  In both plans a task keeps at most k faces per query before the
-    shuffle, and no pair below the floor is ever emitted.
+
+    Exact by default.  Up to ``query_limit`` query faces are sent to all tasks and the collection is
+    read once.  More of them meet only the leaves of a pivot tree that the triangle inequality of
+    angles leaves possible; ``pivots`` sets the number of leaves, by default the root of the
+    collection's rows.  With ``approximate`` both sides are hashed by random directions into as many
+    tables as a pair at the floor needs to meet with a chance of ``recall`` (more similar pairs meet
+    more surely); similarities of what is found are exact.  ``hash_bits`` fixes the directions of a table.
+
+    In all plans a task keeps at most k faces per query before the shuffle, and no pair below the
+    floor is ever emitted.  A missing vector matches nothing.
     """
-    known = F.col(vector).isNotNull()
-    q = query.filter(known).select(F.col(id_col).alias("query_id"), F.col(vector).alias("v"))
-    c = collection.filter(known).select(F.col(id_col).alias("face_id"), F.col(vector).alias("v"))
-    q_type = dict(q.dtypes)["query_id"]
-    c_type = dict(c.dtypes)["face_id"]
-    schema = f"query_id {q_type}, face_id {c_type}, similarity double"
+    q, c, schema = _sides(query, collection, id_col, vector)
     width = q.select(F.size("v")).head()
-    rows = min(query_limit, QUERY_NUMBERS // max(1, width[0] if width else 1))
+    numbers = width[0] if width else 1
+    if approximate:
+        rows = c.count()
+        cells = I.hash_cells(q, c, I.hash_plan(rows, min_similarity, recall, hash_bits), numbers) if width and rows else None
+        # A pair may meet in several tables.
+        found = _search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows).groupBy(
+            "query_id", "face_id").agg(F.max("similarity").alias("similarity"))
+        return _best(found, k)
+    rows = min(query_limit, QUERY_NUMBERS // max(1, numbers))
     head = q.limit(rows + 1).toArrow().to_pandas()
     if len(head) <= rows:
-        found = _search_broadcast(head, c, schema, min_similarity, k, exclude_self)
-    else:
-        found = _search_cells(q, c, schema, min_similarity, k, exclude_self, pivots, block_rows)
+        return _best(_search_broadcast(head, c, schema, min_similarity, k, exclude_self), k)
+    plan = I.tree_plan(q, c, min_similarity, pivots, numbers)
+    cells = None if plan is None else (plan.visits, plan.placed)
+    return _best(_search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows), k)
+
+
+def face_search_cost(
+    query: DataFrame, collection: DataFrame, min_similarity: float = 0.8, id_col: str = "face_id",
+    vector: str = "embedding", pivots: int | None = None,
+) -> DataFrame:
+    """What the exact search of two large sides would do, without doing it: one row with the faces,
+    queries and leaves, and the leaves, faces and share of all faces that a query meets on average."""
+    q, c, _ = _sides(query, collection, id_col, vector)
+    width = q.select(F.size("v")).head()
+    plan = I.tree_plan(q, c, min_similarity, pivots, width[0]) if width else None
+    if plan is None:
+        names = "faces long, queries long, leaves long, leaves_per_query double, faces_per_query double, share double"
+        return c.sparkSession.createDataFrame([], names)
+    return I.search_cost(plan, q.count())
+
+
+def _sides(query: DataFrame, collection: DataFrame, id_col: str, vector: str) -> tuple[DataFrame, DataFrame, str]:
+    known = F.col(vector).isNotNull()
+    q = query.filter(known).select(F.col(id_col).alias("query_id"), F.col(vector).alias("v"))
+    c = collection.filter(known).select(F.col(id_col).alias("face_id"), F.col(vector).alias("v"))
+    return q, c, f"query_id {dict(q.dtypes)['query_id']}, face_id {dict(c.dtypes)['face_id']}, similarity double"
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     # At most k faces per query and task come together here; in two steps, so that a query that
     # matches in every task does not meet all its lists at once.
     ranked = F.struct((-F.col("similarity")).alias("d"), "face_id")
@@ -113,21 +150,8 @@ def _pair_finder(min_similarity: float, k: int, exclude_self: bool):
     return find, best
 
 
-def _unit_rows():
-    def unit(column):
-        import numpy as np
-
-        if len(column) == 0:
-            return np.empty((0, 0))
-        m = np.stack(column.to_numpy()).astype("float64")
-        norm = np.linalg.norm(m, axis=1, keepdims=True)
-        return m / np.where(norm == 0, 1.0, norm)
-
-    return unit
-
-
 def _search_broadcast(head, c, schema, min_similarity, k, exclude_self) -> DataFrame:
-    (find, best), unit = _pair_finder(min_similarity, k, exclude_self), _unit_rows()
+    (find, best), unit = _pair_finder(min_similarity, k, exclude_self), I.unit_rows
     q_ids = head["query_id"].to_numpy()
     shared = c.sparkSession.sparkContext.broadcast((q_ids, unit(head["v"])))
 
@@ -146,83 +170,15 @@ def _search_broadcast(head, c, schema, min_similarity, k, exclude_self) -> DataF
     return c.mapInPandas(scan, schema)
 
 
-def _search_cells(q, c, schema, min_similarity, k, exclude_self, pivots, block_rows) -> DataFrame:
-    """Both sides large: cut the collection into cells around pivot faces.
-
-    With angles as distances, a query within ``reach`` of a face of cell p is within
-    reach + (far face of p) of its pivot, and never further from p than the nearest pivot by more
-    than 2 * reach.  Cells that fail either test hold no partner.  Full cells are cut into blocks.
-    """
-    import numpy as np
-
-    spark = c.sparkSession
-    (find, _), unit = _pair_finder(min_similarity, k, exclude_self), _unit_rows()
-    # Slack of one rounding step: similarities are compared after rounding to 6 digits.
-    reach = float(np.arccos(np.clip(min_similarity - 1e-6, -1.0, 1.0))) + 1e-6
-    chosen = c.orderBy(F.xxhash64("face_id"), "face_id").limit(pivots).toPandas()
-    if chosen.empty:
-        return spark.createDataFrame([], schema)
-    centers = spark.sparkContext.broadcast(unit(chosen["v"]))
-    c_type = dict(c.dtypes)["face_id"]
-    q_type = dict(q.dtypes)["query_id"]
-
-    def angles(rows):
-        return np.arccos(np.clip(rows @ centers.value.T, -1.0, 1.0))
-
-    def assign(batches):
-        for batch in batches:
-            if len(batch):
-                a = angles(unit(batch["v"]))
-                cell = a.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), angle=a[np.arange(len(a)), cell])
-
-    # Written out, so that the statistics below hold for the very rows that are joined later.
-    placed = settle(c.mapInPandas(assign, f"face_id {c_type}, v {dict(c.dtypes)['v']}, cell int, angle double"))
-    # One row per cell reaches the driver, at most ``pivots``.
-    cells = {
-        r["cell"]: r
-        for r in placed.groupBy("cell")
-        .agg(F.min("angle").alias("near"), F.max("angle").alias("far"), F.count("*").alias("n"))
-        .collect()
-    }
-    blocks = {cell: -(-r["n"] // block_rows) for cell, r in cells.items()}
-    n_pivots = len(chosen)
-    near = np.array([cells[i]["near"] if i in cells else np.inf for i in range(n_pivots)])
-    far = np.array([cells[i]["far"] if i in cells else -np.inf for i in range(n_pivots)])
-
-    def visit(batches):
-        for batch in batches:
-            if len(batch):
-                a = angles(unit(batch["v"]))
-                possible = (a <= a.min(axis=1, keepdims=True) + 2 * reach + 1e-9)
-                possible &= (a - reach <= far[None, :]) & (a + reach >= near[None, :])
-                row, cell = np.nonzero(possible)
-                yield batch.iloc[row].assign(cell=cell.astype("int32"))
-
-    visits = settle(q.mapInPandas(visit, f"query_id {q_type}, v {dict(q.dtypes)['v']}, cell int"))
-    per_cell = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    parts = {cell: -(-n // block_rows) for cell, n in per_cell.items()}
-
-    def pieces(counts: dict[int, int]):
-        return F.coalesce(
-            F.element_at(F.create_map(*[F.lit(x) for kv in counts.items() for x in kv]), F.col("cell"))
-            if counts else F.lit(1),
-            F.lit(1),
-        )
-
-    def own(counts, key):
-        return F.pmod(F.xxhash64(key), pieces(counts)).cast("int")
-
-    def all_of(counts):
-        return F.explode(F.sequence(F.lit(0), pieces(counts) - 1))
-
-    left = visits.withColumn("part", own(parts, "query_id")).withColumn("block", all_of(blocks))
-    right = placed.drop("angle").withColumn("block", own(blocks, "face_id")).withColumn(
-        "part", all_of(parts)
-    )
+def _search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows) -> DataFrame:
+    """Pairs out of ``(queries, faces)`` with cells: every block of a cell is searched as one matrix."""
+    if cells is None:
+        return c.sparkSession.createDataFrame([], schema)
+    (find, _), unit = _pair_finder(min_similarity, k, exclude_self), I.unit_rows
 
     def pair(qs, cs):
         return find(qs["query_id"].to_numpy(), unit(qs["v"]), cs["face_id"].to_numpy(), unit(cs["v"]))
 
+    left, right = I.dealt(*cells, block_rows)
     keys = ["cell", "block", "part"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(pair, schema)

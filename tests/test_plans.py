@@ -248,6 +248,59 @@ def test_face_search_with_an_empty_side(spark):
             assert m.face_search(q, c, 0.1, 2, query_limit=limit).count() == 0
 
 
+def clustered(spark, n, seed, spread=0.1, dims=16):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    centers = np.random.default_rng(1).normal(size=(40, dims))
+    v = centers[rng.integers(0, 40, n)] + spread * rng.normal(size=(n, dims))
+    return spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "face_id INT, embedding ARRAY<DOUBLE>")
+
+
+def test_face_search_meets_a_smaller_share_of_more_faces(spark):
+    q = clustered(spark, 100, 2)
+    costs = [m.face_search_cost(q, clustered(spark, n, 3), 0.9).head() for n in (400, 1600, 6400)]
+    assert [c["faces"] for c in costs] == [400, 1600, 6400] and costs[0]["leaves"] < costs[2]["leaves"]
+    assert costs[0]["share"] > costs[1]["share"] > costs[2]["share"] and costs[2]["share"] < 0.15
+    faces = clustered(spark, 1600, 3)
+    wide = m.face_search(q, faces, 0.9, 5, query_limit=0)
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, m.face_search(q, faces, 0.9, 5).collect()))
+
+
+@pytest.mark.parametrize(("floor", "bits"), [(0.9, None), (0.6, 5)])
+def test_hash_tables_find_what_they_promise(spark, floor, bits):
+    q, c = clustered(spark, 200, 4, 0.5), clustered(spark, 2000, 5, 0.5)
+    exact = {(r["query_id"], r["face_id"]): r["similarity"] for r in m.face_search(q, c, floor, 10**6).collect()}
+    got = [(r["query_id"], r["face_id"], r["similarity"]) for r in m.face_search(q, c, floor, 10**6, approximate=True, block_rows=200, hash_bits=bits).collect()]
+    found = {(x, y): s for x, y, s in got}
+    assert len(got) == len(found) and len(exact) > 500
+    assert all(abs(exact[pair] - s) < 2e-6 for pair, s in found.items())
+    assert len(found) >= 0.95 * len(exact)
+
+
+def test_hash_plan_uses_more_bits_for_more_faces():
+    from modspark.operators.face_index import flips, hash_plan
+
+    plans = [hash_plan(n, 0.8, 0.95) for n in (1000, 100_000, 10_000_000)]
+    met = [p.tables * p.probes / 2**p.bits for p in plans]
+    assert plans[0].bits < plans[1].bits < plans[2].bits and met[0] > met[1] > met[2] and met[2] < 0.01
+    assert hash_plan(1000, -1.0, 0.95).tables >= 1
+
+    import numpy as np
+
+    tried = flips(np.array([[0.1, 2.0, -0.2, 1.0]]), 4)[0]
+    assert set(tried) == {0b0000, 0b0001, 0b0100, 0b0101}
+
+
+def test_approximate_search_with_an_empty_side(spark):
+    schema = "face_id INT, embedding ARRAY<DOUBLE>"
+    none, one = spark.createDataFrame([(3, None)], schema), spark.createDataFrame([(1, [1.0, 0.0])], schema)
+    for q, c in ((none, one), (one, none)):
+        assert m.face_search(q, c, 0.1, 2, approximate=True).count() == 0
+        assert m.face_search_cost(q, c).count() == 0
+    assert [tuple(r) for r in m.face_search(one, one, 0.5, 2, approximate=True).collect()] == [(1, 1, 1.0, 1)]
+
+
 def test_filters_on_scores_do_not_copy_the_scoring(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     scored = m.moderate_text(d)

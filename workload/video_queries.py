@@ -170,3 +170,32 @@ def face_search_by_cells(spark, sf):
     return m.face_search(
         c, c, min_similarity=0.3, k=3, exclude_self=True, query_limit=0, pivots=16, block_rows=100
     )
+
+
+@query(
+    "face_search_approximate",
+    f"""WITH {FACES} SELECT count(*)::bigint AS n_exact, true AS recall_reached, 0::bigint AS n_wrong FROM near WHERE rank <= 3""",
+)
+def face_search_approximate(spark, sf):
+    """Found by hash tables against found exactly: at least 95 %, and nothing that is not a match."""
+    c = collection(spark, sf)
+    best = m.face_search(c, c, min_similarity=0.3, k=3, exclude_self=True).withColumn("exact", F.lit(1))
+    near = m.face_search(c, c, min_similarity=0.3, k=10**6, exclude_self=True, approximate=True, hash_bits=4)
+    pairs = near.select("query_id", "face_id", "similarity", F.lit(1).alias("found"))
+    both = best.drop("similarity").join(pairs, ["query_id", "face_id"], "full")
+    n = F.count("exact")
+    return both.agg(
+        n.alias("n_exact"), (100 * F.count(F.when(F.col("exact").isNotNull(), F.col("found"))) >= 95 * n).alias("recall_reached"),
+        F.count(F.when(F.col("similarity") < 0.3, 1)).alias("n_wrong"),
+    )
+
+
+@query(
+    "face_search_cost",
+    "SELECT count(*)::bigint AS faces, count(*)::bigint AS queries, true AS within FROM embeddings WHERE embedding IS NOT NULL",
+)
+def face_search_cost(spark, sf):
+    """The exact search by leaves never meets a face twice, and knows its cost beforehand."""
+    c = collection(spark, sf)
+    cost = m.face_search_cost(c, c, min_similarity=0.3)
+    return cost.select("faces", "queries", (F.col("share") <= 1).alias("within"))
