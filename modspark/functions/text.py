@@ -84,24 +84,42 @@ def n_grams(words: Column, sizes: Sequence[int]) -> Column:
     )
 
 
+# Places are summed up inside blocks of so many matches; a list grown match by match is copied each time.
+_BLOCK = 256
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
 def _pattern_sql(text: str, kind: str, pattern: str, score: float) -> str:
-    # The text is cut at the matches; walking over (piece before, match) pairs keeps the offset.
+    # The text is cut at the matches; walking over (piece before, match) pairs keeps the offset.  Each
+    # block of matches is walked from where it begins, so time is in proportion to the matches.
     p = sql_string(pattern)
     whole = f"regexp_extract_all({text}, {p}, 0)"
-    return f"""
-      CASE WHEN {text} RLIKE {p} THEN aggregate(
-        zip_with(
+    pairs = f"""zip_with(
           slice(split({text}, {p}, -1), 1, size({whole})),
           zip_with({whole}, regexp_extract_all({text}, {p}, 1),
                    (w, c) -> named_struct('whole', length(w), 'cue', length(c))),
-          (piece, m) -> named_struct('before', length(piece), 'whole', m.whole, 'cue', m.cue)),
-        named_struct('upto', 0, 'found', cast(array() AS {_PLACED_TYPE})),
-        (acc, m) -> named_struct(
-          'upto', acc.upto + m.before + m.whole,
-          'found', concat(acc.found, array(named_struct(
-            'begin', acc.upto + m.before + m.cue, 'end', acc.upto + m.before + m.whole,
-            'type', {sql_string(kind)}, 'score', {float(score)!r}D)))),
-        acc -> acc.found)
+          (piece, m) -> named_struct('before', length(piece), 'whole', m.whole, 'cue', m.cue))"""
+    cut = f"""transform(sequence(0, (size(pairs) - 1) div {_BLOCK}),
+          k -> slice(pairs, k * {_BLOCK} + 1, {_BLOCK}))"""
+    starts = """aggregate(blocks, named_struct('upto', 0, 'at', cast(array() AS array<int>)),
+          (acc, b) -> named_struct(
+            'upto', acc.upto + aggregate(b, 0, (n, m) -> n + m.before + m.whole), 'at', concat(acc.at, array(acc.upto))),
+          acc -> acc.at)"""
+    walked = f"""aggregate(
+          b, named_struct('upto', start, 'found', cast(array() AS {_PLACED_TYPE})),
+          (acc, m) -> named_struct(
+            'upto', acc.upto + m.before + m.whole,
+            'found', concat(acc.found, array(named_struct(
+              'begin', acc.upto + m.before + m.cue, 'end', acc.upto + m.before + m.whole,
+              'type', {sql_string(kind)}, 'score', {float(score)!r}D)))),
+          acc -> acc.found)"""
+    placed = _let("blocks", cut, f"flatten(zip_with(blocks, {starts}, (b, start) -> {walked}))")
+    return f"""
+      CASE WHEN {text} RLIKE {p} THEN {_let('pairs', pairs, placed)}
       ELSE cast(array() AS {_PLACED_TYPE}) END"""
 
 

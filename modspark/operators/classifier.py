@@ -1,15 +1,18 @@
-"""Word-count naive Bayes: a model as two tables, scored by one join and one aggregation."""
+"""Word-count naive Bayes: a model as two tables, scored in the row or, if it is too large to broadcast,
+by one join and one aggregation."""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modspark.functions import text as T
+from modspark.operators import automaton
 from modspark.operators.joins import BROADCAST_BYTES, lookup_join
-from modspark.operators.rows import with_row_id
+from modspark.operators.rows import compute_once, with_row_id
 
 MAX_CLASSES = 1000
 
@@ -64,8 +67,10 @@ def prompt_safety(
     ``digits`` decimals the larger class name wins.  Every row is scored on its own, also rows whose
     ids repeat or are missing; ``id_col`` is accepted and not needed.
     """
-    rows = with_row_id(df)
     scorer = PromptScorer(model)
+    if scorer.small:
+        return scorer.with_class(scorer.with_sums(df, T.tokens(F.col(text))), digits)
+    rows = with_row_id(df)
     joined = rows.join(scorer.word_sums(rows.select("_rid", text), text), "_rid", "left")
     return scorer.with_class(joined, digits).drop("_rid")
 
@@ -90,6 +95,16 @@ class PromptScorer:
         ).head()
         self.small = letters + self.n_vocabulary * 8 * (len(self.classes) + 2) <= BROADCAST_BYTES
 
+    def with_sums(self, df: DataFrame, tokens: Column) -> DataFrame:
+        """Add ``_n`` and a sum per class in the row: known words times weights, the model broadcast."""
+        model = self.vocabulary.toArrow()
+        weights = np.column_stack([np.asarray(model.column(g)) for g in self.gain.values()])
+        found = automaton.word_sums(df.sparkSession, model.column("word").combine_chunks(), weights, tokens)
+        return compute_once(df, _sums=found).withColumns(
+            {"_n": F.get("_sums", F.lit(0)).cast("long")}
+            | {g: F.get("_sums", F.lit(i)) for i, g in enumerate(self.gain.values(), 1)}
+        ).drop("_sums")
+
     def word_sums(self, rows: DataFrame, text: str) -> DataFrame:
         """``_rid``, ``_n`` and a sum per class, for the rows that have known words.
 

@@ -1,8 +1,9 @@
 """Counting lexicon words and policy phrases per text.
 
-Two plans with equal results.  A lexicon of at most ``INLINE_LIMIT`` rows becomes hash sets inside
-the plan: every text is scored in place and nothing is shuffled.  A larger lexicon is joined to the
-words of the text by a row id made here; ``id_col`` is accepted and not needed.
+Three plans with equal results.  A lexicon of at most ``INLINE_LIMIT`` rows becomes hash sets inside
+the plan; a larger one, as far as a broadcast may go, a trie over words that is looked up in the row.
+In both every text is scored in place and nothing is shuffled or written.  Beyond ``trie_limit`` rows
+the lexicon is joined to the words of the text by a row id made here; ``id_col`` is accepted and not needed.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modspark.functions import text as T
-from modspark.operators.joins import INLINE_LIMIT, column, lookup_join, rows_or_frame
+from modspark.operators import automaton
+from modspark.operators.automaton import ANY
+from modspark.operators.joins import BROADCAST_LIMIT, INLINE_LIMIT, column, is_small, lookup_join, rows_or_frame
 from modspark.operators.rows import compute_once, with_row_id
 
-ANY = "*"
-
 
 def _per_language(langs: Iterable[str], build: Callable[[str], str]) -> Column:
     """``build(language)`` for listed values of ``_code``, ``build('*')`` for all others."""
@@ -36,6 +37,7 @@ def count_hits(
     id_col: str | None = None,
     prefix: str = "hits_",
     inline_limit: int = INLINE_LIMIT,
+    trie_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Add ``<prefix><class>`` = words of ``tokens`` found in that class for the text's language.
 
@@ -43,8 +45,14 @@ def count_hits(
     """
     rows, frame = rows_or_frame(lexicon, ["class", "word", "lang"], inline_limit)
     lang = column(lang)
-    if rows is None:
+    if rows is None and not is_small(frame, trie_limit):
         return _count_hits_by_join(df, frame, classes, tokens, lang, prefix)
+    if rows is None:
+        number = {c: i for i, c in enumerate(classes)}
+        entries = [(number[r[0]], (r[1],), r[2]) for r in frame.collect() if r[0] in number and r[1] is not None]
+        counted = compute_once(df, _counts=automaton.class_counts(
+            df.sparkSession, entries, len(classes), F.col(tokens), lang.cast("string")))
+        return counted.withColumns({f"{prefix}{c}": F.get("_counts", F.lit(i)) for c, i in number.items()}).drop("_counts")
 
     words: dict[tuple[str, str], set[str]] = defaultdict(set)
     for cls, word, code in rows:
@@ -108,6 +116,7 @@ def policy_hits(
     lang: str | Column = "lang",
     id_col: str | None = None,
     inline_limit: int = INLINE_LIMIT,
+    trie_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Add ``policy_counts`` (hits per category, in policy order) and ``policy_matched`` (phrases).
 
@@ -117,8 +126,10 @@ def policy_hits(
     columns = ["category_no", "category", "phrase", "lang"]
     rows, frame = rows_or_frame(policy, columns, inline_limit)
     lang = column(lang)
-    if rows is None:
+    if rows is None and not is_small(frame, trie_limit):
         return _policy_hits_by_join(df, frame, tokens, lang)
+    if rows is None:
+        return _policy_hits_by_trie(df, [tuple(r) for r in frame.collect()], tokens, lang)
 
     phrases: dict[tuple[int, str], set[str]] = defaultdict(set)
     names: dict[int, str] = {}
@@ -156,6 +167,23 @@ def policy_hits(
     ).drop("_found", "_code")
 
 
+def _policy_hits_by_trie(df, rows, tokens, lang) -> DataFrame:
+    names = {number: category for number, category, _, _ in rows}
+    entries = [(number, tuple(phrase.split(" ")), code) for number, _, phrase, code in rows if phrase]
+    hit = compute_once(df, _hits=automaton.phrase_hits(df.sparkSession, entries, F.col(tokens), lang.cast("string")))
+    category = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else F.create_map()
+    numbers = F.array_sort(F.array_distinct(F.transform("_hits", lambda h: h["class"])))
+    counts = F.transform(numbers, lambda c: F.struct(
+        c.alias("category_no"), F.element_at(category, c).alias("category"),
+        F.aggregate(F.filter("_hits", lambda h: h["class"] == c), F.lit(0), lambda acc, h: acc + h["n"]).alias("n"),
+    ))
+    none = F.array().cast(POLICY_COUNTS)
+    return hit.withColumns({
+        "policy_counts": F.when(F.size("_hits") > 0, counts).otherwise(none).cast(POLICY_COUNTS),
+        "policy_matched": F.array_sort(F.array_distinct(F.transform("_hits", lambda h: h["phrase"]))),
+    }).drop("_hits")
+
+
 def _policy_hits_by_join(df, policy, tokens, lang) -> DataFrame:
     df = with_row_id(df)
     words = F.size(F.split("phrase", " "))

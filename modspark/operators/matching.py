@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from modspark.operators import face_index as I
 from modspark.operators.joins import lookup_join
+from modspark.workers import ship_library
 
 # Query faces are sent to every task as one matrix up to this many rows and numbers (64 MB).
 QUERY_LIMIT = 20_000
@@ -96,6 +97,7 @@ def face_search_cost(
 
 
 def _sides(query: DataFrame, collection: DataFrame, id_col: str, vector: str) -> tuple[DataFrame, DataFrame, str]:
+    ship_library(collection.sparkSession)
     known = F.col(vector).isNotNull()
     q = query.filter(known).select(F.col(id_col).alias("query_id"), F.col(vector).alias("v"))
     c = collection.filter(known).select(F.col(id_col).alias("face_id"), F.col(vector).alias("v"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from modspark import defaults
 from modspark import fixed_values as V
 from modspark.functions import text as T
-from modspark.operators.joins import INLINE_LIMIT
+from modspark.operators.joins import BROADCAST_LIMIT, INLINE_LIMIT
 from modspark.operators.lexicons import policy_hits
 
 Policy = DataFrame | Iterable[tuple[int, str, str, str]]
@@ -72,9 +72,12 @@ def policy_verdict(
     lang: str | Column = "lang",
     id_col: str | None = None,
     inline_limit: int = INLINE_LIMIT,
+    trie_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Add flag, category and reason from policy phrases in a text."""
-    hit = policy_hits(df, policy, tokens=tokens, lang=lang, id_col=id_col, inline_limit=inline_limit)
+    hit = policy_hits(
+        df, policy, tokens=tokens, lang=lang, id_col=id_col, inline_limit=inline_limit, trie_limit=trie_limit
+    )
     return hit.withColumns(verdict_columns()).drop("policy_counts", "policy_matched")
 
 
@@ -87,9 +90,12 @@ def child_safety(
     id_col: str | None = None,
     thresholds: tuple[int, int, int] = (1, 3, 6),
     inline_limit: int = INLINE_LIMIT,
+    trie_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Add result (Safe/Unsafe), degree (None/Low/Med/High) and explanation."""
-    hit = policy_hits(df, policy, tokens=tokens, lang=lang, id_col=id_col, inline_limit=inline_limit)
+    hit = policy_hits(
+        df, policy, tokens=tokens, lang=lang, id_col=id_col, inline_limit=inline_limit, trie_limit=trie_limit
+    )
     total = F.aggregate("policy_counts", F.lit(0), lambda acc, c: acc + c["n"])
     low, med, high = thresholds
     none_, low_, med_, high_ = V.DEGREES

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from modspark import defaults
 from modspark import fixed_values as V
 from modspark.functions import text as T
-from modspark.operators.joins import INLINE_LIMIT, column, is_small, rows_or_frame, salted_join
+from modspark.operators.joins import BROADCAST_LIMIT, INLINE_LIMIT, column, is_small, rows_or_frame, salted_join
 from modspark.operators.lexicons import ANY, count_hits
 from modspark.operators.rows import compute_once, explode_rows
 
@@ -32,6 +32,7 @@ def detect_language(
     scripts: Sequence[tuple] = tuple(defaults.SCRIPT_PROFILES),
     id_col: str | None = None,
     inline_limit: int = INLINE_LIMIT,
+    trie_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Add ``languages``: ranked (lang, score), best first; ``und`` when there is no evidence.
 
@@ -51,7 +52,7 @@ def detect_language(
         raise ValueError("a language has either a word profile or a script profile")
     counted = count_hits(
         with_tokens(df, text), lexicon, codes, lang=F.lit(ANY), id_col=id_col, prefix="_lang_",
-        inline_limit=inline_limit,
+        inline_limit=inline_limit, trie_limit=trie_limit,
     )
     evidence = {code: F.col(f"_lang_{code}") for code in codes}
     for code, chars, absent, present in scripts:
@@ -137,11 +138,12 @@ def sentiment(
     lang: str | Column = "lang",
     id_col: str | None = None,
     inline_limit: int = INLINE_LIMIT,
+    trie_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Add ``sentiment`` and ``sentiment_score`` (four shares that sum to 1)."""
     counted = count_hits(
         df, lexicon, ["positive", "negative"], tokens=tokens, lang=lang, id_col=id_col,
-        prefix="_s_", inline_limit=inline_limit,
+        prefix="_s_", inline_limit=inline_limit, trie_limit=trie_limit,
     )
     p, n = F.col("_s_positive"), F.col("_s_negative")
     both = F.least(p, n)
@@ -197,6 +199,7 @@ def toxicity(
     lang: str | Column = "lang",
     id_col: str | None = None,
     inline_limit: int = INLINE_LIMIT,
+    trie_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Add ``toxicity_labels`` (category → score) and the overall ``toxicity``.
 
@@ -204,7 +207,7 @@ def toxicity(
     """
     counted = count_hits(
         df, lexicon, V.TOXICITY_CATEGORIES, tokens=tokens, lang=lang, id_col=id_col,
-        prefix="_x_", inline_limit=inline_limit,
+        prefix="_x_", inline_limit=inline_limit, trie_limit=trie_limit,
     )
 
     def share(n: Column) -> Column:

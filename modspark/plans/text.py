@@ -96,20 +96,26 @@ def analyze_text(
         english.withColumn("_scored", F.coalesce("english", text))
         .withColumn("_lang", F.when(F.col("pending"), F.col("lang")).otherwise(F.lit("en")))
     )
-    # The words for the model branch off before any score, so nothing is scored twice.
-    keyed = with_row_id(scored)
     scorer = PromptScorer(model)
-    sums = scorer.word_sums(keyed.select("_rid", "_scored"), "_scored")
-    scored = S.with_tokens(keyed, "_scored")
+    if scorer.small:  # everything in one pass over the rows
+        scored = scorer.with_sums(S.with_tokens(scored, "_scored"), F.col("_tokens"))
+        sums = None
+    else:
+        # The words for the model branch off before any score, so nothing is scored twice.
+        keyed = with_row_id(scored)
+        sums = scorer.word_sums(keyed.select("_rid", "_scored"), "_scored")
+        scored = S.with_tokens(keyed, "_scored")
     scored = S.sentiment(scored, lexicon, lang="_lang", id_col=id_col)
     scored = S.toxicity(scored, toxic_lexicon, lang="_lang", id_col=id_col)
     scored = first_pii(S.with_pii(negative_flag(scored), patterns, "_scored"))
+    kept = [
+        id_col, "lang", "pending", "sentiment", "sentiment_negative", "negative_score", "pii_type", "pii_score", "toxicity",
+        "toxicity_labels",
+    ]
+    if sums is None:
+        return scorer.with_class(scored.select(*kept, "_n", *scorer.gain.values()))
     # Scores and word sums meet by row, without the text.
-    summary = scored.select(
-        "_rid", id_col, "lang", "pending", "sentiment", "sentiment_negative", "negative_score", "pii_type",
-        "pii_score", "toxicity", "toxicity_labels",
-    )
-    return scorer.with_class(summary.join(sums, "_rid", "left")).drop("_rid")
+    return scorer.with_class(scored.select("_rid", *kept).join(sums, "_rid", "left")).drop("_rid")
 
 
 def safety_record(

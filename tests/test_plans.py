@@ -339,9 +339,8 @@ def test_large_lexicons_as_frames_give_the_same_types_and_rows(spark, sf):
     d = m.with_tokens(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang"))
     policy = spark.createDataFrame(defaults.POLICY_PHRASES, "category_no INT, category STRING, phrase STRING, lang STRING")
     lexicon = spark.createDataFrame(defaults.TOXICITY_LEXICON, "class STRING, word STRING, lang STRING")
-    for limit in (4096, 0):
-        out = m.toxicity(m.policy_verdict(d, policy, id_col="doc_id", inline_limit=limit), lexicon, id_col="doc_id", inline_limit=limit)
-        rows = out.select("doc_id", "flag", "category", "reason", "toxicity").orderBy("doc_id")
-        if limit:
-            want, types = rows.collect(), dict(out.dtypes)
-    assert rows.collect() == want and {k: v for k, v in out.dtypes} == types
+    results = []
+    for limits in ({}, {"inline_limit": 0}, {"inline_limit": 0, "trie_limit": 0}):
+        out = m.toxicity(m.policy_verdict(d, policy, **limits), lexicon, **limits)
+        results.append((out.select("doc_id", "flag", "category", "reason", "toxicity").orderBy("doc_id").collect(), dict(out.dtypes)))
+    assert results[0] == results[1] == results[2]

@@ -97,6 +97,53 @@ def test_pii_borders_and_neighbours(spark):
         ("PHONE", "+1 (415) 555-2671"), ("AGE", "30 years")]
 
 
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 3000])
+def test_pii_offsets_of_many_matches(spark, n):
+    import random
+
+    r = random.Random(n)
+    parts = [("x" * r.randint(1, 9) + " ", f"{r.randint(1, 99)}.{r.randint(0, 9)}.0.{k % 250}") for k in range(n)]
+    text = "é " + " ".join(a + b for a, b in parts)
+    got = m.with_pii(texts(spark, text)).head()["pii"]
+    assert [text[e["begin"]:e["end"]] for e in got] == [b for _, b in parts]
+
+
+def test_pii_takes_time_in_proportion_to_the_matches(spark):
+    import time
+
+    def seconds(n):
+        df = spark.range(1).select(F.repeat(F.lit("a 1.2.3.4 "), n).alias("text"))
+        start = time.perf_counter()
+        assert m.with_pii(df).select(F.size("pii")).head()[0] == n
+        return time.perf_counter() - start
+
+    seconds(100)
+    few, many = seconds(32_000), seconds(320_000)
+    assert many < 15 * few + 2
+
+
+def test_a_trie_of_many_phrases_in_the_row(spark):
+    """More rows than stand in a plan: no join, no shuffle, no written table."""
+    policy = [(i % 7, f"c{i % 7}", f"w{chr(97 + i % 26)} x{chr(97 + i // 26 % 26)} y{chr(97 + i // 676)}", "*") for i in range(6000)]
+    rows = [(k, f"wa xa ya wb, xb ya {'wa xa ' * k}ya", "en") for k in range(5)] + [(9, None, None)]
+    df = m.with_tokens(spark.createDataFrame(rows, "doc_id INT, text STRING, lang STRING"))
+    hit = m.policy_verdict(df, policy)
+    plan = hit._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "parquet" not in plan
+    got = {r["doc_id"]: (r["flag"], r["reason"]) for r in hit.collect()}
+    assert got[0] == (True, "wa xa ya, wb xb ya") and got[3] == (True, "wa xa ya, wb xb ya") and got[9] == (False, "")
+
+
+def test_the_classifier_scores_in_the_row(spark):
+    train = spark.createDataFrame([("good day", "safe"), ("bad bad", "bad")], "text STRING, label STRING")
+    df = spark.createDataFrame([(1, "good", "en"), (2, None, "en"), (3, "unseen", "en")], "doc_id INT, text STRING, lang STRING")
+    model = m.fit_classifier(train)
+    for scored in (m.prompt_safety(df, model), m.analyze_text(df, model, lang="lang")):
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+        assert {r["doc_id"]: r["prompt_class"] for r in scored.collect()} == {1: "safe", 2: "safe", 3: "safe"}
+
+
 def test_pii_offsets_cut_out_the_match_in_whole_corpus(spark, sf):
     d = documents(spark, sf).withColumn("t", F.col("text"))
     for r in m.pii_entities(d, ids=["doc_id", "t"]).collect():
@@ -110,15 +157,18 @@ def test_first_pii(spark):
     assert [(r["pii_type"], r["pii_score"]) for r in got] == [("EMAIL", 1.0), (None, None)]
 
 
-@pytest.mark.parametrize("limit", [4096, 0])
-def test_hits_agree_with_brute_force_in_both_plans(spark, sf, limit):
+PLANS = [{}, {"inline_limit": 0}, {"inline_limit": 0, "trie_limit": 0}]
+
+
+@pytest.mark.parametrize("limits", PLANS)
+def test_hits_agree_with_brute_force_in_all_plans(spark, sf, limits):
     df = m.with_tokens(documents(spark, sf))
     # A word listed twice, for '*' and for a language, counts once.
     lexicon = [*X.TOXIC, *X.SENTIMENTS, ("insult", "idiot", "en"), ("positive", "the", "*"), ("positive", "the", "en")]
     classes = ["insult", "profanity", "positive", "negative"]
     got = {
         r["doc_id"]: tuple(r[f"n_{c}"] for c in classes)
-        for r in count_hits(df, lexicon, classes, id_col="doc_id", prefix="n_", inline_limit=limit).collect()
+        for r in count_hits(df, lexicon, classes, id_col="doc_id", prefix="n_", **limits).collect()
     }
     for r in documents(spark, sf).collect():
         words = [w for w in re.split(r"[^\w]|[\d_]", r["text"].lower()) if w]
@@ -127,13 +177,13 @@ def test_hits_agree_with_brute_force_in_both_plans(spark, sf, limit):
             assert got[r["doc_id"]][i] == sum(w in wanted for w in words)
 
 
-@pytest.mark.parametrize("limit", [4096, 0])
-def test_policy_hits_agree_with_brute_force_in_both_plans(spark, sf, limit):
+@pytest.mark.parametrize("limits", PLANS)
+def test_policy_hits_agree_with_brute_force_in_all_plans(spark, sf, limits):
     df = m.with_tokens(documents(spark, sf))
     common = m.with_tokens(documents(spark, sf)).filter("size(_tokens) > 9").orderBy("doc_id").head()
     policy = [*X.PHRASES, (4, "Visually Disturbing", "la", "*"), (4, "Visually Disturbing", "la", "fr"),
               (2, "Suggestive", " ".join(common["_tokens"][2:8]), "*")]
-    rows = policy_hits(df, policy, id_col="doc_id", inline_limit=limit).collect()
+    rows = policy_hits(df, policy, id_col="doc_id", **limits).collect()
     assert any(r["policy_matched"] for r in rows)
     for r in rows:
         words = r["_tokens"]
@@ -247,11 +297,11 @@ def test_missing_text_scores_as_empty(spark):
 def test_results_do_not_depend_on_ids_or_lexicon_size(spark):
     df = spark.createDataFrame([(1, "smoking", "en"), (1, "hello", "en"), (None, "smoking", "en")], "doc_id INT, text STRING, lang STRING")
     d = m.with_tokens(df)
-    for limit in (4096, 0):
-        rows = m.policy_verdict(d, [(7, "Tobacco", "smoking", "en")], inline_limit=limit).collect()
+    for limits in PLANS:
+        rows = m.policy_verdict(d, [(7, "Tobacco", "smoking", "en")], **limits).collect()
         assert sorted((str(r["doc_id"]), r["text"], r["flag"]) for r in rows) == [
             ("1", "hello", False), ("1", "smoking", True), ("None", "smoking", True)]
-        rows = m.toxicity(d, [("insult", "hello", "*")], inline_limit=limit).collect()
+        rows = m.toxicity(d, [("insult", "hello", "*")], **limits).collect()
         assert sorted((r["text"], r["toxicity"]) for r in rows) == [("hello", 0.5), ("smoking", 0.0), ("smoking", 0.0)]
     train = spark.createDataFrame([("good day", "safe"), ("bad bad", "bad")], "text STRING, label STRING")
     three = spark.createDataFrame([(1, "good"), (1, "bad bad"), (None, "bad bad")], "doc_id INT, text STRING")

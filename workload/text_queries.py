@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 import modspark as m
 from modspark import fixed_values as V
 from modspark.defaults import phrase_of
+from modspark.operators.classifier import PromptScorer
 from modspark.operators.lexicons import policy_hits
 from modspark.operators.policy import policy_prose
-from modspark.operators.rows import explode_rows
+from modspark.operators.rows import explode_rows, with_row_id
 from modspark.scratch import scratch_folder
 from workload import builders as B
 from workload import tables as X
@@ -460,16 +461,45 @@ def shown_id(df):
 
 @query("policy_verdict_by_join", f"WITH {POLICY} {thrice_sql('flag, category, reason', 'verdict')}")
 def policy_verdict_by_join(spark, sf):
-    v = m.policy_verdict(thrice(tokens(spark, sf)), X.PHRASES, inline_limit=0)
+    v = m.policy_verdict(thrice(tokens(spark, sf)), X.PHRASES, inline_limit=0, trie_limit=0)
     return shown_id(v).select("doc_id", "flag", "category", "reason")
 
 
 @query("toxicity_by_join", f"WITH {TOX} {thrice_sql('round(total / (total + 1), 6)::double AS toxicity', 'tox')}")
 def toxicity_by_join(spark, sf):
-    t = m.toxicity(thrice(tokens(spark, sf)), X.TOXIC, inline_limit=0)
+    t = m.toxicity(thrice(tokens(spark, sf)), X.TOXIC, inline_limit=0, trie_limit=0)
     return shown_id(t).select("doc_id", F.round("toxicity", 6).alias("toxicity"))
 
 
+@query("policy_verdict_by_trie", f"WITH {POLICY} {thrice_sql('flag, category, reason', 'verdict')}")
+def policy_verdict_by_trie(spark, sf):
+    """The plan for a policy too long to stand in the plan, looked up in the row."""
+    v = m.policy_verdict(thrice(tokens(spark, sf)), X.PHRASES, inline_limit=0)
+    return shown_id(v).select("doc_id", "flag", "category", "reason")
+
+
+@query(
+    "toxicity_by_trie",
+    f"""WITH {TOX} SELECT doc_id, round(total / (total + 1), 6)::double AS toxicity,
+    {', '.join(f'round({c} / ({c} + 1), 6)::double AS {c}' for c in V.TOXICITY_CATEGORIES)} FROM tox""",
+)
+def toxicity_by_trie(spark, sf):
+    t = m.toxicity(tokens(spark, sf), X.TOXIC, inline_limit=0)
+    return t.select(
+        "doc_id", F.round("toxicity", 6).alias("toxicity"),
+        *[F.round(F.col("toxicity_labels")[c], 6).alias(c) for c in V.TOXICITY_CATEGORIES],
+    )
+
+
+@query("prompt_safety_by_join", f"WITH {MODEL} SELECT * FROM prompt")
+def prompt_safety_by_join(spark, sf):
+    """The plan for a model too large to broadcast."""
+    scorer = PromptScorer(model(spark, sf))
+    rows = with_row_id(docs(spark, sf).select("doc_id", "text"))
+    p = scorer.with_class(rows.join(scorer.word_sums(rows.select("_rid", "text"), "text"), "_rid", "left"))
+    return p.select("doc_id", "prompt_class", F.round("prompt_score", 4).alias("prompt_score"), "prompt_log_score")
+
+
 @query("prompt_safety_repeated_ids", f"WITH {MODEL} {thrice_sql('prompt_class, prompt_log_score', 'prompt')}")
 def prompt_safety_repeated_ids(spark, sf):
     p = m.prompt_safety(thrice(docs(spark, sf).select("doc_id", "text")), model(spark, sf))
