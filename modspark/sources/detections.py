@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from modspark import schemas
 from modspark.operators.ordering import running_position
@@ -43,10 +46,18 @@ def read_job_notices(
     return parse_job_notices(reader.schema(ddl).json(path))
 
 
-def parse_video_pages(df: DataFrame, col: str = "payload") -> DataFrame:
+def parse_video_pages(df: DataFrame, col: str = "payload", columns: Sequence[str] | None = None) -> DataFrame:
+    """Replace a JSON result page by its typed columns.
+
+    ``columns`` names those that are wanted: they are parsed together, once.  Without it every column
+    that is used later is parsed on its own.
+    """
     keep = [c for c in df.columns if c != col]
-    page = F.from_json(F.col(col), schemas.VIDEO_PAGE)
-    return df.select(*keep, page.alias("_p")).select(*keep, "_p.*")
+    if columns is None:
+        page = F.from_json(F.col(col), schemas.VIDEO_PAGE)
+        return df.select(*keep, page.alias("_p")).select(*keep, "_p.*")
+    wanted = StructType([f for f in StructType.fromDDL(schemas.VIDEO_PAGE) if f.name in columns])
+    return compute_once(df, _p=F.from_json(F.col(col), wanted)).select(*keep, "_p.*")
 
 
 def assemble_pages(

@@ -158,3 +158,25 @@ def test_result_pages_put_together_are_the_timeline(spark):
     parts = [
         [r["id"] for r in m.result_page(df, 10, k, block_ms=4000).orderBy("position").collect()] for k in range(3)]
     assert [len(p) for p in parts] == [10, 10, 5] and sum(parts, []) == whole
+
+
+def test_all_video_analyses_in_one_parse(spark):
+    from modspark.plans.video import ANALYSES
+
+    page = """{"Labels": [{"Timestamp": 1, "Label": {"Name": "Dog", "Confidence": 90.0}}], "Persons": [
+      {"Timestamp": 2, "Person": {"Index": 7}, "FaceMatches": [{"Similarity": 99.0, "Face": {"FaceId": "f"}}]},
+      {"Timestamp": 3, "Person": {"Index": 8}}]}"""
+    raw = spark.createDataFrame([("a", 0, page), ("a", 1, page), ("b", 0, "{}"), ("c", 0, "broken"), ("d", 0, None)],
+                                "job_id STRING, page_no INT, payload STRING")
+    parsed = m.parse_video_pages(raw, columns=m.page_columns(list(ANALYSES)))
+    rows = m.moderate_video(parsed, list(ANALYSES), numbered=True)
+    got = sorted((r["kind"], r["position"], r["page_no"], r["name"], r["person"], r["face_id"]) for r in rows.collect())
+    assert got == sorted(
+        [("labels", p, p, "Dog", None, None) for p in (0, 1)]
+        + [("persons", 2 * p + i, p, None, 7 + i, None) for p in (0, 1) for i in (0, 1)]
+        + [("face_matches", 2 * p + i, p, None, 7 + i, "f" if i == 0 else None) for p in (0, 1) for i in (0, 1)])
+    plain = m.moderate_video(parsed, list(ANALYSES))
+    assert plain._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    assert m.moderate_video(parsed, "persons").columns == ["job_id", "page_no", "item", "ts", "person", "kind"]
+    with pytest.raises(ValueError):
+        m.moderate_video(parsed, "sounds")

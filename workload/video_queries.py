@@ -91,17 +91,43 @@ def video_metadata(spark, sf):
     return m.video_metadata(pages(spark, sf, Labels=B.label_item()))
 
 
-@query(
-    "moderate_video",
-    f"""WITH {TIMED} SELECT {PLACE}, 'labels' AS kind, name, -1::bigint AS person FROM timed
-    UNION ALL SELECT {PLACE}, 'persons', NULL, event_id % 7 FROM timed""",
-)
-def moderate_video(spark, sf):
-    v = m.moderate_video(
-        pages(spark, sf, Labels=B.label_item(), Persons=B.person_item()), ["labels", "persons"]
+MATCHES = """matches AS (
+      SELECT event_id, name || '-a' AS face_id, round(confidence, 6) AS similarity FROM timed WHERE name IN ('purchase', 'view')
+      UNION ALL SELECT event_id, name || '-b', round(confidence / 2, 6) FROM timed WHERE name = 'purchase')"""
+VIDEO_ROWS = f"""WITH {TIMED}, {MATCHES}
+    SELECT {PLACE}, position, 'labels' AS kind, name, NULL AS parent, confidence, -1::bigint AS person, -1 AS age_low,
+      NULL AS face_id, NULL::double AS similarity FROM timed
+    UNION ALL SELECT {PLACE}, position, 'moderation', name, parent, confidence, -1, -1, NULL, NULL FROM timed
+    UNION ALL SELECT {PLACE}, position, 'faces', NULL, NULL, confidence, -1, floor(confidence)::int, NULL, NULL FROM timed
+    UNION ALL SELECT {PLACE}, position, 'persons', NULL, NULL, NULL, event_id % 7, -1, NULL, NULL FROM timed
+    UNION ALL SELECT {PLACE}, position, 'celebrities', 'Celebrity ' || name, NULL, NULL, -1, -1, NULL, NULL FROM timed
+    UNION ALL SELECT {PLACE}, position, 'face_matches', NULL, NULL, NULL, event_id % 7, -1, face_id, similarity
+      FROM timed LEFT JOIN matches USING (event_id)"""
+
+
+def all_analyses(spark, sf, numbered):
+    raw = B.video_pages(spark, sf, {
+        "Labels": B.label_item(), "ModerationLabels": B.moderation_item(), "Faces": B.face_item(),
+        "Persons": B.person_item(), "Celebrities": B.celebrity_item(),
+    })
+    kinds = ["labels", "moderation", "faces", "persons", "celebrities", "face_matches"]
+    v = m.moderate_video(m.parse_video_pages(raw, columns=m.page_columns(kinds)), kinds, numbered)
+    return v.select(
+        "job_id", "page_no", "item", *(["position"] if numbered else []), "ts", "kind", "name", "parent", "confidence",
+        F.coalesce("person", F.lit(-1)).cast("bigint").alias("person"),
+        F.coalesce("face.AgeRange.Low", F.lit(-1)).alias("age_low"), "face_id", F.round("similarity", 6).alias("similarity"),
     )
-    person = F.coalesce("person", F.lit(-1)).cast("bigint").alias("person")
-    return v.select("job_id", "page_no", "item", "ts", "kind", "name", person)
+
+
+@query("moderate_video", f"SELECT * EXCLUDE (position) FROM ({VIDEO_ROWS})")
+def moderate_video(spark, sf):
+    """All six analyses of every page: one scan, one parse."""
+    return all_analyses(spark, sf, False)
+
+
+@query("moderate_video_numbered", VIDEO_ROWS)
+def moderate_video_numbered(spark, sf):
+    return all_analyses(spark, sf, True)
 
 
 # --- jobs ---------------------------------------------------------------------------------------
