@@ -86,6 +86,7 @@ from modspark.sources.objects import (
     read_transcripts,
 )
 from modspark.sources.results import (
+    compact_buckets,
     compact_store,
     latest_per_key,
     read_latest,

@@ -8,6 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modspark.operators.joins import is_small
+from modspark.sources import buckets as B
+
 MODALITY_COLUMNS = {
     "Image_moderation": "image",
     "Audio_moderation": "audio",
@@ -72,12 +75,66 @@ def upsert_latest(
 def read_latest(
     spark: SparkSession, store: str, key: str | Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """The current record per key; at equal ``order_by`` the later put wins."""
-    puts = spark.read.option("mergeSchema", "true").parquet(store).withColumn(
-        "writer", F.col("writer").cast("string")
-    )
+    """The current record per key; at equal ``order_by`` the later put wins.
+
+    Of a store that :func:`compact_buckets` has compacted only live files are opened.  Its records are
+    passed through without any shuffle, but for the keys of puts that came since; those meet their
+    earlier records in the buckets they belong to.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [*order_by, PUT_TIME, "writer", "batch_id"]
+    known = B.manifest(spark, store)
+    if known is None:
+        puts = spark.read.option("mergeSchema", "true").parquet(store).withColumn(
+            "writer", F.col("writer").cast("string")
+        )
+        return latest_per_key(puts, keys, order).drop(PUT_TIME, "writer", "batch_id")
+    fresh = [p for put, p in B.put_folders(spark, store).items() if put not in known.puts]
+    base = B.read_base(spark, store, known)
+    hidden = [PUT_TIME, "writer", "batch_id", "bucket"]
+    if not fresh:
+        return base.drop(*hidden)
+    delta = latest_per_key(B.read_puts(spark, store, fresh), keys, order)
+    if base is None:
+        return delta.drop(*hidden)
+    changed = delta.select(*keys).withColumn("bucket", B.bucket_of(keys, known.buckets))
+    touched = [r[0] for r in changed.select("bucket").distinct().collect()]  # at most one for each bucket
+    affected = B.read_base(spark, store, known, touched)
+    if affected is None:
+        return base.unionByName(delta, allowMissingColumns=True).drop(*hidden)
+    if is_small(changed):
+        changed = F.broadcast(changed.drop("bucket"))
+    else:
+        changed = changed.drop("bucket")
+    earlier = affected.join(changed, keys, "left_semi").drop("bucket")
+    merged = latest_per_key(earlier.unionByName(delta, allowMissingColumns=True), keys, order)
+    same = base.join(changed, keys, "left_anti")
+    return same.unionByName(merged, allowMissingColumns=True).drop(*hidden)
+
+
+def compact_buckets(
+    spark: SparkSession, store: str, key: str | Sequence[str], order_by: Sequence[str], buckets: int = B.BUCKETS
+) -> list[int]:
+    """Merge the puts since the last compaction into the buckets they touch; returns those.
+
+    Buckets without new records keep their files, puts stay as they are.  The number of buckets is
+    fixed by the first compaction; choose it so that a bucket's current records fit a task.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    known = B.manifest(spark, store)
+    buckets = known.buckets if known else buckets
+    puts = B.put_folders(spark, store)
+    fresh = [p for put, p in puts.items() if known is None or put not in known.puts]
+    if not fresh:
+        return []
     order = [*order_by, PUT_TIME, "writer", "batch_id"]
-    return latest_per_key(puts, key, order).drop(PUT_TIME, "writer", "batch_id")
+    delta = latest_per_key(B.read_puts(spark, store, fresh), keys, order)
+    number = B.bucket_of(keys, buckets)
+    touched = sorted(r[0] for r in delta.select(number).distinct().collect())  # at most one for each bucket
+    earlier = B.read_base(spark, store, known, touched) if known else None
+    rows = delta if earlier is None else earlier.drop("bucket").unionByName(delta, allowMissingColumns=True)
+    B.write_version(spark, store, latest_per_key(rows, keys, order).withColumn("bucket", number), touched, known, buckets, list(puts))
+    return touched
 
 
 def compact_store(

@@ -131,6 +131,44 @@ def test_store_keeps_the_latest_record_whole(spark, tmp_path):
     assert {tuple(r) for r in m.read_latest(spark, str(tmp_path / "compact"), "k", ["v"]).collect()} == want
 
 
+def test_store_compacts_only_touched_buckets_and_reads_only_live_files(spark, tmp_path):
+    from modspark.sources.buckets import manifest
+
+    store = str(tmp_path / "store")
+
+    def put(rows, **options):
+        return m.upsert_latest(spark.createDataFrame(rows, "k STRING, at INT, v STRING"), store, "k", ["at"], **options)
+
+    def current():
+        return {r["k"]: r["v"] for r in m.read_latest(spark, store, "k", ["at"]).collect()}
+
+    put([(f"k{i}", 1, "first") for i in range(200)])
+    assert len(m.compact_buckets(spark, store, "k", ["at"], buckets=8)) == 8
+    want = {f"k{i}": "first" for i in range(200)}
+    plain = m.read_latest(spark, store, "k", ["at"])
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert {r["k"]: r["v"] for r in plain.collect()} == want
+    # One newer record, one older than the stored one, one new key.
+    put([("k1", 2, "newer"), ("k2", 0, "older"), ("new", 1, "new")], writer="w", batch_id=3)
+    want |= {"k1": "newer", "new": "new"}
+    assert current() == want
+    before = manifest(spark, store)
+    touched = m.compact_buckets(spark, store, "k", ["at"])
+    after = manifest(spark, store)
+    assert 1 <= len(touched) <= 3 and all(after.live[b] == (1 if b in touched else 0) for b in after.live)
+    assert before.live.keys() == after.live.keys() and ("w", "3") in after.puts
+    assert current() == want and m.compact_buckets(spark, store, "k", ["at"]) == []
+    opened = {f.split("_base/")[1].rsplit("/", 1)[0] for f in m.read_latest(spark, store, "k", ["at"]).inputFiles()}
+    assert opened == {f"version={v}/bucket={b}" for b, v in after.live.items()}
+    put([("k1", 2, "newer"), ("k2", 0, "older"), ("new", 1, "new")], writer="w", batch_id=3)  # replayed
+    assert current() == want
+    # A put with another column, and a manifest that was not finished.
+    m.upsert_latest(spark.createDataFrame([("k5", 9, "wide", 1)], "k STRING, at INT, v STRING, extra INT"), store, "k", ["at"])
+    (tmp_path / "store" / "_manifest" / "version=7").mkdir()
+    assert current() == want | {"k5": "wide"}
+    assert m.compact_buckets(spark, store, "k", ["at"]) and current() == want | {"k5": "wide"}
+
+
 def test_safety_records(spark):
     df = spark.createDataFrame([(1, "pills pills pills", "en")], "doc_id INT, text STRING, lang STRING")
     assert tuple(m.safety_record(df).head()) == (1, "Unsafe", "Med", "found: pills")

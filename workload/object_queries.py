@@ -145,6 +145,19 @@ def upsert_latest(spark, sf):
     return m.read_latest(spark, store, "user_id", ["ts", "event_id"]).drop("ts")
 
 
+@query("compacted_store", LATEST)
+def compacted_store(spark, sf):
+    """Puts, a compaction by buckets, puts for some of the keys, another compaction, and one more put."""
+    e = load(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "ts")
+    store, order = scratch_folder(spark, "store"), ["ts", "event_id"]
+    m.upsert_latest(e.filter("value >= 30"), store, "user_id", order)
+    m.compact_buckets(spark, store, "user_id", order, buckets=16)
+    m.upsert_latest(e.filter("value < 30 AND value >= 10"), store, "user_id", order)
+    m.compact_buckets(spark, store, "user_id", order)
+    m.upsert_latest(e.filter("value < 10"), store, "user_id", order)
+    return m.read_latest(spark, store, "user_id", order).drop("ts")
+
+
 # --- whole objects ------------------------------------------------------------------------------
 
 
