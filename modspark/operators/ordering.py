@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from modspark.scratch import settle
 
 # A block of blocks, so that the last running sum sees one row per this many blocks.
 BLOCKS_PER_GROUP = 1024
@@ -62,3 +63,39 @@ def running_position(
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop("_block", "_weight", "_before", "_inside", *[f"_of_{i}" for i in range(len(by_block))])
     )
+
+
+def range_placed(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rows in ranges of (keys, order), kept as a table, with ``_part`` and the place ``_at`` in it.
+
+    Rows that are equal in all of these are told apart by where they came from, so even a key whose
+    rows all have one time is spread evenly over the ranges.
+    """
+    own = df.withColumn("_own", F.monotonically_increasing_id())
+    by = [*map(F.col, keys), *order, F.col("_own")]
+    placed = own.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    # The number of a partition and the place in it, as Spark packs them.
+    return settle(placed.withColumns({
+        "_part": F.shiftright("_at", 33).cast("int"), "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)),
+    }).drop("_own"))
+
+
+def ranked_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Add how many rows precede each row within ``keys``, whatever ties the order has.
+
+    Rows are sorted in ranges; a row's place is its place in the range plus the rows of its key in
+    earlier ranges.  Only one row for each key and range is summed over a key.  Rows without a key
+    belong together.
+    """
+    placed = range_placed(df, keys, order)
+    parts = placed.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    names = [*keys, "_part"]
+    shifts = parts.withColumn("_before", F.coalesce(earlier, F.lit(0))).select(
+        *[F.col(c).alias(f"_of_{i}") for i, c in enumerate(names)], (F.col("_before") - F.col("_first")).alias("_shift")
+    )
+    # A key's rows of one range: never more than a range holds.
+    same = reduce(and_, [placed[c].eqNullSafe(shifts[f"_of_{i}"]) for i, c in enumerate(names)])
+    return placed.join(shifts, same).withColumn(name, (F.col("_at") + F.col("_shift")).cast("bigint")).drop(
+        "_at", "_part", "_shift", *[f"_of_{i}" for i in range(len(names))]
+    )

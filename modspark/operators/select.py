@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from modspark import defaults
 from modspark import fixed_values as V
-from modspark.operators.ordering import running_position
+from modspark.operators.ordering import ranked_position, running_position
 from modspark.operators.rows import explode_rows
 from modspark.operators.scoring import with_pii
 
@@ -93,15 +93,19 @@ def with_result_page(
     job: str = "job_id",
     ts: str = "ts",
     tie: Sequence[str] = ("name",),
-    block_ms: int = 60_000,
+    block_ms: int | None = None,
 ) -> DataFrame:
     """Add ``page_no`` (from 0) and ``position`` of each detection in its job's time order.
 
-    Rows are numbered per job and time block, so the longest job is spread over its blocks.
+    Rows are numbered in sorted ranges, so neither a long job nor many detections at one time meet in a
+    task.  With ``block_ms`` they are numbered per job and time block instead, which writes no table but
+    needs times that are spread.
     """
-    placed = running_position(
-        df, [job], F.floor(F.col(ts) / block_ms), [F.col(ts), *map(F.col, tie)], "position"
-    )
+    order = [F.col(ts), *map(F.col, tie)]
+    if block_ms is None:
+        placed = ranked_position(df, [job], order, "position")
+    else:
+        placed = running_position(df, [job], F.floor(F.col(ts) / block_ms), order, "position")
     return placed.withColumn("page_no", F.floor(F.col("position") / n))
 
 

@@ -180,3 +180,31 @@ def test_all_video_analyses_in_one_parse(spark):
     assert m.moderate_video(parsed, "persons").columns == ["job_id", "page_no", "item", "ts", "person", "kind"]
     with pytest.raises(ValueError):
         m.moderate_video(parsed, "sounds")
+
+
+def test_positions_at_one_time_are_spread(spark):
+    from modspark.operators.ordering import range_placed, ranked_position
+
+    rows = spark.range(40_000).select(F.lit("a").alias("job_id"), F.lit(5).alias("ts"), F.lit("x").alias("name"), "id")
+    sizes = sorted(r["n"] for r in range_placed(rows, ["job_id"], [F.col("ts"), F.col("name")]).groupBy("_part").agg(
+        F.count("*").alias("n")).collect())
+    assert len(sizes) >= 3 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    got = ranked_position(rows, ["job_id"], [F.col("ts"), F.col("name")], "position")
+    assert got.agg(F.count("*"), F.countDistinct("position"), F.min("position"), F.max("position")).head() == (40_000, 40_000, 0, 39_999)
+
+
+def test_positions_equal_a_window(spark):
+    from pyspark.sql import Window
+
+    from modspark.operators.ordering import ranked_position
+
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("j"), F.least(F.col("id") % 5, F.lit(2)))).alias("job_id"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 40).alias("ts"), "id",
+        F.create_map(F.lit("k"), F.col("id")).alias("extra"),
+    ).repartition(5)
+    window = Window.partitionBy("job_id").orderBy("ts", "id")
+    want = {r["id"]: r["p"] for r in rows.select("id", (F.row_number().over(window) - 1).alias("p")).collect()}
+    got = ranked_position(rows, ["job_id"], [F.col("ts"), F.col("id")], "p")
+    assert got.columns == [*rows.columns, "p"] and {r["id"]: r["p"] for r in got.collect()} == want
+    assert ranked_position(rows.limit(0), ["job_id"], [F.col("ts")], "p").count() == 0

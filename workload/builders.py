@@ -80,10 +80,7 @@ def event_times(spark: SparkSession, sf: str) -> DataFrame:
 
 def video_pages(spark: SparkSession, sf: str, items: dict[str, Column]) -> DataFrame:
     """Result pages (job_id, page_no, payload) with ten detections per page in time order."""
-    hour = 3_600_000
-    timed = with_result_page(
-        event_times(spark, sf), V.RESULT_PAGE_SIZE, tie=("event_id",), block_ms=hour
-    )
+    timed = with_result_page(event_times(spark, sf), V.RESULT_PAGE_SIZE, tie=("event_id",))
     metadata = F.struct(
         F.lit("h264").alias("Codec"), F.max("duration").alias("DurationMillis"),
         F.lit("QuickTime / MOV").alias("Format"), F.lit(29.97).alias("FrameRate"),

@@ -32,10 +32,24 @@ def timeline(spark, sf):
     f"WITH {TIMED} SELECT job_id, ts, event_id, position FROM timed WHERE position // 10 = 2",
 )
 def result_page(spark, sf):
-    p = m.result_page(B.event_times(spark, sf), 10, 2, tie=("event_id",), block_ms=3_600_000)
+    p = m.result_page(B.event_times(spark, sf), 10, 2, tie=("event_id",))
     return p.select("job_id", "ts", "event_id", "position")
 
 
+@query(
+    "result_page_at_one_time",
+    """WITH placed AS (SELECT event_id, row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1 AS position,
+      (user_id % 3)::varchar AS job_id FROM events)
+    SELECT job_id, event_id, position FROM placed WHERE position // 100 = 5""",
+)
+def result_page_at_one_time(spark, sf):
+    """Three jobs hold all detections, every one at the same time."""
+    e = load(spark, sf, "events").select(
+        (F.col("user_id") % 3).cast("string").alias("job_id"), "event_id", F.lit(0).cast("long").alias("ts")
+    )
+    return m.result_page(e, 100, 5, tie=("event_id",)).select("job_id", "event_id", "position")
+
+
 @query("assemble_pages", f"WITH {TIMED} SELECT job_id, position, ts, name FROM timed")
 def assemble_pages(spark, sf):
     rows = m.assemble_pages(pages(spark, sf, Labels=B.label_item()), "job_id", "page_no", "Labels")
