@@ -68,6 +68,7 @@ from modspark.operators.select import (
 from modspark.plans.audio import moderate_audio
 from modspark.plans.image import gather_detections, image_record, moderate_image, parse_image_documents
 from modspark.plans.objects import moderate_objects, routed_objects
+from modspark.plans.replies import analyze_replies, dominant_language, first_class, toxic_result
 from modspark.plans.text import analyze_text, moderate_text, safety_record, text_result
 from modspark.plans.video import moderate_video, page_columns
 from modspark.sources.detections import (

@@ -185,9 +185,12 @@ def test_all_video_analyses_in_one_parse(spark):
 def test_positions_at_one_time_are_spread(spark):
     from modspark.operators.ordering import range_placed, ranked_position
 
+    # Of so few bytes Spark would make one range.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rows = spark.range(40_000).select(F.lit("a").alias("job_id"), F.lit(5).alias("ts"), F.lit("x").alias("name"), "id")
     sizes = sorted(r["n"] for r in range_placed(rows, ["job_id"], [F.col("ts"), F.col("name")]).groupBy("_part").agg(
         F.count("*").alias("n")).collect())
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(sizes) >= 3 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
     got = ranked_position(rows, ["job_id"], [F.col("ts"), F.col("name")], "position")
     assert got.agg(F.count("*"), F.countDistinct("position"), F.min("position"), F.max("position")).head() == (40_000, 40_000, 0, 39_999)
@@ -208,3 +211,31 @@ def test_positions_equal_a_window(spark):
     got = ranked_position(rows, ["job_id"], [F.col("ts"), F.col("id")], "p")
     assert got.columns == [*rows.columns, "p"] and {r["id"]: r["p"] for r in got.collect()} == want
     assert ranked_position(rows.limit(0), ["job_id"], [F.col("ts")], "p").count() == 0
+
+
+def test_records_of_supplied_replies(spark):
+    from decimal import Decimal
+
+    reply = {
+        "language_reply": '{"Languages": [{"LanguageCode": "fr", "Score": 0.9}, {"LanguageCode": "en", "Score": 0.1}]}',
+        "sentiment_reply": '{"Sentiment": "NEGATIVE", "SentimentScore": {"Negative": 0.123456789012345}}',
+        "pii_reply": '{"Entities": [{"Type": "NAME", "Score": 0.1, "BeginOffset": 1, "EndOffset": 2}, {"Type": "AGE", "Score": 1.0}]}',
+        "toxic_reply": '{"ResultList": [{"Labels": [{"Name": "INSULT", "Score": 0.3}, {"Name": "INSULT", "Score": 0.7}], "Toxicity": 0.2},'
+                       ' {"Labels": [], "Toxicity": 0.9}]}',
+        "class_reply": '{"Classes": [{"Name": "SAFE", "Score": 0.6}, {"Name": "UNSAFE", "Score": 0.4}]}',
+    }
+    calm = {"pii_reply": '{"Entities": []}', "sentiment_reply": '{"Sentiment": "POSITIVE", "SentimentScore": {"Negative": 0.2}}'}
+    schema = "doc_id INT, " + ", ".join(f"{c} STRING" for c in reply)
+    df = spark.createDataFrame(
+        [(1, *reply.values()), (2, *[{**reply, **calm}[c] for c in reply]), (3, "x", None, "{}", "[", "")], schema)
+    record = m.analyze_replies(df)
+    one, two, three = record.orderBy("doc_id").collect()
+    assert (one["lang"], one["sentiment_negative"], one["pii_type"], one["prompt_class"]) == ("fr", True, "NAME", "SAFE")
+    assert (one["negative_score"], one["pii_score"], one["toxicity"]) == (Decimal("0.123456789012345"), Decimal("0.1"), Decimal("0.2"))
+    assert one["toxicity_labels"] == {"INSULT": Decimal("0.7")} and one["prompt_score"] == Decimal("0.6") and one["missing"] == []
+    assert (two["sentiment_negative"], two["negative_score"], two["pii_type"], two["missing"]) == (False, 0, None, [])
+    assert three["missing"] == ["languages", "sentiment", "pii", "toxic_text", "classes"] and three["negative_score"] is None
+    assert record._jdf.queryExecution().executedPlan().toString().count("from_json") == 5
+    assert m.analyze_replies(df, replies={"classes": "class_reply"}).columns == ["doc_id", "prompt_class", "prompt_score", "missing"]
+    with pytest.raises(ValueError):
+        m.analyze_replies(df, replies={"smell": "x"})

@@ -349,3 +349,43 @@ def verdict_texts(spark: SparkSession, sf: str) -> DataFrame:
         F.when((F.col("quality") == 0) & (F.col("toxic") == 0), prose).otherwise(doc).alias("json_reply"),
         lines.alias("line_reply"),
     )
+
+
+def detector_replies(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies of a hosted detector per document, with scores in thousandths that come from its length.
+
+    Every tenth document has a toxicity reply that broke off; every third has no personal data.
+    """
+    d = load(spark, sf, "documents", spread="doc_id")
+    n = F.length("text")
+
+    def score(k: int) -> Column:
+        return F.pmod(n * k, F.lit(1000)) / 1000
+
+    labels = [F.struct(F.lit(c).alias("Name"), score(i).alias("Score")) for i, c in enumerate(V.TOXICITY_CATEGORIES, 2)]
+    entities = F.array(
+        F.struct(score(7).alias("Score"), F.when(n % 2 == 0, "EMAIL").otherwise("PHONE").alias("Type")),
+        F.struct(F.lit(1.0).alias("Score"), F.lit("NAME").alias("Type")),
+    )
+    toxic = F.to_json(F.struct(F.array(
+        F.struct(F.array(*labels).alias("Labels"), score(11).alias("Toxicity")),
+        F.struct(F.array().cast("array<struct<Name:string,Score:double>>").alias("Labels"), F.lit(1.0).alias("Toxicity")),
+    ).alias("ResultList")))
+    return d.select(
+        "doc_id",
+        F.to_json(F.struct(F.array(
+            F.struct(F.col("lang").alias("LanguageCode"), score(13).alias("Score")),
+            F.struct(F.lit("xx").alias("LanguageCode"), F.lit(0.0).alias("Score")),
+        ).alias("Languages"))).alias("language_reply"),
+        F.to_json(F.struct(
+            _cycle(["NEGATIVE", "POSITIVE", "NEUTRAL", "MIXED"], F.col("doc_id")).alias("Sentiment"),
+            F.struct(score(17).alias("Negative"), score(19).alias("Positive")).alias("SentimentScore"),
+        )).alias("sentiment_reply"),
+        F.to_json(F.struct(
+            F.when(F.col("doc_id") % 3 == 0, F.slice(entities, 1, 0)).otherwise(entities).alias("Entities")
+        )).alias("pii_reply"),
+        F.when(F.col("doc_id") % 10 == 7, F.substring(toxic, 1, 5)).otherwise(toxic).alias("toxic_reply"),
+        F.to_json(F.struct(F.array(F.struct(
+            F.when(n % 5 == 0, "UNSAFE_PROMPT").otherwise("SAFE_PROMPT").alias("Name"), score(23).alias("Score")
+        )).alias("Classes"))).alias("class_reply"),
+    )

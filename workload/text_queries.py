@@ -543,6 +543,59 @@ def analyze_text(spark, sf):
     )
 
 
+def thousandths(k: int) -> str:
+    """SQL: the exact decimal text of a reply's score."""
+    return f"'0.' || lpad(((length(text) * {k}) % 1000)::varchar, 3, '0') || repeat('0', 21)"
+
+
+TOXIC_REPLY = f"""CASE WHEN doc_id % 10 <> 7 THEN {thousandths(11)} END AS toxicity, {', '.join(
+    f"CASE WHEN doc_id % 10 <> 7 THEN {thousandths(i)} END AS {c}" for i, c in enumerate(V.TOXICITY_CATEGORIES, 2))}"""
+CLASS_REPLY = f"""CASE WHEN length(text) % 5 = 0 THEN 'UNSAFE_PROMPT' ELSE 'SAFE_PROMPT' END AS prompt_class,
+    {thousandths(23)} AS prompt_score"""
+
+
+def toxic_columns():
+    return [F.col("toxicity").cast("string").alias("toxicity"),
+            *[F.col("toxicity_labels")[c].cast("string").alias(c) for c in V.TOXICITY_CATEGORIES]]
+
+
+@query("first_class", f"SELECT doc_id, {CLASS_REPLY} FROM documents")
+def first_class(spark, sf):
+    c = m.first_class(m.parse_detections(B.detector_replies(spark, sf), "class_reply", "classes"))
+    return c.select("doc_id", "prompt_class", F.col("prompt_score").cast("string").alias("prompt_score"))
+
+
+@query("toxic_result", f"SELECT doc_id, {TOXIC_REPLY} FROM documents")
+def toxic_result(spark, sf):
+    t = m.toxic_result(m.parse_detections(B.detector_replies(spark, sf), "toxic_reply", "toxic_text"))
+    return t.select("doc_id", *toxic_columns())
+
+
+@query("dominant_language", "SELECT doc_id, lang FROM documents")
+def dominant_language(spark, sf):
+    d = m.dominant_language(m.parse_detections(B.detector_replies(spark, sf), "language_reply", "languages"))
+    return d.select("doc_id", "lang")
+
+
+@query(
+    "analyze_replies",
+    f"""SELECT doc_id, lang, ['NEGATIVE', 'POSITIVE', 'NEUTRAL', 'MIXED'][doc_id % 4 + 1] AS sentiment, doc_id % 4 = 0 AS sentiment_negative,
+      CASE WHEN doc_id % 4 = 0 THEN {thousandths(17)} ELSE '0.' || repeat('0', 24) END AS negative_score,
+      CASE WHEN doc_id % 3 <> 0 THEN CASE WHEN length(text) % 2 = 0 THEN 'EMAIL' ELSE 'PHONE' END END AS pii_type,
+      CASE WHEN doc_id % 3 <> 0 THEN {thousandths(7)} END AS pii_score, {TOXIC_REPLY}, {CLASS_REPLY},
+      CASE WHEN doc_id % 10 = 7 THEN 'toxic_text' ELSE '' END AS missing FROM documents""",
+)
+def analyze_replies(spark, sf):
+    """The record out of supplied replies of all five kinds, scores as exact decimals."""
+    r = m.analyze_replies(B.detector_replies(spark, sf))
+
+    return r.select(
+        "doc_id", "lang", "sentiment", "sentiment_negative", F.col("negative_score").cast("string").alias("negative_score"),
+        "pii_type", F.col("pii_score").cast("string").alias("pii_score"), *toxic_columns(),
+        "prompt_class", F.col("prompt_score").cast("string").alias("prompt_score"), F.array_join("missing", ",").alias("missing"),
+    )
+
+
 @query(
     "text_objects",
     "SELECT 'doc/' || doc_id || '.txt' AS file_uri, length(text)::int AS n, sha256(text) AS text_hash FROM documents",
