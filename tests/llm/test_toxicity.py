@@ -1,16 +1,30 @@
+import math
+
 import numpy as np
 from helpers_llm import documents, prose
 
 from modspark.llm import toxicity as t
 
 
-def test_held_out_accuracy(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+def held_out(spark, sf):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf{sf}/{x}.parquet") for x in ("documents", "labels"))
     model = t.label_model(docs, labels.filter("doc_id % 5 <> 0"))
     got = t.severity_scores(docs, model).join(labels.filter("doc_id % 5 = 0").withColumnRenamed("toxic", "label"), "doc_id").collect()
-    clean = [r.toxic for r in got if r.label == 0]
-    bad = [r.toxic for r in got if r.label == 1]
-    assert sum(clean) <= 0.01 * len(clean) and sum(bad) >= 0.6 * len(bad)
+    return [r.toxic for r in got if r.label == 0], [r.toxic for r in got if r.label == 1]
+
+
+def test_held_out_accuracy(spark):
+    """At most 1 % of clean documents are rejected.  65 of them cannot show that by their share, so there
+    the number of rejections must not speak against 1 % (exact binomial test, level 5 %)."""
+    clean, bad = held_out(spark, "0.01")
+    n, k = len(clean), sum(clean)
+    as_many = sum(math.comb(n, i) * 0.01**i * 0.99 ** (n - i) for i in range(k, n + 1))
+    assert as_many > 0.05 and sum(bad) >= 0.6 * len(bad)
+
+
+def test_held_out_accuracy_where_one_percent_is_several_documents(spark):
+    clean, bad = held_out(spark, "0.1")
+    assert len(clean) > 700 and sum(clean) <= 0.01 * len(clean) and sum(bad) >= 0.9 * len(bad)
 
 
 def graded_rows():
