@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +38,22 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
-    """Add a long that is each row's own, whatever ids the rows have, also repeated or missing ones.
+    """Add a value that is each row's own, whatever ids the rows have, also repeated or missing ones.
 
-    The rows are kept as a table, so both sides of a later join see the same numbers, also after a
-    lost executor.
+    Rows that come straight from Parquet files are known by file and place in it: both sides of a later
+    join see the same values, also after a lost executor, and nothing is written.  Where rows have
+    been multiplied on the way (only their identity is read to see that), or come from elsewhere,
+    they are numbered and kept as a table.
     """
+    by_file = _with_file_place(df, name)
+    if by_file is not None and not by_file.groupBy(name).agg(F.count("*").alias("n")).filter("n > 1").limit(1).count():
+        return by_file
     return settle(df.withColumn(name, F.monotonically_increasing_id()))
+
+
+def _with_file_place(df: DataFrame, name: str) -> DataFrame | None:
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        return df.withColumn(name, place)
+    except AnalysisException:  # not from files, from several tables, or past an aggregation
+        return None

@@ -312,3 +312,21 @@ def test_results_do_not_depend_on_ids_or_lexicon_size(spark):
 def test_marks_belong_to_words(spark):
     r = m.with_tokens(spark.createDataFrame([("हिन्दी cafe\u0301 x",)], "text STRING")).head()
     assert r["_tokens"] == ["हिन्दी", "cafe\u0301", "x"]
+
+
+def test_rows_from_files_are_known_without_a_copy(spark, sf, monkeypatch):
+    from modspark.operators import rows
+
+    d = m.with_tokens(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").filter("doc_id % 3 = 0"))
+    want = m.toxicity(d, X.TOXIC).select("doc_id", "toxicity").orderBy("doc_id").collect()
+    monkeypatch.setattr(rows, "settle", lambda _: pytest.fail("the rows were written"))
+    known = rows.with_row_id(d)
+    assert known.select("_rid").distinct().count() == d.count()
+    got = m.toxicity(d, X.TOXIC, inline_limit=0, trie_limit=0)
+    assert got.columns == [*d.columns, "toxicity_labels", "toxicity"]
+    assert got.select("doc_id", "toxicity").orderBy("doc_id").collect() == want
+    monkeypatch.undo()
+    for other in (d.union(d), d.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2)))), spark.range(5), d.groupBy("lang").count(),
+                  d.select("doc_id").crossJoin(spark.range(2))):
+        numbered = rows.with_row_id(other)
+        assert numbered.select("_rid").distinct().count() == other.count()

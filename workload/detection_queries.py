@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import modspark as m
+from modspark.scratch import scratch_folder
 from workload import builders as B
 from workload import tables as X
 from workload.registry import TOKENS, query, values
@@ -284,7 +285,11 @@ def transcripts(spark, sf):
     FROM conversations GROUP BY ALL""",
 )
 def transcript_docs(spark, sf):
-    t = transcripts(spark, sf)
+    """Transcripts written as one file each, read back by the reader."""
+    folder = scratch_folder(spark, "transcripts")
+    written = B.transcript_json(spark, sf).withColumn("job", F.get_json_object("payload", "$.jobName"))
+    written.write.partitionBy("job").text(folder)
+    t = m.read_transcripts(spark, folder)
     return t.select(
         "job_name", "status", F.size("segments").alias("n_segments"),
         F.element_at("segments", -1)["end"].alias("seconds"),

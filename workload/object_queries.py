@@ -48,7 +48,10 @@ def manifest(spark, sf):
         epoch_us(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 MINUTE) // 1000000 AS event_second FROM manifest""",
 )
 def object_events(spark, sf):
-    return events(spark, sf).withColumn("event_second", F.unix_seconds("event_time")).drop("event_time")
+    """Event documents written as files, read back by the reader."""
+    folder = scratch_folder(spark, "events")
+    B.object_event_json(spark, sf).write.text(folder)
+    return m.read_object_events(spark, folder).withColumn("event_second", F.unix_seconds("event_time")).drop("event_time")
 
 
 @query(
@@ -59,6 +62,18 @@ def media_manifest(spark, sf):
     return manifest(spark, sf).select("file_uri", "size")
 
 
+@query(
+    "media_objects",
+    "SELECT page_id, strlen(html)::bigint + 1 AS size FROM pages",
+)
+def media_objects(spark, sf):
+    """Pages written as one file each, listed without reading them."""
+    folder = scratch_folder(spark, "media")
+    load(spark, sf, "pages").select("page_id", "html").write.partitionBy("page_id").text(folder)
+    listed = m.list_media_objects(spark, folder)
+    return listed.select(F.regexp_extract("file_uri", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"), "size")
+
+
 @query("object_uri", f"WITH {MANIFEST} SELECT page_id, 's3://' || bucket || '/' || key AS file_uri FROM manifest")
 def object_uri(spark, sf):
     return m.with_uri(B.media_manifest(spark, sf)).select("page_id", "file_uri")

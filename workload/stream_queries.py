@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import modspark as m
+from modspark import fixed_values as V
 from modspark.scratch import scratch_folder
 from workload import builders as B
-from workload.object_queries import ROUTES
+from workload import tables as X
+from workload.object_queries import ROUTES, sql_in
 from workload.registry import query
 from workload.tables import load
+from workload.text_queries import POLICY, SENTIMENT, docs
 from workload.video_queries import JOBS
 
 
@@ -31,6 +34,30 @@ def stream_moderation(spark, sf):
     return stored.select("file_uri", "sequencer", F.array_join(F.array_sort("modalities"), "+").alias("modalities"))
 
 
+@query(
+    "stream_moderation_of_texts",
+    f"""WITH {ROUTES}, {POLICY}, {SENTIMENT}
+    SELECT DISTINCT 's3://' || bucket || '/' || key AS file_uri,
+      CASE WHEN ext IN {sql_in(V.TEXT_EXTENSIONS)} THEN sentiment END AS sentiment,
+      CASE WHEN ext IN {sql_in(V.TEXT_EXTENSIONS)} THEN flag END::varchar AS flag
+    FROM routes LEFT JOIN sent ON sent.doc_id = page_id LEFT JOIN verdict ON verdict.doc_id = page_id""",
+)
+def stream_moderation_of_texts(spark, sf):
+    """Each batch of the stream is moderated with the texts of its objects."""
+    folder = scratch_folder(spark, "stream")
+    B.object_event_json(spark, sf).write.text(f"{folder}/in")
+    located = m.with_uri(B.media_manifest(spark, sf)).select("page_id", "file_uri")
+    texts = located.join(docs(spark, sf).withColumnRenamed("doc_id", "page_id"), "page_id").drop("page_id")
+    m.stream_moderation(
+        spark, f"{folder}/in", f"{folder}/store", f"{folder}/checkpoint", sides=lambda batch: {"texts": texts},
+        lang="lang", policy=X.PHRASES, lexicon=X.SENTIMENTS,
+    ).awaitTermination()
+    text = F.col("Text_moderation")
+    return m.read_latest(spark, f"{folder}/store", "file_uri", ["sequencer"]).select(
+        "file_uri", text["analysis"]["sentiment"].alias("sentiment"), text["verdict"]["flag"].cast("string").alias("flag")
+    )
+
+
 @query(
     "stream_match_jobs",
     f"""WITH {JOBS} SELECT n.event_id, n.job_id, n.status, j.submitted_as FROM notices n

@@ -601,11 +601,13 @@ def analyze_replies(spark, sf):
     "SELECT 'doc/' || doc_id || '.txt' AS file_uri, length(text)::int AS n, sha256(text) AS text_hash FROM documents",
 )
 def text_objects(spark, sf):
-    """Documents as already-read text objects."""
-    d = load(spark, sf, DOCS)
-    return d.select(
-        F.concat(F.lit("doc/"), "doc_id", F.lit(".txt")).alias("file_uri"),
-        F.length("text").alias("n"), F.sha2("text", 256).alias("text_hash"),
+    """Documents written as one text file each, read back by the reader."""
+    folder = scratch_folder(spark, "texts")
+    load(spark, sf, DOCS).select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    read = m.read_text_objects(spark, folder)
+    # A file ends with the line break that its writer adds.
+    text = F.regexp_replace("text", r"\n\z", "")
+    return read.select(
+        F.concat(F.lit("doc/"), F.regexp_extract("file_uri", "doc_id=([0-9]+)", 1), F.lit(".txt")).alias("file_uri"),
+        F.length(text).alias("n"), F.sha2(text, 256).alias("text_hash"),
     )
-
-
