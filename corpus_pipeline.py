@@ -55,11 +55,21 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: every document it takes, with its text, size, source's target and words taken."""
-    sized = mixing.sized(docs)
-    plan = mixing.mix_plan(settle(sized.select("_source", "_size", "_hash")))
-    mixed = mixing.apply_mix(sized, plan).filter("taken > 0")
-    return mixed.select(*docs.columns, F.col("_size").alias("size"), "source_size", "target", "taken")
+    """The mix: every document it takes, with its text, size, source's target and words taken.
+
+    Columns of the documents that are named like one of these four are replaced.
+    """
+    packed = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_all"), "doc_id", "text", "source"
+    )
+    # Kept with their sizes, so that words are counted once.
+    rows = settle(mixing.sized(packed).select("_all", "_source", "_size", "_hash"))
+    mixed = mixing.apply_mix(rows, mixing.mix_plan(rows.select("_source", "_size", "_hash"))).filter("taken > 0")
+    own = {"size": F.col("_size"), "source_size": F.col("source_size"), "target": F.col("target"), "taken": F.col("taken")}
+    return mixed.select(
+        *[F.col(f"_all.`{c}`").alias(c) for c in docs.columns if c.lower() not in own],
+        *[column.alias(name) for name, column in own.items()],
+    )
 
 
 STAGES = [
