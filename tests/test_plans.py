@@ -237,6 +237,27 @@ def test_notices_read_and_matched_in_batch_and_stream(spark, tmp_path):
     assert sorted((r["job_id"], r["status"]) for r in got) == [("a", "COMPLETED"), ("b", "FAILED")]
 
 
+def test_a_hot_job_of_the_stream_is_spread_over_parts(spark, tmp_path):
+    start = "TIMESTAMP'2024-01-01 00:00:00'"
+    jobs = spark.sql(f"SELECT 'hot' AS job_id, {start} AS submitted_at, 1 AS s")
+    notices = spark.range(400).selectExpr(
+        "IF(id % 4 = 0, 'lost', 'hot') AS job_id", "'COMPLETED' AS status", f"{start} + make_dt_interval(0, 0, 0, id) AS sent_at", "id")
+    late = spark.sql(f"SELECT 'end' AS job_id, 'COMPLETED' AS status, {start} + INTERVAL 5 DAYS AS sent_at, -1L AS id")
+    end = spark.sql(f"SELECT 'end' AS job_id, {start} + INTERVAL 5 DAYS AS submitted_at, 2 AS s")
+    jobs.union(end).write.parquet(str(tmp_path / "j"))
+    notices.union(late).write.parquet(str(tmp_path / "n"))
+    left, right = (spark.readStream.schema(spark.read.parquet(str(tmp_path / x)).schema).parquet(str(tmp_path / x)) for x in "jn")
+    out = m.stream_match_jobs(left, right, how="right_outer", salts=4, spread_by=["id"])
+    assert "_part" not in out.columns
+    out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(
+        str(tmp_path / "out")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r["id"] for r in got if r["s"] == 1) == [i for i in range(400) if i % 4]
+    assert sorted(r["id"] for r in got if r["s"] is None) == [i for i in range(400) if i % 4 == 0]
+    with pytest.raises(ValueError):
+        m.stream_match_jobs(left, right, how="left_outer")
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_matching_with_a_hot_job(spark, monkeypatch, small):
     monkeypatch.setattr("modspark.operators.joins.is_small", lambda *_, **__: small)

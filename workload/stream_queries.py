@@ -66,6 +66,32 @@ def stream_moderation_of_texts(spark, sf):
 )
 def stream_match_jobs(spark, sf):
     """Jobs and notices as two streams; a notice counts within six hours of its job."""
+    return matched_stream(spark, sf, "60 days", "inner").select("event_id", "job_id", "status", "submitted_as")
+
+
+# A notice is given up once both streams have passed it; the last day is left to the streams' ends.
+DEAD_LETTERS = f"""WITH {JOBS}, ends AS (
+      SELECT least(max(s.ts), (SELECT max(ts) FROM events)) - INTERVAL 1 DAY AS until FROM jobs JOIN events s ON s.event_id = submitted_as)
+    SELECT n.event_id, n.job_id, n.status FROM notices n JOIN events e USING (event_id), ends
+    WHERE e.ts < until AND NOT EXISTS (
+      SELECT 1 FROM jobs j JOIN events s ON s.event_id = j.submitted_as
+      WHERE j.job_id = n.job_id AND e.ts BETWEEN s.ts AND s.ts + INTERVAL 6 HOUR)"""
+
+
+@query("stream_unmatched_notices", DEAD_LETTERS)
+def stream_unmatched_notices(spark, sf):
+    """Dead letters of the two streams: notices whose job did not come in time."""
+    out = matched_stream(spark, sf, "1 hour", "right_outer")
+    times = load(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("at"))
+    submitted = B.submitted_jobs(spark, sf).join(times, F.col("submitted_as") == F.col("event_id"))
+    last = submitted.agg(F.max("at").alias("a")).crossJoin(times.agg(F.max("at").alias("b")))  # one row
+    until = F.least("a", "b") - F.expr("INTERVAL 1 DAY")
+    dead = out.filter("submitted_as IS NULL").join(F.broadcast(last), F.col("sent_at") < until)
+    return dead.select("event_id", "job_id", "status")
+
+
+def matched_stream(spark, sf, watermark, how):
+    """Both streams run to their ends; what they emitted."""
     folder = scratch_folder(spark, "jobs")
     times = load(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("at"))
     jobs = B.submitted_jobs(spark, sf).join(
@@ -78,7 +104,9 @@ def stream_match_jobs(spark, sf):
     job_schema = spark.read.parquet(f"{folder}/jobs").schema
     submitted = spark.readStream.schema(job_schema).parquet(f"{folder}/jobs")
     sent = m.read_job_notices(spark, f"{folder}/notices", True, "event_id BIGINT, sent_at TIMESTAMP")
-    matched = m.stream_match_jobs(submitted, sent, watermark="60 days", max_wait="6 hours")
+    matched = m.stream_match_jobs(
+        submitted, sent, watermark=watermark, max_wait="6 hours", how=how, spread_by=["event_id"]
+    )
     (
         matched.writeStream.format("parquet")
         .option("checkpointLocation", f"{folder}/checkpoint")
@@ -86,5 +114,4 @@ def stream_match_jobs(spark, sf):
         .start(f"{folder}/matched")
         .awaitTermination()
     )
-    out = spark.read.schema(matched.schema).parquet(f"{folder}/matched")
-    return out.select("event_id", "job_id", "status", "submitted_as")
+    return spark.read.schema(matched.schema).parquet(f"{folder}/matched")
