@@ -61,7 +61,7 @@ STATE_WORDS = frozenset("has with without no not is are single layout theme page
 #: Features of a block and the log odds for content that the fit starts from.
 WEIGHTS = {
     "bias": -1.5, "words": 4.0, "links": -4.0, "sentence": 0.5, "heading": 1.5, "prose": 1.5, "item": -0.5,
-    "content_tag": 4.0, "content_name": 1.5, "boiler_tag": -8.0, "boiler_name": -7.0,
+    "content_tag": 4.0, "content_name": 2.5, "boiler_tag": -8.0, "boiler_name": -7.0,
 }
 FEATURES = tuple(WEIGHTS)
 OWN_FEATURES = FEATURES.index("content_tag")  # those before it are of the block itself, the others of containers

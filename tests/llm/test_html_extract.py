@@ -1,5 +1,7 @@
 import itertools
 import random
+import re
+import time
 
 from modspark.llm import html_extract as h
 
@@ -51,3 +53,124 @@ def test_query_rows(spark):
     assert sorted((str(r.page_id), r.n_chars) for r in got) == sorted(
         [("1", len(h.main_text(PAGE))), ("1", len(h.main_text(PAGE))), ("2", 0), ("None", 0)])
     assert h.extract_main_text(pages.limit(0)).count() == 0
+
+
+LONG = "Some running words of a text that goes on for a while and then comes to its end."
+P = f"<p>{LONG}</p>"
+LAYOUTS = [
+    (f"<div class='page has-sidebar'>{P}{P}</div>", f"{LONG} {LONG}"),
+    (f"<div class='layout-with-sidebar'>{P}{P}</div>", f"{LONG} {LONG}"),
+    (f"<div class='no-comments'>{P}{P}</div><div class='comments'>{P}</div>", f"{LONG} {LONG}"),
+    (f"<div class='single-post header-fixed'>{P}{P}</div>", f"{LONG} {LONG}"),
+    (f"<div class='more-content'>{P}{P}</div>", f"{LONG} {LONG}"),
+    (f"<div class='related-work'>{P}{P}</div>", f"{LONG} {LONG}"),
+    (f"<div class='search-results'>{P}{P}</div>", f"{LONG} {LONG}"),
+    (f"<div class='theme-ads-free'>{P}{P}</div>", f"{LONG} {LONG}"),
+    (f"<div class='has-sidebar'><article>{P}</article><div class='sidebar'>{P}</div></div>", LONG),
+    (f"<div class='widget'><article>{P}</article></div><nav><a href=a>One</a></nav>", LONG),
+    ("<p>Hello world</p>", "Hello world"),
+    (f"<article></article><div class='comments'>{P}{P}</div>", ""),
+    (f"<article><p>And so.</p></article><div class='comments'>{P}{P}<article class='comment'>{P}</article></div>", "And so."),
+    (f"<form action=x><article>{P}</article><label>Name</label><button>Go</button></form>", LONG),
+    (f"<main><h1>Title</h1><table><tr><td>Cell one<td>Cell two</table>{P}</main><aside>{P}</aside>", f"Title Cell one Cell two {LONG}"),
+    (f"<div><div><div>{LONG}</div></div></div><ul><li><a href=a>One</a><li><a href=b>Two</a></ul>", LONG),
+    (f"<div>{P}<div>Short line</div>{P}</div>", f"{LONG} Short line {LONG}"),
+    (f"<div id=content><h2>Head</h2>{P}<div class='share'><a href=a>Share</a></div><ul><li>Point</ul></div>", f"Head {LONG} Point"),
+    (f"<article>{P}<div class=\"ad-slot\">{LONG}</div><section>{P}</section></article>", f"{LONG} {LONG}"),
+    (f"<div role=navigation>{P}</div><div itemprop=articleBody>{P}</div><div role='contentinfo'>{P}</div>", LONG),
+    (f"<header><h1>Site</h1></header><article><header><h1>Title</h1></header>{P}</article>", f"Title {LONG}"),
+    (f"<aside><article>{P}</article></aside><article>{P} tail</article>", f"{LONG} tail"),
+]
+
+
+def test_layouts():
+    for page, text in LAYOUTS:
+        assert h.main_text(f"<html><head><title>T</title></head><body class='no-sidebar'>{page}</body></html>") == text, page
+        assert h.main_text(page) == text, page
+
+
+def test_neighbours_outvote_a_block():
+    blocks = h.page_blocks(f"<div>{P}<div>Short line</div>{P}</div>")
+    scores = h.block_scores(blocks)
+    assert scores[1] < 0 < min(scores[0], scores[2]) and max(map(abs, scores)) <= h.BOUND
+    assert h.content_side(scores, h.smoothness_edges(blocks)) == [True] * 3
+
+
+def test_labels_of_whole_pages_are_the_cheapest():
+    r = random.Random(5)
+    tags = ["div", "p", "li", "h2", "section", "div class=ad", "div id=content", "article", "footer"]
+    for _ in range(60):
+        page = "".join(
+            r.choice(["<" + r.choice(tags) + ">", "</div>", "</article>", "</p>", "word " * r.choice([1, 4, 15, 50])]) for _ in range(14)
+        )
+        blocks = h.page_blocks(page)
+        if not 0 < len(blocks) <= 9:
+            continue
+        scores, edges = h.block_scores(blocks), h.smoothness_edges(blocks)
+        assert len(edges) <= 2 * len(blocks) and all(a < b and 0 <= w <= 1.2 for a, b, w in edges)
+
+        def cost(labels, scores=scores, edges=edges):
+            return sum(max(0, -s) if c else max(0, s) for s, c in zip(scores, labels, strict=True)) + sum(
+                w for a, b, w in edges if labels[a] != labels[b])
+
+        best = min(map(cost, itertools.product([False, True], repeat=len(blocks))))
+        assert abs(cost(h.content_side(scores, edges)) - best) < 1e-6
+
+
+def test_shared_containers_equal_the_paths():
+    """The depth that stays open between two blocks against whole paths, on well-formed random trees."""
+    r = random.Random(9)
+    seen = []
+
+    def tree(depth, path):
+        out = ""
+        for _ in range(r.randint(1, 3)):
+            number = len(seen) + 1000 * depth + r.randint(0, 10**9)
+            if depth < 5 and r.random() < 0.6:
+                out += f"<div>{tree(depth + 1, path + (number,))}</div>"
+            else:
+                seen.append(path)
+                out += "<b>some words</b><hr>"
+        return out
+
+    for _ in range(30):
+        seen.clear()
+        blocks = h.page_blocks(f"<body>{tree(0, ())}</body>")
+        assert len(blocks) == len(seen)
+        for i, b in enumerate(blocks):
+            assert b.depth == len(seen[i]) + 1
+            if i:
+                same = 0
+                while same < min(len(seen[i]), len(seen[i - 1])) and seen[i][same] == seen[i - 1][same]:
+                    same += 1
+                assert b.shared == same + 1
+
+
+def test_fit_and_pages_without_declarations(spark):
+    """Weights fitted on half of the pages; on the others, articles, menus and footers become plain boxes."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = h.fit_weights(pages.filter("page_id % 2 = 0"))
+    assert weights == h.fit_weights(pages.filter("page_id % 2 = 0").repartition(5))
+    assert h.fit_weights(pages.limit(0)) == h.fit_weights(pages.select("page_id", "url").selectExpr("*", "'<p>x' AS html")) == list(h.WEIGHTS.values())
+    changed = by_cut = by_sign = total = 0
+    for r in pages.filter("page_id % 2 = 1").collect():
+        declared = h.page_blocks(r.html)
+        plain = h.page_blocks(re.sub(r"<(/?)(?:article|nav|footer)\b", r"<\1div", r.html))
+        assert [b.text for b in plain] == [b.text for b in declared]
+        truth = [b.state == h.CONTENT for b in declared]
+        assert h.main_text(r.html, weights) == " ".join(b.text for b, t in zip(declared, truth, strict=True) if t)
+        scores = h.block_scores(plain, weights)
+        side = h.content_side(scores, h.smoothness_edges(plain))
+        total += len(truth)
+        by_cut += sum(a == t for a, t in zip(side, truth, strict=True))
+        by_sign += sum((s > 0) == t for s, t in zip(scores, truth, strict=True))
+        changed += sum((s > 0) != a for s, a in zip(scores, side, strict=True))
+    print(f"{total} blocks: cut {by_cut}, sign {by_sign}, changed {changed}")
+    assert by_cut >= by_sign and by_cut >= 0.93 * total
+
+
+def test_deep_and_unclosed_pages_take_linear_time():
+    for page in ("<div>x " * 20000, "<p><b>x </i>" * 20000, "<ul><li>" * 20000):
+        begin = time.monotonic()
+        h.main_text(page)
+        assert time.monotonic() - begin < 10
