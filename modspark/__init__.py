@@ -26,9 +26,12 @@ from modspark.operators.policy import (
     policy_phrases,
     policy_verdict,
     render_prompts,
+    with_judged,
+    with_stem_hits,
 )
 from modspark.operators.routing import (
     exact_scores,
+    flag_decision,
     has_text,
     min_confidence,
     needs_translation,

@@ -93,3 +93,30 @@ POLICY_PHRASES = [
     for number, (category, subs) in enumerate(POLICY, start=1)
     for sub in subs
 ]
+
+# Languages written without blanks between words: stems are found anywhere in a text.
+UNSPACED = ("ja", "ko", "th", "zh")
+
+# (category_no, category, stem, lang): beginnings of words that prose uses for what the policy names.
+# Pass them as ``stems``; stems that begin harmless words (stab-le, shot-gun wedding) are left out.
+POLICY_STEMS = [
+    (number, POLICY[number - 1][0], stem, lang)
+    for number, lang, stems in [
+        (1, "en", "nude nudit naked porn"), (1, "de", "nackt porn"), (1, "fr", "nudité porn"), (1, "es", "desnud porn"),
+        (1, "zh", "裸体 色情"),
+        (2, "en", "lingerie topless"), (2, "de", "dessous"), (2, "fr", "lingerie"), (2, "es", "lencería"),
+        (3, "en", "kill murder destroy massacr slaughter behead strangl tortur"),
+        (3, "de", "töte ermord zerstör massak folter"), (3, "fr", "tuer meurtr détrui massacr tortur"),
+        (3, "es", "matar asesin destru masacr tortur"), (3, "zh", "毁灭 杀死 杀人 屠杀 自杀 酷刑"),
+        (4, "en", "corpse explosion bombing"), (4, "de", "leiche explosion"), (4, "fr", "cadavre explosion"),
+        (4, "es", "cadáver explosión"), (4, "zh", "尸体 爆炸"),
+        (6, "en", "cocain heroin methamphet"), (6, "de", "kokain heroin"), (6, "fr", "cocaïn héroïn"),
+        (6, "es", "cocaín heroín"), (6, "zh", "毒品 海洛因"),
+        (7, "en", "cigarett tobacco"), (7, "de", "zigarett tabak"), (7, "fr", "cigarett tabac"), (7, "es", "cigarr tabaco"),
+        (7, "zh", "香烟 吸烟"),
+        (8, "en", "whisk vodka drunk"), (8, "de", "schnaps betrunken"), (8, "fr", "ivrogn"), (8, "es", "borrach"), (8, "zh", "喝酒 醉酒"),
+        (9, "en", "gambl casino"), (9, "de", "glücksspiel casino"), (9, "fr", "casino"), (9, "es", "apuesta casino"), (9, "zh", "赌博"),
+        (10, "en", "nazi supremacis"), (10, "de", "nazi"), (10, "fr", "nazi"), (10, "es", "nazi"), (10, "zh", "纳粹"),
+    ]
+    for stem in stems.split()
+]

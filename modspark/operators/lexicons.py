@@ -136,6 +136,9 @@ def policy_hits(
     for number, category, phrase, code in rows:
         phrases[number, code].add(phrase)
         names[number] = category
+    if not names:
+        return df.withColumns({"policy_counts": F.array().cast(POLICY_COUNTS),
+                               "policy_matched": F.array().cast("array<string>")})
     langs = {code for _, code in phrases} - {ANY}
 
     def wanted(number: int, code: str) -> set[str]:

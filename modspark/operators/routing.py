@@ -127,6 +127,12 @@ def review_decision(
     return df.withColumn("decision", decision)
 
 
+def flag_decision(df: DataFrame, flag: str = "flag", name: str = "decision") -> DataFrame:
+    """``Pass`` when the flag is false; a flagged text and one that could not be judged go to review."""
+    passes = F.coalesce(~F.col(flag), F.lit(False))
+    return df.withColumn(name, F.when(passes, V.DECISION_PASS).otherwise(V.DECISION_REVIEW))
+
+
 def negative_flag(
     df: DataFrame, sentiment: str = "sentiment", scores: str = "sentiment_score"
 ) -> DataFrame:

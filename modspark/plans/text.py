@@ -40,12 +40,15 @@ def moderate_text(
     profiles: DataFrame | Iterable = tuple(defaults.LANGUAGE_PROFILES),
     id_col: str | None = None,
     inline_limit: int = INLINE_LIMIT,
+    stems: P.Stems = (),
+    null_unjudged: bool = False,
 ) -> DataFrame:
     """Language, English text, policy verdict, sentiment and personal data per text.
 
     Adds lang, pending, offset_basis, flag, category, reason, sentiment, sentiment_score, pii.
     Language and translation are found once.  A text without translation is scored as it is, with
-    the lexicon rows of its own language.  With lexicons of normal size this is a single pass over
+    the lexicon rows of its own language; with ``null_unjudged`` its verdict is NULL where the policy
+    has no rows or ``stems`` for that language, or there is no text.  With lexicons of normal size this is a single pass over
     the rows: no shuffle unless ``translations`` has to be joined.
     """
     known = with_language(df, text, lang, "lang", profiles, id_col)
@@ -59,7 +62,8 @@ def moderate_text(
         .withColumn("_lang", F.when(F.col("pending"), F.col("lang")).otherwise(F.lit("en")))
     )
     scored = S.with_tokens(scored, "_scored")
-    scored = P.policy_verdict(scored, policy, lang="_lang", id_col=id_col, inline_limit=inline_limit)
+    scored = P.policy_verdict(scored, policy, lang="_lang", id_col=id_col, inline_limit=inline_limit, stems=stems,
+                              null_unjudged="_scored" if null_unjudged else False)
     scored = S.sentiment(scored, lexicon, lang="_lang", id_col=id_col, inline_limit=inline_limit)
     scored = S.with_pii(scored, patterns, "_scored")
     return scored.drop("_tokens", "_scored", "_lang", "english")
@@ -126,10 +130,12 @@ def safety_record(
     lang: str = "lang",
     policy: P.Policy = tuple(defaults.POLICY_PHRASES),
     unquote: bool = True,
+    stems: P.Stems = (),
+    null_unjudged: bool = False,
 ) -> DataFrame:
     """Keyed record (key, result, degree, explanation).
 
-    From the policy phrases, or from supplied ``key:value`` replies when ``replies`` names a column.
+    From the policy phrases and ``stems`` (NULL for what they cannot judge, with ``null_unjudged``), or from supplied ``key:value`` replies when ``replies`` names a column.
     """
     if replies is not None:
         parsed = P.parse_line_verdict(df, replies, "_v", unquote)
@@ -139,5 +145,6 @@ def safety_record(
             F.col("_v")["Degree of harm"].alias("degree"),
             F.col("_v")["Explanation"].alias("explanation"),
         )
-    scored = P.child_safety(S.with_tokens(df, text), policy, lang=lang, id_col=key)
+    scored = P.child_safety(S.with_tokens(df, text), policy, lang=lang, id_col=key, stems=stems,
+                            null_unjudged=text if null_unjudged else False)
     return scored.select(key, "result", "degree", "explanation")

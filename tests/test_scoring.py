@@ -214,6 +214,36 @@ def test_verdict_tie_goes_by_policy_order(spark):
     assert (b["flag"], b["category"], b["reason"]) == (False, "", "")
 
 
+def test_stems_flag_prose_and_unjudged_is_null(spark):
+    hostile = "I hate this world, this world confuses me, so I want to destroy the earth."
+    rows = [(1, hostile, "en"), (2, "我不喜欢这个世界，我要毁灭世界和地球！", "zh"), (3, "A stable, friendly place.", "en"),
+            (4, "Это текст.", "ru"), (5, "murdering killers kill", None), (6, None, "en"), (7, "pills, then a killing. Pills!", "en"), (8, "", "en")]
+    df = m.with_tokens(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    verdict = m.policy_verdict(df, stems=defaults.POLICY_STEMS, null_unjudged="text")
+    got = {r["doc_id"]: tuple(r)[1:] for r in m.flag_decision(verdict).select("doc_id", "flag", "category", "reason", "decision").collect()}
+    assert got == {
+        1: (True, "Violence", "destroy", V.DECISION_REVIEW), 2: (True, "Violence", "毁灭", V.DECISION_REVIEW),
+        3: (False, "", "", V.DECISION_PASS), 4: (None, None, None, V.DECISION_REVIEW), 5: (None, None, None, V.DECISION_REVIEW),
+        6: (None, None, None, V.DECISION_REVIEW), 7: (True, "Drugs", "kill, pills", V.DECISION_REVIEW), 8: (False, "", "", V.DECISION_PASS)}
+    # Stems for any language, in a row whose language is missing; regular expression signs are letters like others.
+    own = [(3, "Violence", "kill", "*"), (3, "Violence", "killer", "*"), (11, "Own", "a.c", "*")]
+    r = m.policy_verdict(df.filter("doc_id = 5"), [], stems=own, null_unjudged="text").head()
+    assert (r["flag"], r["category"], r["reason"]) == (True, "Violence", "kill, killer")
+    plain = m.policy_verdict(df).filter("doc_id in (1, 4, 6)").collect()
+    assert all(r["flag"] is False for r in plain)
+    assert m.policy_verdict(df.limit(0), stems=own, null_unjudged=True).count() == 0
+
+
+def test_judged_languages_from_a_table_in_all_plans(spark):
+    df = spark.createDataFrame([(1, "a", "en"), (2, "b", "xx"), (3, None, "en"), (4, "d", None)], "doc_id int, text string, lang string")
+    table = spark.createDataFrame([(1, "c", "p", "en"), (1, "c", "q", "l1"), (1, "c", "q", "l2")], "category_no int, category string, phrase string, lang string")
+    for limit in (10, 1):
+        got = m.with_judged(df, table, [], "text", inline_limit=limit).orderBy("doc_id")
+        assert [r["judged"] for r in got.collect()] == [True, False, False, False]
+        every = m.with_judged(df, table.union(spark.createDataFrame([(1, "c", "z", "*")], table.schema)), [], "text", inline_limit=limit)
+        assert sorted(r["doc_id"] for r in every.filter("judged").collect()) == [1, 2, 4]
+
+
 def test_child_safety_degrees(spark):
     df = m.with_tokens(texts(spark, "", "pills", "pills " * 3, "pills " * 6).withColumn("lang", F.lit("en")))
     got = [(r["result"], r["degree"]) for r in m.child_safety(df).orderBy("doc_id").collect()]

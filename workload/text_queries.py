@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import modspark as m
 from modspark import fixed_values as V
-from modspark.defaults import phrase_of
+from modspark.defaults import POLICY_STEMS, phrase_of
 from modspark.operators.classifier import PromptScorer
 from modspark.operators.lexicons import policy_hits
 from modspark.operators.policy import policy_prose
@@ -291,6 +291,64 @@ def policy_verdict(spark, sf):
     return v.select("doc_id", "flag", "category", "reason")
 
 
+# Titles and word stems of two languages; texts in others cannot be judged and go to review.
+JUDGED = ("en", "fr")
+PROSE_PHRASES = [r for r in X.PHRASES if r[3] in JUDGED]
+PROSE_STEMS = [
+    *[r for r in POLICY_STEMS if r[3] in JUDGED],
+    (3, "Violence", "hes", "en"), (3, "Violence", "heshe", "en"), (6, "Drugs", "oui", "fr"), (9, "Gambling", "stup", "en"),
+]
+PROSE = f"""
+{GRAMS}
+stem_hits AS (
+  SELECT doc_id, i, category_no, category, stem, row_number() OVER (
+    PARTITION BY doc_id, i, category_no ORDER BY length(stem) DESC, stem) AS k
+  FROM words JOIN (SELECT * FROM {values(PROSE_STEMS, 'category_no, category, stem, lang')}) s
+    ON starts_with(w, stem) AND s.lang = dl),
+ph AS (
+  SELECT doc_id, category_no, category, phrase AS found
+  FROM grams JOIN (SELECT * FROM {values(PROSE_PHRASES, 'category_no, category, phrase, lang')}) p USING (phrase)
+  WHERE p.lang = dl
+  UNION ALL SELECT doc_id, category_no, category, stem FROM stem_hits WHERE k = 1),
+best AS (
+  SELECT doc_id, category, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, category_no) AS k
+  FROM ph GROUP BY doc_id, category_no, category),
+reasons AS (
+  SELECT doc_id, count(*) AS hits, string_agg(DISTINCT found, ', ' ORDER BY found) AS reason FROM ph GROUP BY 1),
+judged AS (SELECT doc_id FROM documents WHERE text IS NOT NULL AND lang IN ('en', 'fr'))"""
+
+
+@query(
+    "policy_prose",
+    f"""WITH {PROSE}
+    SELECT d.doc_id, CASE WHEN j.doc_id IS NOT NULL THEN (hits IS NOT NULL)::varchar END AS flag,
+      CASE WHEN j.doc_id IS NOT NULL THEN coalesce(category, '') END AS category,
+      CASE WHEN j.doc_id IS NOT NULL THEN coalesce(reason, '') END AS reason,
+      CASE WHEN j.doc_id IS NOT NULL AND hits IS NULL THEN '{V.DECISION_PASS}' ELSE '{V.DECISION_REVIEW}' END AS decision
+    FROM documents d LEFT JOIN judged j USING (doc_id) LEFT JOIN reasons USING (doc_id)
+    LEFT JOIN (SELECT * FROM best WHERE k = 1) USING (doc_id)""",
+)
+def policy_prose_verdict(spark, sf):
+    """Phrases and word stems in prose; NULL, and review, for what the policy cannot judge."""
+    v = m.policy_verdict(tokens(spark, sf), PROSE_PHRASES, stems=PROSE_STEMS, null_unjudged="text")
+    return m.flag_decision(v).select("doc_id", F.col("flag").cast("string").alias("flag"), "category", "reason", "decision")
+
+
+@query(
+    "safety_record_prose",
+    f"""WITH {PROSE}
+    SELECT 'doc/' || d.doc_id AS key,
+      CASE WHEN j.doc_id IS NOT NULL THEN CASE WHEN hits > 0 THEN 'Unsafe' ELSE 'Safe' END END AS result,
+      CASE WHEN j.doc_id IS NOT NULL THEN CASE WHEN hits >= 6 THEN 'High' WHEN hits >= 3 THEN 'Med'
+        WHEN hits >= 1 THEN 'Low' ELSE 'None' END END AS degree,
+      CASE WHEN j.doc_id IS NOT NULL THEN coalesce('found: ' || reason, 'no policy phrase found') END AS explanation
+    FROM documents d LEFT JOIN judged j USING (doc_id) LEFT JOIN reasons USING (doc_id)""",
+)
+def safety_record_prose(spark, sf):
+    d = docs(spark, sf).withColumn("key", F.concat(F.lit("doc/"), "doc_id"))
+    return m.safety_record(d, "key", policy=PROSE_PHRASES, stems=PROSE_STEMS, null_unjudged=True)
+
+
 SAFETY = f"""{POLICY},
 safety AS (SELECT doc_id, CASE WHEN hits > 0 THEN 'Unsafe' ELSE 'Safe' END AS result,
     CASE WHEN hits >= 6 THEN 'High' WHEN hits >= 3 THEN 'Med' WHEN hits >= 1 THEN 'Low' ELSE 'None' END AS degree,
