@@ -31,6 +31,7 @@ BLOCK_BYTES = 64 * 1024 * 1024
 #: A seed with more different surroundings in the items than this is refined.
 HOT = 32
 WIDTH = 25  # words of a surrounding: those of all windows around the shortest span
+BROADCAST_BYTES = 16 * 1024 * 1024
 AT_ONCE = 20_000  # hits whose surroundings are gathered at a time
 OUTSIDE_DOC, OUTSIDE_ITEM = np.uint64(0), np.uint64(1)
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(32)], dtype=np.uint64)
@@ -68,7 +69,7 @@ def _refinements(kind: int) -> Iterator[tuple[int, int, list[int]]]:
 
 
 def _refined(hashes: np.ndarray, words: np.ndarray, begin: np.ndarray, number: int, read: list[int]) -> np.ndarray:
-    total = hashes + np.uint64(number + 1) * _FACTORS[30]
+    total = hashes + np.full(1, number + 1, dtype=np.uint64) * _FACTORS[30]
     for j, k in enumerate(read):
         total = total + words[begin + k] * _FACTORS[10 + j]
     return mix(total)
@@ -237,8 +238,8 @@ def contaminated_items(
     """``(_row, item_id)``, each once: the items that rows (``_row, _text``) overlap with.
 
     Documents are read once, whatever the size of the benchmark.  A filter of its keys, of at most
-    ``block_bytes``, goes to the tasks; only places that pass it, with the words around them, meet the
-    items in a join on the key (broadcast after a size check, else cut into salted parts).  Places of items
+    ``block_bytes``, goes to the tasks; only places that pass it, with the words around them, are kept and meet
+    those items that have such a key in a join on it (broadcast after a size check, else in salted parts).  Places of items
     with equal key and words are compared once and multiplied afterwards.  Words, keys and places are
     known by 64-bit hashes.
     """
@@ -249,14 +250,19 @@ def contaminated_items(
     lengths = seeds.filter("_kind < 0").select(_length(F.col("_around")).alias("n")).distinct()
     short = sorted(r[0] for r in lengths.collect())  # fewer than 16
     known = spark.sparkContext.broadcast((_bits(seeds, block_bytes), _bits(crowded, block_bytes)))
-    hits = rows.select("_row", "_text").mapInArrow(_doc_hits(known, short), "_key long, _around binary, _row long")
-    places = seeds.select("_key", "_kind", F.col("_around").alias("_item_around"), "_place").distinct()
-    pairs = lookup_join(hits, places, "_key", ["_row"], "inner", small=is_small(seeds))
-    found = pairs.select("_row", "_place", "_kind", "_around", "_item_around").mapInArrow(
-        _verified, "_row long, _place long"
-    ).distinct()
-    items = seeds.select("_place", "item_id").distinct()
-    return lookup_join(found, items, "_place", ["_row"], "inner", small=is_small(items)).select("_row", "item_id").distinct()
+    hits = settle(rows.select("_row", "_text").mapInArrow(_doc_hits(known, short), "_key long, _around binary, _row long"))
+    # Of the benchmark only keys that some document has go on.
+    live = settle(seeds.join(hits.select("_key").distinct(), "_key", "left_semi"))
+    places = live.select("_key", "_kind", F.col("_around").alias("_item_around"), "_place").distinct()
+    small = is_small(live, max_bytes=BROADCAST_BYTES)
+    # Estimates do not know that salted parts repeat a side: no broadcast beyond the check.
+    given_way = hits if small else hits.hint("merge")
+    found = lookup_join(given_way, places, "_key", ["_row", "_around"], "inner", small=small).select(
+        "_row", "_place", "_kind", "_around", "_item_around"
+    ).mapInArrow(_verified, "_row long, _place long").distinct()
+    items = live.select("_place", "item_id").distinct()
+    found = found if small else found.hint("merge")
+    return lookup_join(found, items, "_place", ["_row"], "inner", small=small).select("_row", "item_id").distinct()
 
 
 def _length(around):

@@ -69,3 +69,55 @@ def test_blocks_give_the_same(spark):
     assert one == many and one
     assert d.decontaminate(documents(spark, rows), bench.limit(0)).filter("contaminated").count() == 0
     assert d.decontaminate(documents(spark, rows).limit(0), bench).count() == 0
+
+
+def test_refined_keys_meet_every_placement_of_three_substitutions():
+    """Where a seed is whole in a window, some pair of groups is too, wherever the substitutions are."""
+    for kind, mask in enumerate(d.MASKS):
+        read = d._read_places(mask)
+        by_place = {}
+        for _, place, extra in d._refinements(kind):
+            by_place.setdefault(place, []).append(set(extra))
+        for place, extras in by_place.items():
+            seed = {place + k for k in read}
+            assert all(not e & seed and len(e) == 4 for e in extras) and len(extras) == 10
+            for wrong in itertools.combinations(sorted(set(range(16)) - seed), 3):
+                assert any(not e & set(wrong) for e in extras), (mask, place, wrong)
+
+
+def test_crowded_seeds_lose_no_hit(spark):
+    """Items that share a preamble: plain, refined and brute force give the same."""
+    r = random.Random(8)
+    preamble = prose(77, 10)
+    items = [(i, preamble + " " + prose(1000 + i, r.randint(4, 20))) for i in range(40)] + [(99, preamble), (None, prose(5, 18))]
+    rows = []
+    for i in range(60):
+        w = items[i % 40][1].split()
+        for k in range(r.randint(0, 5)):
+            w[r.randrange(len(w))] = f"z{k}"
+        rows.append((i, prose(3000 + i, 8) + " " + " ".join(w if i % 3 else preamble.split() + prose(4000 + i, 30).split())))
+    rows.append((200, " ".join([preamble] * 50) + " " + items[3][1]))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, rows).repartition(3)
+    from modspark.llm.common import ordered_rows
+
+    want = sorted((i, k if k is not None else -1) for i, text in rows for k, t in items if overlapping(text, t))
+    keyed = ordered_rows(docs)
+    for hot in (1, 10, 10**6):
+        got = d.contaminated_items(keyed, bench, hot=hot).collect()
+        assert sorted((x._row, -1 if x.item_id is None else x.item_id) for x in got) == want, hot
+
+
+def test_preamble_without_hits_is_no_product(spark):
+    """2,000 items and 2,000 documents that share ten words: few places are compared."""
+    preamble = prose(77, 10)
+    items = spark.createDataFrame([(i, preamble + " " + prose(10_000 + i, 20)) for i in range(2000)], "i long, t string")
+    seeds, crowded = d.item_keys(items)
+    assert crowded.count() > 0
+    per_key = seeds.groupBy("_key").count().agg({"count": "max"}).head()[0]
+    assert per_key <= d.HOT
+    docs = documents(spark, [(i, prose(50_000 + i, 5) + " " + preamble + " " + prose(20_000 + i, 30)) for i in range(2000)])
+    from modspark.llm.common import ordered_rows
+
+    got = d.contaminated_items(ordered_rows(docs), items.withColumnsRenamed({"i": "item_id", "t": "text"}))
+    assert got.count() == 0
