@@ -31,6 +31,7 @@ BLOCK_BYTES = 64 * 1024 * 1024
 #: A seed with more different surroundings in the items than this is refined.
 HOT = 32
 WIDTH = 25  # words of a surrounding: those of all windows around the shortest span
+PROBES, STEP = 4, 11
 BROADCAST_BYTES = 16 * 1024 * 1024
 AT_ONCE = 20_000  # hits whose surroundings are gathered at a time
 OUTSIDE_DOC, OUTSIDE_ITEM = np.uint64(0), np.uint64(1)
@@ -131,15 +132,16 @@ def _refined_seeds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _bits(seeds: DataFrame, limit: int) -> np.ndarray:
-    """A filter of the keys in ``_key``: about 16 bits a key, ``limit`` bytes at most, by leading bits."""
+    """A Bloom filter of the keys in ``_key``: 32 bits a key or more, ``limit`` bytes at most; a key's bits
+    are numbered by parts of the key."""
     n = seeds.count()
     size = 16
-    while size < min(16 * n, 1 << 33).bit_length() and (1 << (size + 1)) <= 8 * limit:
+    while (1 << size) < 32 * n and (1 << (size + 1)) <= 8 * limit:
         size += 1
-    slot = F.shiftrightunsigned("_key", 64 - size)
-    words = seeds.groupBy(F.shiftright(slot, 6).alias("w")).agg(
-        F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(_key, {64 - size}) & 63 AS int)))").alias("m")
-    ).toArrow()
+    slots = [f"shiftrightunsigned(_key, {64 - size - STEP * j}) & {(1 << size) - 1}" for j in range(PROBES)]
+    words = seeds.select(F.explode(F.array(*[F.expr(x) for x in slots])).alias("slot")).groupBy(
+        F.shiftright("slot", 6).alias("w")
+    ).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS int)))").alias("m")).toArrow()
     found = np.zeros(1 << (size - 6), dtype=np.uint64)
     found[words.column("w").to_numpy()] = words.column("m").to_numpy().view(np.uint64)
     return found
@@ -147,8 +149,13 @@ def _bits(seeds: DataFrame, limit: int) -> np.ndarray:
 
 def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     size = len(bits).bit_length() - 1 + 6
-    slot = keys >> np.uint64(64 - size)
-    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    passed = np.zeros(len(keys), dtype=bool)
+    at = np.arange(len(keys))
+    for j in range(PROBES):  # each probe looks only at what the ones before let pass
+        slot = (keys[at] >> np.uint64(64 - size - STEP * j)) & np.uint64((1 << size) - 1)
+        at = at[(bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1]
+    passed[at] = True
+    return passed
 
 
 def _doc_hits(known, short: list[int]):
