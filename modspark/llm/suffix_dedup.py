@@ -8,9 +8,14 @@ the repeated windows.  The passes, most significant digit first:
    too: such a run of windows is one row.  A digit that occurs once is finished.
 2. Runs with equal digit are ordered by all bytes that their windows span.  Equal runs are copies
    window by window; only the first of them goes on, if its digit has another, different run.
-3. The windows of those are ordered one by one by their ``length`` bytes.
+3. The windows of those are ordered one by one, first by one half of their bytes, then by the other.
 
-Bytes are compared by 64-bit hashes, in passes 2 and 3 within a digit that is equal already.
+Bytes are compared by two 64-bit hashes: digit and span in pass 2, both halves in pass 3.
+
+A digit inside a common passage of fewer than ``length`` bytes stands in very many different runs.
+Such crowded digits are found in a sample of the documents; their runs are dealt by digit and span, and
+as a task then sees only a part of a digit, the first of all equal runs go on to pass 3.  The sample
+decides where rows meet and never what is removed.
 """
 
 from __future__ import annotations
@@ -29,8 +34,14 @@ from modspark.llm.kernels import Slices, longs, pieces
 GRAM = 40
 ROWS_HELD = 1 << 18
 POSITION_BITS = 21
-
-RUNS = "a long, h long, d long, s int, n int, known boolean"
+# Crowded digits: in at least so many different runs of about so many documents, the most crowded ones.
+SAMPLED_DOCUMENTS = 20_000
+CROWDED_RUNS = 32
+CROWDED_DIGITS = 4096
+# How a row is dealt: by its digit, anywhere as it is known to repeat, by its digit and span.
+BY_DIGIT, KNOWN, BY_SPAN = 0, 1, 2
+
+RUNS = "a long, h long, d long, s int, n int, way byte"
 SPANS = "d long, s int, n int, open boolean"
 
 
@@ -72,15 +83,15 @@ def _runs(rows: pa.Array, texts: pa.Array, length: int) -> Iterator[tuple[np.nda
         yield grams[at], h, ids[p.first + text], first - p.starts[text] + p.base, n
 
 
-def _batch(a, h, d, s, n, known) -> pa.RecordBatch:
+def _batch(a, h, d, s, n, way) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [longs(a), longs(h), pa.array(d, type=pa.int64()), pa.array(s, type=pa.int32()),
-         pa.array(n, type=pa.int32()), pa.array(known)],
-        names=["a", "h", "d", "s", "n", "known"],
+         pa.array(n, type=pa.int32()), pa.array(way, type=pa.int8())],
+        names=["a", "h", "d", "s", "n", "way"],
     )
 
 
-def _known_here(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+def _known_here(parts: list[tuple[np.ndarray, ...]], crowded: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Rows that have an equal one before them in the same task are known to repeat already."""
     a, h, d, s, n = (np.concatenate(x) for x in zip(*parts, strict=True))
     in_order = np.all((d[1:] > d[:-1]) | ((d[1:] == d[:-1]) & (s[1:] > s[:-1])))
@@ -88,13 +99,18 @@ def _known_here(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]
     a, h, d, s, n = a[order], h[order], d[order], s[order], n[order]
     known = np.zeros(len(a), dtype=bool)
     known[1:] = (h[1:] == h[:-1]) & (a[1:] == a[:-1]) & ((d[1:] != d[:-1]) | (s[1:] != s[:-1]))
+    apart = True if crowded is None else np.isin(a.view(np.int64), crowded)
+    way = np.where(known, KNOWN, np.where(apart, BY_SPAN, BY_DIGIT)).astype(np.int8)
     for i in range(0, len(a), 1 << 16):
         k = slice(i, i + (1 << 16))
-        yield _batch(a[k], h[k], d[k], s[k], n[k], known[k])
+        yield _batch(a[k], h[k], d[k], s[k], n[k], way[k])
 
 
-def _collect(make: Callable) -> Callable:
-    """Gather the arrays of a task and pass them on in groups of bounded size."""
+def _collect(make: Callable, crowded: np.ndarray | None) -> Callable:
+    """Gather the arrays of a task and pass them on in groups of bounded size.
+
+    ``crowded``: the digits whose rows are dealt by digit and span; None for all.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -103,40 +119,47 @@ def _collect(make: Callable) -> Callable:
                 held.append(part)
                 rows += len(part[0])
                 if rows >= ROWS_HELD:
-                    yield from _known_here(held)
+                    yield from _known_here(held, crowded)
                     held, rows = [], 0
         if held:
-            yield from _known_here(held)
+            yield from _known_here(held, crowded)
 
     return run
 
 
-def _equal_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs in order of (a, h, d, s): all but the first of equal ones, closed; and the first ones
-    of digits with several different runs, ``open``.  One row is held back between batches."""
-    held = None  # the last first-of-equals: a, h, d, s, n, and whether one before it had its digit
-    for batch in batches:
-        a, h, d, s, n, known = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-        yield _spans(d[known], s[known], n[known], False)
-        a, h, d, s, n = (x[~known] for x in (a, h, d, s, n))
-        if not len(a):
-            continue
-        shared = False
-        if held is not None:
-            a, h, d, s, n = (np.concatenate([[x], y]) for x, y in zip(held[:5], (a, h, d, s, n), strict=True))
-            shared = held[5]
-        new = np.ones(len(a), dtype=bool)
-        new[1:] = (a[1:] != a[:-1]) | (h[1:] != h[:-1])
-        yield _spans(d[~new], s[~new], n[~new], False)
-        a, h, d, s, n = (x[new] for x in (a, h, d, s, n))
-        same = np.zeros(len(a) + 1, dtype=bool)
-        same[0] = shared
-        same[1:-1] = a[1:] == a[:-1]
-        several = (same[:-1] | same[1:])[:-1]
-        yield _spans(d[:-1][several], s[:-1][several], n[:-1][several], True)
-        held = (a[-1], h[-1], d[-1], s[-1], n[-1], bool(same[len(a) - 1]))
-    if held is not None and held[5]:
-        yield _spans(*(np.array([x]) for x in held[2:5]), True)
+def _equal_runs(firsts: bool) -> Callable:
+    """From runs in order of (a, h, d, s): all but the first of equal ones, closed; and, if ``firsts``, the
+    first ones of digits with several different runs, and of all that are dealt by span, ``open``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last first-of-equals: a, h, d, s, n, way, and whether one before it had its digit
+        for batch in batches:
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            known = columns[5] == KNOWN
+            yield _spans(*(x[known] for x in columns[2:5]), False)
+            columns = [x[~known] for x in columns]
+            if not len(columns[0]):
+                continue
+            shared = False
+            if held is not None:
+                columns = [np.concatenate([[x], y]) for x, y in zip(held[:6], columns, strict=True)]
+                shared = held[6]
+            a, h, d, s, n, _ = columns
+            new = np.ones(len(a), dtype=bool)
+            new[1:] = (a[1:] != a[:-1]) | (h[1:] != h[:-1])
+            yield _spans(d[~new], s[~new], n[~new], False)
+            a, h, d, s, n, way = (x[new] for x in columns)
+            same = np.zeros(len(a) + 1, dtype=bool)
+            same[0] = shared
+            same[1:-1] = a[1:] == a[:-1]
+            if firsts:
+                several = (same[:-1] | same[1:])[:-1] | (way[:-1] == BY_SPAN)
+                yield _spans(d[:-1][several], s[:-1][several], n[:-1][several], True)
+            held = (a[-1], h[-1], d[-1], s[-1], n[-1], way[-1], bool(same[len(a) - 1]))
+        if firsts and held is not None and (held[6] or held[5] == BY_SPAN):
+            yield _spans(*(np.array([x]) for x in held[2:5]), True)
+
+    return run
 
 
 def _spans(d, s, n, is_open: bool) -> pa.RecordBatch:
@@ -154,7 +177,7 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _windows(length: int):
     def make(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-        """Every window of the open runs of a text as ``(h, h, row, start, 1)``."""
+        """Every window of the open runs of a text as ``(hashes of both halves, row, start, 1)``."""
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         starts, at = _lists(batch.column(2))
         counts, _ = _lists(batch.column(3))
@@ -169,8 +192,9 @@ def _windows(length: int):
             there = (s >= 0) & (begin + length <= p.ends[text])
             begin, s, text = begin[there], s[there], text[there]
             if len(begin):
-                h = Slices(p.data).hashes(begin, begin + length)
-                yield h, h, ids[p.first + text], s + p.base, np.ones(len(h), dtype=np.int64)
+                slices, middle = Slices(p.data), begin + length // 2
+                high, low = slices.hashes(begin, middle), slices.hashes(middle, begin + length)
+                yield high, low, ids[p.first + text], s + p.base, np.ones(len(high), dtype=np.int64)
 
     return make
 
@@ -185,8 +209,26 @@ def _grouped(spans: DataFrame) -> DataFrame:
 
 
 def _dealt(runs: DataFrame) -> DataFrame:
-    """Rows of a digit in one partition; those known to repeat need no company and go anywhere."""
-    return runs.repartition(F.when(F.col("known"), F.xxhash64("d", "s")).otherwise(F.col("a")))
+    """Equal rows in one partition, with all of their digit unless it is crowded; those known to repeat
+    need no company and go anywhere."""
+    return runs.repartition(
+        F.when(F.col("way") == KNOWN, F.xxhash64("d", "s")).when(F.col("way") == BY_SPAN, F.xxhash64("a", "h"))
+        .otherwise(F.col("a"))
+    )
+
+
+def crowded_digits(rows: DataFrame, length: int = 100, sampled: int = SAMPLED_DOCUMENTS) -> np.ndarray:
+    """The digits, at most ``CROWDED_DIGITS``, in most different runs of about ``sampled`` documents."""
+    every = max(1, rows.count() // sampled)
+    some = rows.filter(F.pmod(F.xxhash64("_row"), F.lit(every)) == 0).select("_row", "_text")
+    runs = some.mapInArrow(
+        _collect(lambda b: _runs(b.column(0), b.column(1), length), np.zeros(0, dtype=np.int64)), RUNS
+    )
+    found = (
+        runs.filter(F.col("way") != KNOWN).groupBy("a", "h").agg(F.lit(1)).groupBy("a").agg(F.count("*").alias("c"))
+        .filter(F.col("c") >= CROWDED_RUNS).orderBy(F.desc("c"), "a").limit(CROWDED_DIGITS)
+    )
+    return np.array([r["a"] for r in found.select("a").collect()], dtype=np.int64)
 
 
 def repeated_spans(rows: DataFrame, length: int = 100) -> DataFrame:
@@ -198,20 +240,20 @@ def repeated_spans(rows: DataFrame, length: int = 100) -> DataFrame:
     tasks stream over sorted rows without gathering a group.
     """
     spark = rows.sparkSession
-    runs = rows.select("_row", "_text").mapInArrow(
-        _collect(lambda b: _runs(b.column(0), b.column(1), length)), RUNS
-    )
     with freed_shuffles(spark):
+        crowded = crowded_digits(rows, length)
+        runs = rows.select("_row", "_text").mapInArrow(
+            _collect(lambda b: _runs(b.column(0), b.column(1), length), crowded), RUNS
+        )
         found = settle(
-            _dealt(runs).sortWithinPartitions("a", "h", "d", "s").mapInArrow(_equal_runs, SPANS)
+            _dealt(runs).sortWithinPartitions("a", "h", "d", "s").mapInArrow(_equal_runs(True), SPANS)
         )
         windows = (
             rows.join(_grouped(found.filter("open")), "_row").select("_row", "_text", "_starts", "_counts")
-            .mapInArrow(_collect(_windows(length)), RUNS)
+            .mapInArrow(_collect(_windows(length), None), RUNS)
         )
         single = settle(
-            _dealt(windows).sortWithinPartitions("a", "h", "d", "s")
-            .mapInArrow(_equal_runs, SPANS).filter("NOT open")
+            _dealt(windows).sortWithinPartitions("a", "h", "d", "s").mapInArrow(_equal_runs(False), SPANS)
         )
     return found.filter("NOT open").unionByName(single).select("d", "s", "n")
 

@@ -69,3 +69,32 @@ def test_kept_texts_hold_whole_characters_and_empty_table(spark):
     got = {r._id: r._kept for r in s.kept_texts(keyed(documents(spark, rows))).collect()}
     assert got[2] == "xz" or set(got[2]) <= {"x", "é", "z"}
     assert got[3] == "" and s.remove_repeats(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_a_common_passage_shorter_than_the_window_meets_no_single_task(spark):
+    """One passage of 95 bytes in every document, between other text: its digits are crowded."""
+    from pyspark.sql import functions as F
+
+    from modspark.llm.common import ordered_rows
+
+    passage = prose(9, 40)[:95]
+    rows = [(i, f"{prose(1000 + i, 12)} {passage} {prose(9000 + i, 12)}") for i in range(3000)]
+    docs = ordered_rows(documents(spark, rows)).select("_row", "_text")
+    crowded = s.crowded_digits(docs)
+    assert 0 < len(crowded) <= 56
+    runs = docs.mapInArrow(s._collect(lambda b: s._runs(b.column(0), b.column(1), 100), crowded), s.RUNS)
+    by_digit = runs.groupBy("a").count().agg(F.max("count")).head()[0]
+    assert by_digit >= 1000
+    spread = s._dealt(runs).groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert spread.max() < 1.3 * spread.median()
+
+
+def test_crowded_digits_change_no_result(spark, monkeypatch):
+    passage = prose(9, 40)[:95]
+    rows = [(i, f"{prose(1000 + i, 6)} {passage}{'ab'[i % 2] * (i % 9)} {prose(9000 + i % 7, 9)}") for i in range(90)]
+    rows += corpus()[:8]
+    want = expected(rows)
+    for least in (2, 10**9):
+        monkeypatch.setattr(s, "CROWDED_RUNS", least)
+        got = s.remove_repeats(documents(spark, rows).repartition(6)).collect()
+        assert Counter(tuple(r) for r in got) == want
