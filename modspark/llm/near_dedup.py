@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 from modspark.llm.common import freed_shuffles, ordered_rows, settle
 from modspark.llm.components import components
 from modspark.llm.kernels import IS_BLANK, longs, mix, word_groups
-from modspark.operators.joins import lookup_join
+from modspark.operators.joins import is_small, lookup_join
 
 BANDS, ROWS_PER_BAND = 32, 5
 CELL_SHINGLES = 2_000_000
+# A band of more entries is joined apart from the others, its entries spread over all tasks.
+CROWDED_BAND = 256
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                      0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD95, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -178,7 +180,7 @@ def near_duplicate_rows(
     largest component shares with all others.  So no pairs are written out, and none is left
     undecided.
 
-    Missing and empty texts have no shingles and are linked with nothing.  Missing ids come first,
+    Shingles are known by 64-bit hashes.  Missing and empty texts have no shingles and are linked with nothing.  Missing ids come first,
     and rows that share an id are documents of their own (``ordered_rows``); repeated rows are copies.
     """
     spark = rows.sparkSession
@@ -191,22 +193,25 @@ def near_duplicate_rows(
             made.select("_row", "_id", "n", "k"), copies.filter("c > 1").select("k", "_first"), "k", ["_row"], "left"
         )
         classes = settle(joined.select("_row", "_id", "n", F.coalesce("_first", "_row").alias("_first")))
-        firsts = made.join(classes.filter("_row = _first").select("_row"), "_row", "left_semi").filter("n > 0")
-        entries = firsts.select(F.explode("bands").alias("band"), "_row", "n")
-        shared = entries.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
-        buckets = settle(entries.join(shared, "band"))
+        firsts = settle(made.join(classes.filter("_row = _first").select("_row"), "_row", "left_semi").filter("n > 0")
+                        .select("_row", "n", "bands"))
+        buckets = settle(_buckets(firsts.select(F.explode("bands").alias("band"), "_row", "n")))
         texts = settle(rows.select("_row", "_text").join(buckets.select("_row").distinct(), "_row", "left_semi"))
         nodes = settle(buckets.select(F.col("_row").alias("node")).distinct())
         at = _placed(nodes, settle(_checked(settle(_first_pairs(buckets, percent)), texts, width, percent)))
-        placed = settle(_open(buckets.join(at.withColumnRenamed("node", "_row"), "_row")))
+        placed = settle(buckets.select("band", "_row", "n").join(at.withColumnRenamed("node", "_row"), "_row"))
+        placed = settle(_open(placed))
         if placed.limit(1).count():
             merged = components(settle(_cross_links(placed, texts, width, percent)))
             merged = merged.select(F.col("node").alias("comp"), F.col("comp").alias("_into"))
             at = settle(lookup_join(at, merged, "comp", ["node"], "left").select(
                 "node", F.coalesce("_into", "comp").alias("comp")
             ))
-        low = settle(at.groupBy("comp").agg(F.min("node").alias("_low")))
-        lows = at.join(low, "comp").filter("node <> _low").select(F.col("node").alias("_first"), "_low")
+        low = settle(at.groupBy("comp").agg(F.min("node").alias("_low"), F.count("*").alias("c")).filter("c > 1")
+                     .select("comp", "_low"))
+        lows = lookup_join(at, low, "comp", ["node"], "inner").filter("node <> _low").select(
+            F.col("node").alias("_first"), "_low"
+        )
         home = settle(lookup_join(classes, lows, "_first", ["_row"], "left").select(
             "_row", "_id", F.col("n").alias("n_shingles"), F.coalesce("_low", "_first").alias("_home")
         ))
@@ -227,19 +232,32 @@ def _placed(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return settle(nodes.join(merged, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")))
 
 
+def _buckets(entries: DataFrame) -> DataFrame:
+    """Entries (band, _row, n) of bands with several rows, and the band's first row ``x`` with its size ``m``.
+
+    Bands of more than ``CROWDED_BAND`` entries, which could fill a task each, are joined as a lookup.
+    """
+    first = settle(
+        entries.groupBy("band").agg(F.min(F.struct("_row", "n")).alias("p"), F.count("*").alias("c")).filter("c > 1")
+        .select("band", F.col("p._row").alias("x"), F.col("p.n").alias("m"), "c")
+    )
+    crowded, others = first.filter(F.col("c") > CROWDED_BAND), first.filter(F.col("c") <= CROWDED_BAND).drop("c")
+    small = is_small(crowded)
+    apart = lookup_join(entries, crowded.drop("c"), "band", ["_row"], "inner", small=small)
+    rest = lookup_join(entries, crowded.select("band"), "band", ["_row"], "left_anti", small=small)
+    return apart.unionByName(rest.join(others, "band"))
+
+
 def _open(placed: DataFrame) -> DataFrame:
     """Entries of the buckets that hold several components."""
     several = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    return placed.join(several.select("band"), "band")
+    return lookup_join(placed, settle(several.select("band")), "band", ["_row"], "inner")
 
 
-def _first_pairs(placed: DataFrame, percent: int) -> DataFrame:
+def _first_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     """Each entry of a bucket with the bucket's first row."""
-    first = placed.groupBy("band").agg(F.min(F.struct("_row", "n")).alias("p")).select(
-        "band", F.col("p._row").alias("x"), F.col("p.n").alias("m")
-    )
     fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    return _distinct_pairs(placed.join(first, "band").filter((F.col("_row") != F.col("x")) & fits).select(
+    return _distinct_pairs(buckets.filter((F.col("_row") != F.col("x")) & fits).select(
         "x", F.col("_row").alias("y"), "band", "n", "m"
     ))
 
@@ -306,7 +324,7 @@ def _cross_links(placed: DataFrame, texts: DataFrame, width: int, percent: int)
         "band", F.ceil(2 * F.col("s") / CELL_SHINGLES).cast("int").alias("parts")
     )
     part = F.pmod(F.xxhash64("_row"), F.col("parts")).cast("int")
-    members = placed.join(large, "band", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).select(
+    members = lookup_join(placed, settle(large), "band", ["_row"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))).select(
         "band", "_row", "comp", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     ).select(F.xxhash64("band", F.least("part", "other"), F.greatest("part", "other")).alias("cell"), "_row", "comp")
     return (
@@ -322,7 +340,7 @@ def _checked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     grid = pairs.groupBy("band").agg(F.sum("size").alias("s")).filter(F.col("s") > CELL_SHINGLES)
     grid = grid.select("band", F.ceil(F.sqrt(F.col("s") / CELL_SHINGLES)).cast("int").alias("g"))
     g = F.coalesce("g", F.lit(1))
-    celled = pairs.join(grid, "band", "left").select(
+    celled = lookup_join(pairs, settle(grid), "band", ["x", "y"], "left").select(
         F.xxhash64("band", F.pmod(F.xxhash64("x"), g), F.pmod(F.xxhash64("y"), g)).alias("cell"), "x", "y"
     )
     members = celled.select("cell", "x").union(celled.select("cell", "y")).distinct()

@@ -84,3 +84,18 @@ def test_sql_form_agrees(spark, sf):
     db.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
     got = n.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet")).toPandas()
     assert check.canonical(got).equals(check.canonical(db.sql(ORACLES["op7_minhash_dedup"]).df()))
+
+
+def test_crowded_bands_hold_the_same_entries(spark, monkeypatch):
+    """The join of crowded bands as a lookup gives what one join by band would."""
+    r = random.Random(3)
+    entries = [(r.randrange(30) if i % 3 else 7, i, i % 11) for i in range(900)]
+    table = spark.createDataFrame(entries, "band long, _row long, n long")
+    by_band = {}
+    for band, row, size in entries:
+        by_band.setdefault(band, []).append((row, size))
+    want = sorted((b, row, size, *min(own)) for b, own in by_band.items() if len(own) > 1 for row, size in own)
+    for least in (1, 40, 256, 10**6):
+        monkeypatch.setattr(n, "CROWDED_BAND", least)
+        got = n._buckets(table).select("band", "_row", "n", "x", "m").collect()
+        assert sorted(map(tuple, got)) == want
