@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType, VariantType
 
 # A lookup of at most this many rows is written into the plan as literals or broadcast.
 INLINE_LIMIT = 4096
@@ -31,15 +32,25 @@ def rows_or_frame(
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``limit`` rows that print to at most ``max_bytes``.
+    """True when ``df`` has at most ``limit`` rows of together at most ``max_bytes``.
 
-    Sizes are counted inside the tasks and only the sums travel; no rows meet in one task.
+    Sizes are counted inside the tasks and only the sums travel; no rows meet in one task.  Strings count
+    with their bytes and plain values with 8, so nothing but nested columns is printed to be measured.
     """
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    n, total = df.agg(F.count("*"), F.coalesce(size, F.lit(0))).head()
+    size = sum((_bytes(df, f) for f in df.schema.fields), F.lit(0))
+    n, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).head()
     return n <= limit and total <= max_bytes
 
 
+def _bytes(df: DataFrame, field: StructField) -> Column:
+    value = df[f"`{field.name}`"]
+    if isinstance(field.dataType, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value.alias("v")))), F.lit(0))
+    return F.lit(8)
+
+
 def lookup_join(
     many: DataFrame,
     one: DataFrame,

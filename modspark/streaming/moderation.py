@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,9 @@ from modspark.plans.objects import moderate_objects
 from modspark.sources.objects import read_object_events
 from modspark.sources.results import upsert_latest
 
+# Every batch runs with its query's id, which lives in the checkpoint.
+QUERY_ID = "sql.streaming.queryId"
+
 
 def stream_moderation(
     spark: SparkSession,
@@ -44,26 +46,9 @@ def stream_moderation(
         frames = sides(batch) if sides else {}
         upsert_latest(
             moderate_objects(batch, **frames, **options), out, "file_uri", ["sequencer"],
-            writer=started.get(), batch_id=batch_id,
+            writer=batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID), batch_id=batch_id,
         )
 
-    # The query's id lives in its checkpoint.  The first batch may come before start() returns it.
-    started = _QueryId()
     writer = fresh.writeStream.foreachBatch(put).option("checkpointLocation", ckpt)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    query = writer.trigger(**trigger).start()
-    started.set(query.id)
-    return query
-
-
-class _QueryId:
-    def __init__(self) -> None:
-        self._known, self._id = threading.Event(), ""
-
-    def set(self, value: str) -> None:
-        self._id = value
-        self._known.set()
-
-    def get(self) -> str:
-        self._known.wait()
-        return self._id
+    return writer.trigger(**trigger).start()

@@ -403,3 +403,30 @@ def test_large_lexicons_as_frames_give_the_same_types_and_rows(spark, sf):
         out = m.toxicity(m.policy_verdict(d, policy, **limits), lexicon, **limits)
         results.append((out.select("doc_id", "flag", "category", "reason", "toxicity").orderBy("doc_id").collect(), dict(out.dtypes)))
     assert results[0] == results[1] == results[2]
+
+
+def test_stream_puts_under_the_query_id(spark, tmp_path):
+    write_events(tmp_path / "in", "a.json", event("in/a.txt", "1"))
+    query = m.stream_moderation(spark, str(tmp_path / "in"), str(tmp_path / "store"), str(tmp_path / "ckpt"))
+    query.awaitTermination()
+    assert [p.name for p in (tmp_path / "store").glob("writer=*")] == [f"writer={query.id}"]
+
+
+def test_size_check_counts_rows_and_bytes(spark):
+    from modspark.operators.joins import is_small
+
+    flat = spark.createDataFrame([("a" * 100, 1), (None, None), ("é", 2)], "word STRING, n INT")
+    assert is_small(flat, 3, 150) and not is_small(flat, 2, 150) and not is_small(flat, 3, 100)
+    nested = flat.select(F.array("word").alias("w"), F.struct("n").alias("s"), F.lit(None).alias("x"))
+    assert is_small(nested, 3, 400) and not is_small(nested, 3, 100)
+    assert is_small(flat.limit(0), 0, 0)
+    seen = []
+    real = F.to_json
+    try:
+        F.to_json = lambda *a, **k: seen.append(a) or real(*a, **k)
+        is_small(flat)
+        assert not seen
+        is_small(nested)
+        assert len(seen) == 2
+    finally:
+        F.to_json = real

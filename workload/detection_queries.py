@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import modspark as m
+from modspark import fixed_values as V
+from modspark.operators.routing import with_extension, with_modalities
 from modspark.scratch import scratch_folder
 from workload import builders as B
 from workload import tables as X
+from workload.object_queries import ROUTES, sql_in
+from workload.object_queries import events as object_events
 from workload.registry import TOKENS, query, values
 from workload.tables import load
-from workload.text_queries import pii_sql
+from workload.text_queries import docs, pii_sql
 
 CONF = "least(value / 5, 100.0)"
 PARENT = "CASE WHEN event_type = 'error' THEN '' ELSE 'activity' END"
@@ -344,6 +348,62 @@ def moderate_audio(spark, sf):
     )
 
 
+@query(
+    "moderate_objects_in_full",
+    f"""WITH {ROUTES}, {DETECTIONS}, {IMAGES},
+    conf AS (SELECT page_id, string_agg(text, '' ORDER BY id) FILTER (confidence >= 99) AS t FROM scored GROUP BY 1),
+    hit AS (SELECT page_id, count(*) AS k FROM (SELECT page_id, unnest({TOKENS.replace('lower(text)', 'lower(t)')}) AS word FROM conf)
+            WHERE word IN ('la', 'the') GROUP BY 1),
+    spoken AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text, count(*) AS n FROM conversations GROUP BY 1),
+    said AS (SELECT conv_id, count(*) AS k FROM (SELECT conv_id, unnest({TOKENS}) AS word FROM spoken) WHERE word IN ('la', 'the') GROUP BY 1),
+    wrote AS (SELECT doc_id, count(*) AS k FROM (SELECT doc_id, unnest({TOKENS}) AS word FROM documents) WHERE word IN ('la', 'the') GROUP BY 1)
+    SELECT 's3://' || m.bucket || '/' || m.key AS file_uri,
+      coalesce(CASE WHEN ext IN {sql_in(V.IMAGE_EXTENSIONS)} THEN n_labels END, -1)::int AS n_labels,
+      CASE WHEN ext IN {sql_in(V.IMAGE_EXTENSIONS)} AND t <> '' THEN coalesce(hit.k, 0) > 0 END::varchar AS image_flag,
+      coalesce(CASE WHEN ext IN {sql_in(V.AUDIO_EXTENSIONS)} THEN spoken.n END, -1)::int AS n_segments,
+      CASE WHEN ext IN {sql_in(V.AUDIO_EXTENSIONS)} AND spoken.text <> '' THEN coalesce(said.k, 0) > 0 END::varchar AS audio_flag,
+      CASE WHEN ext IN {sql_in(V.TEXT_EXTENSIONS)} AND d.doc_id IS NOT NULL THEN coalesce(wrote.k, 0) > 0 END::varchar AS text_flag
+    FROM manifest m LEFT JOIN lab ON lab.n = m.page_id LEFT JOIN conf ON conf.page_id = m.page_id LEFT JOIN hit ON hit.page_id = m.page_id
+    LEFT JOIN spoken ON spoken.conv_id = m.page_id LEFT JOIN said ON said.conv_id = m.page_id
+    LEFT JOIN documents d ON d.doc_id = m.page_id LEFT JOIN wrote ON wrote.doc_id = m.page_id
+    WHERE m.page_id IN (SELECT page_id FROM routes)""",
+)
+def moderate_objects_in_full(spark, sf):
+    """Image and audio plans run on the detections of routed objects; object n is image, talk or text n."""
+    policy = [(1, "One", "la", "*"), (2, "Two", "the", "*")]
+    located = with_extension(m.with_uri(B.media_manifest(spark, sf)))
+    routed = with_modalities(located).select("page_id", "file_uri", "modalities")
+
+    def of(modality):
+        return routed.filter(F.array_contains("modalities", modality)).drop("modalities")
+
+    shown = image_documents(spark, sf).withColumn("page_id", F.regexp_extract("file_uri", "[0-9]+$", 0).cast("bigint"))
+    images = m.moderate_image(of("image").join(shown.drop("file_uri"), "page_id").drop("page_id"), policy=policy)
+    name = F.split("job_name", "-")
+    talks = transcripts(spark, sf).select(
+        F.get(name, F.lit(1)).try_cast("bigint").alias("page_id"),
+        F.struct(F.get(name, F.lit(2)).try_cast("bigint").alias("part"), "segments").alias("p"),
+    )
+    # The recordings of a conversation in order.
+    whole = talks.groupBy("page_id").agg(F.collect_list("p").alias("ps")).select(
+        "page_id", F.flatten(F.transform(F.array_sort("ps", _by_part), lambda x: x["segments"])).alias("segments")
+    )
+    recordings = m.moderate_audio(of("audio").join(whole, "page_id").drop("page_id"), key="file_uri", policy=policy)
+    texts = of("text").join(docs(spark, sf).withColumnRenamed("doc_id", "page_id"), "page_id").drop("page_id")
+    r = m.moderate_objects(object_events(spark, sf), images=images, recordings=recordings, texts=texts, lang="lang", policy=policy)
+    flag = {side: F.col(f"{side}_moderation.text_checks.verdict.flag").cast("string") for side in ("Image", "Audio")}
+    return r.select(
+        "file_uri",
+        F.coalesce(F.size("Image_moderation.labels"), F.lit(-1)).alias("n_labels"), flag["Image"].alias("image_flag"),
+        F.coalesce(F.size("Audio_moderation.toxicity"), F.lit(-1)).alias("n_segments"), flag["Audio"].alias("audio_flag"),
+        F.col("Text_moderation.verdict.flag").cast("string").alias("text_flag"),
+    )
+
+
+def _by_part(x, y):
+    return F.when(x["part"] < y["part"], -1).when(x["part"] > y["part"], 1).otherwise(0)
+
+
 # --- entities in detector shape -----------------------------------------------------------------
 
 
