@@ -7,9 +7,11 @@ bounded size.  Vectors are rows of length 1 everywhere here.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,11 @@ from modspark.scratch import settle
 MATRIX_NUMBERS = 8_000_000
 MAX_TABLES, MAX_BITS, MAX_PROBES = 64, 24, 64
 SEED = 20_240_101
-# What looking into one more bucket costs, in faces compared.
+# What looking into one more bucket costs, in faces compared; and what it costs to move a row to its task.
 LOOKUP = 20
+MOVE = 1000
+# Rows times leaves that a task looks at together.
+VISITS = 500_000
 
 
 def unit_rows(column) -> np.ndarray:
@@ -117,12 +122,16 @@ class PivotTree:
 
 
 class TreePlan(NamedTuple):
-    """``placed``: faces with ``cell``; ``visits``: queries with each ``cell`` to see; ``leaves``: (cell, n)."""
+    """``placed``: faces with ``cell``; ``leaves``: (cell, n); ``met``: (cell, q), how many queries see a leaf.
+
+    ``visits()`` makes the queries with each ``cell`` to see: vectors are repeated, so only for a search.
+    """
 
     placed: DataFrame
-    visits: DataFrame
     leaves: DataFrame
-    n_leaves: int
+    met: DataFrame
+    n_queries: int
+    visits: Callable[[], DataFrame]
 
 
 def leaf_count(rows: int, width: int) -> int:
@@ -162,29 +171,59 @@ def tree_plan(q: DataFrame, c: DataFrame, min_similarity: float, leaves: int | N
     shared = spark.sparkContext.broadcast(bounds)
     reach = reach_of(min_similarity)
 
-    def visit(batches):
+    def seen(batches):
+        # A few rows at once: at a low floor every row sees every leaf.
+        step = max(1, VISITS // max(1, n_leaves))
         for batch in batches:
-            if len(batch):
-                row, cell = tree.value.visits(unit_rows(batch["v"]), shared.value, reach)
-                yield batch.iloc[row].assign(cell=cell)
+            for lo in range(0, len(batch), step):
+                rows = batch.iloc[lo : lo + step]
+                yield rows, *tree.value.visits(unit_rows(rows["v"]), shared.value, reach)
 
-    visits = settle(q.mapInPandas(visit, f"query_id {q_kind['query_id']}, v {q_kind['v']}, cell long"))
-    return TreePlan(placed.drop("top", "angle"), visits, stats.select("cell", "n"), n_leaves)
+    def visit(batches):
+        for rows, row, cell in seen(batches):
+            for lo in range(0, len(row), 10_000):
+                yield rows.iloc[row[lo : lo + 10_000]].assign(cell=cell[lo : lo + 10_000])
+
+    def count(batches):
+        # The leaves that queries see are counted in the task; no query leaves it.
+        n = np.zeros(n_leaves + 1, dtype=np.int64)
+        for rows, _, cell in seen(batches):
+            n[:-1] += np.bincount(cell, minlength=n_leaves)
+            n[-1] += len(rows)
+        at = np.flatnonzero(n)
+        yield pd.DataFrame({"cell": at, "q": n[at]})
+
+    met = settle(q.mapInPandas(count, "cell long, q long").groupBy("cell").agg(F.sum("q").alias("q")))
+    n_queries = met.filter(F.col("cell") == n_leaves).agg(F.coalesce(F.sum("q"), F.lit(0))).head()[0]
+    return TreePlan(
+        placed.drop("top", "angle"), stats.select("cell", "n"), met.filter(F.col("cell") < n_leaves), n_queries,
+        lambda: settle(q.mapInPandas(visit, f"query_id {q_kind['query_id']}, v {q_kind['v']}, cell long")),
+    )
 
 
-def search_cost(plan: TreePlan, n_queries: int) -> DataFrame:
+def search_cost(plan: TreePlan) -> DataFrame:
     """One row: faces, queries, leaves, and on average per query the leaves and the faces it meets."""
-    met = plan.visits.groupBy("cell").agg(F.count("*").alias("q"))
+    sums = _sums(plan)
+    queries = F.lit(max(1, plan.n_queries))
+    return sums.select(
+        "faces", F.lit(plan.n_queries).cast("long").alias("queries"), "leaves", (F.col("visits") / queries).alias("leaves_per_query"),
+        (F.col("met") / queries).alias("faces_per_query"), (F.col("met") / queries / F.col("faces")).alias("share"),
+    )
+
+
+def _sums(plan: TreePlan) -> DataFrame:
     # Both have one row for each leaf.
-    sums = plan.leaves.join(met, "cell", "left").agg(
+    return plan.leaves.join(plan.met, "cell", "left").agg(
         F.sum("n").alias("faces"), F.count("*").alias("leaves"), F.coalesce(F.sum("q"), F.lit(0)).alias("visits"),
         F.coalesce(F.sum(F.col("q") * F.col("n")), F.lit(0)).alias("met"),
     )
-    queries = F.lit(max(1, n_queries))
-    return sums.select(
-        "faces", F.lit(n_queries).cast("long").alias("queries"), "leaves", (F.col("visits") / queries).alias("leaves_per_query"),
-        (F.col("met") / queries).alias("faces_per_query"), (F.col("met") / queries / F.col("faces")).alias("share"),
-    )
+
+
+def grid_is_cheaper(plan: TreePlan, group_rows: int) -> bool:
+    """Whether all pairs, in a grid of groups, cost less than the leaves: pairs compared and rows moved."""
+    s, queries = _sums(plan).head(), plan.n_queries
+    moved = queries * -(-s["faces"] // group_rows) + s["faces"] * -(-queries // group_rows)
+    return queries * s["faces"] + MOVE * moved <= s["met"] + MOVE * (s["visits"] + s["faces"])
 
 
 # --- hash tables --------------------------------------------------------------------------------
@@ -288,13 +327,13 @@ def hash_cells(q: DataFrame, c: DataFrame, plan: HashPlan, width: int) -> tuple[
 # --- searching cells ----------------------------------------------------------------------------
 
 
-def dealt(queries: DataFrame, faces: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with ``part`` and ``block``: a cell above ``block_rows`` on a side is cut by a hash of
+def dealt(queries: DataFrame, faces: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``part`` and ``block``: a cell above ``group_rows`` on a side is cut by a hash of
     its rows, and every part of its queries meets every block of its faces."""
 
     def cut(df: DataFrame, name: str) -> DataFrame:
-        pieces = F.ceil(F.col("n") / F.lit(block_rows)).cast("int")
-        return df.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > block_rows).select("cell", pieces.alias(name))
+        pieces = F.ceil(F.col("n") / F.lit(group_rows)).cast("int")
+        return df.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > group_rows).select("cell", pieces.alias(name))
 
     large = settle(cut(queries, "_parts").join(cut(faces, "_blocks"), "cell", "full"))
 

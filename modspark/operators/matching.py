@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modspark.operators import face_index as I
@@ -15,6 +16,11 @@ from modspark.workers import ship_library
 QUERY_LIMIT = 20_000
 QUERY_NUMBERS = 8_000_000
 BLOCK_ROWS = 20_000
+# What a task holds at once: numbers of vectors of a side, and finds.  Similarities of a product (8 MB), pairs checked exactly.
+GROUP_NUMBERS, GROUP_FINDS = 2_000_000, 4_000_000
+PRODUCT, CHECKED = 2_000_000, 65_536
+# Products of 32 bits pass a pair that is less than this below the floor; it is then compared in 64 bits.
+SLACK = 1e-4
 
 
 def match_jobs(
@@ -55,7 +61,9 @@ def face_search(
     Exact by default.  Up to ``query_limit`` query faces are sent to all tasks and the collection is
     read once.  More of them meet only the leaves of a pivot tree that the triangle inequality of
     angles leaves possible; ``pivots`` sets the number of leaves, by default the root of the
-    collection's rows.  With ``approximate`` both sides are hashed by random directions into as many
+    collection's rows.  Unless ``pivots`` is set, queries that would meet most leaves are instead compared
+    with all faces in a grid of groups, which moves fewer rows.  ``block_rows`` bounds the faces of one matrix
+    product.  With ``approximate`` both sides are hashed by random directions into as many
     tables as a pair at the floor needs to meet with a chance of ``recall`` (more similar pairs meet
     more surely); similarities of what is found are exact.  ``hash_bits`` fixes the directions of a table.
 
@@ -69,16 +77,20 @@ def face_search(
         rows = c.count()
         cells = I.hash_cells(q, c, I.hash_plan(rows, min_similarity, recall, hash_bits), numbers) if width and rows else None
         # A pair may meet in several tables.
-        found = _search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows).groupBy(
+        found = _search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows, numbers).groupBy(
             "query_id", "face_id").agg(F.max("similarity").alias("similarity"))
         return _best(found, k)
     rows = min(query_limit, QUERY_NUMBERS // max(1, numbers))
     head = q.limit(rows + 1).toArrow().to_pandas()
     if len(head) <= rows:
-        return _best(_search_broadcast(head, c, schema, min_similarity, k, exclude_self), k)
+        return _best(_search_broadcast(head, c, schema, min_similarity, k, exclude_self, block_rows), k)
     plan = I.tree_plan(q, c, min_similarity, pivots, numbers)
-    cells = None if plan is None else (plan.visits, plan.placed)
-    return _best(_search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows), k)
+    cells = None
+    if plan is not None:
+        everything = pivots is None and I.grid_is_cheaper(plan, _group_rows(numbers, k))
+        one = F.lit(0).cast("long").alias("cell")
+        cells = (q.select("*", one), c.select("*", one)) if everything else (plan.visits(), plan.placed)
+    return _best(_search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows, numbers), k)
 
 
 def face_search_cost(
@@ -93,7 +105,7 @@ def face_search_cost(
     if plan is None:
         names = "faces long, queries long, leaves long, leaves_per_query double, faces_per_query double, share double"
         return c.sparkSession.createDataFrame([], names)
-    return I.search_cost(plan, q.count())
+    return I.search_cost(plan)
 
 
 def _sides(query: DataFrame, collection: DataFrame, id_col: str, vector: str) -> tuple[DataFrame, DataFrame, str]:
@@ -105,82 +117,95 @@ def _sides(query: DataFrame, collection: DataFrame, id_col: str, vector: str) ->
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    # At most k faces per query and task come together here; in two steps, so that a query that
-    # matches in every task does not meet all its lists at once.
-    ranked = F.struct((-F.col("similarity")).alias("d"), "face_id")
-    best = F.slice(F.array_sort(F.collect_list(ranked)), 1, k)
-    part = F.pmod(F.xxhash64("face_id"), F.lit(64))
-    parts = found.groupBy("query_id", part.alias("part")).agg(best.alias("b"))
-    merged = F.slice(F.array_sort(F.flatten(F.collect_list("b"))), 1, k)
-    return (
-        parts.groupBy("query_id")
-        .agg(merged.alias("b"))
-        .select("query_id", F.posexplode("b").alias("rank", "b"))
-        .select(
-            "query_id",
-            F.col("b.face_id").alias("face_id"),
-            (-F.col("b.d")).alias("similarity"),
-            (F.col("rank") + 1).alias("rank"),
-        )
-    )
+    # At most k faces per query and task come together here.  They are sorted, not listed: a sort goes to
+    # disk where lists would have to fit the memory, and a small k already cuts it before the shuffle.
+    order = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "face_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "face_id", "similarity", "rank")
+
+
+def _group_rows(width: int, k: int) -> int:
+    """Rows of a side that one task holds, so that their vectors and the at most k finds of each are bounded."""
+    finds = max(GROUP_FINDS // max(1, k), math.isqrt(GROUP_FINDS))
+    return max(1, min(GROUP_NUMBERS // max(1, width), finds))
 
 
 def _pair_finder(min_similarity: float, k: int, exclude_self: bool):
-    """Functions for inside tasks: the best k faces per query, of matrices or of earlier finds."""
+    """A function for inside tasks: the best k faces per query out of blocks of faces, one after the other."""
 
-    def best(hits):
-        ordered = hits.sort_values(["query_id", "similarity", "face_id"], ascending=[True, False, True])
-        return ordered.groupby("query_id", sort=False).head(k)
+    def best(finds):
+        ordered = finds.sort_values(["row", "similarity", "face_id"], ascending=[True, False, True])
+        return ordered.groupby("row", sort=False).head(k)
 
-    def find(q_ids, q_unit, c_ids, c_unit):
+    def find(q_ids, q_unit, blocks):
         import numpy as np
         import pandas as pd
 
-        out = [pd.DataFrame({"query_id": q_ids[:0], "face_id": c_ids[:0], "similarity": np.empty(0)})]
-        step = max(1, 8_000_000 // max(1, len(c_ids)))
-        for lo in range(0, len(q_ids) if len(c_ids) else 0, step):
-            # Rounded before the floor and the ranking, so that both agree with the result.
-            sim = np.round(q_unit[lo : lo + step] @ c_unit.T, 6)
-            keep = sim >= min_similarity
-            if exclude_self:
-                keep &= q_ids[lo : lo + step, None] != c_ids[None, :]
-            row, col = np.nonzero(keep)
-            hits = {"query_id": q_ids[lo + row], "face_id": c_ids[col], "similarity": sim[row, col]}
-            out.append(best(pd.DataFrame(hits)))
-        return pd.concat(out)
-
-    return find, best
-
-
-def _search_broadcast(head, c, schema, min_similarity, k, exclude_self) -> DataFrame:
-    (find, best), unit = _pair_finder(min_similarity, k, exclude_self), I.unit_rows
-    q_ids = head["query_id"].to_numpy()
-    shared = c.sparkSession.sparkContext.broadcast((q_ids, unit(head["v"])))
+        q_low = q_unit.astype("float32")
+        # The lowest similarity that a query still wants: the floor, then that of its k-th face.
+        least = np.full(len(q_ids), float(min_similarity))
+        held = None
+        for c_ids, c_unit in blocks:
+            if not len(q_ids) or not len(c_ids):
+                continue
+            c_low = c_unit.astype("float32")
+            finds = [] if held is None else [held]
+            step = max(1, PRODUCT // len(c_ids))
+            for lo in range(0, len(q_ids), step):
+                near = q_low[lo : lo + step] @ c_low.T
+                rows, cols = np.nonzero(near >= (least[lo : lo + step, None] - SLACK).astype("float32"))
+                fresh = []
+                for at in range(0, len(rows), CHECKED):
+                    row, col = rows[at : at + CHECKED] + lo, cols[at : at + CHECKED]
+                    # Rounded before the floor and the ranking, so that both agree with the result.
+                    sim = np.round(np.einsum("ij,ij->i", q_unit[row], c_unit[col]), 6)
+                    keep = sim >= least[row]
+                    if exclude_self:
+                        keep &= q_ids[row] != c_ids[col]
+                    fresh.append(pd.DataFrame({"row": row[keep], "face_id": c_ids[col[keep]], "similarity": sim[keep]}))
+                if fresh:
+                    finds.append(best(pd.concat(fresh)))
+            if finds:
+                held = best(pd.concat(finds))
+                full = held.groupby("row").similarity.agg(["size", "min"])
+                full = full[full["size"] >= k]
+                least[full.index.to_numpy()] = full["min"].to_numpy()
+        if held is None:
+            return pd.DataFrame({"query_id": q_ids[:0], "face_id": q_ids[:0], "similarity": np.empty(0)})
+        return pd.DataFrame({"query_id": q_ids[held["row"].to_numpy()], "face_id": held["face_id"].to_numpy(),
+                             "similarity": held["similarity"].to_numpy()})
+
+    return find
+
+
+def _search_broadcast(head, c, schema, min_similarity, k, exclude_self, block_rows) -> DataFrame:
+    find, unit = _pair_finder(min_similarity, k, exclude_self), I.unit_rows
+    shared = c.sparkSession.sparkContext.broadcast((head["query_id"].to_numpy(), unit(head["v"])))
 
     def scan(batches):
-        import pandas as pd
-
         ids, rows = shared.value
-        held = None
-        for batch in batches:
-            if len(batch) and len(ids):
-                hits = find(ids, rows, batch["face_id"].to_numpy(), unit(batch["v"]))
-                held = hits if held is None else best(pd.concat([held, hits]))
-        if held is not None:
-            yield held
+        blocks = (
+            (batch["face_id"].to_numpy()[lo : lo + block_rows], unit(batch["v"].iloc[lo : lo + block_rows]))
+            for batch in batches for lo in range(0, len(batch), block_rows)
+        )
+        yield find(ids, rows, blocks)
 
     return c.mapInPandas(scan, schema)
 
 
-def _search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows) -> DataFrame:
-    """Pairs out of ``(queries, faces)`` with cells: every block of a cell is searched as one matrix."""
+def _search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows, width) -> DataFrame:
+    """Pairs out of ``(queries, faces)`` with cells: a task holds a group of a cell's queries and one of its faces."""
     if cells is None:
         return c.sparkSession.createDataFrame([], schema)
-    (find, _), unit = _pair_finder(min_similarity, k, exclude_self), I.unit_rows
+    find, unit = _pair_finder(min_similarity, k, exclude_self), I.unit_rows
 
     def pair(qs, cs):
-        return find(qs["query_id"].to_numpy(), unit(qs["v"]), cs["face_id"].to_numpy(), unit(cs["v"]))
-
-    left, right = I.dealt(*cells, block_rows)
-    keys = ["cell", "block", "part"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(pair, schema)
+        ids, rows = cs["face_id"].to_numpy(), unit(cs["v"])
+        blocks = ((ids[lo : lo + block_rows], rows[lo : lo + block_rows]) for lo in range(0, len(ids), block_rows))
+        return find(qs["query_id"].to_numpy(), unit(qs["v"]), blocks)
+
+    keys, spark = ["cell", "block", "part"], c.sparkSession
+    # Groups are small to move and long to search, so they are not put together by their bytes.
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    left, right = (side.repartition(tasks, *keys).groupBy(*keys) for side in I.dealt(*cells, _group_rows(width, k)))
+    return left.cogroup(right).applyInPandas(pair, schema)

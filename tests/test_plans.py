@@ -326,6 +326,35 @@ def test_face_search_meets_a_smaller_share_of_more_faces(spark):
     assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, m.face_search(q, faces, 0.9, 5).collect()))
 
 
+def test_small_blocks_copy_no_rows(spark, monkeypatch):
+    from modspark.operators import matching
+
+    moved, deal = [], matching.I.dealt
+    monkeypatch.setattr(matching.I, "dealt", lambda *a: [moved.append(side.count()) or side for side in deal(*a)])
+    faces = clustered(spark, 600, 3)
+    got = m.face_search(faces, faces, -1.0, 2, query_limit=0, pivots=2, block_rows=10).collect()
+    assert len(got) == 1200 and moved[0] <= 2 * 600 and moved[1] == 600
+
+
+def test_a_low_floor_compares_groups_of_all_faces(spark, monkeypatch):
+    from modspark.operators import face_index, matching
+
+    faces = clustered(spark, 1600, 3)
+    low, high = (face_index.tree_plan(*matching._sides(faces, faces, "face_id", "embedding")[:2], floor, None, 16) for floor in (0.0, 0.95))
+    assert face_index.grid_is_cheaper(low, 500) and not face_index.grid_is_cheaper(high, 20)
+    seen = {r["cell"]: r["count"] for r in high.visits().groupBy("cell").count().collect()}
+    assert seen == {r["cell"]: r["q"] for r in high.met.collect()} and high.n_queries == 1600
+    want = sorted(map(tuple, m.face_search(faces, faces, 0.0, 3).collect()))
+    monkeypatch.setattr(matching, "GROUP_NUMBERS", 16 * 500)  # several groups a side
+    monkeypatch.setattr(face_index.TreePlan, "visits", None)  # vectors are not repeated for each leaf
+    assert sorted(map(tuple, m.face_search(faces, faces, 0.0, 3, query_limit=0, block_rows=90).collect())) == want
+
+
+def test_ranks_are_sorted_not_listed(spark):
+    plan = m.face_search(clustered(spark, 50, 1), clustered(spark, 50, 1), 0.3, 10**6)._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "Window" in plan
+
+
 @pytest.mark.parametrize(("floor", "bits"), [(0.9, None), (0.6, 5)])
 def test_hash_tables_find_what_they_promise(spark, floor, bits):
     q, c = clustered(spark, 200, 4, 0.5), clustered(spark, 2000, 5, 0.5)
