@@ -1,11 +1,14 @@
 """Word-count naive Bayes: a model as two tables, scored in the row or, if it is too large to broadcast,
-by one join and one aggregation."""
+by a join of the different words of blocks of texts."""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +16,12 @@ from modspark.functions import text as T
 from modspark.operators import automaton
 from modspark.operators.joins import BROADCAST_BYTES, lookup_join
 from modspark.operators.rows import compute_once, with_row_id
+from modspark.scratch import settle
+from modspark.workers import ship_library
 
 MAX_CLASSES = 1000
+# Words of a block of texts, which meets a model too large to broadcast together.
+BLOCK_WORDS = 4_000_000
 
 
 class ClassifierModel(NamedTuple):
@@ -108,15 +115,44 @@ class PromptScorer:
     def word_sums(self, rows: DataFrame, text: str) -> DataFrame:
         """``_rid``, ``_n`` and a sum per class, for the rows that have known words.
 
-        The words of a text sit in one task, so with a broadcast model the sums are complete before
-        the shuffle and one row per text crosses the network.
+        With a broadcast model the sums of a text are complete before the shuffle.  A larger model is joined
+        with the different words of every block of texts, not with each word of each text.
         """
+        if not self.small:
+            return self._sums_by_block(rows, text)
         in_text = rows.select("_rid", F.explode(T.tokens(F.col(text))).alias("word"))
-        known = lookup_join(in_text, self.vocabulary, "word", ["_rid"], "inner", small=self.small)
+        known = lookup_join(in_text, self.vocabulary, "word", ["_rid"], "inner", small=True)
         return known.groupBy("_rid").agg(
             F.count("*").alias("_n"), *[F.sum(g).alias(g) for g in self.gain.values()]
         )
 
+    def _sums_by_block(self, rows: DataFrame, text: str) -> DataFrame:
+        blocks = word_blocks(rows, text)
+        words = blocks.select(F.col("block").alias("of_block"), F.posexplode("words").alias("place", "word"))
+        known = words.join(self.vocabulary, "word").drop("word")
+        gains = list(self.gain.values())
+
+        def summed(block: pa.Table, found: pa.Table) -> pa.Table:
+            rids, width = block["rids"].combine_chunks().flatten(), block["width"][0].as_py()
+            place = np.asarray(found["place"])
+            at = np.cumsum(_unpacked(block["gaps"][0]))
+            row, word, times = at // width, at % width, _unpacked(block["times"][0])
+
+            def sums(weights) -> np.ndarray:
+                of_word = np.zeros(width)
+                of_word[place] = weights
+                return np.bincount(row, weights=times * of_word[word], minlength=len(rids))
+
+            count = sums(1.0).astype(np.int64)
+            some = pa.array(np.flatnonzero(count))
+            columns = [pa.array(count), *[pa.array(sums(np.asarray(found[g]))) for g in gains]]
+            return pa.table([rids.take(some), *[c.take(some) for c in columns]], names=["_rid", "_n", *gains])
+
+        kind = dict(rows.dtypes)["_rid"]
+        schema = ", ".join([f"_rid {kind}", "_n long", *[f"{g} double" for g in gains]])
+        texts = blocks.drop("words")
+        return texts.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(summed, schema)
+
     def with_class(self, df: DataFrame, digits: int = 4) -> DataFrame:
         n_docs = sum(r[1] for r in self.classes)
         scores = F.array(
@@ -149,3 +185,58 @@ class PromptScorer:
             )
             .drop("_scores", "_best", "_n", *self.gain.values())
         )
+
+
+def word_blocks(rows: DataFrame, text: str, block_words: int | None = None) -> DataFrame:
+    """Texts in blocks of about ``block_words`` words, a row each, written out.
+
+    ``words`` are the different words of the block and ``rids`` its rows' ids.  How often a text has a word
+    stands packed in ``times``, at places row * ``width`` + word that grow by ``gaps``.
+    """
+    ship_library(rows.sparkSession)
+    limit = block_words or BLOCK_WORDS
+
+    def pack(batches):
+        held, n, number = [], 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            ends = np.cumsum(np.asarray(pc.list_value_length(batch.column(1))))
+            at = 0
+            while at < len(ends):
+                before = ends[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(ends, before + limit - n, side="right")))
+                held.append(batch.slice(at, stop - at))
+                n, at = n + int(ends[stop - 1] - before), stop
+                if n >= limit or at < len(ends):
+                    yield _packed(held, number)
+                    held, n, number = [], 0, number + 1
+        if held:
+            yield _packed(held, number)
+
+    kind = dict(rows.dtypes)["_rid"]
+    schema = f"block long, width long, words array<string>, rids array<{kind}>, gaps binary, times binary"
+    return settle(rows.select("_rid", T.tokens(F.col(text)).alias("words")).mapInArrow(pack, schema))
+
+
+def _packed(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+    table = pa.Table.from_batches(held)
+    rids, lists = table.column(0).combine_chunks(), table.column(1).combine_chunks()
+    coded = pc.dictionary_encode(lists.flatten())
+    words = coded.dictionary
+    width = max(1, len(words))
+    row = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)))
+    at, times = np.unique(row * width + np.asarray(coded.indices), return_counts=True)
+
+    def one(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], type=pa.int32()), values)
+
+    size = (8 * len(at)).to_bytes(8, "little")
+    packed = [size + pa.compress(x.astype(np.int64).tobytes(), codec="zstd", asbytes=True) for x in (np.diff(at, prepend=0), times)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([number]), pa.array([width]), one(words), one(rids), *[pa.array([x], type=pa.binary()) for x in packed]],
+        names=["block", "width", "words", "rids", "gaps", "times"],
+    )
+
+
+def _unpacked(value: pa.Scalar) -> np.ndarray:
+    data = value.as_py()
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), dtype=np.int64)

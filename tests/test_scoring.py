@@ -317,6 +317,27 @@ def test_classifier_saved_and_with_shuffle_join(spark, sf, monkeypatch, tmp_path
     assert model.classes.agg(F.sum("n_docs")).head()[0] == train.count()
 
 
+def test_a_large_model_meets_the_words_of_blocks(spark, monkeypatch):
+    from modspark.operators import classifier
+
+    texts = ["good day", None, "bad bad day", "", "unknown", "good good good"] * 40
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING").repartition(2, "doc_id")
+    model = m.fit_classifier(spark.createDataFrame([("good day", "safe"), ("bad bad", "bad")], "text STRING, label STRING"))
+    columns = ["doc_id", "prompt_class", "prompt_log_score"]
+    want = m.prompt_safety(rows, model).select(*columns).orderBy("doc_id").collect()
+    keyed = rows.select(F.col("doc_id").alias("_rid"), "text")
+    blocks = classifier.word_blocks(keyed, "text")
+    # A word is moved once for a block, however many texts have it.
+    assert blocks.agg(F.sum(F.size("words"))).head()[0] <= 4 * blocks.count() and blocks.count() <= 2
+    monkeypatch.setattr(classifier, "BROADCAST_BYTES", 0)
+    for limit in (classifier.BLOCK_WORDS, 7):
+        monkeypatch.setattr(classifier, "BLOCK_WORDS", limit)
+        assert m.prompt_safety(rows, model).select(*columns).orderBy("doc_id").collect() == want
+    cut = classifier.word_blocks(keyed, "text", 7)
+    assert cut.count() > 20 and cut.select(F.explode("rids")).distinct().count() == len(texts)
+    assert cut.agg(F.max(F.size("words"))).head()[0] <= 4
+
+
 def test_missing_text_scores_as_empty(spark):
     df = spark.createDataFrame([(1, None, "en")], "doc_id INT, text STRING, lang STRING")
     r = m.moderate_text(df, lang="lang").head()
