@@ -268,6 +268,16 @@ def test_matching_with_a_hot_job(spark, monkeypatch, small):
     assert m.match_jobs(jobs, notices, "left", spread_by=["id"]).count() == 300
 
 
+def test_small_files_are_written_by_many_tasks(spark, sf):
+    from workload import builders
+    from workload.tables import spread_files
+
+    made = builders.transcript_json(spark, sf)
+    spread = spread_files(made.withColumn("job", F.get_json_object("payload", "$.jobName")), "job")
+    tasks = spread.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 4 and spread.count() == made.count()
+
+
 def brute(q, c, floor, k, exclude):
     import numpy as np
 

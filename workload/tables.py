@@ -18,6 +18,12 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None)
     return df
 
 
+def spread_files(df: DataFrame, key: str) -> DataFrame:
+    """Rows that become a file each, dealt to several tasks for every core: by bytes they would fill a few."""
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks, key)
+
+
 # Words and phrases of the invented corpus prose, so that the checks see hits.
 PROFILES = [
     (lang, word)
