@@ -25,7 +25,9 @@ def gather_detections(
     """(uri, kind, payload) rows to one row per image with one JSON column per kind.
 
     One shuffle for all four detectors instead of a join for each.  Of several documents of a kind
-    the newest by ``order_by`` counts, picked inside the tasks before the shuffle.
+    the newest by ``order_by`` counts.  Picking among texts sorts them, and an image has about one document
+    of a kind, so they are picked after the shuffle, in partitions of the size that it makes, and not
+    before it, where the sort would hold all documents of an input split.
     """
 
     def pick(k: str) -> Column:
@@ -33,7 +35,7 @@ def gather_detections(
             return F.max(F.when(F.col(kind) == k, F.col(payload)))
         return F.max_by(payload, F.when(F.col(kind) == k, F.col(order_by)))
 
-    return df.groupBy(uri).agg(*[pick(k).alias(k) for k in IMAGE_KINDS])
+    return df.repartition(F.col(uri)).groupBy(uri).agg(*[pick(k).alias(k) for k in IMAGE_KINDS])
 
 
 def parse_image_documents(df: DataFrame) -> DataFrame:

@@ -268,6 +268,18 @@ def test_matching_with_a_hot_job(spark, monkeypatch, small):
     assert m.match_jobs(jobs, notices, "left", spread_by=["id"]).count() == 300
 
 
+def test_documents_are_not_sorted_before_their_shuffle(spark):
+    df = spark.createDataFrame([(f"u{i % 9}", k, f"{k}{i}", i) for i in range(90) for k in ("faces", "moderation")],
+                               "file_uri STRING, kind STRING, payload STRING, v INT")
+    for order_by in (None, "v"):
+        got = m.gather_detections(df, order_by=order_by)
+        above, below = got._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)
+        assert "Aggregate" in above and "Aggregate" not in below and "Sort" not in below and "Exchange" not in below
+        best = max if order_by is None else (lambda texts: texts[-1])
+        want = {f"u{u}": best([f"faces{i}" for i in range(u, 90, 9)]) for u in range(9)}
+        assert {r["file_uri"]: r["faces"] for r in got.collect()} == want
+
+
 def test_small_files_are_written_by_many_tasks(spark, sf):
     from workload import builders
     from workload.tables import spread_files
