@@ -338,6 +338,23 @@ def test_a_large_model_meets_the_words_of_blocks(spark, monkeypatch):
     assert cut.agg(F.max(F.size("words"))).head()[0] <= 4
 
 
+def test_phrases_are_formed_only_at_their_first_words(spark, monkeypatch):
+    from modspark.operators import lexicons
+
+    texts = ["a b c d " * 50, "b c", "", None, "x a", "a b a b c"]
+    d = m.with_tokens(spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id INT, text STRING, lang STRING"))
+    policy = [(1, "One", "a b c", "*"), (2, "Two", "b", "en"), (3, "Three", "a", "de"), (3, "Three", "x a", "*"), (4, "Four", None, "*")]
+    columns = ["doc_id", "flag", "category", "reason"]
+    want = m.policy_verdict(d, [p for p in policy if p[2]], lang="lang").select(*columns).orderBy("doc_id").collect()
+    joined, join = [], lexicons.lookup_join
+    monkeypatch.setattr(lexicons, "lookup_join", lambda many, *a: joined.append(many.count()) or join(many, *a))
+    frame = spark.createDataFrame(policy, "category_no INT, category STRING, phrase STRING, lang STRING")
+    got = m.policy_verdict(d, frame, lang="lang", inline_limit=0, trie_limit=0).select(*columns).orderBy("doc_id").collect()
+    assert got == want and joined[0] == 200 + 2 + 2 + 5
+    # Of the 209 places 50 + 50, 1, 2 and 2 + 2 begin with a, b or x, and at most three lengths are tried there.
+    assert joined[1] <= 3 * 107
+
+
 def test_missing_text_scores_as_empty(spark):
     df = spark.createDataFrame([(1, None, "en")], "doc_id INT, text STRING, lang STRING")
     r = m.moderate_text(df, lang="lang").head()
