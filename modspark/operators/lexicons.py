@@ -197,12 +197,14 @@ def _policy_hits_by_join(df, policy, tokens, lang) -> DataFrame:
     # Phrases are put together only where the first word of one stands; every other place is one row, unjoined.
     sizes = [n for n in sizes if n and n > 0]
     firsts = policy.select(F.get(F.split("phrase", " "), F.lit(0)).alias("_first")).filter("_first IS NOT NULL").distinct()
-    ahead = F.transform(tokens, lambda _, i: F.slice(tokens, i + 1, max(sizes, default=1)))
-    places = df.select("_rid", lang.alias("_lang"), F.explode(ahead).alias("_ahead"))
-    places = places.withColumn("_first", F.get("_ahead", F.lit(0)))
-    started = lookup_join(places, firsts, "_first", ["_rid"], "inner")
-    long_enough = [F.when(F.size("_ahead") >= n, F.array_join(F.slice("_ahead", 1, n), " ")) for n in sizes]
-    grams = started.select("_rid", "_lang", F.explode(F.array_compact(F.array(*long_enough).cast("array<string>"))).alias("phrase"))
+    # A place and the words after it, NULL past the end, by whole arrays and not word by word.
+    ahead = [f"_w{k}" for k in range(max(sizes, default=1))]
+    shifted = [F.slice(tokens, k + 1, F.greatest(F.size(tokens), F.lit(0))) for k in range(len(ahead))]
+    places = df.select("_rid", lang.alias("_lang"), F.inline(F.arrays_zip(*shifted))).toDF("_rid", "_lang", *ahead)
+    started = lookup_join(places.withColumnRenamed("_w0", "_first"), firsts, "_first", ["_rid"], "inner")
+    ahead[0] = "_first"
+    phrases = [F.when(F.col(ahead[n - 1]).isNotNull(), F.concat_ws(" ", *ahead[:n])) for n in sizes]
+    grams = started.select("_rid", "_lang", F.explode(F.array_compact(F.array(*phrases).cast("array<string>"))).alias("phrase"))
     found = lookup_join(grams, entries, "phrase", ["_rid"], "inner")
     applies = F.filter(
         "_entries",
