@@ -85,9 +85,11 @@ from modspark.sources.objects import (
     list_media_objects,
     parse_object_events,
     parse_transcripts,
+    read_by_folders,
     read_object_events,
     read_text_objects,
     read_transcripts,
+    write_text_objects,
 )
 from modspark.sources.results import (
     compact_buckets,

@@ -1,4 +1,5 @@
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -6,6 +7,9 @@ from pyspark.sql import functions as F
 
 import modspark as m
 from modspark.scratch import scratch_folder, settle
+from modspark.sources import objects
+from workload import text_queries  # noqa: F401  (registers its queries)
+from workload.registry import QUERIES
 
 
 def event(key, sequencer, when="2024-01-01T00:00:00.000Z"):
@@ -34,6 +38,56 @@ def test_text_and_media_readers(spark, tmp_path):
     assert "content" not in media._jdf.queryExecution().executedPlan().toString()
 
 
+def test_text_objects_are_whole_in_few_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(objects, "FILES_IN_FOLDER", 2)
+    monkeypatch.setattr(objects, "FILES_AT_ONCE", 3)
+    texts = [(-5, "one\r\ntwo\n"), (1, ""), (2, None), (3, "\ufeff三\0"), (4, "a"), (4, "a"), (4, "b"), (None, "c")]
+    df = spark.createDataFrame(texts, "k INT, t STRING").repartition(2, "k")
+    folder = scratch_folder(spark, "texts")
+    folders = m.write_text_objects(df, folder, "k", "t")
+    assert sum(n for _, n in folders) == len(texts) and max(n for _, n in folders) == 2 and len(folders) <= 5
+    want = sorted((str(k), (t or "") + "\n") for k, t in texts)
+    key = F.regexp_extract("file_uri", "k=(-?[0-9]+)-", 1)
+    for compressed in (True, False):
+        asked = []
+        rows = m.read_by_folders(spark, folders, lambda paths: (
+            asked.append(paths) or m.read_text_objects(spark, paths, compressed).select(key.alias("k"), "text")))
+        assert sorted((r["k"] or "None", r["text"]) for r in rows.collect()) == want
+        assert len(asked) > 1 and sorted(sum(asked, [])) == [f for f, _ in folders]
+    # A second attempt of a task finds its files in place and leaves nothing that a reader sees.
+    again = m.write_text_objects(df, folder, "k", "t")
+    assert again == folders and m.read_text_objects(spark, folder).count() == len(texts)
+
+
+def test_no_text_objects_and_odd_files(spark, tmp_path):
+    none = spark.createDataFrame([], "k INT, t STRING")
+    folders = m.write_text_objects(none, scratch_folder(spark, "texts"), "k", "t")
+    assert m.read_by_folders(spark, folders, lambda paths: m.read_text_objects(spark, paths)).count() == 0
+    (tmp_path / "empty.txt").write_bytes(b"")
+    (tmp_path / "bytes.txt").write_bytes(b"\xff\xfe a\r\n")
+    got = [sorted(bytes(r["b"]) for r in m.read_text_objects(spark, str(tmp_path), c).select(
+        F.col("text").cast("binary").alias("b")).collect()) for c in (True, False)]
+    assert got == [[b"\xff\xfe a\r\n"], [b"", b"\xff\xfe a\r\n"]]
+
+
+def test_text_objects_in_a_store_that_only_spark_reads(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.texts.link./box", f"file://{tmp_path}")
+    df = spark.createDataFrame([(-1, "one"), (2, None)], "k INT, t STRING")
+    folders = m.write_text_objects(df, "viewfs://texts/box/out", "k", "t")
+    rows = m.read_by_folders(spark, folders, lambda paths: m.read_text_objects(spark, paths).select(
+        F.regexp_extract("file_uri", "k=(-?[0-9]+)", 1).alias("k"), "text"))
+    assert sorted(map(tuple, rows.collect())) == [("-1", "one\n"), ("2", "\n")]
+
+
+def test_texts_of_a_table_become_files_without_a_folder_each(spark, sf, monkeypatch):
+    made = []
+    monkeypatch.setattr("workload.text_queries.scratch_folder", lambda s, name: made.append(scratch_folder(s, name)) or made[0])
+    assert QUERIES["text_objects"](spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    texts = [d for d, _, files in os.walk(made[0]) for f in files if f.endswith(".txt")]
+    assert len(texts) == spark.read.parquet(f"{sf}/documents.parquet").count() and len(set(texts)) <= 16
+
+
 def test_moderate_text_scores_translation_or_source(spark):
     df = spark.createDataFrame(
         [(1, "I hate rainy days, my name is Clara", "en"), (2, "Ich hasse das", "de"), (3, "Das ist schlecht", "de")],

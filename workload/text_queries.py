@@ -16,7 +16,7 @@ from modspark.scratch import scratch_folder
 from workload import builders as B
 from workload import tables as X
 from workload.registry import TOKENS, query, values
-from workload.tables import load
+from workload.tables import load, spread_files
 
 DOCS = "documents"
 
@@ -661,11 +661,11 @@ def analyze_replies(spark, sf):
 def text_objects(spark, sf):
     """Documents written as one text file each, read back by the reader."""
     folder = scratch_folder(spark, "texts")
-    load(spark, sf, DOCS).select("doc_id", "text").write.partitionBy("doc_id").text(folder)
-    read = m.read_text_objects(spark, folder)
+    # A file costs the same however small it is, so the files are dealt by number and not by bytes.
+    folders = m.write_text_objects(spread_files(load(spark, sf, DOCS), "doc_id"), folder, "doc_id", "text")
     # A file ends with the line break that its writer adds.
     text = F.regexp_replace("text", r"\n\z", "")
-    return read.select(
-        F.concat(F.lit("doc/"), F.regexp_extract("file_uri", "doc_id=([0-9]+)", 1), F.lit(".txt")).alias("file_uri"),
-        F.length(text).alias("n"), F.sha2(text, 256).alias("text_hash"),
-    )
+    uri = F.concat(F.lit("doc/"), F.regexp_extract("file_uri", "doc_id=(-?[0-9]+)", 1), F.lit(".txt"))
+    return m.read_by_folders(spark, folders, lambda paths: m.read_text_objects(spark, paths, compressed=False).select(
+        uri.alias("file_uri"), F.length(text).alias("n"), F.sha2(text, 256).alias("text_hash"),
+    ))
