@@ -130,11 +130,11 @@ def read_by_folders(
 
 
 def read_text_objects(spark: SparkSession, path: str | list[str], compressed: bool = True) -> DataFrame:
-    """Whole UTF-8 text files, one row per file; the trailing newline is kept.
+    """Whole UTF-8 text files, one row per file; the trailing newline is kept.  Spark gives no row for a
+    file without any byte.
 
     Files named like compressed ones (``.gz``) are unpacked, for which Hadoop sets up its codecs at every
-    file; an empty file gives no row then.  ``compressed=False`` takes all files as they are, the empty ones
-    too, in a fifth of the time.
+    file.  ``compressed=False`` takes all files as they are, in a fifth of the time.
     """
     if compressed:
         files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import modspark as m
 from modspark.scratch import scratch_folder, settle
 from modspark.sources import objects
-from workload import text_queries  # noqa: F401  (registers its queries)
+from workload import object_queries, text_queries  # noqa: F401  (register their queries)
 from workload.registry import QUERIES
 
 
@@ -67,7 +67,7 @@ def test_no_text_objects_and_odd_files(spark, tmp_path):
     (tmp_path / "bytes.txt").write_bytes(b"\xff\xfe a\r\n")
     got = [sorted(bytes(r["b"]) for r in m.read_text_objects(spark, str(tmp_path), c).select(
         F.col("text").cast("binary").alias("b")).collect()) for c in (True, False)]
-    assert got == [[b"\xff\xfe a\r\n"], [b"", b"\xff\xfe a\r\n"]]
+    assert got == [[b"\xff\xfe a\r\n"]] * 2
 
 
 def test_text_objects_in_a_store_that_only_spark_reads(spark, tmp_path):
@@ -80,12 +80,17 @@ def test_text_objects_in_a_store_that_only_spark_reads(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == [("-1", "one\n"), ("2", "\n")]
 
 
-def test_texts_of_a_table_become_files_without_a_folder_each(spark, sf, monkeypatch):
+@pytest.mark.parametrize("name, module, table", [
+    ("text_objects", "text_queries", "documents"),
+    ("media_objects", "object_queries", "pages"),
+])
+def test_rows_become_files_without_a_folder_each(spark, sf, monkeypatch, name, module, table):
     made = []
-    monkeypatch.setattr("workload.text_queries.scratch_folder", lambda s, name: made.append(scratch_folder(s, name)) or made[0])
-    assert QUERIES["text_objects"](spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
-    texts = [d for d, _, files in os.walk(made[0]) for f in files if f.endswith(".txt")]
-    assert len(texts) == spark.read.parquet(f"{sf}/documents.parquet").count() and len(set(texts)) <= 16
+    monkeypatch.setattr(f"workload.{module}.scratch_folder", lambda s, n: made.append(scratch_folder(s, n)) or made[0])
+    rows = spark.read.parquet(f"{sf}/{table}.parquet").count()
+    assert QUERIES[name](spark, sf).count() == rows
+    files = [d for d, _, names in os.walk(made[0]) for f in names if f.endswith(".txt")]
+    assert len(files) == rows and len(set(files)) <= 16
 
 
 def test_moderate_text_scores_translation_or_source(spark):

@@ -11,7 +11,7 @@ from modspark.scratch import scratch_folder
 from workload import builders as B
 from workload import tables as X
 from workload.registry import query
-from workload.tables import load
+from workload.tables import load, spread_files
 from workload.text_queries import FIRST_PII, POLICY, SENTIMENT, docs
 
 EXT = "['" + "', '".join(B.EXTENSIONS) + "']"
@@ -69,9 +69,12 @@ def media_manifest(spark, sf):
 def media_objects(spark, sf):
     """Pages written as one file each, listed without reading them."""
     folder = scratch_folder(spark, "media")
-    load(spark, sf, "pages").select("page_id", "html").write.partitionBy("page_id").text(folder)
-    listed = m.list_media_objects(spark, folder)
-    return listed.select(F.regexp_extract("file_uri", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"), "size")
+    # A file costs the same however small it is, so the files are dealt by number and not by bytes.
+    folders = m.write_text_objects(spread_files(load(spark, sf, "pages"), "page_id"), folder, "page_id", "html")
+    page = F.regexp_extract("file_uri", "page_id=(-?[0-9]+)", 1).cast("bigint")
+    return m.read_by_folders(
+        spark, folders, lambda paths: m.list_media_objects(spark, paths).select(page.alias("page_id"), "size")
+    )
 
 
 @query("object_uri", f"WITH {MANIFEST} SELECT page_id, 's3://' || bucket || '/' || key AS file_uri FROM manifest")
