@@ -178,7 +178,7 @@ def parse_transcripts(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
+def read_transcripts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Transcription result documents, one multi-line JSON document per file."""
     docs = spark.read.schema(schemas.TRANSCRIPT).option("multiLine", True).json(path)
     return docs.select(*_transcript_columns())

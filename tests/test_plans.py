@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import modspark as m
 from modspark.scratch import scratch_folder, settle
 from modspark.sources import objects
-from workload import object_queries, text_queries  # noqa: F401  (register their queries)
+from workload import detection_queries, object_queries, text_queries  # noqa: F401  (register their queries)
 from workload.registry import QUERIES
 
 
@@ -83,11 +83,13 @@ def test_text_objects_in_a_store_that_only_spark_reads(spark, tmp_path):
 @pytest.mark.parametrize("name, module, table", [
     ("text_objects", "text_queries", "documents"),
     ("media_objects", "object_queries", "pages"),
+    ("transcript_docs", "detection_queries", "conversations"),
 ])
 def test_rows_become_files_without_a_folder_each(spark, sf, monkeypatch, name, module, table):
     made = []
     monkeypatch.setattr(f"workload.{module}.scratch_folder", lambda s, n: made.append(scratch_folder(s, n)) or made[0])
-    rows = spark.read.parquet(f"{sf}/{table}.parquet").count()
+    key = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}[table]
+    rows = spark.read.parquet(f"{sf}/{table}.parquet").select(key).distinct().count()
     assert QUERIES[name](spark, sf).count() == rows
     files = [d for d, _, names in os.walk(made[0]) for f in names if f.endswith(".txt")]
     assert len(files) == rows and len(set(files)) <= 16

@@ -293,12 +293,11 @@ def transcript_docs(spark, sf):
     folder = scratch_folder(spark, "transcripts")
     written = B.transcript_json(spark, sf).withColumn("job", F.get_json_object("payload", "$.jobName"))
     # A file costs the same however small it is, so the files are dealt by number and not by bytes.
-    spread_files(written, "job").write.partitionBy("job").text(folder)
-    t = m.read_transcripts(spark, folder)
-    return t.select(
+    folders = m.write_text_objects(spread_files(written, "job"), folder, "job", "payload")
+    return m.read_by_folders(spark, folders, lambda paths: m.read_transcripts(spark, paths).select(
         "job_name", "status", F.size("segments").alias("n_segments"),
         F.element_at("segments", -1)["end"].alias("seconds"),
-    )
+    ))
 
 
 @query(
