@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modspark.llm.common import settle
+from modspark.operators.joins import BROADCAST_LIMIT, sized_join
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -32,15 +33,16 @@ def components(links: DataFrame) -> DataFrame:
         moved = settle(near.select(
             F.col("x").alias("comp"), F.when(F.col("near.h") < own, F.col("near.y")).otherwise(F.col("x")).alias("to"),
         ), parts)
-        moves.append(moved)
+        small = 2 * n <= BROADCAST_LIMIT  # a link has two nodes
+        moves.append((moved, small))
         first = moved.select(F.col("comp").alias("x"), F.col("to").alias("a"))
         second = moved.select(F.col("comp").alias("y"), F.col("to").alias("b"))
         edges = settle(
-            edges.join(first, "x").join(second, "y").filter("a <> b")
+            sized_join(sized_join(edges, first, "x", small=small), second, "y", small=small).filter("a <> b")
             .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct(), parts
         )
         n = edges.count()
     at = nodes.withColumn("comp", F.col("node"))
-    for moved in moves:
-        at = at.join(moved, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    for moved, small in moves:
+        at = sized_join(at, moved, "comp", "left", small).select("node", F.coalesce("to", "comp").alias("comp"))
     return settle(at)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from modspark.llm.common import freed_shuffles, ordered_rows, settle
 from modspark.llm.components import components
 from modspark.llm.kernels import IS_BLANK, longs, mix, word_groups
-from modspark.operators.joins import is_small, lookup_join
+from modspark.operators.joins import is_small, lookup_join, sized_join
 
 BANDS, ROWS_PER_BAND = 32, 5
 CELL_SHINGLES = 2_000_000
@@ -193,13 +193,13 @@ def near_duplicate_rows(
             made.select("_row", "_id", "n", "k"), copies.filter("c > 1").select("k", "_first"), "k", ["_row"], "left"
         )
         classes = settle(joined.select("_row", "_id", "n", F.coalesce("_first", "_row").alias("_first")))
-        firsts = settle(made.join(classes.filter("_row = _first").select("_row"), "_row", "left_semi").filter("n > 0")
+        firsts = settle(sized_join(made, classes.filter("_row = _first").select("_row"), "_row", "left_semi").filter("n > 0")
                         .select("_row", "n", "bands"))
         buckets = settle(_buckets(firsts.select(F.explode("bands").alias("band"), "_row", "n")))
-        texts = settle(rows.select("_row", "_text").join(buckets.select("_row").distinct(), "_row", "left_semi"))
         nodes = settle(buckets.select(F.col("_row").alias("node")).distinct())
+        texts = settle(sized_join(rows.select("_row", "_text"), nodes.withColumnRenamed("node", "_row"), "_row", "left_semi"))
         at = _placed(nodes, settle(_checked(settle(_first_pairs(buckets, percent)), texts, width, percent)))
-        placed = settle(buckets.select("band", "_row", "n").join(at.withColumnRenamed("node", "_row"), "_row"))
+        placed = settle(sized_join(buckets.select("band", "_row", "n"), at.withColumnRenamed("node", "_row"), "_row"))
         placed = settle(_open(placed))
         if placed.limit(1).count():
             merged = components(settle(_cross_links(placed, texts, width, percent)))
@@ -217,7 +217,7 @@ def near_duplicate_rows(
         ))
     # Ids of the rows that head a component; where rows are numbered by id these are the numbers.
     heads = home.filter("_row = _home").select(F.col("_row").alias("_home"), F.col("_id").alias("component_id"))
-    shared_heads = heads.join(home.filter("_row <> _home").select("_home").distinct(), "_home", "left_semi")
+    shared_heads = heads.join(home.filter("_row <> _home").select("_home").distinct().hint("merge"), "_home", "left_semi")
     named = lookup_join(home, shared_heads.withColumn("_named", F.lit(True)), "_home", ["_row"], "left")
     return named.select(
         "_row", "_id", "n_shingles",
@@ -229,7 +229,7 @@ def near_duplicate_rows(
 def _placed(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``(node, comp)`` for all nodes; one without links is its own component."""
     merged = components(links)
-    return settle(nodes.join(merged, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")))
+    return settle(sized_join(nodes, merged, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")))
 
 
 def _buckets(entries: DataFrame) -> DataFrame:
@@ -245,7 +245,7 @@ def _buckets(entries: DataFrame) -> DataFrame:
     small = is_small(crowded)
     apart = lookup_join(entries, crowded.drop("c"), "band", ["_row"], "inner", small=small)
     rest = lookup_join(entries, crowded.select("band"), "band", ["_row"], "left_anti", small=small)
-    return apart.unionByName(rest.join(others, "band"))
+    return apart.unionByName(sized_join(rest, others, "band"))
 
 
 def _open(placed: DataFrame) -> DataFrame:
@@ -328,7 +328,7 @@ def _cross_links(placed: DataFrame, texts: DataFrame, width: int, percent: int)
         "band", "_row", "comp", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     ).select(F.xxhash64("band", F.least("part", "other"), F.greatest("part", "other")).alias("cell"), "_row", "comp")
     return (
-        members.join(texts, "_row").select("cell", "_row", "comp", "_text").repartition("cell")
+        members.join(texts.hint("merge"), "_row").select("cell", "_row", "comp", "_text").repartition("cell")
         .sortWithinPartitions("cell", "_row").mapInArrow(_across(width, percent), "x long, y long")
     )
 
@@ -344,7 +344,7 @@ def _checked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
         F.xxhash64("band", F.pmod(F.xxhash64("x"), g), F.pmod(F.xxhash64("y"), g)).alias("cell"), "x", "y"
     )
     members = celled.select("cell", "x").union(celled.select("cell", "y")).distinct()
-    with_texts = members.join(texts.select(F.col("_row").alias("x"), "_text"), "x").select(
+    with_texts = members.join(texts.select(F.col("_row").alias("x"), "_text").hint("merge"), "x").select(
         "cell", F.lit(False).alias("pair"), "x", F.col("x").alias("y"), F.col("_text").alias("t")
     )
     tests = celled.select("cell", F.lit(True).alias("pair"), "x", "y", F.lit(None).cast("string").alias("t"))

@@ -81,7 +81,19 @@ def salted_join(
     part = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     salted = many.withColumn("_salt", part)
     repeated = one.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return salted.join(repeated, [on, "_salt"], how).drop("_salt")
+    # Spark takes the repeated rows to be as many as before and would broadcast them all.
+    return salted.join(repeated.hint("merge"), [on, "_salt"], how).drop("_salt")
+
+
+def sized_join(many: DataFrame, one: DataFrame, on: str, how: str = "inner", small: bool | None = None) -> DataFrame:
+    """Join with a lookup that is broadcast only if it passes the size check, and else sorted like ``many``.
+
+    For keys that are never hot.  Left to itself Spark goes by the bytes of compressed files, of which a
+    broadcast takes ten times as much memory on the driver.
+    """
+    if small is None:
+        small = is_small(one)
+    return many.join(F.broadcast(one) if small else one.hint("merge"), on, how)
 
 
 def column(c: str | Column) -> Column:

@@ -1,10 +1,12 @@
 import random
+from importlib import import_module
 
 from helpers_llm import documents, prose, words
 
 from modspark.llm import near_dedup as n
 from modspark.llm.components import components
 from modspark.llm.registry import ORACLES
+from modspark.operators import joins
 
 
 def shingles(text, width=4):
@@ -99,3 +101,25 @@ def test_crowded_bands_hold_the_same_entries(spark, monkeypatch):
         monkeypatch.setattr(n, "CROWDED_BAND", least)
         got = n._buckets(table).select("band", "_row", "n", "x", "m").collect()
         assert sorted(map(tuple, got)) == want
+
+
+def test_tables_that_fail_the_size_check_are_never_broadcast(spark, monkeypatch):
+    base = prose(11, 120)
+    rows = [(i, edited(i, base, i % 3)) for i in range(30)] + [(50 + i, prose(50 + i, 40)) for i in range(20)]
+    rows += [(100 + i, prose(50 + i, 40)) for i in range(10)]
+    plans, keep = [], n.settle
+
+    def noted(df, *parts):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, *parts)
+
+    for place in (n, import_module("modspark.llm.components")):
+        monkeypatch.setattr(place, "settle", noted)
+    monkeypatch.setattr(import_module("modspark.llm.components"), "BROADCAST_LIMIT", 0, raising=False)
+    for place in (n, joins):
+        monkeypatch.setattr(place, "is_small", lambda *_: False)
+    got = n.near_duplicates(documents(spark, rows))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert sorted(tuple(r) for r in got.collect()) == expected(rows)
+    assert len(plans) > 10 and sum("SortMergeJoin" in p for p in plans) > 5
+    assert not [p for p in plans if "Broadcast" in p]
