@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from modspark.llm import decontaminate, mixing, near_dedup, suffix_dedup, toxicity
 from modspark.llm.common import keyed, settle, table
 from modspark.llm.registry import query
+from modspark.operators.joins import is_small, sized_join
+
+# Row numbers of dropped documents that are broadcast (about 50 MB on the driver); more are sorted with the documents.
+DROPPED_LIMIT = 1_000_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,12 +23,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, model)
 
 
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    return sized_join(rows, dropped, "_row", "left_anti", is_small(dropped, DROPPED_LIMIT)).select("_all.*")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the first by id."""
     rows = keyed(docs)
     found = near_dedup.near_duplicate_rows(rows.select("_row", "_id", "_text"), width=5)
     dropped = settle(found.filter("NOT kept").select("_row"))
-    return rows.join(dropped, "_row", "left_anti").select("_all.*")
+    return _without(rows, dropped)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +59,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(docs)
     leaks = decontaminate.contaminated_items(rows, table(spark, sf_dir, "benchmark"))
     dropped = settle(leaks.select("_row").distinct())
-    return rows.join(dropped, "_row", "left_anti").select("_all.*")
+    return _without(rows, dropped)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

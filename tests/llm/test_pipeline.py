@@ -64,3 +64,13 @@ def test_empty_table_and_whole_run(spark, docs):
     assert out.columns == [*base.columns, *MORE]
     ids = [r.doc_id for r in out.select("doc_id").collect()]
     assert 0 < len(ids) == len(set(ids)) < base.count()
+
+
+def test_dropped_rows_beyond_the_limit_are_not_broadcast(spark, docs, monkeypatch):
+    def near(limit):
+        monkeypatch.setattr(p, "DROPPED_LIMIT", limit, raising=False)
+        return p.drop_near_duplicates(spark, docs, SF)
+
+    usual, beyond = near(1_000_000), near(0)
+    assert "SortMergeJoin" in (plan := beyond._jdf.queryExecution().executedPlan().toString()) and "Broadcast" not in plan
+    assert plain(beyond.collect(), docs.columns) == plain(usual.collect(), docs.columns)
