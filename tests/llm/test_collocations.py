@@ -115,3 +115,14 @@ def test_a_bit_set_of_bounded_size_lets_frequent_pairs_pass(spark, monkeypatch):
     assert sieve.bits == c.BLOCK_BITS * 2
     assert c.may_pass(sieve.shared.value, keys.view(np.uint64)).all()
     assert c.may_pass(sieve.shared.value, np.arange(1000, dtype=np.uint64) << np.uint64(3)).mean() < 0.5
+
+
+def test_counts_that_fail_the_size_check_are_not_broadcast_with_their_repeats(spark, monkeypatch):
+    frames, join = [], c.lookup_join
+    monkeypatch.setattr(c, "lookup_join", lambda *a: frames.append(join(*a, small=False)) or frames[-1])
+    rows = texts()
+    out = c.collocations(spark.createDataFrame(rows, "lang string, text string"), least=4, top=30)
+    got = sorted((r.lang, r["rank"], r.phrase, r.a, r.l, r.r, r.n, r.score) for r in out.collect())
+    assert got == expected(rows, 4, 30)
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in frames]
+    assert len(plans) == 3 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
