@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modspark.operators.rows import compute_once
+from modspark.scratch import freed_shuffles
 from modspark.scratch import settle as _settle
 
 __all__ = ["BLANKS", "WORD_GAP", "compute_once", "freed_shuffles", "keyed", "ordered_rows", "settle",
@@ -32,24 +31,6 @@ def settle(df: DataFrame, parts: int | None = None) -> DataFrame:
     return _settle(df if parts is None else df.coalesce(parts))
 
 
-@contextmanager
-def freed_shuffles(spark: SparkSession):
-    """Inside, the shuffle files of each query are removed when it ends.
-
-    For use around writes of intermediate tables, whose shuffles nobody reads again.
-    """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_row, _id, _text, _all)``: every row with a long that is its own and keeps the order of ids.
 

@@ -291,28 +291,56 @@ def hash_plan(
     return best[1]
 
 
+class Hashes:
+    """The buckets of rows: the same directions in every task, made from a fixed seed."""
+
+    def __init__(self, plan: HashPlan, width: int):
+        self.plan = plan
+        self.directions = np.random.default_rng(SEED).normal(size=(width, plan.tables * plan.bits))
+
+    def projected(self, rows: np.ndarray) -> np.ndarray:
+        return (rows @ self.directions).reshape(len(rows), self.plan.tables, self.plan.bits)
+
+    def of_faces(self, rows: np.ndarray) -> np.ndarray:
+        """A face's bucket in each table."""
+        return self._in_steps(rows, codes, ())
+
+    def of_queries(self, rows: np.ndarray) -> np.ndarray:
+        """The buckets of each table that a query looks into."""
+        sets = 1 + self.plan.bits * (self.plan.bits + 1) // 2
+        return self._in_steps(
+            rows, lambda p: codes(p)[:, None] ^ flips(p, self.plan.probes), (min(self.plan.probes, sets),)
+        )
+
+    def _in_steps(self, rows: np.ndarray, buckets: Callable, more: tuple) -> np.ndarray:
+        out = np.empty((len(rows), self.plan.tables, *more), dtype=np.int32)
+        step = max(1, VISITS // (self.plan.tables * self.plan.bits))
+        for lo in range(0, len(rows), step):
+            p = self.projected(rows[lo : lo + step])
+            for t in range(self.plan.tables):
+                out[lo : lo + step, t] = buckets(p[:, t])
+        return out
+
+
 def hash_cells(q: DataFrame, c: DataFrame, plan: HashPlan, width: int) -> tuple[DataFrame, DataFrame]:
     """``(queries, faces)`` with ``cell``: each face once for each table, each query once for each bucket."""
 
-    def projected(rows: np.ndarray) -> np.ndarray:
-        # The same directions in every task, made from a fixed seed.
-        directions = np.random.default_rng(SEED).normal(size=(width, plan.tables * plan.bits))
-        return (rows @ directions).reshape(len(rows), plan.tables, plan.bits)
-
     def numbered(code: np.ndarray, table: int) -> np.ndarray:
         return code + (table << plan.bits)
 
     def of_faces(batches):
+        hashes = Hashes(plan, width)
         for batch in batches:
             if len(batch):
-                p = projected(unit_rows(batch["v"]))
+                p = hashes.projected(unit_rows(batch["v"]))
                 for t in range(plan.tables):
                     yield batch.assign(cell=numbered(codes(p[:, t]), t))
 
     def of_queries(batches):
+        hashes = Hashes(plan, width)
         for batch in batches:
             if len(batch):
-                p = projected(unit_rows(batch["v"]))
+                p = hashes.projected(unit_rows(batch["v"]))
                 for t in range(plan.tables):
                     seen = codes(p[:, t])[:, None] ^ flips(p[:, t], plan.probes)
                     yield batch.iloc[np.repeat(np.arange(len(batch)), seen.shape[1])].assign(cell=numbered(seen, t).ravel())
@@ -324,6 +352,16 @@ def hash_cells(q: DataFrame, c: DataFrame, plan: HashPlan, width: int) -> tuple[
     )
 
 
+def hash_grid_is_cheaper(plan: HashPlan, queries: int, faces: int, grid: tuple[int, int], group_rows: int) -> bool:
+    """Whether all pairs, in a ``grid`` of (blocks of faces, parts of queries), cost less than the buckets of
+    all tables, whose rows are repeated where a bucket is cut into groups."""
+    buckets = 1 << plan.bits
+    seen, placed = queries * plan.tables * plan.probes, faces * plan.tables
+    parts, blocks = (max(1, math.ceil(n / buckets / group_rows)) for n in (queries * plan.probes, faces))
+    by_cells = seen * faces // buckets + MOVE * (seen * blocks + placed * parts)
+    return queries * faces + MOVE * (queries * grid[0] + faces * grid[1]) <= by_cells
+
+
 # --- searching cells ----------------------------------------------------------------------------
 
 

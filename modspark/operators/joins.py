@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType, VariantType
@@ -12,6 +14,8 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 INLINE_LIMIT = 4096
 BROADCAST_LIMIT = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Hashes of keys that are sent to every task (32 MB).
+KEY_HASHES = 4_000_000
 
 
 def rows_or_frame(
@@ -96,5 +100,36 @@ def sized_join(many: DataFrame, one: DataFrame, on: str, how: str = "inner", sma
     return many.join(F.broadcast(one) if small else one.hint("merge"), on, how)
 
 
+def may_match(many: DataFrame, one: DataFrame, on: Sequence[str], besides: Column, limit: int = KEY_HASHES) -> DataFrame:
+    """The rows of ``many`` whose key may be in ``one``, and those with ``besides``: what a join that counts only
+    these has to move.  ``on`` has the same types on both sides.
+
+    Keys are known by 64-bit hashes, so a few others may pass and none is lost; ``one`` with more than
+    ``limit`` keys keeps all rows.  ``one`` is read here and should be a table.
+    """
+    key = F.xxhash64(*on)
+    hashes = one.select(key.alias("h")).distinct()
+    if hashes.count() > limit:
+        return many
+    known = np.sort(np.asarray(hashes.toArrow().column("h"), dtype=np.int64))
+    shared = one.sparkSession.sparkContext.broadcast(known)
+    names, schema = many.columns, many.schema
+
+    def passing(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        known, bits = shared.value, np.zeros(1 << 24, dtype=bool)
+        bits[known & (len(bits) - 1)] = True
+        for batch in batches:
+            own = np.asarray(batch.column("_key"))
+            passes = bits[own & (len(bits) - 1)]
+            at = np.flatnonzero(passes)
+            if len(at):
+                place = np.minimum(np.searchsorted(known, own[at]), len(known) - 1)
+                passes[at] = known[place] == own[at]
+            passes |= batch.column("_keep").fill_null(False).to_numpy(zero_copy_only=False)
+            yield batch.select(names).filter(pa.array(passes))
+
+    return many.select("*", key.alias("_key"), besides.alias("_keep")).mapInArrow(passing, schema)
+
+
 def column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ BLOCK_ROWS = 20_000
 # What a task holds at once: numbers of vectors of a side, and finds.  Similarities of a product (8 MB), pairs checked exactly.
 GROUP_NUMBERS, GROUP_FINDS = 2_000_000, 4_000_000
 PRODUCT, CHECKED = 2_000_000, 65_536
+# Numbers of the vectors or buckets of pairs that are checked together where pairs pass by.
+CACHED = 262_144
 # Products of 32 bits pass a pair that is less than this below the floor; it is then compared in 64 bits.
 SLACK = 1e-4
 
@@ -66,6 +71,8 @@ def face_search(
     product.  With ``approximate`` both sides are hashed by random directions into as many
     tables as a pair at the floor needs to meet with a chance of ``recall`` (more similar pairs meet
     more surely); similarities of what is found are exact.  ``hash_bits`` fixes the directions of a table.
+    Tables of few and large buckets are not written out: groups of both sides meet in a grid and a pair
+    is found once if any table has it, the same pairs with fewer rows moved.
 
     In all plans a task keeps at most k faces per query before the shuffle, and no pair below the
     floor is ever emitted.  A missing vector matches nothing.
@@ -74,12 +81,18 @@ def face_search(
     width = q.select(F.size("v")).head()
     numbers = width[0] if width else 1
     if approximate:
-        rows = c.count()
-        cells = I.hash_cells(q, c, I.hash_plan(rows, min_similarity, recall, hash_bits), numbers) if width and rows else None
+        rows, queries = c.count(), q.count() if width else 0
+        cells, group_rows = None, _group_rows(numbers, k)
+        if queries and rows:
+            plan, grid = I.hash_plan(rows, min_similarity, recall, hash_bits), _grid(c, queries, rows, numbers)
+            if I.hash_grid_is_cheaper(plan, queries, rows, grid, group_rows):
+                found = _search_grid(q, c, schema, plan, grid, min_similarity, k, exclude_self, numbers)
+                if _repeats(q, "query_id") or _repeats(c, "face_id"):
+                    found = _once(found)
+                return _best(found, k if k < rows else None)
+            cells = I.hash_cells(q, c, plan, numbers)
         # A pair may meet in several tables.
-        found = _search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows, numbers).groupBy(
-            "query_id", "face_id").agg(F.max("similarity").alias("similarity"))
-        return _best(found, k)
+        return _best(_once(_search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows, numbers)), k)
     rows = min(query_limit, QUERY_NUMBERS // max(1, numbers))
     head = q.limit(rows + 1).toArrow().to_pandas()
     if len(head) <= rows:
@@ -116,11 +129,22 @@ def _sides(query: DataFrame, collection: DataFrame, id_col: str, vector: str) ->
     return q, c, f"query_id {dict(q.dtypes)['query_id']}, face_id {dict(c.dtypes)['face_id']}, similarity double"
 
 
-def _best(found: DataFrame, k: int) -> DataFrame:
+def _once(found: DataFrame) -> DataFrame:
+    return found.groupBy("query_id", "face_id").agg(F.max("similarity").alias("similarity"))
+
+
+def _repeats(df: DataFrame, key: str) -> bool:
+    return bool(df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").limit(1).count())
+
+
+def _best(found: DataFrame, k: int | None) -> DataFrame:
+    """Ranked, the first ``k``; all with None, where no query has more: then only who reads ranks pays for them."""
     # At most k faces per query and task come together here.  They are sorted, not listed: a sort goes to
     # disk where lists would have to fit the memory, and a small k already cuts it before the shuffle.
     order = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "face_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order))
+    if k is not None:
+        ranked = ranked.filter(F.col("rank") <= k)
     return ranked.select("query_id", "face_id", "similarity", "rank")
 
 
@@ -209,3 +233,91 @@ def _search_cells(cells, c, schema, min_similarity, k, exclude_self, block_rows,
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     left, right = (side.repartition(tasks, *keys).groupBy(*keys) for side in I.dealt(*cells, _group_rows(width, k)))
     return left.cogroup(right).applyInPandas(pair, schema)
+
+
+def _grid(c: DataFrame, queries: int, faces: int, width: int) -> tuple[int, int]:
+    """Into how many blocks of faces, as many as a task holds, and parts of queries, which pass by, to cut."""
+    side = math.isqrt(4 * c.sparkSession.sparkContext.defaultParallelism) + 1
+    blocks = max(-(-faces // max(1, GROUP_NUMBERS // max(1, width))), min(side, faces))
+    return blocks, min(side, queries)
+
+
+def _search_grid(q, c, schema, plan, grid, min_similarity, k, exclude_self, width) -> DataFrame:
+    """Pairs at the floor that any table of ``plan`` brings together, each once.  A task holds a block of faces and
+    lets a part of the queries pass by, so finds are given out as they come and never add up."""
+    blocks, parts = grid
+    unit, tried = I.unit_rows, plan.tables * plan.probes
+
+    def vectors(column):
+        return unit(column.to_pandas())
+
+    def finds(hashes, q_ids, q_unit, f_ids, f_unit, f_low, f_codes):
+        seen, q_low = hashes.of_queries(q_unit), q_unit.astype("float32")
+        least = np.float32(min_similarity - SLACK)
+        q_values, f_values = (ids.to_numpy(zero_copy_only=False) for ids in (q_ids, f_ids))
+        # Few enough pairs at once that their vectors stay in the processor's cache.
+        step, checked = max(1, PRODUCT // len(f_low)), max(1, CACHED // max(width, tried))
+        for lo in range(0, len(q_low), step):
+            near = np.flatnonzero((q_low[lo : lo + step] @ f_low.T >= least).ravel())
+            found = []
+            for at in range(0, len(near), checked):
+                row, col = np.divmod(near[at : at + checked], len(f_low))
+                row += lo
+                if exclude_self:
+                    other = q_values[row] != f_values[col]
+                    row, col = row[other], col[other]
+                meet = (seen.take(row, 0) == f_codes.take(col, 0)[:, :, None]).any(axis=(1, 2))
+                row, col = row[meet], col[meet]
+                sim = np.round(np.einsum("ij,ij->i", q_unit.take(row, 0), f_unit.take(col, 0)), 6)
+                keep = sim >= min_similarity
+                found.append((row[keep], col[keep], sim[keep]))
+            if not found:
+                continue
+            row, col, sim = (np.concatenate(x) for x in zip(*found, strict=True))
+            if k < len(f_low):  # all that a query finds in this block is here
+                table = pd.DataFrame({"row": row, "similarity": sim, "face_id": f_values[col], "at": np.arange(len(row))})
+                table = table.sort_values(["row", "similarity", "face_id"], ascending=[True, False, True])
+                at = table.groupby("row", sort=False).head(k)["at"].to_numpy()
+                row, col, sim = row[at], col[at], sim[at]
+            yield pa.RecordBatch.from_arrays(
+                [q_ids.take(pa.array(row)), f_ids.take(pa.array(col)), pa.array(sim)],
+                names=["query_id", "face_id", "similarity"],
+            )
+
+    def search(batches):
+        hashes, cell, held, ready = I.Hashes(plan, width), None, [], None
+        for batch in batches:
+            cells, sides = np.asarray(batch.column("cell")), np.asarray(batch.column("side"))
+            changes = np.flatnonzero((cells[1:] != cells[:-1]) | (sides[1:] != sides[:-1])) + 1
+            edges = [0, *changes.tolist(), len(cells)]
+            for begin, end in zip(edges[:-1], edges[1:], strict=True):
+                if begin == end:
+                    continue
+                part = batch.slice(begin, end - begin)
+                if cells[begin] != cell:
+                    cell, held, ready = cells[begin], [], None
+                if sides[begin] == 0:
+                    held.append((part.column("face_id"), vectors(part.column("v"))))
+                elif held:
+                    if ready is None:
+                        f_unit = np.concatenate([x[1] for x in held])
+                        ids = pa.concat_arrays([x[0] for x in held])
+                        ready = ids, f_unit, f_unit.astype("float32"), hashes.of_faces(f_unit)
+                    yield from finds(hashes, part.column("query_id"), vectors(part.column("v")), *ready)
+
+    def dealt(df, key, own, own_count, other, other_count):
+        placed = df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_count))).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(other_count - 1)))
+        )
+        return placed.withColumn("cell", (F.col("block") * parts + F.col("part")).cast("long"))
+
+    kinds = {"query_id": dict(q.dtypes)["query_id"], "face_id": dict(c.dtypes)["face_id"]}
+    none = {name: F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()}
+    kind = "array<double>" if "array<double>" in (dict(q.dtypes)["v"], dict(c.dtypes)["v"]) else dict(c.dtypes)["v"]
+    v = F.col("v").cast(kind).alias("v")
+    faces = dealt(c, "face_id", "block", blocks, "part", parts).select("cell", F.lit(0).alias("side"), none["query_id"], "face_id", v)
+    seekers = dealt(q, "query_id", "part", parts, "block", blocks).select("cell", F.lit(1).alias("side"), "query_id", none["face_id"], v)
+    return (
+        faces.unionByName(seekers).repartition(blocks * parts, "cell").sortWithinPartitions("cell", "side")
+        .mapInArrow(search, schema)
+    )

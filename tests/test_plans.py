@@ -449,6 +449,41 @@ def test_hash_tables_find_what_they_promise(spark, floor, bits):
     assert len(found) >= 0.95 * len(exact)
 
 
+@pytest.mark.parametrize(("floor", "bits", "k"), [(0.3, 4, 10**6), (0.3, 4, 3), (0.8, None, 10**6), (0.6, 1, 7), (-1.0, None, 10**6)])
+def test_a_grid_finds_the_pairs_of_the_hash_tables_without_moving_them(spark, monkeypatch, floor, bits, k):
+    from modspark.operators import face_index, matching
+
+    q, c = clustered(spark, 150, 4, 0.5), clustered(spark, 700, 5, 0.5)
+    odd = [(9001, None), (9002, [0.0] * 16), (2**31 - 1, [0.3] * 16), (7, [1.0] * 16), (7, [-1.0] * 16), (7, [1.0] * 16)]
+    c = c.unionByName(spark.createDataFrame(odd, c.schema))
+    found = {}
+    for grid in (True, False):
+        monkeypatch.setattr(face_index, "hash_grid_is_cheaper", lambda *_, grid=grid: grid, raising=False)
+        got = m.face_search(q, c, floor, k, approximate=True, hash_bits=bits, exclude_self=True)
+        found[grid] = sorted(map(tuple, got.collect()))
+    assert found[True] == found[False] and len(found[True]) > 100
+    monkeypatch.setattr(face_index, "hash_grid_is_cheaper", lambda *_: True, raising=False)
+    monkeypatch.setattr(matching, "GROUP_NUMBERS", 16 * 60)
+    monkeypatch.setattr(matching, "PRODUCT", 500)
+    small = m.face_search(q, c, floor, k, approximate=True, hash_bits=bits, exclude_self=True)
+    assert sorted(map(tuple, small.collect())) == found[True]
+    whole = m.face_search(q, q, floor, 10**6, approximate=True, hash_bits=bits).select("query_id", "face_id", "similarity")
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan  # pairs go on where they are found
+
+
+def test_rows_without_a_match_are_left_out_before_a_join(spark):
+    from modspark.operators.joins import may_match
+
+    many = spark.range(20_000).selectExpr("id AS a", "id % 7 AS b", "IF(id = 5, NULL, id / 20000) AS s")
+    one = spark.createDataFrame([(i, i % 7) for i in range(0, 20_000, 50)] + [(1, 3), (None, 2)], "a long, b long")
+    got = may_match(many, one, ["a", "b"], F.col("s") < 0.001)
+    want = {*range(0, 20_000, 50), *range(20)} - {5}
+    assert sorted(r.a for r in got.collect()) == sorted(want) and got.columns == many.columns
+    assert may_match(many, one.limit(0), ["a", "b"], F.col("s") < 0.001).count() == 19
+    assert may_match(many, one, ["a", "b"], F.lit(False), limit=3).count() == 20_000
+
+
 def test_hash_plan_uses_more_bits_for_more_faces():
     from modspark.operators.face_index import flips, hash_plan
 
