@@ -154,6 +154,15 @@ def _group_rows(width: int, k: int) -> int:
     return max(1, min(GROUP_NUMBERS // max(1, width), finds))
 
 
+def _products(q_unit: np.ndarray, c_unit: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """Products of pairs of rows, few enough at once that their vectors stay in the processor's cache."""
+    out, step = np.empty(len(row)), max(1, CACHED // max(1, q_unit.shape[1]))
+    for lo in range(0, len(row), step):
+        at = slice(lo, lo + step)
+        out[at] = np.einsum("ij,ij->i", q_unit.take(row[at], 0), c_unit.take(col[at], 0))
+    return out
+
+
 def _pair_finder(min_similarity: float, k: int, exclude_self: bool):
     """A function for inside tasks: the best k faces per query out of blocks of faces, one after the other."""
 
@@ -182,7 +191,7 @@ def _pair_finder(min_similarity: float, k: int, exclude_self: bool):
                 for at in range(0, len(rows), CHECKED):
                     row, col = rows[at : at + CHECKED] + lo, cols[at : at + CHECKED]
                     # Rounded before the floor and the ranking, so that both agree with the result.
-                    sim = np.round(np.einsum("ij,ij->i", q_unit[row], c_unit[col]), 6)
+                    sim = np.round(_products(q_unit, c_unit, row, col), 6)
                     keep = sim >= least[row]
                     if exclude_self:
                         keep &= q_ids[row] != c_ids[col]
@@ -268,7 +277,7 @@ def _search_grid(q, c, schema, plan, grid, min_similarity, k, exclude_self, widt
                     row, col = row[other], col[other]
                 meet = (seen.take(row, 0) == f_codes.take(col, 0)[:, :, None]).any(axis=(1, 2))
                 row, col = row[meet], col[meet]
-                sim = np.round(np.einsum("ij,ij->i", q_unit.take(row, 0), f_unit.take(col, 0)), 6)
+                sim = np.round(_products(q_unit, f_unit, row, col), 6)
                 keep = sim >= min_similarity
                 found.append((row[keep], col[keep], sim[keep]))
             if not found:
